@@ -1,0 +1,49 @@
+"""The batch job: feeds → decode/classify → tag → join → aggregate."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+from ..operators.geo import NeighborhoodIndex, tag_neighborhoods
+from ..operators.quality import valid_fares, valid_rides
+from ..operators.trips import join_trips, neighborhood_stats_preaggregated
+from ..session import ensure_utc
+from ..sources.feeds import fare_messages, ride_messages
+from ..sources.polygons import nation_layer
+from ..sources.tables import spread, table
+
+_INDEXES: dict[tuple[int, str], NeighborhoodIndex] = {}
+
+
+def neighborhood_index(spark: SparkSession, sf_dir: str) -> NeighborhoodIndex:
+    """Tile index of the nation-derived layer, built once per session and dir."""
+    key = (id(spark), sf_dir)
+    if key not in _INDEXES:
+        _INDEXES[key] = NeighborhoodIndex.build(nation_layer(table(spark, sf_dir, "nation")))
+    return _INDEXES[key]
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ensure_utc(spark)
+    events = spread(table(spark, sf_dir, "events"))
+    return ride_messages(events), fare_messages(events)
+
+
+def enriched_rides(spark: SparkSession, sf_dir: str,
+                   observation: Observation | str | None = None) -> DataFrame:
+    rides_msg, _ = feeds(spark, sf_dir)
+    return tag_neighborhoods(valid_rides(rides_msg, observation), neighborhood_index(spark, sf_dir))
+
+
+def fares(spark: SparkSession, sf_dir: str,
+          observation: Observation | str | None = None) -> DataFrame:
+    _, fares_msg = feeds(spark, sf_dir)
+    return valid_fares(fares_msg, observation)
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_trips(enriched_rides(spark, sf_dir), fares(spark, sf_dir))
+
+
+def stats(spark: SparkSession, sf_dir: str, window: str = "1 hour") -> DataFrame:
+    return neighborhood_stats_preaggregated(enriched_rides(spark, sf_dir), fares(spark, sf_dir), window)
