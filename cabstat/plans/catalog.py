@@ -320,3 +320,7 @@ def q_metric_tags(spark, sf_dir):
                      F.lit("value"), F.col("value").cast("string"))
     merged = ev.select("event_id", merge_tags(ctx, m).alias("tags"))
     return merged.select("event_id", F.explode("tags").alias("tag_key", "tag_value"))
+
+
+# query groups defined in sibling modules register themselves on import
+from . import csv_queries  # noqa: E402,F401
