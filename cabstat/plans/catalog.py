@@ -325,3 +325,4 @@ def q_metric_tags(spark, sf_dir):
 # query groups defined in sibling modules register themselves on import
 from . import csv_queries  # noqa: E402,F401
 from . import ingest_queries  # noqa: E402,F401
+from . import stream_queries  # noqa: E402,F401
