@@ -326,3 +326,4 @@ def q_metric_tags(spark, sf_dir):
 from . import csv_queries  # noqa: E402,F401
 from . import ingest_queries  # noqa: E402,F401
 from . import stream_queries  # noqa: E402,F401
+from . import geo_queries  # noqa: E402,F401
