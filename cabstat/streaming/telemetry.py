@@ -5,7 +5,6 @@ RFC 1123 date); a termination with an error becomes a row too."""
 from __future__ import annotations
 
 import datetime as dt
-import json
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +26,28 @@ def _num(x):
         return None
 
 
+def _as_dict(progress) -> dict:
+    """Progress object of a listener event → plain dict of the fields used."""
+    def row_dict(r):
+        return r.asDict() if hasattr(r, "asDict") else dict(r or {})
+    sink = getattr(progress, "sink", None)
+    return {
+        "id": progress.id, "runId": progress.runId, "name": progress.name, "batchId": progress.batchId,
+        "durationMs": dict(progress.durationMs or {}), "numInputRows": progress.numInputRows,
+        "inputRowsPerSecond": progress.inputRowsPerSecond,
+        "processedRowsPerSecond": progress.processedRowsPerSecond,
+        "sink": {"description": getattr(sink, "description", None)},
+        "observedMetrics": {k: row_dict(v) for k, v in (progress.observedMetrics or {}).items()},
+    }
+
+
 def parse_progress(progress) -> dict:
     """One progress object (or its JSON dict) → one metric row."""
-    p = progress if isinstance(progress, dict) else json.loads(progress.json)
+    p = progress if isinstance(progress, dict) else _as_dict(progress)
     observed = {}
     for obs_name, row in (p.get("observedMetrics") or {}).items():
-        for k, v in (row or {}).items():
+        fields = row.asDict() if hasattr(row, "asDict") else (row or {})
+        for k, v in fields.items():
             if isinstance(v, (int, float)):
                 observed[f"{obs_name.split('_')[0]}.{k}"] = int(v)
     sink = p.get("sink") or {}
@@ -67,7 +82,8 @@ class MetricsListener(StreamingQueryListener):
         try:
             row = parse_progress(event.progress)
         except Exception as exc:  # never kill the query
-            row = {"event": "listener_error", "error": repr(exc), "DateValue": rfc1123_now()}
+            import traceback
+            row = {"event": "listener_error", "error": traceback.format_exc(), "DateValue": rfc1123_now()}
         with self._lock:
             self._rows.append(row)
 
