@@ -154,7 +154,11 @@ class NeighborhoodIndex:
         if materialize:
             from ..session import checkpoint_root
             checkpoint_root(layer.sparkSession)
-            tiles = tiles.checkpoint(eager=True)
+            # persisted first so the reliable checkpoint writes without recomputing
+            tiles.persist()
+            kept = tiles.checkpoint(eager=True)
+            tiles.unpersist()
+            tiles = kept
         size = tile_bytes(tiles)
         return NeighborhoodIndex(tiles, cell, size <= max_broadcast_bytes, size, salt_buckets)
 

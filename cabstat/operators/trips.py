@@ -61,24 +61,21 @@ def neighborhood_stats_preaggregated(rides: DataFrame, fares: DataFrame,
                                      window: str = "1 hour") -> DataFrame:
     """Batch plan of :func:`neighborhood_stats` over ``join_trips(rides, fares)``.
 
-    Both sides are aggregated on the join keys before the join (map-side
-    partial aggregation collapses hot keys before any shuffle). A key with r
-    rides and f fares stands for r * f joined rows, so counts and sums scale
-    by the other side's count. The n x m expansion of duplicate keys is never
-    materialised.
+    Fares are aggregated to one row per join key first (map-side partial
+    aggregation collapses a hot key before the shuffle, and the result is
+    already hash-partitioned on the keys the join needs). Each ride then
+    joins at most one fare row that stands for its ``f_n`` fares, so the join
+    emits one row per ride instead of the n x m expansion of duplicate keys,
+    and a hot key on the ride side is split by AQE's skew-join handling
+    (the other side of that key is a single row).
     """
-    r = rides.groupBy(*TRIP_KEYS, "pickupNeighborhood").agg(
-        F.count(F.lit(1)).alias("r_n"))
     f = fares.groupBy(*TRIP_KEYS).agg(
         F.count(F.lit(1)).alias("f_n"),
         F.sum(_dec("fareAmount")).alias("f_fare"),
         F.sum(_dec("tipAmount")).alias("f_tip"))
-    j = r.join(f, TRIP_KEYS, "inner")
+    j = rides.select(*TRIP_KEYS, "pickupNeighborhood").join(f, TRIP_KEYS, "inner")
     g = with_window(j, window).groupBy("window", "pickupNeighborhood")
-    agg = g.agg(*_stats_from(F.col("r_n") * F.col("f_n"),
-                             F.col("f_fare") * F.col("r_n"),
-                             F.col("f_tip") * F.col("r_n")))
-    return _finish(agg)
+    return _finish(g.agg(*_stats_from(F.col("f_n"), F.col("f_fare"), F.col("f_tip"))))
 
 
 def tip_per_mile(trips: DataFrame, window: str = "1 hour") -> DataFrame:

@@ -12,12 +12,12 @@ from ..sources.feeds import fare_messages, ride_messages
 from ..sources.polygons import nation_layer
 from ..sources.tables import spread, table
 
-_INDEXES: dict[tuple[int, str], NeighborhoodIndex] = {}
+_INDEXES: dict[tuple[str, str], NeighborhoodIndex] = {}
 
 
 def neighborhood_index(spark: SparkSession, sf_dir: str) -> NeighborhoodIndex:
-    """Tile index of the nation-derived layer, built once per session and dir."""
-    key = (id(spark), sf_dir)
+    """Tile index of the nation-derived layer, built once per application and dir."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _INDEXES:
         _INDEXES[key] = NeighborhoodIndex.build(nation_layer(table(spark, sf_dir, "nation")))
     return _INDEXES[key]
