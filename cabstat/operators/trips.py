@@ -57,39 +57,73 @@ def neighborhood_stats(trips: DataFrame, window: str = "1 hour") -> DataFrame:
     return _finish(agg)
 
 
-def neighborhood_stats_preaggregated(rides: DataFrame, fares: DataFrame,
-                                     window: str = "1 hour") -> DataFrame:
-    """Batch plan of :func:`neighborhood_stats` over ``join_trips(rides, fares)``.
+def fare_key_aggregates(fares: DataFrame) -> DataFrame:
+    """One row per join key: fare count, exact sums, count of priced totals."""
+    return fares.groupBy(*TRIP_KEYS).agg(
+        F.count(F.lit(1)).alias("f_n"),
+        F.sum(_dec("fareAmount")).alias("f_fare"),
+        F.sum(_dec("tipAmount")).alias("f_tip"),
+        F.sum(_dec("totalAmount")).alias("f_total"),
+        F.count("totalAmount").alias("f_total_n"))
+
+
+def trip_aggregates(rides: DataFrame, fares: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Per (window, pickup neighbourhood) sums over the joined trips, computed
+    without materialising the join.
 
     Fares are aggregated to one row per join key first (map-side partial
     aggregation collapses a hot key before the shuffle, and the result is
     already hash-partitioned on the keys the join needs). Each ride then
     joins at most one fare row that stands for its ``f_n`` fares, so the join
     emits one row per ride instead of the n x m expansion of duplicate keys,
-    and a hot key on the ride side is split by AQE's skew-join handling
-    (the other side of that key is a single row).
+    and a hot key on the ride side is split by AQE's skew-join handling (the
+    other side of that key is a single row). A ride's own attributes (the
+    distance) count once per matching fare.
+
+    Columns: ``window, pickupNeighborhood, n, fare, tip, total, total_n, miles``
+    (sums as exact decimals).
     """
-    f = fares.groupBy(*TRIP_KEYS).agg(
-        F.count(F.lit(1)).alias("f_n"),
-        F.sum(_dec("fareAmount")).alias("f_fare"),
-        F.sum(_dec("tipAmount")).alias("f_tip"))
-    j = rides.select(*TRIP_KEYS, "pickupNeighborhood").join(f, TRIP_KEYS, "inner")
+    r = rides.select(*TRIP_KEYS, "pickupNeighborhood", "tripDistanceInMiles")
+    j = r.join(fare_key_aggregates(fares), TRIP_KEYS, "inner")
     g = with_window(j, window).groupBy("window", "pickupNeighborhood")
-    return _finish(g.agg(*_stats_from(F.col("f_n"), F.col("f_fare"), F.col("f_tip"))))
+    return g.agg(
+        F.sum("f_n").alias("n"), F.sum("f_fare").alias("fare"), F.sum("f_tip").alias("tip"),
+        F.sum("f_total").alias("total"), F.sum("f_total_n").alias("total_n"),
+        F.sum(_dec("tripDistanceInMiles") * F.col("f_n")).alias("miles"))
 
 
-def tip_per_mile(trips: DataFrame, window: str = "1 hour") -> DataFrame:
+def neighborhood_stats_preaggregated(rides: DataFrame, fares: DataFrame,
+                                     window: str = "1 hour") -> DataFrame:
+    """Batch plan of :func:`neighborhood_stats` over ``join_trips(rides, fares)``
+    (see :func:`trip_aggregates`)."""
+    a = trip_aggregates(rides, fares, window)
+    fare, tip = F.col("fare").cast("double"), F.col("tip").cast("double")
+    return _finish(a.select(
+        "window", "pickupNeighborhood", F.col("n").alias("number_of_rides"),
+        fare.alias("total_fare_amount"), tip.alias("total_tip_amount"),
+        (fare / F.col("n")).alias("average_fare_amount"), (tip / F.col("n")).alias("average_tip_amount")))
+
+
+def _keyed(a: DataFrame) -> list:
+    return [F.col("pickupNeighborhood").alias("neighborhood"),
+            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            F.col("n").alias("number_of_rides")]
+
+
+def tip_per_mile(rides: DataFrame, fares: DataFrame, window: str = "1 hour") -> DataFrame:
     """Average tip per mile per (window, pickup neighbourhood):
-    sum(tip) / sum(distance), null when the distance is zero."""
-    g = with_window(trips, window).groupBy("window", "pickupNeighborhood")
-    agg = g.agg(
-        F.sum(_dec("tipAmount")).cast("double").alias("tip"),
-        F.sum(_dec("tripDistanceInMiles")).cast("double").alias("miles"),
-        F.count(F.lit(1)).alias("number_of_rides"))
-    return agg.select(
-        F.col("pickupNeighborhood").alias("neighborhood"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-        "number_of_rides",
-        F.col("tip").alias("total_tip_amount"),
-        F.col("miles").alias("total_miles"),
-        F.try_divide(F.col("tip"), F.when(F.col("miles") != 0, F.col("miles"))).alias("tip_per_mile"))
+    sum(tip) / sum(distance) over joined trips, null when the distance is zero."""
+    a = trip_aggregates(rides, fares, window)
+    tip, miles = F.col("tip").cast("double"), F.col("miles").cast("double")
+    return a.select(*_keyed(a), tip.alias("total_tip_amount"), miles.alias("total_miles"),
+                    F.try_divide(tip, F.when(miles != 0, miles)).alias("tip_per_mile"))
+
+
+def mean_over_all_rows(rides: DataFrame, fares: DataFrame, window: str = "1 hour") -> DataFrame:
+    """sum(total) / count(*) next to avg(total): a null amount still counts
+    in the first denominator."""
+    a = trip_aggregates(rides, fares, window)
+    total = F.col("total").cast("double")
+    return a.select(*_keyed(a), F.col("total_n").alias("priced_rides"),
+                    (total / F.col("n")).alias("mean_total_all_rows"),
+                    (total / F.col("total_n")).alias("mean_total_priced"))

@@ -78,16 +78,7 @@ FROM trips GROUP BY 1, 2
 """)
 def q_mean_over_all_rows(spark, sf_dir):
     """sum / count(*): a null amount still counts in the denominator."""
-    t = TR.with_window(P.trips(spark, sf_dir))
-    total = F.sum(F.col("totalAmount").cast(TR.SUM_TYPE)).cast("double")
-    return t.groupBy("window", "pickupNeighborhood").agg(
-        F.count(F.lit(1)).alias("number_of_rides"),
-        F.count("totalAmount").alias("priced_rides"),
-        (total / F.count(F.lit(1))).alias("mean_total_all_rows"),
-        (total / F.count("totalAmount")).alias("mean_total_priced"),
-    ).select(F.col("pickupNeighborhood").alias("neighborhood"),
-             ntz("window.end").alias("window_end"), "number_of_rides", "priced_rides",
-             "mean_total_all_rows", "mean_total_priced")
+    return TR.mean_over_all_rows(P.enriched_rides(spark, sf_dir), P.fares(spark, sf_dir))
 
 
 @register("tip_per_mile", base_cte() + f"""
@@ -100,7 +91,7 @@ SELECT pickupNeighborhood AS neighborhood,
 FROM trips GROUP BY 1, 2
 """)
 def q_tip_per_mile(spark, sf_dir):
-    return TR.tip_per_mile(P.trips(spark, sf_dir))
+    return TR.tip_per_mile(P.enriched_rides(spark, sf_dir), P.fares(spark, sf_dir))
 
 
 @register("tumbling_window", base_cte() + """
@@ -210,10 +201,12 @@ FROM f
 """)
 def q_malformed_counts(spark, sf_dir):
     rides_msg, fares_msg = P.feeds(spark, sf_dir)
-    r = decode_rides(rides_msg).agg(malformed_count().alias("malformed_rides"),
-                                    F.count(F.lit(1)).alias("messages"))
-    f = decode_fares(fares_msg).agg(malformed_count().alias("malformed_fares"))
-    return r.crossJoin(f).select("malformed_rides", "malformed_fares", "messages")
+    both = (decode_rides(rides_msg).select(F.lit("rides").alias("feed"), "errorMessage")
+            .unionByName(decode_fares(fares_msg).select(F.lit("fares").alias("feed"), "errorMessage")))
+    bad, ride = F.col("errorMessage").isNotNull(), F.col("feed") == "rides"
+    return both.agg(F.count_if(bad & ride).alias("malformed_rides"),
+                    F.count_if(bad & ~ride).alias("malformed_fares"),
+                    F.count_if(ride).alias("messages"))
 
 
 @register("decode_json", base_cte() + """

@@ -30,6 +30,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         # large join / aggregation state lives off-heap in RocksDB
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        # commit a changelog per batch instead of uploading a snapshot each time
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -15,8 +15,9 @@ def rides(spark, rows):
 
 
 def fares(spark, rows):
-    return spark.createDataFrame(rows, "medallion BIGINT, hackLicense BIGINT, vendorId STRING, pickupTime TIMESTAMP, "
-                                       "fareAmount DOUBLE, tipAmount DOUBLE")
+    df = spark.createDataFrame(rows, "medallion BIGINT, hackLicense BIGINT, vendorId STRING, pickupTime TIMESTAMP, "
+                                     "fareAmount DOUBLE, tipAmount DOUBLE")
+    return df.withColumn("totalAmount", F.col("fareAmount") + 1)
 
 
 def sample(spark):
@@ -63,11 +64,10 @@ def test_preaggregated_equals_join_then_aggregate(spark):
 
 def test_tip_per_mile_zero_distance_is_null(spark):
     r, f = sample(spark)
-    t = TR.tip_per_mile(r.join(f, ["medallion", "hackLicense", "vendorId", "pickupTime"]))
+    t = TR.tip_per_mile(r, f)
     got = {(x["neighborhood"], x["window_end"]): x["tip_per_mile"] for x in t.collect()}
     assert got[("X", T0 + dt.timedelta(hours=1))] == (2 * 3.0 + 0.55) / (2 * (1.0 + 2.0) + 0.0)
-    only_zero = TR.tip_per_mile(rides(spark, [(9, 9, "Z", T0, "Q", 0.0)]).join(
-        fares(spark, [(9, 9, "Z", T0, 1.0, 1.0)]), ["medallion", "hackLicense", "vendorId", "pickupTime"]))
+    only_zero = TR.tip_per_mile(rides(spark, [(9, 9, "Z", T0, "Q", 0.0)]), fares(spark, [(9, 9, "Z", T0, 1.0, 1.0)]))
     assert only_zero.first()["tip_per_mile"] is None
 
 
@@ -78,3 +78,13 @@ def test_decimal_sums_are_order_independent(spark):
     s1 = TR.neighborhood_stats_preaggregated(r.repartition(7), f.repartition(3)).first()
     s2 = TR.neighborhood_stats_preaggregated(r.coalesce(1), f.coalesce(1)).first()
     assert s1["total_fare_amount"] == s2["total_fare_amount"] == 3.0
+
+
+def test_mean_over_all_rows_matches_plain_join(spark):
+    r, f = sample(spark)
+    pre = {(x["neighborhood"], x["window_end"]): x for x in TR.mean_over_all_rows(r, f).collect()}
+    x = pre[("X", T0 + dt.timedelta(hours=1))]
+    # totals: key 1 fares (11.0, null) x 2 rides + key 2 fare 6.5 -> 5 rows, 3 priced
+    assert x["number_of_rides"] == 5 and x["priced_rides"] == 3
+    assert x["mean_total_all_rows"] == (2 * 11.0 + 6.5) / 5
+    assert x["mean_total_priced"] == (2 * 11.0 + 6.5) / 3
