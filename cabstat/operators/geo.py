@@ -90,34 +90,39 @@ def choose_cell(layer_extent: float, cells_across: int = 64) -> float:
 
 
 def build_tiles(layer: DataFrame, cell: float) -> DataFrame:
-    """``cx, cy, cands ARRAY<STRUCT<id, name, inside, edges>>``, one row per cell."""
+    """``cx, cy, cands ARRAY<STRUCT<id, name, inside, edges>>``, one row per cell.
+
+    Built in two explodes so a polygon's full edge list is never copied to
+    every cell: first one row per (polygon, row band) keeping only the edges
+    that span the band, then one row per cell of the band keeping the edges
+    that reach it.
+    """
     e = layer_edges(layer)
-    e = (e.withColumn("cx", F.explode(F.sequence(_cell(F.col("minx"), cell), _cell(F.col("maxx"), cell))))
-          .withColumn("cy", F.explode(F.sequence(_cell(F.col("miny"), cell), _cell(F.col("maxy"), cell)))))
-    cx, cy = F.col("cx"), F.col("cy")
 
-    def in_band(s: Column) -> Column:
-        lo = _cell(F.least(s["y1"], s["y2"]), cell)
-        hi = _cell(F.greatest(s["y1"], s["y2"]), cell)
-        reach = _cell(F.greatest(s["x1"], s["x2"]), cell)
-        return (lo <= cy) & (cy <= hi) & (reach >= cx)
+    def lo_y(s: Column) -> Column:
+        return _cell(F.least(s["y1"], s["y2"]), cell)
 
-    def touches_cell(s: Column) -> Column:
-        return _cell(F.least(s["x1"], s["x2"]), cell) <= cx
+    def hi_y(s: Column) -> Column:
+        return _cell(F.greatest(s["y1"], s["y2"]), cell)
 
-    band = F.filter("edges", in_band)
-    e = e.select("cx", "cy", "id", "name", band.alias("edges"))
-    touched = F.exists("edges", touches_cell)
+    rows = (e.withColumn("cy", F.explode(F.sequence(_cell(F.col("miny"), cell), _cell(F.col("maxy"), cell))))
+             .select("id", "name", "minx", "maxx", "cy",
+                     F.filter("edges", lambda s: (lo_y(s) <= F.col("cy")) & (F.col("cy") <= hi_y(s))).alias("edges")))
+    cells = rows.withColumn("cx", F.explode(F.sequence(_cell(F.col("minx"), cell), _cell(F.col("maxx"), cell))))
+    cx, cy = F.col("cx"), F.col("cy")
+    reach = F.filter("edges", lambda s: _cell(F.greatest(s["x1"], s["x2"]), cell) >= cx)
+    cells = cells.select("cx", "cy", "id", "name", reach.alias("edges"))
+    touched = F.exists("edges", lambda s: _cell(F.least(s["x1"], s["x2"]), cell) <= cx)
     centre_x = (cx.cast("double") + 0.5) * F.lit(cell)
     centre_y = (cy.cast("double") + 0.5) * F.lit(cell)
-    e = e.withColumn("touched", touched).withColumn(
+    cells = cells.withColumn("touched", touched).withColumn(
         "inside", F.when(~F.col("touched"), strictly_inside(F.col("edges"), centre_x, centre_y)))
-    cand = (e.filter(F.col("touched") | F.col("inside"))
-             .select("cx", "cy", F.struct(
-                 "id", "name", F.coalesce("inside", F.lit(False)).alias("inside"),
-                 F.when(F.col("touched"), F.col("edges"))
-                  .otherwise(F.array().cast(e.schema["edges"].dataType)).alias("edges"),
-             ).alias("cand")))
+    cand = (cells.filter(F.col("touched") | F.col("inside"))
+                 .select("cx", "cy", F.struct(
+                     "id", "name", F.coalesce("inside", F.lit(False)).alias("inside"),
+                     F.when(F.col("touched"), F.col("edges"))
+                      .otherwise(F.array().cast(cells.schema["edges"].dataType)).alias("edges"),
+                 ).alias("cand")))
     return cand.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
 
 
