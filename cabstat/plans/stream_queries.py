@@ -119,18 +119,21 @@ def q_stream_scan(spark, sf_dir):
 
 @register("progress_metrics")
 def q_progress_metrics(spark, sf_dir):
-    """Progress rows of a streaming run (one per micro-batch), with the
-    observed malformed counters. Rows-only check."""
+    """Progress rows of a streaming run (one per micro-batch, 4 files per
+    trigger), with the observed malformed counters. Rows-only check."""
+    import time
     listener = MetricsListener()
     spark.streams.addListener(listener)
     try:
         rides, fares = _feeds(spark, sf_dir)
         stats = J.stats_stream(file_feed(spark, rides, 4), file_feed(spark, fares, 4),
                                P.neighborhood_index(spark, sf_dir), CFG)
-        _run(stats, "progress")
-        import time
-        for _ in range(50):  # the listener bus is asynchronous
-            if any(r.get("event") == "progress" for r in listener.rows()):
+        out, ckpt = scratch_path(spark, "progress-out"), scratch_path(spark, "progress-ckpt")
+        q = J.start(stats, f"progress_{ckpt[-12:]}", ckpt, path=out)
+        J.run_to_end(q)
+        expected = len(q.recentProgress)
+        for _ in range(300):  # the listener bus is asynchronous
+            if len([r for r in listener.rows() if r.get("event") == "progress"]) >= expected:
                 break
             time.sleep(0.1)
     finally:
