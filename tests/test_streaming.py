@@ -151,3 +151,53 @@ def test_listener_rows_and_observed_malformed(spark):
     assert total("rides.malformed") == 1 and total("fares.malformed") == 1
     assert total("rides.messages") == 3
     assert listener.to_dataframe(spark).count() == len(listener.rows())
+
+
+def test_foreach_writer_in_a_stream_and_state_eviction(spark):
+    idx = small_index(spark)
+    rides, fares = scratch_path(spark, "fe-r"), scratch_path(spark, "fe-f")
+    t0 = dt.datetime(2024, 1, 1, 10)
+    append(spark, rides, [ride(i, t0 + dt.timedelta(minutes=i)) for i in range(1, 6)] +
+           [ride(99, t0 + dt.timedelta(hours=3))])
+    append(spark, fares, [fare(i, t0 + dt.timedelta(minutes=i), 10.0) for i in range(1, 6)] +
+           [fare(99, t0 + dt.timedelta(hours=3), 1.0)])
+    stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
+    stats = stats.select(F.lit(None).cast("timestamp").alias("window_start"), "window_end", "neighborhood",
+                         "number_of_rides", "total_fare_amount", "total_tip_amount",
+                         "average_fare_amount", "average_tip_amount")
+    out = tempfile.mkdtemp(prefix="foreach-")
+    q = (stats.writeStream.outputMode("append").option("checkpointLocation", scratch_path(spark, "fe-ck"))
+         .trigger(availableNow=True).foreach(RowSinkWriter(out)).start())
+    J.run_to_end(q)
+    recs = [json.loads(line) for root, _, files in os.walk(out) for f in files if f.endswith(".jsonl")
+            for line in open(os.path.join(root, f))]
+    assert [(r["neighborhood"], r["number_of_rides"], r["total_fare_amount"]) for r in recs] == [("Sq", 5, 50.0)]
+    joins = [op for p in q.recentProgress for op in json.loads(p.json)["stateOperators"]
+             if op["operatorName"] == "symmetricHashJoin"]
+    assert joins[-1]["numRowsTotal"] < joins[0]["numRowsTotal"]      # evicted behind the watermark
+
+
+def test_termination_error_becomes_a_row(spark):
+    listener = MetricsListener()
+    spark.streams.addListener(listener)
+    try:
+        src = scratch_path(spark, "term-src")
+        append(spark, src, ["x"])
+
+        def boom(df, batch_id):
+            raise ValueError("sink down")
+
+        q = (file_feed(spark, src).writeStream.option("checkpointLocation", scratch_path(spark, "term-ck"))
+             .trigger(availableNow=True).foreachBatch(boom).start())
+        try:
+            q.awaitTermination(120)
+        except Exception:
+            pass
+        for _ in range(300):
+            if any(r.get("event") == "terminated" for r in listener.rows()):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    term = [r for r in listener.rows() if r.get("event") == "terminated"]
+    assert term and "sink down" in term[0]["error"]
