@@ -20,7 +20,7 @@ from ..schemas import TRIP_COLUMNS
 from ..session import ensure_utc
 from ..sources.feeds import trip_facts
 from ..sources.tables import spread, table
-from . import pipeline as P
+from . import batch_job as P
 from .oracle_sql import base_cte, money_sum, nbhd_sql
 
 Builder = Callable[[SparkSession, str], DataFrame]

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.geo import NeighborhoodIndex
 from ..operators.geo_udf import register_neighborhood_finder
 from ..session import ensure_utc, scratch_path
 from ..sources import polygons as PG
@@ -29,23 +30,33 @@ _X = f"({PG.BLOCK_OFFSET} + {PG.BLOCK} * (n_nationkey % 5))"
 _Y = f"({PG.BLOCK_OFFSET} + {PG.BLOCK} * (n_nationkey // 5))"
 
 
-@register("polygon_layer", f"""
-SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name,
+@register("polygon_layer", base_cte() + f"""
+, pickups AS (SELECT pickupNeighborhood AS name, count(*) AS n_pickups FROM f GROUP BY 1)
+SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, coalesce(p.n_pickups, 0) AS n_pickups,
   {_pick(_N_RINGS)} AS n_rings, {_pick(_N_VERTS)} AS n_vertices,
   -74.0 + ({_X} + {_pick([b[0] for b in _BOX])}) / 64 AS min_lon,
   -74.0 + ({_X} + {_pick([b[1] for b in _BOX])}) / 64 AS max_lon,
   40.0 + ({_Y} + {_pick([b[2] for b in _BOX])}) / 64 AS min_lat,
   40.0 + ({_Y} + {_pick([b[3] for b in _BOX])}) / 64 AS max_lat
-FROM nation""")
+FROM nation LEFT JOIN pickups p ON p.name = n_name""")
 def q_polygon_layer(spark, sf_dir):
     """Nation-derived neighbourhoods written as GeoJSON features (Polygon and
-    MultiPolygon), read back through the layer reader, summarised."""
+    MultiPolygon), read back through the layer reader, summarised, with the
+    number of event pickups each one contains (tagged with the read layer)."""
+    ensure_utc(spark)
     path = scratch_path(spark, "layer")
     PG.write_geojsonseq(PG.nation_layer_parts(table(spark, sf_dir, "nation")), path)
     layer = PG.read_layer(spark, path, "geojsonseq")
+    index = NeighborhoodIndex.build(layer)
+    pts = trip_facts(spread(table(spark, sf_dir, "events")))
+    counts = (index.tag(pts, "pickupLon", "pickupLat", "name").groupBy("name")
+              .agg(F.count(F.lit(1)).alias("n_pickups")))
+    # the layer is one row per neighbourhood: a bounded, broadcastable side
+    layer = layer.join(F.broadcast(counts), "name", "left").withColumn(
+        "n_pickups", F.coalesce(F.col("n_pickups"), F.lit(0)))
     pts = F.flatten("rings")
     return layer.select(
-        "id", "name", F.size("rings").alias("n_rings"), F.size(pts).alias("n_vertices"),
+        "id", "name", "n_pickups", F.size("rings").alias("n_rings"), F.size(pts).alias("n_vertices"),
         F.array_min(F.transform(pts, lambda p: p["x"])).alias("min_lon"),
         F.array_max(F.transform(pts, lambda p: p["x"])).alias("max_lon"),
         F.array_min(F.transform(pts, lambda p: p["y"])).alias("min_lat"),

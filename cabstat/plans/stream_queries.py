@@ -15,7 +15,7 @@ from ..streaming import job as J
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
 from ..streaming.sources import file_feed, write_feed
 from ..streaming.telemetry import MetricsListener
-from . import pipeline as P
+from . import batch_job as P
 from .catalog import STATS_ORACLE, register
 from .oracle_sql import base_cte
 
