@@ -85,19 +85,32 @@ def decode_csv_strict(text: Column | str, schema: T.StructType,
 def with_strict_csv(df, text: str, out: str, schema: T.StructType,
                     options: dict[str, str] | None = None, header: bool = False):
     """DataFrame form of :func:`decode_csv_strict` (optionally after a header
-    line): typed and raw decodes are separate columns, so each CSV parse runs
-    once per row and the final check stays small enough for code generation."""
-    opts = options or {}
-    t, r, rec = f"__typed_{out}", f"__raw_{out}", f"__rec_{out}"
+    line) that parses a clean record once.
+
+    The typed decode carries a corrupt-record column, which Spark fills only
+    for a malformed record (wrong token count or a cell that failed). Only for
+    those rows is the raw all-string decode evaluated (it sits in one CASE
+    branch, referenced once through a lambda) to tell a failed cell, which
+    voids the row, from a ragged row, which is kept.
+    """
+    corrupt = "__corrupt_record"
+    opts = dict(options or {})
+    opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    t, rec = f"__typed_{out}", f"__rec_{out}"
     src = F.col(text)
     record = first_record(strip_first_line(src)) if header else src
     df = df.withColumn(rec, record)
-    df = df.withColumn(t, F.from_csv(F.col(rec), _ddl(schema), opts)) \
-           .withColumn(r, F.from_csv(F.col(rec), _ddl(as_strings(schema)), opts))
-    failed = reduce(lambda a, b: a | b,
-                    [F.col(r)[f.name].isNotNull() & F.col(t)[f.name].isNull() for f in schema.fields])
-    result = F.when(src.isNull(), F.lit(None)).when(failed, null_struct(schema)).otherwise(F.col(t))
-    return df.withColumn(out, result).drop(t, r, rec)
+    df = df.withColumn(t, F.from_csv(F.col(rec), _ddl(schema) + f", `{corrupt}` string", opts))
+    typed = F.col(t)
+    kept = F.struct(*[typed[f.name].alias(f.name) for f in schema.fields])
+    raw = F.from_csv(F.col(rec), _ddl(as_strings(schema)), options or {})
+    failed = F.exists(F.array(raw), lambda r: reduce(
+        lambda a, b: a | b, [r[f.name].isNotNull() & typed[f.name].isNull() for f in schema.fields]))
+    result = (F.when(src.isNull(), F.lit(None))
+              .when(typed[corrupt].isNull(), kept)
+              .when(failed, null_struct(schema))
+              .otherwise(kept))
+    return df.withColumn(out, result).drop(t, rec)
 
 
 def decode_csv_with_header(text: Column | str, schema: T.StructType,
