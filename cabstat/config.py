@@ -32,6 +32,11 @@ class JobConfig:
     ride_watermark_interval: str = "3 minutes"
     fare_watermark_interval: str = "3 minutes"
     sink_path: str | None = None
+    ride_feed: str | None = None        # parquet message folder, or kafka://servers/topic
+    fare_feed: str | None = None
+    checkpoint_path: str | None = None  # default: under spark.checkpoint.dir
+    layer_format: str = "geojson"
+    available_now: bool = False
 
     def validated(self, spark: SparkSession) -> "JobConfig":
         if not self.neighborhood_layer:
@@ -44,6 +49,11 @@ class JobConfig:
             ride_watermark_interval=validate_interval(spark, self.ride_watermark_interval),
             fare_watermark_interval=validate_interval(spark, self.fare_watermark_interval),
             sink_path=self.sink_path,
+            ride_feed=self.ride_feed,
+            fare_feed=self.fare_feed,
+            checkpoint_path=self.checkpoint_path,
+            layer_format=self.layer_format,
+            available_now=self.available_now,
         )
 
     @staticmethod
@@ -58,4 +68,9 @@ class JobConfig:
         p.add_argument("--taxi-ride-watermark-interval", default="3 minutes", dest="ride_watermark_interval")
         p.add_argument("--taxi-fare-watermark-interval", default="3 minutes", dest="fare_watermark_interval")
         p.add_argument("--sink-path", default=None)
+        p.add_argument("--ride-feed", default=None)
+        p.add_argument("--fare-feed", default=None)
+        p.add_argument("--checkpoint-path", default=None)
+        p.add_argument("--layer-format", default="geojson", choices=["geojson", "geojsonseq", "parquet"])
+        p.add_argument("--available-now", action="store_true")
         return JobConfig(**vars(p.parse_args(argv)))
