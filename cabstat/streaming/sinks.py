@@ -38,6 +38,16 @@ def read_keyed_table(spark: SparkSession, path: str, key: list[str] = STATS_KEY)
     return latest.select(*key, *[F.col(f"v.{c}").alias(c) for c in values])
 
 
+def compact_keyed_table(spark: SparkSession, path: str, out: str, key: list[str] = STATS_KEY) -> int:
+    """Write the resolved table of ``path`` to ``out`` as one base batch named
+    after the highest batch id seen; point the sink at ``out`` afterwards, and
+    later batches (higher ids) keep overriding it. Returns that batch id.
+    Reads never have to merge more than one base plus the new batches."""
+    top = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    read_keyed_table(spark, path, key).write.mode("error").parquet(f"{out.rstrip('/')}/batch_id={top}")
+    return int(top)
+
+
 class RowSinkWriter:
     """``writeStream.foreach`` writer: one JSON line per row, columns taken by
     position as (neighborhood, window_end, rides, fare, tip, avg fare, avg tip).

@@ -15,7 +15,7 @@ from cabstat.plans import batch_job as P
 from cabstat.schemas import POLYGON_SCHEMA
 from cabstat.session import scratch_path
 from cabstat.streaming import job as J
-from cabstat.streaming.sinks import KeyedUpsertSink, RowSinkWriter, read_keyed_table
+from cabstat.streaming.sinks import KeyedUpsertSink, RowSinkWriter, compact_keyed_table, read_keyed_table
 from cabstat.streaming.sources import file_feed
 from cabstat.streaming.telemetry import MetricsListener, parse_progress
 
@@ -99,6 +99,12 @@ def test_upsert_sink_replay_and_last_write_wins(spark):
     assert got == {"A": 5, None: 7}
     sink(b1, 1)
     assert read_keyed_table(spark, path).count() == 2
+    compacted = scratch_path(spark, "upsert-compacted")
+    assert compact_keyed_table(spark, path, compacted) == 1
+    later = KeyedUpsertSink(compacted)
+    later(spark.createDataFrame([("A", w, 9, 9.0, 0.9, 1.0, 0.1)], schema), 2)
+    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, compacted).collect()}
+    assert got == {"A": 9, None: 7}
 
 
 def test_row_sink_writer_epochs(spark):
