@@ -22,13 +22,21 @@ from .oracle_sql import base_cte
 CFG = JobConfig(neighborhood_layer="nation")
 
 
+_FEEDS: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _feeds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Ride and fare message folders derived from ``events``: written once per
+    application and directory, then only read (streams never modify them)."""
     ensure_utc(spark)
-    ev = spread(table(spark, sf_dir, "events"))
-    rides, fares = scratch_path(spark, "feed-rides"), scratch_path(spark, "feed-fares")
-    write_feed(ride_messages(ev), rides)
-    write_feed(fare_messages(ev), fares)
-    return rides, fares
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FEEDS:
+        ev = spread(table(spark, sf_dir, "events"))
+        rides, fares = scratch_path(spark, "feed-rides"), scratch_path(spark, "feed-fares")
+        write_feed(ride_messages(ev), rides)
+        write_feed(fare_messages(ev), fares)
+        _FEEDS[key] = (rides, fares)
+    return _FEEDS[key]
 
 
 def _run(df: DataFrame, name: str, sink=None) -> str:
