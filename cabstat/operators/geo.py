@@ -190,7 +190,15 @@ class NeighborhoodIndex:
         return joined.withColumn(out, name).drop(*keys, cn)
 
 
-def tag_neighborhoods(rides: DataFrame, index: NeighborhoodIndex) -> DataFrame:
-    """Rides plus ``pickupNeighborhood`` and ``dropoffNeighborhood``."""
+def tag_neighborhoods(rides: DataFrame, index: NeighborhoodIndex, dropoff: bool = True) -> DataFrame:
+    """Rides plus ``pickupNeighborhood`` (and ``dropoffNeighborhood``).
+
+    Aggregates that group by pickup only pass ``dropoff=False``: Catalyst
+    cannot drop an unused left join to the tile table by itself (it cannot
+    prove the table is unique per cell), so the second tagging would run and
+    be thrown away.
+    """
     tagged = index.tag(rides, "pickupLon", "pickupLat", "pickupNeighborhood")
+    if not dropoff:
+        return tagged
     return index.tag(tagged, "dropoffLon", "dropoffLat", "dropoffNeighborhood")

@@ -30,9 +30,9 @@ def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def enriched_rides(spark: SparkSession, sf_dir: str,
-                   observation: Observation | str | None = None) -> DataFrame:
+                   observation: Observation | str | None = None, dropoff: bool = True) -> DataFrame:
     rides_msg, _ = feeds(spark, sf_dir)
-    return tag_neighborhoods(valid_rides(rides_msg, observation), neighborhood_index(spark, sf_dir))
+    return tag_neighborhoods(valid_rides(rides_msg, observation), neighborhood_index(spark, sf_dir), dropoff)
 
 
 def fares(spark: SparkSession, sf_dir: str,
@@ -46,4 +46,5 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, sf_dir: str, window: str = "1 hour") -> DataFrame:
-    return neighborhood_stats_preaggregated(enriched_rides(spark, sf_dir), fares(spark, sf_dir), window)
+    return neighborhood_stats_preaggregated(enriched_rides(spark, sf_dir, dropoff=False),
+                                            fares(spark, sf_dir), window)

@@ -78,7 +78,7 @@ FROM trips GROUP BY 1, 2
 """)
 def q_mean_over_all_rows(spark, sf_dir):
     """sum / count(*): a null amount still counts in the denominator."""
-    return TR.mean_over_all_rows(P.enriched_rides(spark, sf_dir), P.fares(spark, sf_dir))
+    return TR.mean_over_all_rows(P.enriched_rides(spark, sf_dir, dropoff=False), P.fares(spark, sf_dir))
 
 
 @register("tip_per_mile", base_cte() + f"""
@@ -91,7 +91,7 @@ SELECT pickupNeighborhood AS neighborhood,
 FROM trips GROUP BY 1, 2
 """)
 def q_tip_per_mile(spark, sf_dir):
-    return TR.tip_per_mile(P.enriched_rides(spark, sf_dir), P.fares(spark, sf_dir))
+    return TR.tip_per_mile(P.enriched_rides(spark, sf_dir, dropoff=False), P.fares(spark, sf_dir))
 
 
 @register("tumbling_window", base_cte() + """

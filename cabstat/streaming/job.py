@@ -13,10 +13,10 @@ from ..operators.trips import join_trips, neighborhood_stats
 
 
 def watermarked_rides(ride_msgs: DataFrame, index: NeighborhoodIndex, watermark: str = "3 minutes",
-                      observation: str = "rides") -> DataFrame:
+                      observation: str = "rides", dropoff: bool = True) -> DataFrame:
     """Valid, tagged rides; the watermark is set after the filter so a
     malformed message never advances event time."""
-    rides = tag_neighborhoods(valid_rides(ride_msgs, observation), index)
+    rides = tag_neighborhoods(valid_rides(ride_msgs, observation), index, dropoff)
     return rides.withWatermark("pickupTime", watermark)
 
 
@@ -36,8 +36,14 @@ def trip_stream(ride_msgs: DataFrame, fare_msgs: DataFrame, index: NeighborhoodI
 def stats_stream(ride_msgs: DataFrame, fare_msgs: DataFrame, index: NeighborhoodIndex,
                  cfg: JobConfig) -> DataFrame:
     """Per (window, neighbourhood) stats; in append mode a window is emitted
-    once, when the combined (minimum) watermark passes its end."""
-    return neighborhood_stats(trip_stream(ride_msgs, fare_msgs, index, cfg), cfg.window_interval)
+    once, when the combined (minimum) watermark passes its end. Only the
+    columns the aggregate needs are carried through the join state."""
+    rides = watermarked_rides(ride_msgs, index, cfg.ride_watermark_interval, dropoff=False)
+    rides = rides.select("medallion", "hackLicense", "vendorId", "pickupTime", "pickupNeighborhood")
+    fares = watermarked_fares(fare_msgs, cfg.fare_watermark_interval)
+    fares = fares.select("medallion", "hackLicense", "vendorId", "pickupTime", "fareAmount", "tipAmount")
+    trips = rides.join(fares, ["medallion", "hackLicense", "vendorId", "pickupTime"], "inner")
+    return neighborhood_stats(trips, cfg.window_interval)
 
 
 def start(df: DataFrame, name: str, checkpoint: str, sink=None, path: str | None = None,
