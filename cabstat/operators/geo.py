@@ -82,11 +82,20 @@ def strictly_inside(edges: Column, px: Column, py: Column) -> Column:
     return (crossings % 2 == 1) & ~F.exists(edges, lambda e: _touches(e, px, py))
 
 
-def choose_cell(layer_extent: float, cells_across: int = 64) -> float:
-    """A power-of-two cell size (exact for dyadic coordinates)."""
+def choose_cell(layer_extent: float, median_polygon: float | None = None,
+                per_polygon: int = 4, max_across: int = 4096) -> float:
+    """A power-of-two cell size (exact for dyadic coordinates).
+
+    About ``per_polygon`` cells across a median polygon, so a cell meets few
+    polygons whatever the layer's density, but never more than ``max_across``
+    cells across the whole layer, so one huge polygon cannot explode the table.
+    """
     if not layer_extent or layer_extent <= 0 or math.isinf(layer_extent):
         return 1.0
-    return 2.0 ** math.floor(math.log2(layer_extent / cells_across))
+    floor_cell = 2.0 ** math.ceil(math.log2(layer_extent / max_across))
+    if not median_polygon or median_polygon <= 0:
+        return max(2.0 ** math.floor(math.log2(layer_extent / 64)), floor_cell)
+    return max(2.0 ** math.floor(math.log2(median_polygon / per_polygon)), floor_cell)
 
 
 def build_tiles(layer: DataFrame, cell: float) -> DataFrame:
@@ -152,9 +161,11 @@ class NeighborhoodIndex:
         decide broadcast vs shuffle from their measured size."""
         if cell is None:
             ext = layer_edges(layer).agg(
-                (F.max("maxx") - F.min("minx")).alias("w"), (F.max("maxy") - F.min("miny")).alias("h")
+                (F.max("maxx") - F.min("minx")).alias("w"), (F.max("maxy") - F.min("miny")).alias("h"),
+                F.percentile_approx(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")),
+                                    0.5).alias("median"),
             ).first()
-            cell = choose_cell(max(ext["w"] or 0.0, ext["h"] or 0.0))
+            cell = choose_cell(max(ext["w"] or 0.0, ext["h"] or 0.0), ext["median"])
         tiles = build_tiles(layer, cell)
         if materialize:
             from ..session import checkpoint_root
