@@ -135,3 +135,10 @@ def test_nation_layer_query_matches_oracle_rule(spark, sf_small):
     assert got.count() == spark.read.parquet(f"{sf_small}/events.parquet").count()
     names = {r[0] for r in got.select("pickup_neighborhood").distinct().collect()}
     assert UNKNOWN in names and None in names and any(n and n.startswith("NATION_") for n in names)
+
+
+def test_choose_cell_bounds():
+    from cabstat.operators.geo import choose_cell
+    assert choose_cell(60 / 64, 12 / 64) == 2.0 ** -5              # ~4 cells across a median polygon
+    assert choose_cell(360.0, 1e-6) >= 360.0 / 4096                 # never more than 4096 across
+    assert choose_cell(0.0, None) == 1.0

@@ -207,3 +207,19 @@ def test_termination_error_becomes_a_row(spark):
         spark.streams.removeListener(listener)
     term = [r for r in listener.rows() if r.get("event") == "terminated"]
     assert term and "sink down" in term[0]["error"]
+
+
+def test_skewed_key_in_stream(spark):
+    """One key carries most messages on both feeds: duplicates multiply."""
+    idx = small_index(spark)
+    rides, fares = scratch_path(spark, "skew-r"), scratch_path(spark, "skew-f")
+    t0 = dt.datetime(2024, 1, 1, 10)
+    append(spark, rides, [ride(7, t0)] * 30 + [ride(8, t0 + dt.timedelta(minutes=1)), ride(9, t0 + dt.timedelta(hours=2))])
+    append(spark, fares, [fare(7, t0, 1.0)] * 20 + [fare(8, t0 + dt.timedelta(minutes=1), 2.0),
+                                                     fare(9, t0 + dt.timedelta(hours=2), 3.0)])
+    stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
+    out = scratch_path(spark, "skew-out")
+    J.run_to_end(J.start(stats, "skew", scratch_path(spark, "skew-ck"), path=out))
+    row = spark.read.parquet(out).first()
+    assert row["number_of_rides"] == 30 * 20 + 1
+    assert row["total_fare_amount"] == 30 * 20 * 1.0 + 2.0
