@@ -196,8 +196,9 @@ class NeighborhoodIndex:
             keys = keys + [sn]
         joined = pts.join(tiles, keys, "left")
         hit = F.filter(F.col(cn), lambda c: c["inside"] | strictly_inside(c["edges"], px, py))
-        name = F.when(px.isNull() | py.isNull(), F.lit(None).cast("string")).otherwise(
-            F.coalesce(F.try_element_at(hit, F.lit(1))["name"], F.lit(UNKNOWN)))
+        name = (F.when(px.isNull() | py.isNull(), F.lit(None).cast("string"))
+                .when(F.isnan(px) | F.isnan(py), F.lit(UNKNOWN))      # NaN is in no polygon
+                .otherwise(F.coalesce(F.try_element_at(hit, F.lit(1))["name"], F.lit(UNKNOWN))))
         return joined.withColumn(out, name).drop(*keys, cn)
 
 
