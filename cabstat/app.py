@@ -32,9 +32,23 @@ def open_feed(spark: SparkSession, spec: str):
     return file_feed(spark, spec)
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_DEFAULT_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def prefer_rocksdb_state(spark: SparkSession) -> None:
+    """Join and window state off the JVM heap, committed as changelogs, unless
+    the cluster already chose a provider. Must precede the first checkpoint."""
+    if spark.conf.get(_PROVIDER, _DEFAULT_PROVIDER) == _DEFAULT_PROVIDER:
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run(spark: SparkSession, cfg: JobConfig, listener: MetricsListener | None = None):
     """Start the job; returns the running query (``availableNow`` ones finish)."""
     cfg = cfg.validated(spark)
+    prefer_rocksdb_state(spark)
     if not (cfg.ride_feed and cfg.fare_feed and cfg.sink_path):
         raise ValueError("ride_feed, fare_feed and sink_path are required")
     ensure_utc(spark)

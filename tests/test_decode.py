@@ -109,3 +109,11 @@ def test_encode_csv_options(spark):
     df = spark.createDataFrame([("a,b", None, 'q"q')], "x string, y string, z string")
     assert df.select(D.encode_csv(F.struct("x", "y", "z"), {"quoteAll": "true", "nullValue": "NA"})).first()[0] \
         == '"a,b","NA","q\\"q"'
+
+
+def test_dialect_escaped_separator_and_time_zone(spark):
+    df = spark.createDataFrame([("1\t2024-01-01 10:00:00",)], "t string")
+    r = df.select(D.decode_csv("t", "a INT, ts TIMESTAMP", {"sep": "\\t", "timeZone": "America/New_York",
+                                                            "timestampFormat": "yyyy-MM-dd HH:mm:ss"}).alias("r")).first()["r"]
+    assert r["a"] == 1
+    assert r["ts"] == dt.datetime(2024, 1, 1, 15, 0, 0)      # 10:00 in New York is 15:00 UTC
