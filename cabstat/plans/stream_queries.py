@@ -39,11 +39,17 @@ def _feeds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return _FEEDS[key]
 
 
+def _cores(spark: SparkSession) -> int:
+    """State partitions for these runs: one per core of the application."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run(df: DataFrame, name: str, sink=None) -> str:
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = J.start(df, f"{name}_{ckpt[-12:]}", ckpt, sink=sink(out) if sink else None, path=out)
-    J.run_to_end(q)
+    with J.state_partitions(spark, _cores(spark)):
+        q = J.start(df, f"{name}_{ckpt[-12:]}", ckpt, sink=sink(out) if sink else None, path=out)
+        J.run_to_end(q)
     return out
 
 
@@ -82,7 +88,8 @@ def q_keyed_upsert(spark, sf_dir):
         ride_messages(sub).write.mode("append").parquet(rides)
         fare_messages(sub).write.mode("append").parquet(fares)
         stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), index, CFG)
-        J.run_to_end(J.start(stats, f"upsert_{ckpt[-12:]}", ckpt, sink=KeyedUpsertSink(out)))
+        with J.state_partitions(spark, _cores(spark)):
+            J.run_to_end(J.start(stats, f"upsert_{ckpt[-12:]}", ckpt, sink=KeyedUpsertSink(out)))
     return read_keyed_table(spark, out)
 
 
@@ -137,8 +144,9 @@ def q_progress_metrics(spark, sf_dir):
         stats = J.stats_stream(file_feed(spark, rides, 4), file_feed(spark, fares, 4),
                                P.neighborhood_index(spark, sf_dir), CFG)
         out, ckpt = scratch_path(spark, "progress-out"), scratch_path(spark, "progress-ckpt")
-        q = J.start(stats, f"progress_{ckpt[-12:]}", ckpt, path=out)
-        J.run_to_end(q)
+        with J.state_partitions(spark, _cores(spark)):
+            q = J.start(stats, f"progress_{ckpt[-12:]}", ckpt, path=out)
+            J.run_to_end(q)
         expected = len(q.recentProgress)
         for _ in range(300):  # the listener bus is asynchronous
             if len([r for r in listener.rows() if r.get("event") == "progress"]) >= expected:

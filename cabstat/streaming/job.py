@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,6 +61,22 @@ def start(df: DataFrame, name: str, checkpoint: str, sink=None, path: str | None
     return w.format(fmt).option("path", path).start()
 
 
+@contextmanager
+def state_partitions(spark, n: int | None):
+    """Shuffle (and so state-store) partitions for queries started and run to
+    completion inside the block. A fresh checkpoint freezes the count at its
+    first batch; the stream thread reads the session conf asynchronously, so
+    the setting is held until the block ends, then restored."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    if n:
+        spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
     """Wait for an ``availableNow`` query; re-raise its failure."""
     query.awaitTermination(timeout_s)
