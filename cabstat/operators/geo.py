@@ -76,10 +76,15 @@ def _touches(e: Column, px: Column, py: Column) -> Column:
 
 
 def strictly_inside(edges: Column, px: Column, py: Column) -> Column:
-    """Even-odd rule, boundary excluded."""
-    crossings = F.aggregate(edges, F.lit(0),
-                            lambda acc, e: acc + F.when(_crosses(e, px, py), 1).otherwise(0))
-    return (crossings % 2 == 1) & ~F.exists(edges, lambda e: _touches(e, px, py))
+    """Even-odd rule, boundary excluded, in one pass over the edges: the
+    accumulator is the crossing parity, or -1 once the point lies on an edge."""
+    state = F.aggregate(
+        edges, F.lit(0),
+        lambda acc, e: F.when(acc < 0, acc)
+                        .when(_touches(e, px, py), F.lit(-1))
+                        .when(_crosses(e, px, py), 1 - acc)
+                        .otherwise(acc))
+    return state == 1
 
 
 def choose_cell(layer_extent: float, median_polygon: float | None = None,
