@@ -200,10 +200,12 @@ class NeighborhoodIndex:
             tiles = tiles.withColumn(sn, F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
             keys = keys + [sn]
         joined = pts.join(tiles, keys, "left")
-        hit = F.filter(F.col(cn), lambda c: c["inside"] | strictly_inside(c["edges"], px, py))
+        # first containing candidate (sorted by id); later ones are not tested
+        first = F.aggregate(F.col(cn), F.lit(None).cast("string"), lambda acc, c: F.when(
+            acc.isNotNull(), acc).when(c["inside"] | strictly_inside(c["edges"], px, py), c["name"]))
         name = (F.when(px.isNull() | py.isNull(), F.lit(None).cast("string"))
                 .when(F.isnan(px) | F.isnan(py), F.lit(UNKNOWN))      # NaN is in no polygon
-                .otherwise(F.coalesce(F.try_element_at(hit, F.lit(1))["name"], F.lit(UNKNOWN))))
+                .otherwise(F.coalesce(first, F.lit(UNKNOWN))))
         return joined.withColumn(out, name).drop(*keys, cn)
 
 
