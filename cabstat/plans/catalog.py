@@ -15,13 +15,13 @@ from ..functions.tags import merge_tags
 from ..functions.timefmt import parse_event_time, rfc1123
 from ..operators import trips as TR
 from ..operators.geo import tag_neighborhoods
-from ..operators.quality import decode_fares, decode_rides, malformed_count, valid_fares, valid_rides
+from ..operators.quality import decode_fares, decode_rides, valid_rides
 from ..schemas import TRIP_COLUMNS
 from ..session import ensure_utc
 from ..sources.feeds import trip_facts
 from ..sources.tables import spread, table
 from . import batch_job as P
-from .oracle_sql import base_cte, money_sum, nbhd_sql
+from .oracle_sql import base_cte, money_sum
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}

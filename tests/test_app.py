@@ -5,8 +5,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from cabstat.app import run
 from cabstat.config import JobConfig
 from cabstat.session import scratch_path

@@ -5,7 +5,6 @@ import os
 import tempfile
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from cabstat.operators.geo import NeighborhoodIndex, UNKNOWN
 from cabstat.operators.geo_udf import register_neighborhood_finder

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from cabstat.config import JobConfig
 from cabstat.operators.geo import NeighborhoodIndex
-from cabstat.operators.trips import neighborhood_stats_preaggregated
 from cabstat.plans import batch_job as P
 from cabstat.schemas import POLYGON_SCHEMA
 from cabstat.session import scratch_path
