@@ -113,7 +113,7 @@ def test_property_matches_scalar_even_odd(spark, polys, pts):
 
 def test_geojson_feature_collection(spark):
     fc = {"type": "FeatureCollection", "features": [
-        {"type": "Feature", "properties": {"NAME": "A"},
+        {"type": "Feature", "properties": {"NAME": "A", "BoroCode": 1, "Shape_Area": 16.5, "tags": None},
          "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]}},
         {"type": "Feature", "properties": {"NAME": "B"},
          "geometry": {"type": "MultiPolygon", "coordinates": [[[[10, 0], [12, 0], [12, 2], [10, 0]]],
