@@ -73,4 +73,12 @@ class JobConfig:
         p.add_argument("--checkpoint-path", default=None)
         p.add_argument("--layer-format", default="geojson", choices=["geojson", "geojsonseq", "parquet"])
         p.add_argument("--available-now", action="store_true")
-        return JobConfig(**vars(p.parse_args(argv)))
+        # accepted for argument compatibility with existing job definitions;
+        # the sink here is --sink-path and credentials come from the cluster
+        for legacy in ("--cassandra-host", "--secret-scope", "--taxi-ride-event-hub-secret-name",
+                       "--taxi-fare-event-hub-secret-name", "--cassandra-user-secret-name",
+                       "--cassandra-password-secret-name"):
+            p.add_argument(legacy, default=None, help=argparse.SUPPRESS)
+        args = vars(p.parse_args(argv))
+        known = {f for f in JobConfig.__dataclass_fields__}
+        return JobConfig(**{k: v for k, v in args.items() if k in known})

@@ -20,3 +20,10 @@ def test_config(spark):
         JobConfig(neighborhood_layer="x", window_interval="1 parsec").validated(spark)
     with pytest.raises(SystemExit):
         JobConfig.from_args([])
+
+
+def test_legacy_arguments_accepted():
+    c = JobConfig.from_args(["-n", "/layers/nyc.geojson", "--taxi-ride-consumer-group", "taxi-ride-eh-cg",
+                             "--taxi-fare-consumer-group", "taxi-fare-eh-cg", "--window-interval", "1 hour",
+                             "--cassandra-host", "db.example"])
+    assert c.ride_consumer_group == "taxi-ride-eh-cg" and c.fare_consumer_group == "taxi-fare-eh-cg"
