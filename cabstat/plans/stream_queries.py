@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import JobConfig
 from ..operators.quality import decode_rides
 from ..session import ensure_utc, scratch_path
-from ..sources.feeds import fare_messages, ride_messages
+from ..sources.feeds import both_feeds, fare_messages, ride_messages
 from ..sources.tables import spread, table
 from ..streaming import job as J
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
-from ..streaming.sources import file_feed, write_feed
+from ..streaming.sources import file_feed, write_feeds
 from ..streaming.telemetry import MetricsListener
 from . import batch_job as P
 from .catalog import STATS_ORACLE, register
@@ -32,10 +32,7 @@ def _feeds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FEEDS:
         ev = spread(table(spark, sf_dir, "events"))
-        rides, fares = scratch_path(spark, "feed-rides"), scratch_path(spark, "feed-fares")
-        write_feed(ride_messages(ev), rides)
-        write_feed(fare_messages(ev), fares)
-        _FEEDS[key] = (rides, fares)
+        _FEEDS[key] = write_feeds(both_feeds(ev), scratch_path(spark, "feeds"))
     return _FEEDS[key]
 
 

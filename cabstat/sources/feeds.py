@@ -80,9 +80,8 @@ def _pickup(fmt: str) -> Column:
     return F.date_format("ts", fmt)
 
 
-def ride_messages(events: DataFrame) -> DataFrame:
-    """``body BINARY, partitionKey STRING, enqueuedTime TIMESTAMP`` ride feed."""
-    f = trip_facts(events)
+def _ride_text() -> Column:
+    """Ride message text over ``trip_facts`` columns, faults planted."""
     eid = F.col("hackLicense")
     drop = F.timestamp_add("SECOND", F.col("tripTimeInSeconds").cast("int"), F.col("ts"))
     iso = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
@@ -94,14 +93,19 @@ def ride_messages(events: DataFrame) -> DataFrame:
         "passengerCount", "tripTimeInSeconds", "tripDistanceInMiles",
         "pickupLon", "pickupLat", "dropoffLon", "dropoffLat",
     )
-    text = (F.when(eid % RIDE_NOT_JSON == 0, F.lit(NOT_JSON_TEXT))
+    return (F.when(eid % RIDE_NOT_JSON == 0, F.lit(NOT_JSON_TEXT))
             .when(eid % RIDE_OTHER_SHAPE == 0, F.lit(OTHER_SHAPE_JSON))
             .otherwise(F.to_json(ride)))
-    return f.select(
-        text.cast("binary").alias("body"),
-        _partition_key().alias("partitionKey"),
-        F.col("ts").cast("timestamp").alias("enqueuedTime"),
-    )
+
+
+def _envelope(text: Column) -> list[Column]:
+    return [text.cast("binary").alias("body"), _partition_key().alias("partitionKey"),
+            F.col("ts").cast("timestamp").alias("enqueuedTime")]
+
+
+def ride_messages(events: DataFrame) -> DataFrame:
+    """``body BINARY, partitionKey STRING, enqueuedTime TIMESTAMP`` ride feed."""
+    return trip_facts(events).select(*_envelope(_ride_text()))
 
 
 def fare_line(f: DataFrame | None = None) -> Column:
@@ -120,17 +124,23 @@ def fare_line(f: DataFrame | None = None) -> Column:
         F.concat_ws(",", *cells, total))
 
 
-def fare_messages(events: DataFrame) -> DataFrame:
-    """``body BINARY, partitionKey STRING, enqueuedTime TIMESTAMP`` fare feed."""
-    f = trip_facts(events)
+def _fare_text() -> Column:
     eid = F.col("hackLicense")
-    text = F.when(eid % FARE_HEADER_ONLY == 0, F.lit(FARE_HEADER + "\r\n")).otherwise(
+    return F.when(eid % FARE_HEADER_ONLY == 0, F.lit(FARE_HEADER + "\r\n")).otherwise(
         F.concat(F.lit(FARE_HEADER + "\r\n"), fare_line()))
-    return f.select(
-        text.cast("binary").alias("body"),
-        _partition_key().alias("partitionKey"),
-        F.col("ts").cast("timestamp").alias("enqueuedTime"),
-    )
+
+
+def fare_messages(events: DataFrame) -> DataFrame:
+    """``body BINARY, partitionKey STRING, enqueuedTime TIMESTAMP`` fare feed."""
+    return trip_facts(events).select(*_envelope(_fare_text()))
+
+
+def both_feeds(events: DataFrame) -> DataFrame:
+    """Ride and fare messages of every event in one projection (``feed``
+    column), so one scan of ``events`` yields both feeds."""
+    msgs = F.array(F.struct(F.lit("rides").alias("feed"), *_envelope(_ride_text())),
+                   F.struct(F.lit("fares").alias("feed"), *_envelope(_fare_text())))
+    return trip_facts(events).select(F.explode(msgs).alias("m")).select("m.*")
 
 
 def ride_lines(events: DataFrame) -> DataFrame:

@@ -28,6 +28,17 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, starting_offsets:
                            F.col("timestamp").alias("enqueuedTime"))
 
 
-def write_feed(messages: DataFrame, path: str) -> None:
+def write_feed(messages: DataFrame, path: str, partition: str | None = None) -> None:
     """Persist a (batch) message feed as parquet files for the file source."""
-    messages.write.mode("error").parquet(path)
+    w = messages.write.mode("error")
+    if partition:
+        w = w.partitionBy(partition)
+    w.parquet(path)
+
+
+def write_feeds(messages: DataFrame, root: str) -> tuple[str, str]:
+    """Write a two-feed message frame (``feed`` = rides / fares, e.g.
+    ``sources.feeds.both_feeds``) in one job, partitioned by feed; returns the
+    ride and fare folders for :func:`file_feed`."""
+    write_feed(messages, root, partition="feed")
+    return f"{root}/feed=rides", f"{root}/feed=fares"
