@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 PROGRESS_DDL = ("id STRING, run_id STRING, name STRING, batch_id BIGINT, sink STRING, "
                 "durationms MAP<STRING, BIGINT>, inputRowsPerSecond DOUBLE, procRowsPerSecond DOUBLE, "
-                "inputRows BIGINT, observed MAP<STRING, BIGINT>, DateValue STRING, event STRING, error STRING")
+                "inputRows BIGINT, observed MAP<STRING, BIGINT>, DateValue STRING, event STRING, error STRING, "
+                "tags MAP<STRING, STRING>")
+_SCALARS = ("id", "name", "batch_id", "sink", "inputRowsPerSecond", "procRowsPerSecond", "inputRows", "DateValue")
 
 
 def rfc1123_now() -> str:
@@ -70,10 +72,18 @@ class MetricsListener(StreamingQueryListener):
     number of batches, not by data). A failure inside the listener is kept as
     an error row and never reaches the query."""
 
-    def __init__(self):
+    def __init__(self, context: dict[str, str] | None = None):
+        """``context``: tags merged into every row's ``tags``; a row's own
+        values win over context tags of the same name."""
         super().__init__()
         self._rows: list[dict] = []
         self._lock = threading.Lock()
+        self._context = dict(context or {})
+
+    def _tagged(self, row: dict) -> dict:
+        own = {k: str(row[k]) for k in _SCALARS if row.get(k) is not None}
+        row["tags"] = {**self._context, **own}
+        return row
 
     def onQueryStarted(self, event):  # start events are ignored
         pass
@@ -85,7 +95,7 @@ class MetricsListener(StreamingQueryListener):
             import traceback
             row = {"event": "listener_error", "error": traceback.format_exc(), "DateValue": rfc1123_now()}
         with self._lock:
-            self._rows.append(row)
+            self._rows.append(self._tagged(row))
 
     def onQueryIdle(self, event):
         pass
@@ -93,16 +103,16 @@ class MetricsListener(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             with self._lock:
-                self._rows.append({"id": str(event.id), "run_id": str(event.runId), "event": "terminated",
-                                   "error": event.exception, "DateValue": rfc1123_now()})
+                self._rows.append(self._tagged({"id": str(event.id), "run_id": str(event.runId),
+                                                "event": "terminated", "error": event.exception,
+                                                "DateValue": rfc1123_now()}))
 
     def rows(self) -> list[dict]:
         with self._lock:
             return list(self._rows)
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        cols = [c.split(" ")[0] for c in PROGRESS_DDL.split(", ") if " " in c]
         names = ["id", "run_id", "name", "batch_id", "sink", "durationms", "inputRowsPerSecond",
-                 "procRowsPerSecond", "inputRows", "observed", "DateValue", "event", "error"]
+                 "procRowsPerSecond", "inputRows", "observed", "DateValue", "event", "error", "tags"]
         data = [tuple(r.get(n) for n in names) for r in self.rows()]
         return spark.createDataFrame(data, PROGRESS_DDL)

@@ -140,7 +140,7 @@ def test_listener_rows_and_observed_malformed(spark):
     t0 = dt.datetime(2024, 1, 1, 10)
     append(spark, rides, [ride(1, t0), "not json", ride(2, t0)])
     append(spark, fares, [fare(1, t0, 10.0), HEADER + "\r\n", fare(2, t0, 5.0)])
-    listener = MetricsListener()
+    listener = MetricsListener(context={"app": "cabstat", "name": "ctx-name"})
     spark.streams.addListener(listener)
     try:
         stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
@@ -155,6 +155,8 @@ def test_listener_rows_and_observed_malformed(spark):
         spark.streams.removeListener(listener)
     assert total("rides.malformed") == 1 and total("fares.malformed") == 1
     assert total("rides.messages") == 3
+    tags = next(r for r in listener.rows() if r.get("event") == "progress")["tags"]
+    assert tags["app"] == "cabstat" and tags["name"] == "obs"      # the row's own value wins
     assert listener.to_dataframe(spark).count() == len(listener.rows())
 
 
