@@ -54,10 +54,17 @@ def test_cases_broadcast_shuffle_salted(spark):
     lay = layer(spark)
     for kw in ({}, {"max_broadcast_bytes": 0}, {"max_broadcast_bytes": 0, "salt_buckets": 3}):
         idx = NeighborhoodIndex.build(lay, cell=2.0, **kw)
-        out = idx.tag(points(spark, CASES), "lon", "lat", "n")
-        check(out, CASES)
-        assert out.count() == len(CASES)
-        assert set(out.columns) == {"i", "lon", "lat", "n"}
+        if not idx.broadcastable:   # a layer too large to broadcast: Spark must not either
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            out = idx.tag(points(spark, CASES), "lon", "lat", "n")
+            check(out, CASES)
+            assert out.count() == len(CASES)
+            assert set(out.columns) == {"i", "lon", "lat", "n"}
+            plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            assert ("BroadcastHashJoin" in plan) == idx.broadcastable
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert NeighborhoodIndex.build(lay, cell=2.0).broadcastable
     assert not NeighborhoodIndex.build(lay, cell=2.0, max_broadcast_bytes=0).broadcastable
 
