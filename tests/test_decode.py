@@ -117,3 +117,21 @@ def test_dialect_escaped_separator_and_time_zone(spark):
                                                             "timestampFormat": "yyyy-MM-dd HH:mm:ss"}).alias("r")).first()["r"]
     assert r["a"] == 1
     assert r["ts"] == dt.datetime(2024, 1, 1, 15, 0, 0)      # 10:00 in New York is 15:00 UTC
+
+
+def test_schema_must_be_literal(spark):
+    df = spark.createDataFrame([("1,2", "a INT, b INT")], "t string, s string")
+    with pytest.raises(Exception):
+        df.select(F.from_csv("t", F.col("s"))).collect()
+    assert tuple(df.select(F.from_csv("t", F.lit("a INT, b INT")).alias("r")).first()["r"]) == (1, 2)
+
+
+def test_file_reader_skips_comments_and_blank_lines(spark):
+    import os
+    import tempfile
+    from cabstat.sources.csvfiles import read_csv
+    d = tempfile.mkdtemp(prefix="csvc-")
+    with open(os.path.join(d, "part.csv"), "w") as fh:
+        fh.write("a,b\n# a comment\n1,x\n\n   \n2,y\n#another\n")
+    rows = read_csv(spark, d, "a INT, b STRING", header=True, options={"comment": "#"}).collect()
+    assert [tuple(r) for r in rows] == [(1, "x"), (2, "y")]
