@@ -104,7 +104,9 @@ def choose_cell(layer_extent: float, median_polygon: float | None = None,
 
 
 def build_tiles(layer: DataFrame, cell: float) -> DataFrame:
-    """``cx, cy, cands ARRAY<STRUCT<id, name, inside, edges>>``, one row per cell.
+    """``cx, cy, cands ARRAY<STRUCT<id, name, inside, edges>>, head``, one row
+    per cell; ``head`` is the answer for every point of the cell when the
+    first candidate covers the cell (no geometric test needed).
 
     Built in two explodes so a polygon's full edge list is never copied to
     every cell: first one row per (polygon, row band) keeping only the edges
@@ -137,7 +139,10 @@ def build_tiles(layer: DataFrame, cell: float) -> DataFrame:
                      F.when(F.col("touched"), F.col("edges"))
                       .otherwise(F.array().cast(cells.schema["edges"].dataType)).alias("edges"),
                  ).alias("cand")))
-    return cand.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
+    tiles = cand.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
+    # fast path: when the first candidate (by id) covers the whole cell, it is the answer
+    first = F.try_element_at("cands", F.lit(1))
+    return tiles.withColumn("head", F.when(first["inside"], first["name"]))
 
 
 def tile_bytes(tiles: DataFrame) -> int:
@@ -188,8 +193,9 @@ class NeighborhoodIndex:
         cxn, cyn, cn = f"__cx_{out}", f"__cy_{out}", f"__cands_{out}"
         px, py = F.col(lon), F.col(lat)
         pts = df.withColumn(cxn, _cell(px, self.cell)).withColumn(cyn, _cell(py, self.cell))
+        hn = f"__head_{out}"
         tiles = self.tiles.select(F.col("cx").alias(cxn), F.col("cy").alias(cyn),
-                                  F.col("cands").alias(cn))
+                                  F.col("cands").alias(cn), F.col("head").alias(hn))
         keys = [cxn, cyn]
         if self.broadcastable:
             tiles = F.broadcast(tiles)
@@ -205,8 +211,8 @@ class NeighborhoodIndex:
             acc.isNotNull(), acc).when(c["inside"] | strictly_inside(c["edges"], px, py), c["name"]))
         name = (F.when(px.isNull() | py.isNull(), F.lit(None).cast("string"))
                 .when(F.isnan(px) | F.isnan(py), F.lit(UNKNOWN))      # NaN is in no polygon
-                .otherwise(F.coalesce(first, F.lit(UNKNOWN))))
-        return joined.withColumn(out, name).drop(*keys, cn)
+                .otherwise(F.coalesce(F.col(hn), first, F.lit(UNKNOWN))))   # lazy: head first
+        return joined.withColumn(out, name).drop(*keys, cn, hn)
 
 
 def tag_neighborhoods(rides: DataFrame, index: NeighborhoodIndex, dropoff: bool = True) -> DataFrame:

@@ -18,17 +18,6 @@ MAX_LAYER_EDGES = 5_000_000      # ~160 MB of float64 edge coordinates
 CHUNK = 4096                     # points per vectorised step
 
 
-def _contains(px: np.ndarray, py: np.ndarray, e: np.ndarray) -> np.ndarray:
-    x1, y1, x2, y2 = e[:, 0], e[:, 1], e[:, 2], e[:, 3]
-    px, py = px[:, None], py[:, None]
-    d = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
-    straddle = (y1 > py) != (y2 > py)
-    cross = straddle & (((y2 > y1) & (d > 0)) | ((y2 < y1) & (d < 0)))
-    on = ((d == 0) & (px >= np.minimum(x1, x2)) & (px <= np.maximum(x1, x2))
-          & (py >= np.minimum(y1, y2)) & (py <= np.maximum(y1, y2)))
-    return (cross.sum(axis=1) % 2 == 1) & ~on.any(axis=1)
-
-
 def register_neighborhood_finder(spark: SparkSession, layer: DataFrame,
                                  name: str = "neighborhoodFinder"):
     edges = layer_edges(layer)
@@ -40,20 +29,33 @@ def register_neighborhood_finder(spark: SparkSession, layer: DataFrame,
     polys = [(r["name"], np.array([[s["x1"], s["y1"], s["x2"], s["y2"]] for s in r["edges"]], dtype=float),
               (r["minx"], r["maxx"], r["miny"], r["maxy"])) for r in rows]
     shared = spark.sparkContext.broadcast(polys)
+    unknown, chunk = UNKNOWN, CHUNK
+
+    # Everything the executors run is defined here, so it is pickled by value
+    # and the Python workers need only numpy and pandas, not this package.
+    def contains(px, py, e):
+        x1, y1, x2, y2 = e[:, 0], e[:, 1], e[:, 2], e[:, 3]
+        px, py = px[:, None], py[:, None]
+        d = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
+        straddle = (y1 > py) != (y2 > py)
+        cross = straddle & (((y2 > y1) & (d > 0)) | ((y2 < y1) & (d < 0)))
+        on = ((d == 0) & (px >= np.minimum(x1, x2)) & (px <= np.maximum(x1, x2))
+              & (py >= np.minimum(y1, y2)) & (py <= np.maximum(y1, y2)))
+        return (cross.sum(axis=1) % 2 == 1) & ~on.any(axis=1)
 
     @F.pandas_udf("string")
     def finder(lon: pd.Series, lat: pd.Series) -> pd.Series:
         x = lon.to_numpy(dtype=float, na_value=np.nan)
         y = lat.to_numpy(dtype=float, na_value=np.nan)
-        out = np.full(len(x), UNKNOWN, dtype=object)
+        out = np.full(len(x), unknown, dtype=object)
         missing = np.isnan(x) | np.isnan(y)
         out[missing] = None
         open_ = ~missing
         for pname, e, (minx, maxx, miny, maxy) in shared.value:
             cand = np.flatnonzero(open_ & (x >= minx) & (x <= maxx) & (y >= miny) & (y <= maxy))
-            for s in range(0, len(cand), CHUNK):
-                idx = cand[s:s + CHUNK]
-                hit = idx[_contains(x[idx], y[idx], e)]
+            for s in range(0, len(cand), chunk):
+                idx = cand[s:s + chunk]
+                hit = idx[contains(x[idx], y[idx], e)]
                 out[hit] = pname
                 open_[hit] = False
         return pd.Series(out)
