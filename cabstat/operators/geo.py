@@ -13,7 +13,9 @@ Candidates are grouped to **one row per cell** (sorted by feature id), so the
 point side joins at most one row and its row count never changes. A point is
 in a polygon when the even-odd crossing count is odd and it lies on no edge
 (containment excludes the boundary). The first containing feature wins; none
-gives ``Unknown``; a null coordinate gives null.
+gives ``Unknown``; a null coordinate gives null and NaN gives ``Unknown``.
+When a cell's first candidate covers the whole cell, its name is stored with
+the cell (``head``) and points there need no geometric test at all.
 
 All tests are exact comparisons of products, so dyadic coordinates give exact
 answers on edges and vertices.
@@ -200,9 +202,12 @@ class NeighborhoodIndex:
         if self.broadcastable:
             tiles = F.broadcast(tiles)
         elif self.salt_buckets > 1:
-            # hot cells: spread the point side over salts, replicate tiles per salt
+            # hot cells: spread the point side over salts, replicate tiles per salt.
+            # The salt is a hash of the row, not rand(): a deterministic shuffle
+            # key lets a lost map task rerun alone instead of its whole stage.
             sn = f"__salt_{out}"
-            pts = pts.withColumn(sn, (F.rand() * self.salt_buckets).cast("int"))
+            pts = pts.withColumn(sn, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
+                                            F.lit(self.salt_buckets)).cast("int"))
             tiles = tiles.withColumn(sn, F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
             keys = keys + [sn]
         joined = pts.join(tiles, keys, "left")
