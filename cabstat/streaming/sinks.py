@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import STATS_KEY
 
+try:  # ship this module's classes to executors by value: workers need not import the package
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship the package with --py-files
+    pass
+
 
 class KeyedUpsertSink:
     """``foreachBatch`` sink with last-write-wins upserts on a key.
