@@ -224,3 +224,20 @@ def test_skewed_key_in_stream(spark):
     row = spark.read.parquet(out).first()
     assert row["number_of_rides"] == 30 * 20 + 1
     assert row["total_fare_amount"] == 30 * 20 * 1.0 + 2.0
+
+
+def test_combined_watermark_is_the_minimum(spark):
+    """Rides run hours ahead of fares: windows close only as far as the slower
+    feed's watermark allows."""
+    idx = small_index(spark)
+    rides, fares = scratch_path(spark, "minwm-r"), scratch_path(spark, "minwm-f")
+    t0 = dt.datetime(2024, 1, 1, 10)
+    append(spark, rides, [ride(i, t0 + dt.timedelta(hours=i)) for i in range(6)])      # up to 15:00
+    append(spark, fares, [fare(i, t0 + dt.timedelta(hours=i), 1.0) for i in range(3)])  # up to 12:00
+    out = scratch_path(spark, "minwm-out")
+    stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
+    J.run_to_end(J.start(stats, "minwm", scratch_path(spark, "minwm-ck"), path=out))
+    ends = sorted(r["window_end"] for r in spark.read.parquet(out).collect())
+    # min(ride 14:57, fare 11:57) = 11:57: only [10:00, 11:00) has closed. A max
+    # policy (14:57) would also emit the windows ending 12:00 and 13:00.
+    assert ends == [t0 + dt.timedelta(hours=1)]
