@@ -25,10 +25,10 @@ from .streaming.sources import file_feed, kafka_feed
 from .streaming.telemetry import MetricsListener
 
 
-def open_feed(spark: SparkSession, spec: str):
+def open_feed(spark: SparkSession, spec: str, consumer_group: str | None = None):
     if spec.startswith("kafka://"):
         servers, topic = spec[len("kafka://"):].split("/", 1)
-        return kafka_feed(spark, servers, topic)
+        return kafka_feed(spark, servers, topic, consumer_group=consumer_group)
     return file_feed(spark, spec)
 
 
@@ -53,7 +53,8 @@ def run(spark: SparkSession, cfg: JobConfig, listener: MetricsListener | None =
         raise ValueError("ride_feed, fare_feed and sink_path are required")
     ensure_utc(spark)
     index = NeighborhoodIndex.build(read_layer(spark, cfg.neighborhood_layer, cfg.layer_format))
-    stats = J.stats_stream(open_feed(spark, cfg.ride_feed), open_feed(spark, cfg.fare_feed), index, cfg)
+    stats = J.stats_stream(open_feed(spark, cfg.ride_feed, cfg.ride_consumer_group),
+                           open_feed(spark, cfg.fare_feed, cfg.fare_consumer_group), index, cfg)
     checkpoint = cfg.checkpoint_path or f"{checkpoint_root(spark)}/cabstat/neighborhood_stats"
     if listener is not None:
         spark.streams.addListener(listener)

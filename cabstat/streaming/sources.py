@@ -17,11 +17,15 @@ def file_feed(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def kafka_feed(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
-               options: dict[str, str] | None = None) -> DataFrame:
-    """Same envelope from a Kafka topic (needs the Kafka connector on the
-    classpath; it is not in this image, so only the file feed is tested)."""
+               options: dict[str, str] | None = None, consumer_group: str | None = None) -> DataFrame:
+    """Same envelope from a Kafka topic, read from the start (needs the Kafka
+    connector on the classpath; it is not in this image, so only the file
+    feed is tested). Progress lives in the query checkpoint; a consumer group
+    other than the default is passed as ``kafka.group.id``."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if consumer_group and consumer_group != "$Default":
+        r = r.option("kafka.group.id", consumer_group)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load().select(F.col("value").alias("body"), F.col("key").cast("string").alias("partitionKey"),
