@@ -1,3 +1,3 @@
-from .app import main
+from cabstat.app import main
 
 main()

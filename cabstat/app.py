@@ -1,9 +1,12 @@
 """The streaming job as an application.
 
-    spark-submit -m cabstat --neighborhood-file-url /layers/nyc.geojson \\
+    spark-submit --py-files cabstat.zip cabstat/__main__.py \\
+        --neighborhood-file-url /layers/nyc.geojson \\
         --ride-feed kafka://broker:9092/taxi-ride --fare-feed kafka://broker:9092/taxi-fare \\
         --sink-path /warehouse/neighborhoodstats
 
+(or ``python -m cabstat ...`` where the driver runs locally with pyspark)
+
 Feeds are parquet message folders or ``kafka://servers/topic``; results are
 upserted into a keyed table at ``--sink-path`` (read it with
 ``streaming.sinks.read_keyed_table``); progress rows are appended next to it.
