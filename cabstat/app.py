@@ -61,6 +61,10 @@ def run(spark: SparkSession, cfg: JobConfig, listener: MetricsListener | None =
     checkpoint = cfg.checkpoint_path or f"{checkpoint_root(spark)}/cabstat/neighborhood_stats"
     if listener is not None:
         spark.streams.addListener(listener)
+    if cfg.state_partitions:
+        # read when the first batch is planned (then kept by the checkpoint):
+        # set for the job's lifetime, as this process runs only this job
+        spark.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
     return J.start(stats, "neighborhood_stats_upsert", checkpoint, sink=KeyedUpsertSink(cfg.sink_path),
                    available_now=cfg.available_now)
 

@@ -37,6 +37,7 @@ class JobConfig:
     checkpoint_path: str | None = None  # default: under spark.checkpoint.dir
     layer_format: str = "geojson"
     available_now: bool = False
+    state_partitions: int | None = None  # frozen into the checkpoint at the first run
 
     def validated(self, spark: SparkSession) -> "JobConfig":
         if not self.neighborhood_layer:
@@ -54,6 +55,7 @@ class JobConfig:
             checkpoint_path=self.checkpoint_path,
             layer_format=self.layer_format,
             available_now=self.available_now,
+            state_partitions=self.state_partitions,
         )
 
     @staticmethod
@@ -73,6 +75,7 @@ class JobConfig:
         p.add_argument("--checkpoint-path", default=None)
         p.add_argument("--layer-format", default="geojson", choices=["geojson", "geojsonseq", "parquet"])
         p.add_argument("--available-now", action="store_true")
+        p.add_argument("--state-partitions", type=int, default=None)
         # accepted for argument compatibility with existing job definitions;
         # the sink here is --sink-path and credentials come from the cluster
         for legacy in ("--cassandra-host", "--secret-scope", "--taxi-ride-event-hub-secret-name",

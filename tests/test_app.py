@@ -25,9 +25,16 @@ def test_app_runs_end_to_end(spark):
                           fare(3, t0 + dt.timedelta(hours=2), 1.0)])
     sink = scratch_path(spark, "app-sink")
     cfg = JobConfig.from_args(["-n", d, "--ride-feed", rides, "--fare-feed", fares, "--sink-path", sink,
-                               "--checkpoint-path", scratch_path(spark, "app-ck"), "--available-now"])
-    q = run(spark, cfg)
-    q.awaitTermination(300)
+                               "--checkpoint-path", scratch_path(spark, "app-ck"), "--available-now",
+                               "--state-partitions", "3"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        q = run(spark, cfg)
+        q.awaitTermination(300)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    ops = [op for p in q.recentProgress for op in json.loads(p.json)["stateOperators"]]
+    assert ops and all(op["numShufflePartitions"] == 3 for op in ops)
     assert q.exception() is None
     got = {r["neighborhood"]: (r["number_of_rides"], r["total_fare_amount"])
            for r in read_keyed_table(spark, sink).collect()}
