@@ -22,8 +22,8 @@ def test_config(spark):
         JobConfig.from_args([])
 
 
-def test_legacy_arguments_accepted():
-    c = JobConfig.from_args(["-n", "/layers/nyc.geojson", "--taxi-ride-consumer-group", "taxi-ride-eh-cg",
-                             "--taxi-fare-consumer-group", "taxi-fare-eh-cg", "--window-interval", "1 hour",
-                             "--cassandra-host", "db.example"])
-    assert c.ride_consumer_group == "taxi-ride-eh-cg" and c.fare_consumer_group == "taxi-fare-eh-cg"
+
+def test_consumer_groups():
+    c = JobConfig.from_args(["-n", "/layers/nyc.geojson", "--taxi-ride-consumer-group", "ride-cg",
+                             "--taxi-fare-consumer-group", "fare-cg", "--window-interval", "1 hour"])
+    assert c.ride_consumer_group == "ride-cg" and c.fare_consumer_group == "fare-cg"
