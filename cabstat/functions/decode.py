@@ -58,7 +58,7 @@ def decode_csv(text: Column | str, schema: T.StructType | str,
     convert is null (Spark keeps the other cells). ``schema`` may be a DDL string.
     """
     if isinstance(schema, T.StructType):
-        schema = schema.simpleString()[len("struct<"):-1].replace(":", " ")
+        schema = _ddl(schema)
     return F.from_csv(_col(text), schema, options or {})
 
 
@@ -69,7 +69,8 @@ def decode_csv_strict(text: Column | str, schema: T.StructType,
     Right or wrong token count, if any present token fails to convert, every
     field is null (the struct itself stays non-null). Decoded twice, typed and
     as raw strings; a token that is present as text but null when typed is a
-    conversion failure.
+    conversion failure. On a DataFrame prefer :func:`with_strict_csv`, which
+    parses a clean record only once.
     """
     opts = options or {}
     c = _col(text)
