@@ -69,27 +69,29 @@ def fare_key_aggregates(fares: DataFrame) -> DataFrame:
 
 def trip_aggregates(rides: DataFrame, fares: DataFrame, window: str = "1 hour") -> DataFrame:
     """Per (window, pickup neighbourhood) sums over the joined trips, computed
-    without materialising the join.
+    without materialising the join and without a hot key in any task.
 
-    Fares are aggregated to one row per join key first (map-side partial
-    aggregation collapses a hot key before the shuffle, and the result is
-    already hash-partitioned on the keys the join needs). Each ride then
-    joins at most one fare row that stands for its ``f_n`` fares, so the join
-    emits one row per ride instead of the n x m expansion of duplicate keys,
-    and a hot key on the ride side is split by AQE's skew-join handling (the
-    other side of that key is a single row). A ride's own attributes (the
-    distance) count once per matching fare.
+    Both sides are aggregated before the join: fares to one row per join key,
+    rides to one row per (join key, pickup neighbourhood). Map-side partial
+    aggregation collapses a key that holds any share of the rows before it is
+    shuffled, so no task ever receives a hot key's rows, and the join sees at
+    most a few rows per key. A ride group of ``r_n`` rides and a fare group of
+    ``f_n`` fares stand for ``r_n * f_n`` joined trips, so sums scale by the
+    other side's count (a ride's distance once per matching fare, a fare's
+    amounts once per matching ride). The n x m expansion is never built.
 
     Columns: ``window, pickupNeighborhood, n, fare, tip, total, total_n, miles``
     (sums as exact decimals).
     """
-    r = rides.select(*TRIP_KEYS, "pickupNeighborhood", "tripDistanceInMiles")
+    r = rides.groupBy(*TRIP_KEYS, "pickupNeighborhood").agg(
+        F.count(F.lit(1)).alias("r_n"), F.sum(_dec("tripDistanceInMiles")).alias("r_miles"))
     j = r.join(fare_key_aggregates(fares), TRIP_KEYS, "inner")
     g = with_window(j, window).groupBy("window", "pickupNeighborhood")
+    rn, fn = F.col("r_n"), F.col("f_n")
     return g.agg(
-        F.sum("f_n").alias("n"), F.sum("f_fare").alias("fare"), F.sum("f_tip").alias("tip"),
-        F.sum("f_total").alias("total"), F.sum("f_total_n").alias("total_n"),
-        F.sum(_dec("tripDistanceInMiles") * F.col("f_n")).alias("miles"))
+        F.sum(rn * fn).alias("n"), F.sum(F.col("f_fare") * rn).alias("fare"),
+        F.sum(F.col("f_tip") * rn).alias("tip"), F.sum(F.col("f_total") * rn).alias("total"),
+        F.sum(F.col("f_total_n") * rn).alias("total_n"), F.sum(F.col("r_miles") * fn).alias("miles"))
 
 
 def neighborhood_stats_preaggregated(rides: DataFrame, fares: DataFrame,
