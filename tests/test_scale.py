@@ -16,8 +16,8 @@ KEYS = ["medallion", "hackLicense", "vendorId", "pickupTime"]
 
 
 def test_hot_key_is_not_multiplied(spark):
-    """One key holds a third of all rides and fares: the stats plan joins each
-    ride to a single pre-aggregated fare row, so it never builds n x m rows."""
+    """One key holds a third of all rides and fares: the stats plan joins
+    pre-aggregated groups on both sides, so it never builds n x m rows."""
     n_hot, n_cold = 300, 600
     rides = spark.createDataFrame(
         [(1, 1, "H", T0, "A", 1.0)] * n_hot + [(i, i, "C", T0, "B", 2.0) for i in range(2, n_cold + 2)],
