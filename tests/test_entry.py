@@ -11,7 +11,9 @@ import __spark_entry__ as E
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 FAST = ["neighborhood_stats", "neighborhood_stats_joined", "trip_join", "point_in_polygon", "classify_fare_errors",
         "decode_csv_header", "csv_bad_cell", "csv_corrupt_record", "parse_ride_line", "publish_ride_json",
-        "tip_per_mile", "metric_tags"]
+        "tip_per_mile", "metric_tags", "mean_over_all_rows", "valid_rows", "struct_expand", "csv_typed_cells",
+        "csv_mode_drop", "csv_header_check", "trip_archive_scan", "polygon_layer", "parse_fare_line",
+        "publish_fare_csv", "classify_ride_errors", "malformed_counts"]
 
 
 def test_entry_schema(spark):
