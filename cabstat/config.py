@@ -24,6 +24,9 @@ def validate_interval(spark: SparkSession, text: str) -> str:
 
 @dataclass(frozen=True)
 class JobConfig:
+    """Parameters of the streaming job. ``validated`` checks the intervals the
+    way Spark parses them; ``from_args`` reads the command line."""
+
     # Defaults are fixed values of the job: 1 hour windows, 3 minute watermarks.
     neighborhood_layer: str
     ride_consumer_group: str = "$Default"
