@@ -1,6 +1,7 @@
 """Plan-shape and skew behaviour that matters at scale."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -109,3 +110,16 @@ def test_hot_key_collapses_before_the_shuffle(spark):
         assert r.count() == 1 + 6000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scans_read_only_referenced_columns(spark, sf_small):
+    """Column pruning reaches the parquet scan: tagging reads events.event_id
+    alone (coordinates derive from it); ride decoding does not read `value`."""
+    from cabstat.plans.catalog import QUERIES
+    for name, expected in (("point_in_polygon", "[event_id]"),
+                           ("classify_ride_errors", "[event_id,ts,user_id,event_type,props]")):
+        df = QUERIES[name](spark, sf_small)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [re.sub(r"#\d+L?", "", ln) for ln in plan.split("\n")
+                 if "FileScan parquet" in ln and "events.parquet" in ln]
+        assert scans and all(f"FileScan parquet {expected}" in ln for ln in scans), scans
