@@ -17,7 +17,26 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                   public_tokenizers.PATTERN)
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "quality")
+
+
 QUERIES: dict[str, Query] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op5_byte_bpe": op5_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
