@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches
+from .common import batches, map_arrow
 
 #: Distinct pre-tokens a worker remembers; beyond it the memory starts afresh.
 REMEMBERED = 400_000
@@ -131,8 +131,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 [batch.column("doc_id"), pa.array(ids, pa.binary()),
                  pa.array([codec.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, ids binary, decoded binary")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
+                     run, "doc_id long, ids binary, decoded binary")
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

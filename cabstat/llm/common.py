@@ -14,6 +14,8 @@ from ..session import scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Text handled at once inside a Python task; one longer text is handled alone.
 SLICE_BYTES = 4 << 20
+#: Rows that Spark hands to Python at once; whole texts may be long.
+ARROW_ROWS = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +34,12 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with small batches, which bounds the memory of a worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df.mapInArrow(fn, schema)
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, UPPER.lower())

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, materialise, mix, text_bytes
+from .common import batches, map_arrow, materialise, mix, text_bytes
 
 SHARD_KEYS = 16_384
 
@@ -100,7 +100,7 @@ def _digest_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest): SHA-256 of each whole text after lower-casing A-Z."""
     ids = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return ids.mapInArrow(_digest_rows, "doc_id long, digest binary")
+    return map_arrow(ids, _digest_rows, "doc_id long, digest binary")
 
 
 def _text_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def exact_dedup(docs: DataFrame, in_snapshot, shard_keys: int = SHARD_KEYS) -> D
     alone = grouped.drop("old").join(met.select("digest"), "digest", "left_anti")
     groups = alone.unionByName(met)
     repeated = groups.filter("n > 1")
-    texts = docs.select(F.col("text").cast("string")).mapInArrow(_text_rows, "digest binary, bytes binary")
+    texts = map_arrow(docs.select(F.col("text").cast("string")), _text_rows, "digest binary, bytes binary")
     checked = (texts.join(repeated.select("digest"), "digest", "left_semi").groupBy("digest")
                .agg((F.min("bytes") == F.max("bytes")).alias("same")))
     keep = groups.join(checked, "digest", "left").withColumn(
