@@ -34,10 +34,36 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quality")
 
 
+def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import schedule
+
+    return schedule(table(spark, sf_dir, "documents"))
+
+
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import read_back, windows
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                    said.alias("text"))
+    return read_back(windows(rows.unionByName(planted)))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import summary
+
+    return summary(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pfair_mixing": op1_pfair_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
+    "op8_chat_windows": op8_chat_windows,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
