@@ -40,6 +40,12 @@ def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule(table(spark, sf_dir, "documents"))
 
 
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import read_back, windows
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_hyperminhash": op6_hyperminhash,
     "op8_chat_windows": op8_chat_windows,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
