@@ -40,6 +40,12 @@ def op1_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule(table(spark, sf_dir, "documents"))
 
 
+def op3_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import near_duplicates
 
@@ -66,6 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_quality_rules": op2_quality_rules,
+    "op3_phrase_automata": op3_phrase_automata,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_hyperminhash": op6_hyperminhash,
     "op8_chat_windows": op8_chat_windows,
