@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import scratch_path
 
@@ -34,7 +34,7 @@ def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with small batches, which bounds the memory of a worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return df.mapInArrow(fn, schema)

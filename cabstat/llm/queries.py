@@ -52,6 +52,12 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lines import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import read_back, windows
 
@@ -75,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_phrase_automata": op3_phrase_automata,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_hyperminhash": op6_hyperminhash,
+    "op7_line_alignment": op7_line_alignment,
     "op8_chat_windows": op8_chat_windows,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
