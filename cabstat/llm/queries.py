@@ -17,6 +17,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ctw import score
+
+    return score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_quality_rules": op2_quality_rules,
     "op3_phrase_automata": op3_phrase_automata,
+    "op4_context_tree": op4_context_tree,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_line_alignment": op7_line_alignment,
