@@ -100,9 +100,13 @@ class Level:
         return here if deeper is None else self.stop[index] * here + (1 - self.stop[index]) * deeper
 
 
+def _sums(owner: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(owner, weights=values, minlength=size).astype(float)
+
+
 def _group(keys, *values):
     found, index = np.unique(keys, return_inverse=True)
-    return found, index, [np.bincount(index, weights=v, minlength=len(found)) for v in values]
+    return found, index, [_sums(index, v, len(found)) for v in values]
 
 
 def _shorter(keys: np.ndarray) -> np.ndarray:
@@ -278,7 +282,7 @@ def word_scores(words: DataFrame) -> DataFrame:
             gram = gram.view(np.int64)
             at = np.minimum(np.searchsorted(keys, gram), max(0, len(keys) - 1))
             hit = keys[at] == gram if len(keys) else np.zeros(len(gram), bool)
-            sums = np.bincount(owner[hit], weights=value[at[hit]], minlength=batch.num_rows)
+            sums = _sums(owner[hit], value[at[hit]], batch.num_rows)
             rare = np.flatnonzero(~hit)
             names = batch.column("word")
             yield pa.RecordBatch.from_arrays(
@@ -330,8 +334,8 @@ def score(docs: DataFrame, held_out) -> DataFrame:
             at = found[index] if len(index) else np.zeros(0, np.int64)
             hit, size = at >= 0, batch.num_rows
             ids = batch.column("row")
-            sums = [np.bincount(owner[hit], weights=values[at[hit], k], minlength=size) for k in range(3)]
-            lengths = np.bincount(owner, weights=pc.binary_length(words).to_numpy(), minlength=size)
+            sums = [_sums(owner[hit], values[at[hit], k], size) for k in range(3)]
+            lengths = _sums(owner, pc.binary_length(words).to_numpy(), size)
             pair, times = np.unique(owner[~hit] * np.int64(len(names) + 1) + index[~hit], return_counts=True)
             rare, word = pair // (len(names) + 1), pair % (len(names) + 1)
             n = len(pair)
