@@ -72,11 +72,9 @@ def run(spark: SparkSession, cfg: JobConfig, listener: MetricsListener | None =
 def main(argv: list[str] | None = None) -> None:
     cfg = JobConfig.from_args(sys.argv[1:] if argv is None else argv)
     spark = SparkSession.builder.appName("cabstat").getOrCreate()
-    listener = MetricsListener()
+    listener = MetricsListener(spark, (cfg.sink_path or "").rstrip("/") + "_progress")
     query = run(spark, cfg, listener)
     try:
         query.awaitTermination()
     finally:
-        rows = listener.to_dataframe(spark)
-        if rows.count():
-            rows.write.mode("append").parquet(cfg.sink_path.rstrip("/") + "_progress")
+        listener.drain(query.runId)

@@ -15,9 +15,7 @@ from ..schemas import as_strings
 
 # A line break ends the header. The header line is removed whole.
 _FIRST_LINE = r"^[^\r\n]*+(?:\r\n|\n|\r|$)"
-# First CSV record of a text: unquoted characters or quoted runs ("" and \x
-# escapes allowed inside quotes, so a quoted cell may span lines).
-_FIRST_RECORD = r'^(?:[^"\r\n]++|"(?:[^"\\]++|\\.|"")*+")*+'
+_CORRUPT = "__corrupt_record"
 
 
 def _col(c: Column | str) -> Column:
@@ -35,83 +33,61 @@ def decode_json(text: Column | str, schema: T.StructType | str,
     return F.from_json(_col(text), schema, options or {})
 
 
-def null_struct(schema: T.StructType) -> Column:
-    """A non-null struct whose every field is null."""
-    return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def strip_first_line(text: Column | str) -> Column:
     """Drop the first line (the header) and its line break."""
     return F.regexp_replace(_col(text), _FIRST_LINE, "")
 
 
-def first_record(text: Column | str) -> Column:
-    """Only the first CSV record of a text; later records are ignored."""
-    return F.regexp_extract(_col(text), _FIRST_RECORD, 0)
+def first_record(text: Column | str, options: dict[str, str] | None = None) -> Column:
+    """Only the first CSV record of a text: empty lines before it are skipped,
+    later records ignored. A quoted cell (the options' ``quote`` and
+    ``escape``) may span lines."""
+    opts = options or {}
+    q, e = _regex_literal(opts.get("quote", '"')), _regex_literal(opts.get("escape", "\\"))
+    inside = f"{e}.|{q}{q}|[^{q}{e}]"
+    return F.regexp_extract(_col(text), rf"^[\r\n]*+((?:[^{q}\r\n]|{q}(?s:{inside})*+{q}?+)*+)", 1)
 
 
-def decode_csv(text: Column | str, schema: T.StructType | str,
-               options: dict[str, str] | None = None) -> Column:
-    """Plain CSV record to a struct with Spark's conversion rules.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Short rows are padded with null, extra tokens dropped, a cell that fails to
-    convert is null (Spark keeps the other cells). ``schema`` may be a DDL string.
-    """
-    if isinstance(schema, T.StructType):
-        schema = _ddl(schema)
-    return F.from_csv(_col(text), schema, options or {})
 
+def decode_csv(text: Column | str, schema: T.StructType | str, options: dict[str, str] | None = None,
+               corrupt: str | None = None) -> Column:
+    """CSV record to a struct; one cell that fails to convert voids the row.
 
-def decode_csv_strict(text: Column | str, schema: T.StructType,
-                      options: dict[str, str] | None = None) -> Column:
-    """CSV record where one bad cell voids the whole row.
+    A short row is padded with null and a long one truncated, but when any
+    present token fails to convert, every field is null (the struct itself
+    stays non-null). ``corrupt`` names an extra field that holds the text of a
+    malformed record (wrong token count or a failed cell). Null text gives null.
 
-    Right or wrong token count, if any present token fails to convert, every
-    field is null (the struct itself stays non-null). Decoded twice, typed and
-    as raw strings; a token that is present as text but null when typed is a
-    conversion failure. On a DataFrame prefer :func:`with_strict_csv`, which
-    parses a clean record only once.
+    A clean record is parsed once: only where the typed decode reports a
+    malformed record is the record decoded again as raw strings, to tell a
+    failed cell from a ragged row.
     """
+    if not isinstance(schema, T.StructType):
+        schema = T.StructType.fromDDL(schema)
+    fields = [f for f in schema.fields if f.name != corrupt]
     opts = options or {}
-    c = _col(text)
-    typed = F.from_csv(c, _ddl(schema), opts)
-    raw = F.from_csv(c, _ddl(as_strings(schema)), opts)
-    failed = reduce(
-        lambda a, b: a | b,
-        [raw[f.name].isNotNull() & typed[f.name].isNull() for f in schema.fields],
-    )
-    return F.when(c.isNull(), F.lit(None)).when(failed, null_struct(schema)).otherwise(typed)
+    lenient = {**opts, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
+    def shaped(typed: Column, keep: bool) -> Column:
+        cells = [(typed[f.name] if keep else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields]
+        return F.struct(*cells, *([typed[_CORRUPT].alias(corrupt)] if corrupt else []))
 
-def with_strict_csv(df, text: str, out: str, schema: T.StructType,
-                    options: dict[str, str] | None = None, header: bool = False):
-    """DataFrame form of :func:`decode_csv_strict` (optionally after a header
-    line) that parses a clean record once.
+    def decoded(record: Column) -> Column:
+        raw = F.from_csv(record, _ddl(as_strings(T.StructType(fields))), opts)
 
-    The typed decode carries a corrupt-record column, which Spark fills only
-    for a malformed record (wrong token count or a cell that failed). Only for
-    those rows is the raw all-string decode evaluated (it sits in one CASE
-    branch, referenced once through a lambda) to tell a failed cell, which
-    voids the row, from a ragged row, which is kept.
-    """
-    corrupt = "__corrupt_record"
-    opts = dict(options or {})
-    opts.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    t, rec = f"__typed_{out}", f"__rec_{out}"
-    src = F.col(text)
-    record = first_record(strip_first_line(src)) if header else src
-    df = df.withColumn(rec, record)
-    df = df.withColumn(t, F.from_csv(F.col(rec), _ddl(schema) + f", `{corrupt}` string", opts))
-    typed = F.col(t)
-    kept = F.struct(*[typed[f.name].alias(f.name) for f in schema.fields])
-    raw = F.from_csv(F.col(rec), _ddl(as_strings(schema)), options or {})
-    failed = F.exists(F.array(raw), lambda r: reduce(
-        lambda a, b: a | b, [r[f.name].isNotNull() & typed[f.name].isNull() for f in schema.fields]))
-    result = (F.when(src.isNull(), F.lit(None))
-              .when(typed[corrupt].isNull(), kept)
-              .when(failed, null_struct(schema))
-              .otherwise(kept))
-    return df.withColumn(out, result).drop(t, rec)
+        def judged(typed: Column) -> Column:
+            failed = F.exists(F.array(raw), lambda r: reduce(
+                lambda a, b: a | b, [r[f.name].isNotNull() & typed[f.name].isNull() for f in fields]))
+            return (F.when(record.isNull(), F.lit(None)).when(typed[_CORRUPT].isNull(), shaped(typed, True))
+                    .when(failed, shaped(typed, False)).otherwise(shaped(typed, True)))
+
+        return _let(F.from_csv(record, _ddl(T.StructType(fields)) + f", `{_CORRUPT}` string", lenient), judged)
+
+    return _let(_col(text), decoded)
 
 
 def decode_csv_with_header(text: Column | str, schema: T.StructType,
@@ -119,9 +95,16 @@ def decode_csv_with_header(text: Column | str, schema: T.StructType,
     """Header-bearing CSV message: skip line 1, decode only the first record
     after it with all-or-nothing cells. Header only or a lone line leaves no
     record: the result is a struct of nulls. Null text gives null."""
-    c = _col(text)
-    record = first_record(strip_first_line(c))
-    return F.when(c.isNull(), F.lit(None)).otherwise(decode_csv_strict(record, schema, options))
+    return decode_csv(first_record(strip_first_line(text), options), schema, options)
+
+
+def header_names(line: Column | str, sep: str = ",", quote: str = '"') -> Column:
+    """Names of a header line; a quoted name loses its quotes, nothing is trimmed."""
+    s, q = _regex_literal(sep), _regex_literal(quote)
+    cells = F.regexp_extract_all(_col(line), F.lit(rf"(?:^|{s})({q}(?:[^{q}]|{q}{q})*+{q}|[^{s}]*+)"), F.lit(1))
+    return F.transform(cells, lambda c: F.when(
+        F.startswith(c, F.lit(quote)) & F.endswith(c, F.lit(quote)) & (F.length(c) > 1),
+        F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit(quote * 2), F.lit(quote))).otherwise(c))
 
 
 def header_mismatch(text: Column | str, field_names: list[str], sep: str = ",",
@@ -132,12 +115,12 @@ def header_mismatch(text: Column | str, field_names: list[str], sep: str = ",",
     first position whose names differ.
     """
     first = F.regexp_extract(_col(text), r"^[^\r\n]*+", 0)
-    header = F.split(first, _regex_literal(sep))
+    header = header_names(first, sep)
     expected = F.array(*[F.lit(n) for n in field_names])
     norm = (lambda x: x) if case_sensitive else F.lower
     diffs = F.filter(
         F.sequence(F.lit(1), F.lit(len(field_names))),
-        lambda i: norm(F.trim(F.try_element_at(header, i))) != norm(F.try_element_at(expected, i)),
+        lambda i: norm(F.try_element_at(header, i)) != norm(F.try_element_at(expected, i)),
     )
     pos = F.try_element_at(diffs, F.lit(1))
     return (
@@ -147,7 +130,7 @@ def header_mismatch(text: Column | str, field_names: list[str], sep: str = ",",
                               F.lit(len(field_names))))
         .when(F.size(diffs) > 0,
               F.format_string("column %d: expected %s but found %s", pos,
-                              F.try_element_at(expected, pos), F.trim(F.try_element_at(header, pos))))
+                              F.try_element_at(expected, pos), F.try_element_at(header, pos)))
     )
 
 

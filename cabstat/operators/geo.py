@@ -30,6 +30,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 UNKNOWN = "Unknown"
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+#: Tasks that share a cell's points where tiles are joined by a shuffle.
+DEFAULT_SALTS = 16
+#: Rows without a coordinate are spread over so many keys that no tile has.
+_NOWHERE, _NOWHERE_KEYS = -(1 << 60), 4096
 
 
 def layer_edges(layer: DataFrame) -> DataFrame:
@@ -162,12 +166,12 @@ class NeighborhoodIndex:
     cell: float
     broadcastable: bool
     size_bytes: int
-    salt_buckets: int = 1
+    salt_buckets: int = DEFAULT_SALTS
 
     @staticmethod
     def build(layer: DataFrame, cell: float | None = None,
               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-              salt_buckets: int = 1, materialize: bool = True) -> "NeighborhoodIndex":
+              salt_buckets: int = DEFAULT_SALTS, materialize: bool = True) -> "NeighborhoodIndex":
         """Cut the layer into tiles, materialise them (checkpoint: the static
         side of a streaming join is then not recomputed per micro-batch) and
         decide broadcast vs shuffle from their measured size."""
@@ -201,13 +205,20 @@ class NeighborhoodIndex:
         keys = [cxn, cyn]
         if self.broadcastable:
             tiles = F.broadcast(tiles)
-        elif self.salt_buckets > 1:
+        else:
             # hot cells: spread the point side over salts, replicate tiles per salt.
-            # The salt is a hash of the row, not rand(): a deterministic shuffle
-            # key lets a lost map task rerun alone instead of its whole stage.
-            sn = f"__salt_{out}"
-            pts = pts.withColumn(sn, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
-                                            F.lit(self.salt_buckets)).cast("int"))
+            # The row's number separates equal rows; a stream has none, and its
+            # messages differ. Neither is rand(): a deterministic shuffle key lets
+            # a lost map task rerun alone instead of its whole stage.
+            sn, rn = f"__salt_{out}", f"__row_{out}"
+            own = F.xxhash64(*[F.col(c) for c in df.columns]) if df.isStreaming else F.monotonically_increasing_id()
+            pts = pts.withColumn(rn, own)
+            # rows without a coordinate match no tile and share no key
+            pts = pts.withColumn(cxn, F.coalesce(F.when(F.col(cyn).isNotNull(), F.col(cxn)), F.lit(_NOWHERE)
+                                                 + F.pmod(F.col(rn), F.lit(_NOWHERE_KEYS))))
+            pts = pts.withColumn(cyn, F.coalesce(cyn, F.lit(_NOWHERE)))
+            pts = pts.withColumn(sn, F.pmod(F.xxhash64(rn), F.lit(self.salt_buckets)).cast("int")).drop(rn)
+            tiles = tiles.hint("merge")
             tiles = tiles.withColumn(sn, F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
             keys = keys + [sn]
         joined = pts.join(tiles, keys, "left")

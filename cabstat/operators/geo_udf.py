@@ -1,64 +1,73 @@
-"""``neighborhoodFinder(lon, lat)`` as a SQL-callable Arrow (pandas) UDF.
+"""``neighborhoodFinder(lon, lat)`` as a SQL-callable Arrow function.
 
 The column path is :class:`~cabstat.operators.geo.NeighborhoodIndex` (a JVM
-join). This function exists for SQL users: the layer's edges are broadcast
-once (size checked first) and each Arrow batch is tested with vectorised
-numpy, polygon by polygon, only for points inside that polygon's box.
+join). This function exists for SQL users and answers from the same tiles: a
+point looks up its cell and is tested against that cell's candidates only.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .geo import UNKNOWN, layer_edges
+from .geo import UNKNOWN, NeighborhoodIndex
 
-MAX_LAYER_EDGES = 5_000_000      # ~160 MB of float64 edge coordinates
-CHUNK = 4096                     # points per vectorised step
 
+def register_neighborhood_finder(spark: SparkSession, layer: DataFrame, name: str = "neighborhoodFinder",
+                                 index: NeighborhoodIndex | None = None):
+    """Register the function over ``layer`` (or an index built from it). Null
+    gives null, NaN is in no polygon.
 
-def register_neighborhood_finder(spark: SparkSession, layer: DataFrame,
-                                 name: str = "neighborhoodFinder"):
-    edges = layer_edges(layer)
-    n_edges = edges.agg(F.sum(F.size("edges")).alias("n")).first()["n"] or 0
-    if n_edges > MAX_LAYER_EDGES:
-        raise ValueError(f"layer has {n_edges} edges, above the broadcast bound {MAX_LAYER_EDGES}; "
+    A function can only hold tiles that fit in memory: a layer whose measured
+    tile table is above the broadcast bound has the join only.
+    """
+    index = index or NeighborhoodIndex.build(layer)
+    if not index.broadcastable:
+        raise ValueError(f"the layer's tiles take {index.size_bytes} bytes, above the broadcast bound; "
                          "use NeighborhoodIndex.tag (join) instead")
-    rows = edges.orderBy("id").collect()     # bounded by the check above
-    polys = [(r["name"], np.array([[s["x1"], s["y1"], s["x2"], s["y2"]] for s in r["edges"]], dtype=float),
-              (r["minx"], r["maxx"], r["miny"], r["maxy"])) for r in rows]
-    shared = spark.sparkContext.broadcast(polys)
-    unknown, chunk = UNKNOWN, CHUNK
+    cells = {}
+    for r in index.tiles.toLocalIterator():     # bounded by the check above
+        cells[r["cx"], r["cy"]] = (r["head"], [
+            (c["name"], c["inside"], np.array([tuple(s) for s in c["edges"]], dtype=float).reshape(-1, 4))
+            for c in r["cands"]])
+    shared = spark.sparkContext.broadcast(cells)
+    unknown, size = UNKNOWN, index.cell
 
     # Everything the executors run is defined here, so it is pickled by value
-    # and the Python workers need only numpy and pandas, not this package.
+    # and the Python workers need only numpy and pyarrow, not this package.
     def contains(px, py, e):
-        x1, y1, x2, y2 = e[:, 0], e[:, 1], e[:, 2], e[:, 3]
-        px, py = px[:, None], py[:, None]
-        d = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
-        straddle = (y1 > py) != (y2 > py)
-        cross = straddle & (((y2 > y1) & (d > 0)) | ((y2 < y1) & (d < 0)))
-        on = ((d == 0) & (px >= np.minimum(x1, x2)) & (px <= np.maximum(x1, x2))
-              & (py >= np.minimum(y1, y2)) & (py <= np.maximum(y1, y2)))
-        return (cross.sum(axis=1) % 2 == 1) & ~on.any(axis=1)
+        """Even-odd rule, boundary excluded, one pass over the cell's edges."""
+        odd, on = np.zeros(len(px), bool), np.zeros(len(px), bool)
+        for x1, y1, x2, y2 in e:
+            d = (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
+            straddle = (y1 > py) != (y2 > py)
+            odd ^= straddle & ((d > 0) if y2 > y1 else (d < 0))
+            on |= ((d == 0) & (px >= min(x1, x2)) & (px <= max(x1, x2))
+                   & (py >= min(y1, y2)) & (py <= max(y1, y2)))
+        return odd & ~on
 
-    @F.pandas_udf("string")
-    def finder(lon: pd.Series, lat: pd.Series) -> pd.Series:
-        x = lon.to_numpy(dtype=float, na_value=np.nan)
-        y = lat.to_numpy(dtype=float, na_value=np.nan)
+    @F.arrow_udf("string")
+    def finder(lon: pa.Array, lat: pa.Array) -> pa.Array:
+        known = np.asarray(lon.is_valid()) & np.asarray(lat.is_valid())
+        x, y = (c.fill_null(0).to_numpy(zero_copy_only=False).astype(float) for c in (lon, lat))
         out = np.full(len(x), unknown, dtype=object)
-        missing = np.isnan(x) | np.isnan(y)
-        out[missing] = None
-        open_ = ~missing
-        for pname, e, (minx, maxx, miny, maxy) in shared.value:
-            cand = np.flatnonzero(open_ & (x >= minx) & (x <= maxx) & (y >= miny) & (y <= maxy))
-            for s in range(0, len(cand), chunk):
-                idx = cand[s:s + chunk]
-                hit = idx[contains(x[idx], y[idx], e)]
-                out[hit] = pname
-                open_[hit] = False
-        return pd.Series(out)
+        out[~known] = None
+        real = np.flatnonzero(known & np.isfinite(x) & np.isfinite(y))
+        cx, cy = np.floor(x[real] / size).astype(np.int64), np.floor(y[real] / size).astype(np.int64)
+        order = np.lexsort((cy, cx))
+        cuts = np.flatnonzero((np.diff(cx[order]) != 0) | (np.diff(cy[order]) != 0)) + 1
+        for part in np.split(order, cuts) if len(order) else ():
+            head, cands = shared.value.get((int(cx[part[0]]), int(cy[part[0]])), (None, ()))
+            rows = real[part]
+            if head is not None:
+                out[rows] = head
+                continue
+            for label, inside, edges in cands:
+                hit = np.ones(len(rows), bool) if inside else contains(x[rows], y[rows], edges)
+                out[rows[hit]] = label
+                rows = rows[~hit]
+        return pa.array(out, pa.string())
 
     spark.udf.register(name, finder)
     return finder

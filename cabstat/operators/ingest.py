@@ -23,8 +23,9 @@ FARE_CSV_HEADER = ("medallion, hack_license, vendor_id, pickup_datetime, payment
 
 
 def partition_key(medallion: Column, hack_license: Column, vendor_id: Column) -> Column:
-    """``medallion_hackLicense_vendorId``: the message key / bus partition key."""
-    return F.concat_ws("_", medallion.cast("string"), hack_license.cast("string"), vendor_id)
+    """``medallion_hackLicense_vendorId``: the message key / bus partition key; a
+    null part is empty and keeps its separator."""
+    return F.concat_ws("_", *[F.coalesce(c.cast("string"), F.lit("")) for c in (medallion, hack_license, vendor_id)])
 
 
 def _tok(i: int) -> Column:
@@ -40,7 +41,7 @@ def _parse(lines: DataFrame, line_col: str, n_tokens: int, fields: list[tuple[st
     df = lines.withColumn("__tokens", F.split(F.col(line_col), ",", -1))
     df = df.select("*", *[expr.alias(name) for name, expr, _ in fields])
     mandatory = [(name, raw) for name, _, raw in [(n, e, m) for n, e, m in fields] if raw]
-    err = (F.when(F.col(line_col).isNull() | (F.trim(F.col(line_col)) == ""), F.lit("empty line"))
+    err = (F.when(F.col(line_col).isNull() | F.col(line_col).rlike(r"^\s*$"), F.lit("empty line"))
            .when(F.size("__tokens") != n_tokens,
                  F.format_string("expected %d tokens, found %d", F.lit(n_tokens), F.size("__tokens"))))
     for name, _ in mandatory:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from ..functions.decode import body_to_text, decode_json, with_strict_csv
+from ..functions.decode import body_to_text, decode_csv_with_header, decode_json
 from ..functions.timefmt import parse_event_time
 from ..schemas import FARE_SCHEMA, RIDE_SCHEMA
 
@@ -44,7 +44,7 @@ def decode_fares(messages: DataFrame) -> DataFrame:
     """
     envelope = [c for c in messages.columns if c != "body"]
     df = messages.select(*envelope, body_to_text("body").alias("messageData"))
-    df = with_strict_csv(df, "messageData", "fare", FARE_SCHEMA, CSV_MESSAGE_OPTIONS, header=True)
+    df = df.withColumn("fare", decode_csv_with_header("messageData", FARE_SCHEMA, CSV_MESSAGE_OPTIONS))
     df = df.withColumn("pickupTime", parse_event_time("fare.pickupTimeString"))
     return df.withColumn(
         "errorMessage",

@@ -8,18 +8,19 @@ the raw tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.tags import merge_tags
 from ..functions.timefmt import parse_event_time, rfc1123
 from ..operators import trips as TR
 from ..operators.geo import tag_neighborhoods
-from ..operators.quality import decode_fares, decode_rides, valid_rides
+from ..operators.quality import decode_fares, decode_rides, valid_fares, valid_rides
 from ..schemas import TRIP_COLUMNS
 from ..session import ensure_utc
-from ..sources.feeds import trip_facts
-from ..sources.tables import spread, table
+from ..sources.feeds import FARE_HEADER, trip_facts
+from ..sources.tables import table
 from . import batch_job as P
 from .oracle_sql import base_cte, money_sum
 
@@ -64,7 +65,7 @@ def q_neighborhood_stats(spark, sf_dir):
 @register("neighborhood_stats_joined", STATS_ORACLE)
 def q_neighborhood_stats_joined(spark, sf_dir):
     """Same result through the plain plan (join, then aggregate), as streamed."""
-    return TR.neighborhood_stats(P.trips(spark, sf_dir))
+    return TR.neighborhood_stats(P.untagged_trips(spark, sf_dir, P.enriched_rides(spark, sf_dir, dropoff=False)))
 
 
 @register("mean_over_all_rows", base_cte() + f"""
@@ -100,7 +101,7 @@ SELECT hackLicense, date_trunc('hour', pt) AS window_start,
 FROM trips
 """)
 def q_tumbling_window(spark, sf_dir):
-    t = TR.with_window(P.trips(spark, sf_dir))
+    t = TR.with_window(P.untagged_trips(spark, sf_dir))
     return t.select("hackLicense", ntz("window.start").alias("window_start"),
                     ntz("window.end").alias("window_end"))
 
@@ -144,13 +145,27 @@ FROM f
 def q_point_in_polygon(spark, sf_dir):
     """Every event's pickup and drop-off point tagged with its polygon."""
     ensure_utc(spark)
-    pts = trip_facts(spread(table(spark, sf_dir, "events")))
+    pts = trip_facts(table(spark, sf_dir, "events"))
     tagged = tag_neighborhoods(pts, P.neighborhood_index(spark, sf_dir))
     return tagged.select(F.col("hackLicense").alias("event_id"),
                          F.col("pickupNeighborhood").alias("pickup_neighborhood"),
                          F.col("dropoffNeighborhood").alias("dropoff_neighborhood"))
 
 
+@register("point_in_polygon_shuffled", base_cte() + """
+SELECT event_id, pickupNeighborhood AS pickup_neighborhood, dropoffNeighborhood AS dropoff_neighborhood
+FROM f
+""")
+def q_point_in_polygon_shuffled(spark, sf_dir):
+    """The same tags through the salted shuffle join that large layers take."""
+    ensure_utc(spark)
+    pts = trip_facts(table(spark, sf_dir, "events"))
+    tagged = tag_neighborhoods(pts, replace(P.neighborhood_index(spark, sf_dir), broadcastable=False))
+    return tagged.select(F.col("hackLicense").alias("event_id"),
+                         F.col("pickupNeighborhood").alias("pickup_neighborhood"),
+                         F.col("dropoffNeighborhood").alias("dropoff_neighborhood"))
+
+
 @register("neighborhood_tag", base_cte() + """
 SELECT hackLicense, pickupLon, pickupLat, pickupNeighborhood, dropoffNeighborhood
 FROM f WHERE NOT ride_bad
@@ -200,13 +215,14 @@ SELECT count(*) FILTER (WHERE ride_bad) AS malformed_rides,
 FROM f
 """)
 def q_malformed_counts(spark, sf_dir):
+    """The ``observe`` counters of both decoders, read after a run over all messages."""
     rides_msg, fares_msg = P.feeds(spark, sf_dir)
-    both = (decode_rides(rides_msg).select(F.lit("rides").alias("feed"), "errorMessage")
-            .unionByName(decode_fares(fares_msg).select(F.lit("fares").alias("feed"), "errorMessage")))
-    bad, ride = F.col("errorMessage").isNotNull(), F.col("feed") == "rides"
-    return both.agg(F.count_if(bad & ride).alias("malformed_rides"),
-                    F.count_if(bad & ~ride).alias("malformed_fares"),
-                    F.count_if(ride).alias("messages"))
+    rides, fares = Observation("rides"), Observation("fares")
+    for df in (valid_rides(rides_msg, rides), valid_fares(fares_msg, fares)):
+        df.write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(rides.get["malformed"]).cast("long").alias("malformed_rides"),
+                                 F.lit(fares.get["malformed"]).cast("long").alias("malformed_fares"),
+                                 F.lit(rides.get["messages"]).cast("long").alias("messages"))
 
 
 @register("decode_json", base_cte() + """
@@ -265,7 +281,7 @@ SELECT partitionKey,
         '0.5', '0.5', CAST(tipAmount AS VARCHAR), '0.0',
         CASE WHEN event_id % 73 = 0 THEN NULL ELSE CAST(totalAmount AS VARCHAR) END) END AS messageData
 FROM f
-""".replace("{hdr}", __import__("cabstat.sources.feeds", fromlist=["x"]).FARE_HEADER))
+""".replace("{hdr}", FARE_HEADER))
 def q_body_to_text(spark, sf_dir):
     _, fares_msg = P.feeds(spark, sf_dir)
     return decode_fares(fares_msg).select("partitionKey", "messageData")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F, types as T
 from ..functions import decode as D
 from ..session import ensure_utc, scratch_path
 from ..sources.csvfiles import drop_comment_and_blank, drop_malformed, read_csv
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from .catalog import register
 
 # ---- fixed values of the CSV fixtures --------------------------------------
@@ -28,7 +28,7 @@ ORDERS_HEADER = ",".join(ORDERS_FIELDS)
 SHORT_ROW, LONG_ROW, BAD_CELL = 5, 7, 9          # o_orderkey moduli
 NULL_PRIORITY, EMPTY_STATUS = 7, 11
 NAN_PRICE, INF_PRICE, NEG_INF_PRICE = 11, 13, 17
-UPPER_HEADER, RENAMED_HEADER, SHORT_HEADER = 3, 4, 5
+UPPER_HEADER, RENAMED_HEADER, SHORT_HEADER, PADDED_HEADER = 3, 4, 5, 7
 COMMENT_EVERY, BLANK_EVERY, TRAILING_RECORD, NEWLINE_CELL = 6, 8, 4, 10
 # ------------------------------------------------------------------------------
 
@@ -40,7 +40,7 @@ ORACLE_LINE = ("concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VA
 
 def _orders(spark, sf_dir):
     ensure_utc(spark)
-    return spread(table(spark, sf_dir, "orders"))
+    return table(spark, sf_dir, "orders")
 
 
 def _cells() -> list[Column]:
@@ -76,17 +76,19 @@ def q_decode_csv(spark, sf_dir):
 def q_decode_csv_ddl(spark, sf_dir):
     """Schema given as a DDL string, options as a map (``;`` separator)."""
     o = _orders(spark, sf_dir).select(F.concat_ws(";", *_cells()).alias("line"))
-    return o.select(F.from_csv("line", ORDERS_DDL, {"sep": ";"}).alias("r")).select(*_flat("r"))
+    return o.select(D.decode_csv("line", ORDERS_DDL, {"sep": ";"}).alias("r")).select(*_flat("r"))
 
 
 @register("decode_csv_header", f"SELECT {ORACLE_COLS} FROM orders")
 def q_decode_csv_header(spark, sf_dir):
-    """Header line, CRLF, the record; some messages carry a later record that
-    must be ignored."""
+    """Header line, CRLF, the record; some messages have an empty line before it,
+    some a later record that must be ignored."""
     extra = F.when(F.col("o_orderkey") % TRAILING_RECORD == 0, F.lit("\r\n0,0,X,0.0,2000-01-01,junk")).otherwise("")
-    o = _orders(spark, sf_dir).select(F.concat(F.lit(ORDERS_HEADER + "\r\n"), _line(), extra).alias("msg"))
-    return D.with_strict_csv(o, "msg", "r", ORDERS_SCHEMA, {"header": "true", "multiLine": "true"},
-                             header=True).select(*_flat("r"))
+    o = _orders(spark, sf_dir).select(F.concat(
+        F.lit(ORDERS_HEADER + "\r\n"), F.when(F.col("o_orderkey") % BLANK_EVERY == 0, F.lit("\r\n")).otherwise(""),
+        _line(), extra).alias("msg"))
+    return o.select(D.decode_csv_with_header("msg", ORDERS_SCHEMA, {"header": "true", "multiLine": "true"})
+                    .alias("r")).select(*_flat("r"))
 
 
 DIALECT = {"sep": "|", "quote": "'", "escape": "\\", "quoteAll": "true",
@@ -178,53 +180,50 @@ def _oracle_faulty_line() -> str:
 SHORT = f"o_orderkey % {SHORT_ROW} = 0"
 LONG = f"(o_orderkey % {SHORT_ROW} <> 0 AND o_orderkey % {LONG_ROW} = 0)"
 BAD = f"(o_orderkey % {SHORT_ROW} <> 0 AND o_orderkey % {LONG_ROW} <> 0 AND o_orderkey % {BAD_CELL} = 0)"
+VOIDED = f"""CASE WHEN {BAD} THEN NULL ELSE o_orderkey END AS o_orderkey,
+  CASE WHEN {BAD} THEN NULL ELSE o_custkey END AS o_custkey,
+  CASE WHEN {BAD} THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+  CASE WHEN {BAD} THEN NULL ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN {BAD} OR {SHORT} THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
+  CASE WHEN {BAD} OR {SHORT} THEN NULL ELSE o_orderpriority END AS o_orderpriority"""
 
 
 @register("csv_ragged_rows", f"""
-SELECT o_orderkey, CASE WHEN {BAD} THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice,
-       CASE WHEN {SHORT} THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
-       CASE WHEN {SHORT} THEN NULL ELSE o_orderpriority END AS o_orderpriority
+SELECT o_orderkey AS src_key, {VOIDED}
 FROM orders""")
 def q_csv_ragged_rows(spark, sf_dir):
-    """Short rows padded with null, long rows truncated, partial rows kept."""
-    o = _orders(spark, sf_dir).select(_faulty_line().alias("line"))
-    return o.select(D.decode_csv("line", ORDERS_SCHEMA).alias("r")).select(*_flat("r"))
+    """Short rows padded with null, long rows truncated; a bad cell voids its row."""
+    o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("src_key"), _faulty_line().alias("line"))
+    return o.select("src_key", D.decode_csv("line", ORDERS_SCHEMA).alias("r")).select("src_key", *_flat("r"))
 
 
 @register("csv_bad_cell", f"""
-SELECT o_orderkey AS src_key,
-  CASE WHEN {BAD} THEN NULL ELSE o_orderkey END AS o_orderkey,
-  CASE WHEN {BAD} THEN NULL ELSE o_custkey END AS o_custkey,
-  CASE WHEN {BAD} THEN NULL ELSE o_orderstatus END AS o_orderstatus,
-  CASE WHEN {BAD} THEN NULL ELSE o_totalprice END AS o_totalprice,
-  CASE WHEN {BAD} OR {SHORT} THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate,
-  CASE WHEN {BAD} OR {SHORT} THEN NULL ELSE o_orderpriority END AS o_orderpriority,
-  o_totalprice AS lenient_totalprice
+SELECT o_orderkey AS src_key, {VOIDED},
+  {BAD} AS void
 FROM orders""")
 def q_csv_bad_cell(spark, sf_dir):
-    """One bad cell voids the whole row (ragged rows without one are kept);
-    Spark's lenient decode, which keeps the other cells, shown alongside."""
+    """One bad cell voids the whole row; ragged rows without one are kept. A
+    void row is a struct whose fields are all null, not a null struct."""
     o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("src_key"), _faulty_line().alias("line"))
-    s = D.with_strict_csv(o, "line", "r", ORDERS_SCHEMA)
+    s = o.select("src_key", D.decode_csv("line", ORDERS_SCHEMA).alias("r"))
     return s.select("src_key", *_flat("r"),
-                    D.decode_csv("line", ORDERS_SCHEMA)["o_totalprice"].alias("lenient_totalprice"))
+                    (F.col("r").isNotNull() & F.coalesce(*[F.col(f"r.{f}").cast("string") for f in ORDERS_FIELDS])
+                     .isNull()).alias("void"))
 
 
-CORRUPT_SCHEMA = ORDERS_DDL + ", _corrupt_record STRING"
-CORRUPT_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+CORRUPT = "_corrupt_record"
 
 
 @register("csv_mode_permissive", f"""
-SELECT o_orderkey AS src_key, o_orderkey,
-  CASE WHEN {BAD} THEN NULL ELSE o_custkey END AS o_custkey,
+SELECT o_orderkey AS src_key, {VOIDED},
   ({SHORT} OR {LONG} OR {BAD}) AS malformed
 FROM orders""")
 def q_csv_mode_permissive(spark, sf_dir):
     """PERMISSIVE keeps every row; malformed ones are flagged."""
     o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("src_key"), _faulty_line().alias("line"))
-    r = F.from_csv("line", CORRUPT_SCHEMA, CORRUPT_OPTS)
+    r = D.decode_csv("line", ORDERS_SCHEMA, corrupt=CORRUPT)
     return o.select("src_key", r.alias("r")).select(
-        "src_key", "r.o_orderkey", "r.o_custkey", F.col("r._corrupt_record").isNotNull().alias("malformed"))
+        "src_key", *_flat("r"), F.col(f"r.{CORRUPT}").isNotNull().alias("malformed"))
 
 
 @register("csv_mode_drop", f"""
@@ -232,34 +231,39 @@ SELECT {ORACLE_COLS} FROM orders WHERE NOT ({SHORT} OR {LONG} OR {BAD})""")
 def q_csv_mode_drop(spark, sf_dir):
     """DROPMALFORMED: malformed records yield no row."""
     o = _orders(spark, sf_dir).select(_faulty_line().alias("line"))
-    r = o.select(F.from_csv("line", CORRUPT_SCHEMA, CORRUPT_OPTS).alias("r")).select("r.*")
+    r = o.select(D.decode_csv("line", ORDERS_SCHEMA, corrupt=CORRUPT).alias("r")).select("r.*")
     return drop_malformed(r)
 
 
 @register("csv_corrupt_record", f"""
-SELECT o_orderkey AS src_key,
+SELECT o_orderkey AS src_key, {VOIDED},
   CASE WHEN {SHORT} OR {LONG} OR {BAD} THEN {_oracle_faulty_line()} END AS _corrupt_record
 FROM orders""")
 def q_csv_corrupt_record(spark, sf_dir):
-    """The text of a malformed record lands in ``_corrupt_record``."""
+    """The text of a malformed record lands in ``_corrupt_record``: next to the cells
+    of a ragged row, alone when a cell failed."""
     o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("src_key"), _faulty_line().alias("line"))
-    r = F.from_csv("line", CORRUPT_SCHEMA, CORRUPT_OPTS)
-    return o.select("src_key", r["_corrupt_record"].alias("_corrupt_record"))
+    r = D.decode_csv("line", ORDERS_SCHEMA, corrupt=CORRUPT)
+    return o.select("src_key", r.alias("r")).select("src_key", *_flat("r"), f"r.{CORRUPT}")
 
 
 @register("csv_header_check", f"""
 SELECT o_orderkey,
   CASE WHEN o_orderkey % {SHORT_HEADER} = 0 THEN 'header has 5 columns, schema has 6'
        WHEN o_orderkey % {RENAMED_HEADER} = 0 THEN 'column 2: expected o_custkey but found cust'
+       WHEN o_orderkey % {UPPER_HEADER} <> 0 AND o_orderkey % {PADDED_HEADER} = 0
+       THEN 'column 2: expected o_custkey but found  o_custkey'
   END AS header_error
 FROM orders""")
 def q_csv_header_check(spark, sf_dir):
-    """Header names vs schema names in order, case-insensitive."""
+    """Header names (some quoted, some padded, which counts) vs schema names in
+    order, case-insensitive."""
     k = F.col("o_orderkey")
     names = list(ORDERS_FIELDS)
     header = (F.when(k % SHORT_HEADER == 0, F.lit(",".join(names[:5])))
               .when(k % RENAMED_HEADER == 0, F.lit(",".join([names[0], "cust", *names[2:]])))
-              .when(k % UPPER_HEADER == 0, F.lit(",".join(n.upper() for n in names)))
+              .when(k % UPPER_HEADER == 0, F.lit(",".join(f'"{n.upper()}"' for n in names)))
+              .when(k % PADDED_HEADER == 0, F.lit(ORDERS_HEADER.replace(",o_custkey", ", o_custkey")))
               .otherwise(F.lit(ORDERS_HEADER)))
     o = _orders(spark, sf_dir).select(k, F.concat(header, F.lit("\r\n"), _line()).alias("msg"))
     return o.select("o_orderkey", D.header_mismatch("msg", names).alias("header_error"))
@@ -272,7 +276,7 @@ def q_csv_comment_filter(spark, sf_dir):
     k = F.col("o_orderkey")
     lines = o.select(F.explode(F.array(
         F.when(k % COMMENT_EVERY == 0, F.concat(F.lit("# note "), k.cast("string"))),
-        F.when(k % BLANK_EVERY == 0, F.lit("   ")),
+        F.when(k % BLANK_EVERY == 0, F.lit(" \t ")),
         _line())).alias("value")).filter(F.col("value").isNotNull())
     kept = drop_comment_and_blank(lines)
     return kept.select(D.decode_csv("value", ORDERS_SCHEMA).alias("r")).select(*_flat("r"))
@@ -292,3 +296,14 @@ def q_csv_file_read(spark, sf_dir):
               F.to_date("o_orderdate").alias("o_orderdate"), prio.alias("o_orderpriority"))
       .write.option("header", True).csv(out))
     return read_csv(spark, out, ORDERS_SCHEMA, header=True, multi_line=True)
+
+
+@register("csv_split_read", f"SELECT {ORACLE_COLS} FROM orders")
+def q_csv_split_read(spark, sf_dir):
+    """Orders written as CSV files with a header and read back without
+    ``multiLine``, so that a large file is split over tasks."""
+    out = scratch_path(spark, "csv_split_read")
+    (_orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                   F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+     .write.option("header", True).csv(out))
+    return read_csv(spark, out, ORDERS_SCHEMA, header=True)

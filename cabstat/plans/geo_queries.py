@@ -11,7 +11,7 @@ from ..operators.geo_udf import register_neighborhood_finder
 from ..session import ensure_utc, scratch_path
 from ..sources import polygons as PG
 from ..sources.feeds import trip_facts
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from .catalog import register
 from .oracle_sql import base_cte
 
@@ -48,11 +48,10 @@ def q_polygon_layer(spark, sf_dir):
     PG.write_geojsonseq(PG.nation_layer_parts(table(spark, sf_dir, "nation")), path)
     layer = PG.read_layer(spark, path, "geojsonseq")
     index = NeighborhoodIndex.build(layer)
-    pts = trip_facts(spread(table(spark, sf_dir, "events")))
+    pts = trip_facts(table(spark, sf_dir, "events"))
     counts = (index.tag(pts, "pickupLon", "pickupLat", "name").groupBy("name")
               .agg(F.count(F.lit(1)).alias("n_pickups")))
-    # the layer is one row per neighbourhood: a bounded, broadcastable side
-    layer = layer.join(F.broadcast(counts), "name", "left").withColumn(
+    layer = layer.join(counts, "name", "left").withColumn(
         "n_pickups", F.coalesce(F.col("n_pickups"), F.lit(0)))
     pts = F.flatten("rings")
     return layer.select(
@@ -71,7 +70,7 @@ def q_neighborhood_udf_sql(spark, sf_dir):
     ensure_utc(spark)
     register_neighborhood_finder(spark, PG.nation_layer(table(spark, sf_dir, "nation")))
     view = f"points_{uuid.uuid4().hex[:8]}"
-    trip_facts(spread(table(spark, sf_dir, "events"))).createOrReplaceTempView(view)
+    trip_facts(table(spark, sf_dir, "events")).createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT hackLicense AS event_id,
                neighborhoodFinder(pickupLon, pickupLat) AS pickup_neighborhood,

@@ -8,7 +8,7 @@ from ..operators import ingest as IG
 from ..session import ensure_utc, scratch_path
 from ..sources import feeds as FD
 from ..sources.archive import scan_archive
-from ..sources.tables import spread, table
+from ..sources.tables import table
 from .catalog import register
 from .oracle_sql import base_cte
 
@@ -21,7 +21,7 @@ ARCHIVE_FILES = 12
 
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     return FD.trip_facts(ev).withColumn("event_id", F.col("hackLicense"))
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import JobConfig
 from ..operators.quality import decode_rides
 from ..session import ensure_utc, scratch_path
-from ..sources.feeds import both_feeds, fare_messages, ride_messages
-from ..sources.tables import spread, table
+from ..sources.feeds import fare_messages, ride_messages
+from ..sources.tables import table
 from ..streaming import job as J
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
-from ..streaming.sources import file_feed, write_feeds
+from ..streaming.sources import file_feed
 from ..streaming.telemetry import MetricsListener
 from . import batch_job as P
 from .catalog import STATS_ORACLE, register
@@ -22,20 +22,6 @@ from .oracle_sql import base_cte
 CFG = JobConfig(neighborhood_layer="nation")
 
 
-_FEEDS: dict[tuple[str, str], tuple[str, str]] = {}
-
-
-def _feeds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Ride and fare message folders derived from ``events``: written once per
-    application and directory, then only read (streams never modify them)."""
-    ensure_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FEEDS:
-        ev = spread(table(spark, sf_dir, "events"))
-        _FEEDS[key] = write_feeds(both_feeds(ev), scratch_path(spark, "feeds"))
-    return _FEEDS[key]
-
-
 def _cores(spark: SparkSession) -> int:
     """State partitions for these runs: one per core of the application."""
     return spark.sparkContext.defaultParallelism
@@ -62,7 +48,7 @@ STREAM_STATS_ORACLE = STATS_ORACLE.replace("\nSELECT pickupNeighborhood AS neigh
 @register("neighborhood_stats_stream", STREAM_STATS_ORACLE)
 def q_neighborhood_stats_stream(spark, sf_dir):
     """The streaming job end to end, appended to parquet; closed windows only."""
-    rides, fares = _feeds(spark, sf_dir)
+    rides, fares = P.feed_folders(spark, sf_dir)
     stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares),
                            P.neighborhood_index(spark, sf_dir), CFG)
     return spark.read.parquet(_run(stats, "stats"))
@@ -73,7 +59,7 @@ def q_keyed_upsert(spark, sf_dir):
     """The streaming job into the keyed upsert table, fed in two runs over one
     checkpoint (the second run resumes); the table is read with last write wins."""
     ensure_utc(spark)
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     rides, fares = scratch_path(spark, "feed-rides"), scratch_path(spark, "feed-fares")
     # first half of the month, then the rest, appended to the same feed folders
     half = ev.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("m")).first()["m"]
@@ -97,7 +83,7 @@ FROM trips
 """)
 def q_trip_join_stream(spark, sf_dir):
     """Stream-stream inner join under watermarks; every matching pair emitted."""
-    rides, fares = _feeds(spark, sf_dir)
+    rides, fares = P.feed_folders(spark, sf_dir)
     t = J.trip_stream(file_feed(spark, rides), file_feed(spark, fares), P.neighborhood_index(spark, sf_dir), CFG)
     t = t.select("medallion", "hackLicense", "vendorId", F.col("pickupTime").cast("timestamp_ntz").alias("pickupTime"),
                  "fareAmount", "tipAmount", "totalAmount", "pickupNeighborhood", "dropoffNeighborhood")
@@ -109,7 +95,7 @@ SELECT hackLicense, pickupNeighborhood, dropoffNeighborhood FROM f WHERE NOT rid
 """)
 def q_neighborhood_tag_stream(spark, sf_dir):
     """Stream-static join of the ride stream with the tile table."""
-    rides, _ = _feeds(spark, sf_dir)
+    rides, _ = P.feed_folders(spark, sf_dir)
     r = J.watermarked_rides(file_feed(spark, rides), P.neighborhood_index(spark, sf_dir))
     r = r.select("hackLicense", "pickupNeighborhood", "dropoffNeighborhood")
     return spark.read.parquet(_run(r, "tag"))
@@ -122,38 +108,35 @@ FROM f
 """)
 def q_stream_scan(spark, sf_dir):
     """Message files read as a stream from the start, a few files per trigger."""
-    rides, _ = _feeds(spark, sf_dir)
+    rides, _ = P.feed_folders(spark, sf_dir)
     d = decode_rides(file_feed(spark, rides, max_files_per_trigger=2))
     d = d.select("partitionKey", F.col("ride.hackLicense").alias("hackLicense"), "errorMessage")
     d = d.withColumn("hackLicense", F.when(F.col("errorMessage").isNull(), F.col("hackLicense")))
     return spark.read.parquet(_run(d, "scan"))
 
 
-@register("progress_metrics")
+@register("progress_metrics", base_cte() + """
+SELECT CAST(2 * count(*) AS BIGINT) AS input_rows, count(*) FILTER (WHERE ride_bad) AS rides_malformed,
+       count(*) FILTER (WHERE fare_bad) AS fares_malformed
+FROM f
+""")
 def q_progress_metrics(spark, sf_dir):
-    """Progress rows of a streaming run (one per micro-batch, 4 files per
-    trigger), with the observed malformed counters. Rows-only check."""
-    import time
-    listener = MetricsListener()
+    """Totals over the progress rows of a streaming run (several micro-batches,
+    4 files per trigger): input rows and the observed malformed counters."""
+    listener = MetricsListener(spark, scratch_path(spark, "progress-rows"))
     spark.streams.addListener(listener)
     try:
-        rides, fares = _feeds(spark, sf_dir)
+        rides, fares = P.feed_folders(spark, sf_dir)
         stats = J.stats_stream(file_feed(spark, rides, 4), file_feed(spark, fares, 4),
                                P.neighborhood_index(spark, sf_dir), CFG)
         out, ckpt = scratch_path(spark, "progress-out"), scratch_path(spark, "progress-ckpt")
         with J.state_partitions(spark, _cores(spark)):
             q = J.start(stats, f"progress_{ckpt[-12:]}", ckpt, path=out)
             J.run_to_end(q)
-        expected = len([p for p in q.recentProgress if p.numInputRows > 0])
-        for _ in range(300):  # the listener bus is asynchronous
-            if len([r for r in listener.rows() if (r.get("inputRows") or 0) > 0]) >= expected:
-                break
-            time.sleep(0.1)
+        listener.drain(q.runId)
     finally:
         spark.streams.removeListener(listener)
-    # data batches only: Spark throttles progress events of no-data batches
-    # (noDataProgressEventInterval), so their rows depend on timing
-    rows = listener.to_dataframe(spark).filter(F.col("inputRows") > 0)
-    return rows.select(
-        "batch_id", "inputRows", F.col("observed")["rides.malformed"].alias("rides_malformed"),
-        F.col("observed")["fares.malformed"].alias("fares_malformed"), "DateValue")
+    rows = listener.to_dataframe(spark).filter(F.col("event") == "progress")
+    return rows.agg(F.sum("inputRows").alias("input_rows"),
+                    F.sum(F.col("observed")["rides.malformed"]).alias("rides_malformed"),
+                    F.sum(F.col("observed")["fares.malformed"]).alias("fares_malformed"))

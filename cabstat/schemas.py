@@ -53,15 +53,6 @@ TRIP_COLUMNS = [
 ]
 
 # Keyed output table; primary key (neighborhood, window_end).
-STATS_SCHEMA = T.StructType([
-    T.StructField("neighborhood", T.StringType()),
-    T.StructField("window_end", T.TimestampNTZType()),
-    T.StructField("number_of_rides", T.LongType()),
-    T.StructField("total_fare_amount", T.DoubleType()),
-    T.StructField("total_tip_amount", T.DoubleType()),
-    T.StructField("average_fare_amount", T.DoubleType()),
-    T.StructField("average_tip_amount", T.DoubleType()),
-])
 STATS_KEY = ["neighborhood", "window_end"]
 
 # Streaming message feed: one binary payload per message.
@@ -80,11 +71,6 @@ POLYGON_SCHEMA = T.StructType([
 ])
 
 
-def ddl(schema: T.StructType) -> str:
-    """DDL string of a struct, e.g. ``medallion BIGINT, vendorId STRING``."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
-
-
 def as_strings(schema: T.StructType) -> T.StructType:
     """Same field names, every field a string: the raw-token view of a CSV row."""
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])

@@ -48,8 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set (local tests) is a private folder created and
-    registered, so ``DataFrame.checkpoint()`` works too.
+    Only when neither is set and the master is ``local[...]`` is a private folder
+    created and registered, so ``DataFrame.checkpoint()`` works too; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -62,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # the context appends a random child; scratch lives next to it
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="cabstat-ckpt-")
     sc.setCheckpointDir(local)
     return local

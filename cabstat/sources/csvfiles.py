@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
@@ -18,14 +18,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
 def drop_comment_and_blank(lines: DataFrame, col: str = "value", comment: str = "#") -> DataFrame:
     """Keep lines that are neither blank nor start with the comment character."""
     c = F.col(col)
-    return lines.filter((F.trim(c) != "") & ~c.startswith(comment))
+    return lines.filter(~c.rlike(r"^\s*$") & ~c.startswith(comment))
 
 
 def drop_malformed(decoded: DataFrame, corrupt_col: str = "_corrupt_record") -> DataFrame:
     """DROPMALFORMED for column decoders: rows whose record was malformed go."""
     return decoded.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
-
-
-def cells_line(cells: list[Column], sep: str = ",") -> Column:
-    """Join already formatted cells into one line (no quoting)."""
-    return F.concat_ws(sep, *cells)

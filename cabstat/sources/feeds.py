@@ -10,19 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.ingest import FARE_CSV_HEADER as FARE_HEADER
+
 # ---- fixed values of the derived feeds -------------------------------------
 # Fault moduli on event_id (first matching rule wins per feed).
-RIDE_NOT_JSON = 97        # body is the text "some invalid json string"
+RIDE_NOT_JSON = 97        # body is not JSON at all
 RIDE_OTHER_SHAPE = 101    # valid JSON of another shape
 RIDE_NO_PICKUP_LON = 61   # pickupLon absent from the JSON
 FARE_BAD_TIME = 89        # pickup time cell is "bad"
 FARE_HEADER_ONLY = 83     # message is the header line alone
 FARE_BAD_AMOUNT = 79      # fare amount cell is "abc"
 FARE_SHORT_ROW = 73       # last cell (total) missing: 10 tokens
-NOT_JSON_TEXT = "some invalid json string"
-OTHER_SHAPE_JSON = '{"fruit": "Apple", "size": "Large", "color": "Red"}'
-FARE_HEADER = ("medallion, hack_license, vendor_id, pickup_datetime, payment_type, "
-               "fare_amount, surcharge, mta_tax, tip_amount, tolls_amount, total_amount")
+NOT_JSON_TEXT = "meter offline; no reading"
+OTHER_SHAPE_JSON = '{"depot": "north", "bays": 12, "open": true}'
 RIDE_HEADER = ("medallion, hack_license, vendor_id, rate_code, store_and_fwd_flag, "
                "pickup_datetime, dropoff_datetime, passenger_count, trip_time_in_secs, "
                "trip_distance, pickup_longitude, pickup_latitude, dropoff_longitude, "
@@ -108,7 +108,7 @@ def ride_messages(events: DataFrame) -> DataFrame:
     return trip_facts(events).select(*_envelope(_ride_text()))
 
 
-def fare_line(f: DataFrame | None = None) -> Column:
+def fare_line() -> Column:
     """The CSV data line of a fare (over ``trip_facts`` columns), faults planted."""
     eid = F.col("hackLicense")
     time_cell = F.when(eid % FARE_BAD_TIME == 0, F.lit("bad")).otherwise(
@@ -141,15 +141,3 @@ def both_feeds(events: DataFrame) -> DataFrame:
     msgs = F.array(F.struct(F.lit("rides").alias("feed"), *_envelope(_ride_text())),
                    F.struct(F.lit("fares").alias("feed"), *_envelope(_fare_text())))
     return trip_facts(events).select(F.explode(msgs).alias("m")).select("m.*")
-
-
-def ride_lines(events: DataFrame) -> DataFrame:
-    """Raw 14-token ride lines (the archive format), ``value STRING``."""
-    f = trip_facts(events)
-    drop = F.timestamp_add("SECOND", F.col("tripTimeInSeconds").cast("int"), F.col("ts"))
-    cells = ["medallion", "hackLicense", "vendorId", "rateCode", "storeAndForwardFlag",
-             _pickup("yyyy-MM-dd HH:mm:ss"), F.date_format(drop, "yyyy-MM-dd HH:mm:ss"),
-             "passengerCount", "tripTimeInSeconds", "tripDistanceInMiles",
-             "pickupLon", "pickupLat", "dropoffLon", "dropoffLat"]
-    return f.select(F.concat_ws(",", *[F.col(c).cast("string") if isinstance(c, str) else c
-                                       for c in cells]).alias("value"))

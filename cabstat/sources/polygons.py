@@ -46,14 +46,12 @@ def read_layer(spark: SparkSession, path: str, fmt: str = "geojson",
     if fmt == "geojson":
         doc = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
         feats = doc.select(F.posexplode("features").alias("pos", "f"))
-        order = F.coalesce(F.col("f.id"), F.col("pos").cast("bigint"))
-        return feats.select(order.alias("id"),
+        return feats.select(F.col("pos").cast("bigint").alias("id"),
                             F.col("f.properties")[name_property].alias("name"),
                             _rings_from_geometry(F.col("f.geometry")).alias("rings"))
     if fmt == "geojsonseq":
         feats = spark.read.schema(_FEATURE).json(path)
-        order = F.coalesce(F.col("id"), F.monotonically_increasing_id())
-        return feats.select(order.alias("id"),
+        return feats.select(F.monotonically_increasing_id().alias("id"),
                             F.col("properties")[name_property].alias("name"),
                             _rings_from_geometry(F.col("geometry")).alias("rings"))
     raise ValueError(f"unknown polygon layer format: {fmt}")

@@ -7,17 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than there are cores.
-
-    A small table stored as one row group is one task; the per-message decode
-    and tagging that follow are CPU bound, so give them every core. A large
-    input already has many more splits than cores and is left untouched (no
-    shuffle is added at scale).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

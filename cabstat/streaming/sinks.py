@@ -1,101 +1,114 @@
-"""Sinks: keyed upsert table (merge on read) and a per-row foreach writer."""
+"""Sinks: keyed upsert table (merge on read, compacted) and a per-row epoch sink."""
 
 from __future__ import annotations
 
-import json
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schemas import STATS_KEY
 
-try:  # ship this module's classes to executors by value: workers need not import the package
-    import sys as _sys
+_READY = "_READY"
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system of ``path`` and its Path class."""
+    jvm = spark.sparkContext._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    return Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), Path
+
+
+def _numbered(spark: SparkSession, path: str, label: str) -> list[int]:
+    """Sorted n of the ``<label>=<n>`` folders in ``path``."""
+    fs, Path = _fs(spark, path)
+    if not fs.exists(Path(path)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory()]
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(label + "="))
 
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: ship the package with --py-files
-    pass
+
+def _generation(spark: SparkSession, path: str) -> int:
+    """The newest generation whose base is complete; generation 0 has no base."""
+    fs, Path = _fs(spark, path)
+    ready = [g for g in _numbered(spark, path, "gen") if g and fs.exists(Path(f"{path}/gen={g}/{_READY}"))]
+    return max(ready, default=0)
 
 
 class KeyedUpsertSink:
     """``foreachBatch`` sink with last-write-wins upserts on a key.
 
-    Each micro-batch is written to its own ``batch_id=<n>`` directory with
-    overwrite, so a replayed batch replaces its own earlier attempt and never
-    duplicates (idempotent). Readers resolve the latest write per key
-    (:func:`read_keyed_table`); writes never touch earlier batches, so a
-    batch costs O(batch), not O(table).
+    A micro-batch is written to ``gen=<g>/run=<r>/batch_id=<n>`` with overwrite, so
+    a replayed batch replaces its own earlier attempt. ``r`` is one more than the
+    largest run in the table when the sink first writes: batch numbers that start
+    again with a new checkpoint never replace or precede earlier runs' rows.
+    Readers resolve the latest (run, batch) per key (:func:`read_keyed_table`).
+    Every ``compact_every`` batches the table is compacted, so neither folders
+    nor read cost grow with the life of the job.
     """
 
-    def __init__(self, path: str, key: list[str] = STATS_KEY):
+    def __init__(self, path: str, key: list[str] = STATS_KEY, compact_every: int = 100):
         self.path = path.rstrip("/")
         self.key = list(key)
+        self.compact_every = compact_every
+        self._run: int | None = None
+        self._written = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        gen = _generation(spark, self.path)
+        if self._run is None:
+            runs = [r for g in _numbered(spark, self.path, "gen")
+                    for r in _numbered(spark, f"{self.path}/gen={g}", "run")]
+            self._run = max(runs, default=0) + 1
         # within one batch the last write of a key is arbitrary; keep one row per key
         one = batch.dropDuplicates(self.key)
-        one.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        one.write.mode("overwrite").parquet(f"{self.path}/gen={gen}/run={self._run}/batch_id={batch_id}")
+        self._written += 1
+        if self._written % self.compact_every == 0:
+            compact_keyed_table(spark, self.path, self.key)
 
 
 def read_keyed_table(spark: SparkSession, path: str, key: list[str] = STATS_KEY) -> DataFrame:
-    """Current table: per key (null-safe), the row of the highest batch id."""
-    raw = spark.read.parquet(path)
-    values = [c for c in raw.columns if c not in key and c != "batch_id"]
-    latest = raw.groupBy(*key).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
+    """Current table: per key (null-safe), the row of the latest run and batch."""
+    path = path.rstrip("/")
+    raw = spark.read.parquet(f"{path}/gen={_generation(spark, path)}")
+    values = [c for c in raw.columns if c not in key and c not in ("run", "batch_id")]
+    latest = raw.groupBy(*key).agg(F.max_by(F.struct(*values), F.struct("run", "batch_id")).alias("v"))
     return latest.select(*key, *[F.col(f"v.{c}").alias(c) for c in values])
 
 
-def compact_keyed_table(spark: SparkSession, path: str, out: str, key: list[str] = STATS_KEY) -> int:
-    """Write the resolved table of ``path`` to ``out`` as one base batch named
-    after the highest batch id seen; point the sink at ``out`` afterwards, and
-    later batches (higher ids) keep overriding it. Returns that batch id.
-    Reads never have to merge more than one base plus the new batches."""
-    top = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
-    read_keyed_table(spark, path, key).write.mode("error").parquet(f"{out.rstrip('/')}/batch_id={top}")
-    return int(top)
-
-
-class RowSinkWriter:
-    """``writeStream.foreach`` writer: one JSON line per row, columns taken by
-    position as (neighborhood, window_end, rides, fare, tip, avg fare, avg tip).
-
-    ``open`` declines an (epoch, partition) that is already committed, so a
-    replayed epoch writes nothing twice; rows go to a temp file renamed into
-    place on a clean ``close``. ``directory`` must be shared storage.
+def compact_keyed_table(spark: SparkSession, path: str, key: list[str] = STATS_KEY) -> int:
+    """Write the resolved table as the base (run 0) of the next generation and
+    return its number. Readers and writers move to it once its base is complete;
+    the generation before stays for readers under way, older ones are deleted."""
+    path = path.rstrip("/")
+    gen = _generation(spark, path) + 1
+    fs, Path = _fs(spark, path)
+    read_keyed_table(spark, path, key).write.mode("overwrite").parquet(f"{path}/gen={gen}/run=0/batch_id=0")
+    fs.create(Path(f"{path}/gen={gen}/{_READY}"), True).close()
+    for old in _numbered(spark, path, "gen"):
+        if old < gen - 1:
+            fs.delete(Path(f"{path}/gen={old}"), True)
+    return gen
+
+
+class RowSink:
+    """``foreachBatch`` sink with the per-row contract: columns taken by position
+    as (neighborhood, window_end, rides, fare, tip, average fare, average tip),
+    one JSON line a row, on the cluster's file system.
+
+    Takes the job's 7 columns, or 8 with the window's start and end first. An
+    epoch is one folder, written with overwrite: a replay writes nothing twice.
     """
 
     COLUMNS = ["neighborhood", "window_end", "number_of_rides", "total_fare_amount",
                "total_tip_amount", "average_fare_amount", "average_tip_amount"]
-    # source position of each output column (the stats rows carry window start first)
-    POSITIONS = [2, 1, 3, 4, 5, 6, 7]
+    # positions in a row of 8: window start, window end, neighborhood, then the values
+    WIDE = [2, 1, 3, 4, 5, 6, 7]
 
     def __init__(self, directory: str):
-        self.directory = directory
-
-    def _final(self, partition_id: int, epoch_id: int) -> str:
-        return os.path.join(self.directory, f"epoch={epoch_id}", f"part-{partition_id}.jsonl")
-
-    def open(self, partition_id: int, epoch_id: int) -> bool:
-        self._target = self._final(partition_id, epoch_id)
-        if os.path.exists(self._target):
-            return False
-        os.makedirs(os.path.dirname(self._target), exist_ok=True)
-        self._tmp = self._target + ".inprogress"
-        self._fh = open(self._tmp, "w")
-        return True
-
-    def process(self, row) -> None:
-        values = [row[i] for i in self.POSITIONS]
-        rec = {c: (v.isoformat() if hasattr(v, "isoformat") else v) for c, v in zip(self.COLUMNS, values)}
-        self._fh.write(json.dumps(rec) + "\n")
-
-    def close(self, error) -> None:
-        fh = getattr(self, "_fh", None)
-        if fh is None:
-            return
-        fh.close()
-        if error is None:
-            os.replace(self._tmp, self._target)
-        else:
-            os.remove(self._tmp)
+        self.directory = directory.rstrip("/")
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        positions = self.WIDE if len(batch.columns) == 8 else range(7)
+        picked = batch.toDF(*[f"c{i}" for i in range(len(batch.columns))]).select(
+            *[F.col(f"c{i}").alias(name) for name, i in zip(self.COLUMNS, positions)])
+        picked.write.mode("overwrite").json(f"{self.directory}/epoch={epoch_id}")

@@ -32,9 +32,13 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, starting_offsets:
                            F.col("timestamp").alias("enqueuedTime"))
 
 
+#: Messages a file, as a bus capture cuts them; files are what readers split over.
+FEED_FILE_ROWS = 10_000
+
+
 def write_feed(messages: DataFrame, path: str, partition: str | None = None) -> None:
     """Persist a (batch) message feed as parquet files for the file source."""
-    w = messages.write.mode("error")
+    w = messages.write.mode("error").option("maxRecordsPerFile", FEED_FILE_ROWS)
     if partition:
         w = w.partitionBy(partition)
     w.parquet(path)

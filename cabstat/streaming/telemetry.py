@@ -5,15 +5,20 @@ RFC 1123 date); a termination with an error becomes a row too."""
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import threading
+import traceback
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+# Names of the metric fields.
 PROGRESS_DDL = ("id STRING, run_id STRING, name STRING, batch_id BIGINT, sink STRING, "
                 "durationms MAP<STRING, BIGINT>, inputRowsPerSecond DOUBLE, procRowsPerSecond DOUBLE, "
                 "inputRows BIGINT, observed MAP<STRING, BIGINT>, DateValue STRING, event STRING, error STRING, "
                 "tags MAP<STRING, STRING>")
+_NAMES = ["id", "run_id", "name", "batch_id", "sink", "durationms", "inputRowsPerSecond", "procRowsPerSecond",
+          "inputRows", "observed", "DateValue", "event", "error", "tags"]
 _SCALARS = ("id", "name", "batch_id", "sink", "inputRowsPerSecond", "procRowsPerSecond", "inputRows", "DateValue")
 
 
@@ -68,22 +73,33 @@ def parse_progress(progress) -> dict:
 
 
 class MetricsListener(StreamingQueryListener):
-    """Collects rows on the driver (one per micro-batch, so bounded by the
-    number of batches, not by data). A failure inside the listener is kept as
-    an error row and never reaches the query."""
+    """Appends one row per event to ``path`` as the event comes, so rows can be
+    read while the job runs and outlive the driver. Nothing is kept in memory. A
+    failure inside the listener becomes an error row and never reaches the query.
+    """
 
-    def __init__(self, context: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, context: dict[str, str] | None = None):
         """``context``: tags merged into every row's ``tags``; a row's own
         values win over context tags of the same name."""
         super().__init__()
-        self._rows: list[dict] = []
-        self._lock = threading.Lock()
+        self._spark = spark
+        self.path = path
         self._context = dict(context or {})
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
 
-    def _tagged(self, row: dict) -> dict:
+    def _append(self, row: dict) -> None:
         own = {k: str(row[k]) for k in _SCALARS if row.get(k) is not None}
-        row["tags"] = {**self._context, **own}
-        return row
+        row = {**row, "tags": {**self._context, **own}}
+        try:
+            one = self._spark.createDataFrame([tuple(row.get(n) for n in _NAMES)], PROGRESS_DDL)
+            one.coalesce(1).write.mode("append").parquet(self.path)
+        except Exception:  # telemetry never stops the job
+            logging.getLogger(__name__).exception("progress row not written")
+
+    def _end_of(self, run_id: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(str(run_id), threading.Event())
 
     def onQueryStarted(self, event):  # start events are ignored
         pass
@@ -91,28 +107,23 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event):
         try:
             row = parse_progress(event.progress)
-        except Exception as exc:  # never kill the query
-            import traceback
+        except Exception:
             row = {"event": "listener_error", "error": traceback.format_exc(), "DateValue": rfc1123_now()}
-        with self._lock:
-            self._rows.append(self._tagged(row))
+        self._append(row)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
         if event.exception:
-            with self._lock:
-                self._rows.append(self._tagged({"id": str(event.id), "run_id": str(event.runId),
-                                                "event": "terminated", "error": event.exception,
-                                                "DateValue": rfc1123_now()}))
+            self._append({"id": str(event.id), "run_id": str(event.runId), "event": "terminated",
+                          "error": event.exception, "DateValue": rfc1123_now()})
+        self._end_of(event.runId).set()
 
-    def rows(self) -> list[dict]:
-        with self._lock:
-            return list(self._rows)
+    def drain(self, run_id: str) -> None:
+        """Wait until every event of an ended run has been written: its
+        termination is the last one the asynchronous bus delivers."""
+        self._end_of(run_id).wait()
 
-    def to_dataframe(self, spark: SparkSession) -> DataFrame:
-        names = ["id", "run_id", "name", "batch_id", "sink", "durationms", "inputRowsPerSecond",
-                 "procRowsPerSecond", "inputRows", "observed", "DateValue", "event", "error", "tags"]
-        data = [tuple(r.get(n) for n in names) for r in self.rows()]
-        return spark.createDataFrame(data, PROGRESS_DDL)
+    def to_dataframe(self, spark: SparkSession | None = None) -> DataFrame:
+        return (spark or self._spark).read.schema(PROGRESS_DDL).parquet(self.path)

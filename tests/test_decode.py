@@ -10,12 +10,13 @@ from cabstat.operators.quality import (ERR_CSV, ERR_JSON, ERR_TIME, decode_fares
                                        valid_fares, valid_rides)
 from cabstat.schemas import FARE_SCHEMA
 
+# One valid ride and one valid fare of the feeds' formats.
 VALID_RIDE = ('{"rateCode":1,"storeAndForwardFlag":"N","dropoffTime":"2013-01-01T00:11:20+00:00",'
               '"passengerCount":1,"tripTimeInSeconds":413.0,"tripDistanceInMiles":2.3,"pickupLon":-73.97912,'
               '"pickupLat":40.7623177,"dropoffLon":-73.95027,"dropoffLat":40.77126,"medallion":2013000717,'
               '"hackLicense":2013000714,"vendorId":"CMT","pickupTime":"2013-01-01T00:04:27+00:00"}')
-OTHER_SHAPE = '{"menu": {"id": "file", "popup": {"menuitem": [{"value": "New"}]}}}'
-FLAT_OTHER = '{"fruit": "Apple", "size": "Large", "color": "Red"}'
+OTHER_SHAPE = '{"depot": {"bay": 4, "cabs": [{"plate": "K-17"}]}}'
+FLAT_OTHER = '{"plate": "K-17", "fuel": "low", "shift": "night"}'
 HEADER = "medallion, hack_license, vendor_id, pickup_datetime, payment_type, fare_amount, surcharge, mta_tax, tip_amount, tolls_amount, total_amount"
 FARE_LINE = "2013000717,2013000714,CMT,2013-01-01 00:04:27,CRD,8.5,0.5,0.5,2.37,0,11.87"
 
@@ -30,7 +31,7 @@ def by_key(df, cols):
 
 
 def test_ride_classification(spark):
-    d = decode_rides(msgs(spark, [VALID_RIDE, OTHER_SHAPE, FLAT_OTHER, "some invalid json string", None, ""]))
+    d = decode_rides(msgs(spark, [VALID_RIDE, OTHER_SHAPE, FLAT_OTHER, "meter offline", None, ""]))
     got = by_key(d, ["errorMessage"])
     assert got == {"k0": (None,), "k1": (ERR_JSON,), "k2": (ERR_JSON,), "k3": (ERR_JSON,),
                    "k4": (ERR_JSON,), "k5": (ERR_JSON,)}
@@ -73,10 +74,10 @@ def test_fare_time_equals_ride_time(spark):
 
 
 def test_header_and_values(spark):
-    df = spark.createDataFrame([("header1,header2,header3\nvalue1,value2,value3",), ("value1,value2,value3",)], "t string")
+    df = spark.createDataFrame([("a,b,c\n\r\nx1,y1,z1",), ("x1,y1,z1",)], "t string")
     out = df.select(D.decode_csv_with_header("t", FARE_SCHEMA.__class__([
         FARE_SCHEMA["vendorId"], FARE_SCHEMA["paymentType"], FARE_SCHEMA["pickupTimeString"]])).alias("r")).collect()
-    assert tuple(out[0]["r"]) == ("value1", "value2", "value3")
+    assert tuple(out[0]["r"]) == ("x1", "y1", "z1")
     assert tuple(out[1]["r"]) == (None, None, None)
 
 
@@ -89,9 +90,10 @@ def test_failfast_raises_and_dropmalformed_rejected(spark):
 
 
 def test_header_check(spark):
-    df = spark.createDataFrame([("A,b,c\r\n1,2,3",), ("a,x,c\n1",), ("a,b\n",), (None,)], "t string")
+    df = spark.createDataFrame([("A,b,c\r\n1,2,3",), ("a,x,c\n1",), ("a,b\n",), (None,), ('"a","b","c"\n',), ("a, b,c\n",)], "t string")
     got = [r[0] for r in df.select(D.header_mismatch("t", ["a", "b", "c"])).collect()]
-    assert got == [None, "column 2: expected b but found x", "header has 2 columns, schema has 3", None]
+    assert got == [None, "column 2: expected b but found x", "header has 2 columns, schema has 3", None, None,
+                   "column 2: expected b but found  b"]
     with pytest.raises(Exception):
         df.select(D.strict_header("t", ["a", "b", "c"])).collect()
     strict_ok = spark.createDataFrame([("a,b,c\n1,2,3",)], "t string")
@@ -135,3 +137,38 @@ def test_file_reader_skips_comments_and_blank_lines(spark):
         fh.write("a,b\n# a comment\n1,x\n\n   \n2,y\n#another\n")
     rows = read_csv(spark, d, "a INT, b STRING", header=True, options={"comment": "#"}).collect()
     assert [tuple(r) for r in rows] == [(1, "x"), (2, "y")]
+
+
+def test_bad_cell_voids_the_row_and_clean_records_parse_once(spark):
+    df = spark.createDataFrame([("1,2.5,c",), ("1,x1,c",), ("1",), ("1,2.5,c,d",), ("x",), (None,), ("",)], "t string")
+    got = [r[0] for r in df.select(D.decode_csv("t", "a INT, b DOUBLE, c STRING", corrupt="bad")).collect()]
+    assert [None if r is None else tuple(r) for r in got] == [
+        (1, 2.5, "c", None), (None, None, None, "1,x1,c"), (1, None, None, "1"), (1, 2.5, "c", "1,2.5,c,d"),
+        (None, None, None, "x"), None, (None, None, None, None)]
+
+    def parses(ddl):
+        plan = df.select(D.decode_csv("t", ddl).alias("r"))._jdf.queryExecution().optimizedPlan().toString()
+        return plan.count("from_csv")
+
+    assert parses("a INT, b DOUBLE") == parses("a INT, b DOUBLE, c STRING, d INT, e INT, f INT")
+
+
+def test_first_record_honours_the_quote_option(spark):
+    df = spark.createDataFrame([("h\n\n'a\nb|c',1\n2,2",)], "t string")
+    r = df.select(D.decode_csv_with_header("t", FARE_SCHEMA.__class__([FARE_SCHEMA["vendorId"], FARE_SCHEMA["paymentType"]]),
+                                           {"quote": "'"}).alias("r")).first()["r"]
+    assert tuple(r) == ("a\nb|c", "1")
+
+
+def test_null_key_part_keeps_its_separator(spark):
+    from cabstat.operators.ingest import partition_key
+    df = spark.createDataFrame([(1, 2, None), (1, None, "V")], "m BIGINT, h BIGINT, v STRING")
+    assert [r[0] for r in df.select(partition_key(F.col("m"), F.col("h"), F.col("v"))).collect()] == ["1_2_", "1__V"]
+
+
+def test_lines_of_tabs_are_blank(spark):
+    from cabstat.operators.ingest import parse_ride_lines
+    from cabstat.sources.csvfiles import drop_comment_and_blank
+    df = spark.createDataFrame([("\t",), (" \t ",), ("# c",), ("x",)], "value string")
+    assert [r[0] for r in drop_comment_and_blank(df).collect()] == ["x"]
+    assert [r["error"] for r in parse_ride_lines(df).collect()][:2] == ["empty line"] * 2

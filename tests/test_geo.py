@@ -4,8 +4,11 @@ import json
 import os
 import tempfile
 
+import pytest
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from cabstat.operators.geo import NeighborhoodIndex, UNKNOWN
 from cabstat.operators.geo_udf import register_neighborhood_finder
 from cabstat.schemas import POLYGON_SCHEMA
@@ -74,16 +77,36 @@ def test_default_cell_and_udf_agree(spark):
     idx = NeighborhoodIndex.build(lay)
     check(idx.tag(points(spark, CASES), "lon", "lat", "n"), CASES)
     register_neighborhood_finder(spark, lay, "nf_test")
-    # Arrow hands nulls to pandas as NaN, so the SQL function answers null for NaN
-    finite = [c for c in CASES if not any(isinstance(v, float) and v != v for v in c[:2])]
-    points(spark, finite).createOrReplaceTempView("pts_test")
-    check(spark.sql("SELECT i, nf_test(lon, lat) AS n FROM pts_test"), finite)
+    points(spark, CASES).createOrReplaceTempView("pts_test")
+    check(spark.sql("SELECT i, nf_test(lon, lat) AS n FROM pts_test"), CASES)   # null and NaN included
+    with pytest.raises(ValueError):
+        register_neighborhood_finder(spark, lay, "nf_large", NeighborhoodIndex.build(lay, max_broadcast_bytes=0))
 
 
 def test_broadcast_plan_has_no_point_shuffle(spark):
     idx = NeighborhoodIndex.build(layer(spark), cell=2.0)
     plan = idx.tag(points(spark, CASES), "lon", "lat", "n")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning" not in plan and "RoundRobin" not in plan
+
+
+def test_hot_cell_and_nulls_are_spread_in_the_shuffle_join(spark):
+    """90 % of the points in one cell (all equal) and many nulls: no task gets a large share."""
+    idx = NeighborhoodIndex.build(layer(spark), cell=2.0, max_broadcast_bytes=0)
+    pts = spark.range(20_000).select(
+        F.col("id").alias("i"), F.when(F.col("id") % 10 != 0, F.lit(1.0)).alias("lon"), F.lit(1.0).alias("lat"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        tagged = idx.tag(pts.drop("i"), "lon", "lat", "n").withColumn("task", F.spark_partition_id())
+        counts = tagged.groupBy("task", F.col("lon").isNull().alias("missing")).count().collect()
+        hot = [r["count"] for r in counts if not r["missing"]]
+        missing = [r["count"] for r in counts if r["missing"]]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(hot) == 18_000 and max(hot) <= 18_000 / 4
+    assert sum(missing) == 2_000 and max(missing) <= 2_000 / 16
 
 
 def even_odd(px, py, rings):

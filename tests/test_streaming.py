@@ -14,7 +14,7 @@ from cabstat.plans import batch_job as P
 from cabstat.schemas import POLYGON_SCHEMA
 from cabstat.session import scratch_path
 from cabstat.streaming import job as J
-from cabstat.streaming.sinks import KeyedUpsertSink, RowSinkWriter, compact_keyed_table, read_keyed_table
+from cabstat.streaming.sinks import KeyedUpsertSink, RowSink, compact_keyed_table, read_keyed_table
 from cabstat.streaming.sources import file_feed
 from cabstat.streaming.telemetry import MetricsListener, parse_progress
 
@@ -42,8 +42,7 @@ def small_index(spark):
 
 
 def test_stream_equals_batch_on_closed_windows(spark, sf_small):
-    from cabstat.plans.stream_queries import _feeds
-    rides, fares = _feeds(spark, sf_small)
+    rides, fares = P.feed_folders(spark, sf_small)
     idx = P.neighborhood_index(spark, sf_small)
     streamed = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
     out, ck = scratch_path(spark, "t-out"), scratch_path(spark, "t-ck")
@@ -98,38 +97,47 @@ def test_upsert_sink_replay_and_last_write_wins(spark):
     assert got == {"A": 5, None: 7}
     sink(b1, 1)
     assert read_keyed_table(spark, path).count() == 2
-    compacted = scratch_path(spark, "upsert-compacted")
-    assert compact_keyed_table(spark, path, compacted) == 1
-    later = KeyedUpsertSink(compacted)
-    later(spark.createDataFrame([("A", w, 9, 9.0, 0.9, 1.0, 0.1)], schema), 2)
-    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, compacted).collect()}
-    assert got == {"A": 9, None: 7}
-
-
-def test_row_sink_writer_epochs(spark):
-    d = tempfile.mkdtemp(prefix="rows-")
-    w = RowSinkWriter(d)
-    row = (dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11), "Sq", 3, 30.0, 3.0, 10.0, 1.0)
-    assert w.open(0, 7)
-    w.process(row)
-    w.close(None)
-    assert not w.open(0, 7)          # committed epoch is not written twice
-    with open(os.path.join(d, "epoch=7", "part-0.jsonl")) as fh:
-        rec = json.loads(fh.readline())
-    assert rec["neighborhood"] == "Sq" and rec["window_end"].startswith("2024-01-01T11") and rec["number_of_rides"] == 3
+    # a new checkpoint starts at batch 0 again: a new run, later than all before
+    again = KeyedUpsertSink(path)
+    again(spark.createDataFrame([("B", w, 7, 7.0, 0.7, 1.0, 0.1), ("A", w, 9, 9.0, 0.9, 1.0, 0.1)], schema), 0)
+    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()}
+    assert got == {"A": 9, "B": 7, None: 7}
+    # compaction changes nothing that is read; writers go on in the new generation
+    assert compact_keyed_table(spark, path) == 1 and compact_keyed_table(spark, path) == 2
+    assert {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()} == got
+    again(spark.createDataFrame([("A", w, 11, 9.0, 0.9, 1.0, 0.1)], schema), 1)
+    KeyedUpsertSink(path, compact_every=1)(spark.createDataFrame([("C", w, 1, 1.0, 0.1, 1.0, 0.1)], schema), 0)
+    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()}
+    assert got == {"A": 11, "B": 7, "C": 1, None: 7}
+    assert sorted(f for f in os.listdir(path) if f.startswith("gen=")) == ["gen=2", "gen=3"]
+
+
+def test_row_sink_takes_rows_by_position(spark):
+    d = scratch_path(spark, "rows")
+    start, end = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11)
+    wide = spark.createDataFrame([(start, end, "Sq", 3, 30.0, 3.0, 10.0, 1.0)],
+                                 "s TIMESTAMP_NTZ, e TIMESTAMP_NTZ, n STRING, c BIGINT, f DOUBLE, t DOUBLE, a DOUBLE, b DOUBLE")
+    sink = RowSink(d)
+    sink(wide, 7)
+    sink(wide, 7)                    # a replayed epoch is not written twice
+    sink(wide.drop("s").select("n", "e", "c", "f", "t", "a", "b"), 8)
+    rows = spark.read.json(d).collect()
+    assert len(rows) == 2
+    for rec in rows:
+        assert rec["neighborhood"] == "Sq" and rec["window_end"].startswith("2024-01-01T11") and rec["number_of_rides"] == 3
 
 
 def test_parse_progress_echoes_fields():
-    progress = {"id": "q-1", "runId": "r-1", "name": "streamTest", "batchId": 4,
-                "durationMs": {"addBatch": 100, "getBatch": 200}, "numInputRows": 100,
-                "inputRowsPerSecond": 200.0, "processedRowsPerSecond": 300.0,
-                "sources": [{"description": "source", "startOffset": "start", "endOffset": "end"}],
-                "sink": {"description": "sink"},
+    progress = {"id": "q-1", "runId": "r-1", "name": "cab-progress", "batchId": 4,
+                "durationMs": {"addBatch": 41, "walCommit": 7}, "numInputRows": 12,
+                "inputRowsPerSecond": 6.5, "processedRowsPerSecond": 8.25,
+                "sources": [{"description": "folder feed", "startOffset": "0", "endOffset": "3"}],
+                "sink": {"description": "keyed table"},
                 "observedMetrics": {"rides_ab12": {"malformed": 3, "messages": 10}}}
     row = parse_progress(progress)
-    assert row["id"] == "q-1" and row["inputRows"] == 100
-    assert row["procRowsPerSecond"] == 300.0 and row["inputRowsPerSecond"] == 200.0
-    assert row["durationms"] == {"addBatch": 100, "getBatch": 200}
+    assert row["id"] == "q-1" and row["inputRows"] == 12 and row["sink"] == "keyed table"
+    assert row["procRowsPerSecond"] == 8.25 and row["inputRowsPerSecond"] == 6.5
+    assert row["durationms"] == {"addBatch": 41, "walCommit": 7}
     assert row["observed"] == {"rides.malformed": 3, "rides.messages": 10}
     assert row["DateValue"].endswith(" GMT")
 
@@ -140,24 +148,45 @@ def test_listener_rows_and_observed_malformed(spark):
     t0 = dt.datetime(2024, 1, 1, 10)
     append(spark, rides, [ride(1, t0), "not json", ride(2, t0)])
     append(spark, fares, [fare(1, t0, 10.0), HEADER + "\r\n", fare(2, t0, 5.0)])
-    listener = MetricsListener(context={"app": "cabstat", "name": "ctx-name"})
+    listener = MetricsListener(spark, scratch_path(spark, "obs-rows"), {"app": "cabstat", "name": "ctx-name"})
     spark.streams.addListener(listener)
     try:
         stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
-        J.run_to_end(J.start(stats, "obs", scratch_path(spark, "obs-ck"), path=scratch_path(spark, "obs-out")))
-        def total(key):
-            return sum((r.get("observed") or {}).get(key, 0) for r in listener.rows())
-        for _ in range(300):  # the listener bus is asynchronous
-            if total("rides.malformed") and total("fares.malformed"):
-                break
-            time.sleep(0.1)
+        q = J.start(stats, "obs", scratch_path(spark, "obs-ck"), path=scratch_path(spark, "obs-out"))
+        J.run_to_end(q)
+        listener.drain(q.runId)
     finally:
         spark.streams.removeListener(listener)
+    rows = [r.asDict() for r in listener.to_dataframe().collect()]
+
+    def total(key):
+        return sum((r["observed"] or {}).get(key, 0) for r in rows)
+
     assert total("rides.malformed") == 1 and total("fares.malformed") == 1
     assert total("rides.messages") == 3
-    tags = next(r for r in listener.rows() if r.get("event") == "progress")["tags"]
+    tags = next(r for r in rows if r["event"] == "progress")["tags"]
     assert tags["app"] == "cabstat" and tags["name"] == "obs"      # the row's own value wins
-    assert listener.to_dataframe(spark).count() == len(listener.rows())
+
+
+def test_rows_are_readable_while_the_stream_runs(spark):
+    src = scratch_path(spark, "live-src")
+    append(spark, src, ["x", "y"])
+    listener = MetricsListener(spark, scratch_path(spark, "live-rows"))
+    spark.streams.addListener(listener)
+    try:
+        q = (file_feed(spark, src).writeStream.option("checkpointLocation", scratch_path(spark, "live-ck"))
+             .trigger(processingTime="1 second").format("noop").start())
+        seen = 0
+        while not seen:
+            assert q.isActive
+            time.sleep(0.5)
+            if os.path.isdir(listener.path):
+                seen = listener.to_dataframe().filter("inputRows = 2").count()
+        assert q.isActive
+        q.stop()
+        listener.drain(q.runId)
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def test_foreach_writer_in_a_stream_and_state_eviction(spark):
@@ -172,12 +201,10 @@ def test_foreach_writer_in_a_stream_and_state_eviction(spark):
     stats = stats.select(F.lit(None).cast("timestamp").alias("window_start"), "window_end", "neighborhood",
                          "number_of_rides", "total_fare_amount", "total_tip_amount",
                          "average_fare_amount", "average_tip_amount")
-    out = tempfile.mkdtemp(prefix="foreach-")
-    q = (stats.writeStream.outputMode("append").option("checkpointLocation", scratch_path(spark, "fe-ck"))
-         .trigger(availableNow=True).foreach(RowSinkWriter(out)).start())
+    out = scratch_path(spark, "row-sink")
+    q = J.start(stats, "rowsink", scratch_path(spark, "fe-ck"), sink=RowSink(out))
     J.run_to_end(q)
-    recs = [json.loads(line) for root, _, files in os.walk(out) for f in files if f.endswith(".jsonl")
-            for line in open(os.path.join(root, f))]
+    recs = spark.read.schema("neighborhood STRING, number_of_rides BIGINT, total_fare_amount DOUBLE").json(out).collect()
     assert [(r["neighborhood"], r["number_of_rides"], r["total_fare_amount"]) for r in recs] == [("Sq", 5, 50.0)]
     joins = [op for p in q.recentProgress for op in json.loads(p.json)["stateOperators"]
              if op["operatorName"] == "symmetricHashJoin"]
@@ -185,7 +212,7 @@ def test_foreach_writer_in_a_stream_and_state_eviction(spark):
 
 
 def test_termination_error_becomes_a_row(spark):
-    listener = MetricsListener()
+    listener = MetricsListener(spark, scratch_path(spark, "term-rows"))
     spark.streams.addListener(listener)
     try:
         src = scratch_path(spark, "term-src")
@@ -197,17 +224,14 @@ def test_termination_error_becomes_a_row(spark):
         q = (file_feed(spark, src).writeStream.option("checkpointLocation", scratch_path(spark, "term-ck"))
              .trigger(availableNow=True).foreachBatch(boom).start())
         try:
-            q.awaitTermination(120)
+            q.awaitTermination()
         except Exception:
             pass
-        for _ in range(300):
-            if any(r.get("event") == "terminated" for r in listener.rows()):
-                break
-            time.sleep(0.1)
+        listener.drain(q.runId)
     finally:
         spark.streams.removeListener(listener)
-    term = [r for r in listener.rows() if r.get("event") == "terminated"]
-    assert term and "sink down" in term[0]["error"]
+    term = listener.to_dataframe().filter("event = 'terminated'").collect()
+    assert len(term) == 1 and "sink down" in term[0]["error"]
 
 
 def test_skewed_key_in_stream(spark):
