@@ -8,8 +8,8 @@ with probability (1 - 0.75 ** 4) ** 40 = 3e-7. Candidate pairs pass a
 collision-corrected Jaccard estimate and are then confirmed on full sets.
 
 Equal sets are one class from the start. Within a band's bucket every document
-is first tried against the smallest one only (best estimate first, then the
-rest), and linked documents become components. Only buckets that still hold
+is first tried against the smallest one only, in rounds: linked documents
+become components, and pairs inside a component need no further look. Only buckets that still hold
 several components are searched further: in blocks of bounded size, and only
 pairs across components, so that no link between different texts is lost and
 no group is spelled out into all pairs.
@@ -39,6 +39,8 @@ PERCENT = 75
 ESTIMATE_FROM = 0.6
 #: Documents of a bucket's chunk; two chunks are compared at a time.
 CHUNK = 2048
+#: Rounds of trying a document against the smallest ones of its buckets.
+STAR_TURNS = 3
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -150,10 +152,24 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                      _verify, "a long, b long")
 
 
-def _component_of(members: DataFrame, links: DataFrame, column: str = "doc") -> DataFrame:
-    found = components(links)
-    return members.join(found.withColumnRenamed("node", column), column, "left").withColumn(
-        "component", F.coalesce("component", column))
+def _estimated(pairs: DataFrame, lone: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) whose registers promise enough similarity; b is the hot side."""
+    regs = lambda x: lone.select(F.col("doc").alias(x), F.col("registers").alias(f"r{x}"),
+                                 F.col("n_shingles").alias(f"n{x}"))
+    joined = pairs.join(regs("b"), "b").join(regs("a"), "a").select("a", "b", "ra", "rb", "na", "nb")
+    return map_arrow(joined, _estimate, "a long, b long, estimate double").filter(
+        F.col("estimate") >= ESTIMATE_FROM).select("a", "b")
+
+
+def _component_of(rows: DataFrame, parts: DataFrame, node: str, out: str = "component") -> DataFrame:
+    """``rows`` with the component of column ``node``, which is its own where it has no link."""
+    named = parts.select(F.col("node").alias(node), F.col("component").alias(out))
+    return rows.join(named, node, "left").withColumn(out, F.coalesce(out, node))
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) across components, with b's component."""
+    return _component_of(_component_of(pairs, parts, "a", "ca"), parts, "b", "cb").filter("ca <> cb").drop("ca")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -177,21 +193,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = members.select(F.col("doc").alias("doc_id")).distinct()
     sets = materialise(map_arrow(rows.join(named, "doc_id", "left_semi"), _sets, "doc_id long, shingles binary")
                        .dropDuplicates(["doc_id"]), "op6-sets")
-    # each document against the smallest of its buckets
-    regs = lambda x: lone.select(F.col("doc").alias(x), F.col("registers").alias(f"r{x}"),
-                                 F.col("n_shingles").alias(f"n{x}"))
-    star = members.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()
-    star = materialise(map_arrow(star.join(regs("b"), "b").join(regs("a"), "a").select(
-        "a", "b", "ra", "rb", "na", "nb"), _estimate, "a long, b long, estimate double")
-        .filter(F.col("estimate") >= ESTIMATE_FROM), "op6-star")
-    best = star.groupBy("a").agg(F.max_by("b", F.struct("estimate", -F.col("b"))).alias("b"))
-    links = materialise(_verified(best, sets), "op6-links")
-    # then against the others that are not yet linked to it
-    tried = _component_of(_component_of(star, links, "a").withColumnRenamed("component", "ca"), links, "b")
-    rest = tried.filter("ca <> component").select("a", "b").join(best, ["a", "b"], "left_anti")
-    links = materialise(links.unionByName(_verified(rest, sets)), "op6-links")
+    # each document against the smallest of its buckets: first the smallest of all,
+    # then one in each other component, then every one that is still apart
+    star = materialise(members.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b"))
+                       .distinct(), "op6-star")
+    links = parts = None
+    for turn in range(STAR_TURNS):
+        if parts is None:
+            pairs = star.groupBy("a").agg(F.min("b").alias("b"))
+        elif turn < STAR_TURNS - 1:
+            pairs = _apart(star, parts).groupBy("a", "cb").agg(
+                F.min_by("b", F.xxhash64("a", "b", F.lit(turn))).alias("b")).select("a", "b")
+        else:
+            pairs = _apart(star, parts).select("a", "b")
+        found = _verified(_estimated(pairs, lone), sets)
+        links = materialise(found if links is None else links.unionByName(found), "op6-links")
+        parts = materialise(components(links), "op6-parts")
     # and what is still apart in a bucket, block by block
-    parted = materialise(_component_of(members.select("key", "doc", "n"), links), "op6-parted")
+    parted = materialise(_component_of(members.select("key", "doc", "n"), parts, "doc"), "op6-parted")
     split = (parted.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .filter("x < y").select("key"))
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
@@ -203,7 +222,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", "one", "two").applyInArrow(_across, "a long, b long").distinct()
     across = materialise(across, "op6-across")
     links = materialise(links.unionByName(_verified(across, sets)), "op6-links")
-    found = _component_of(classes.select("same", F.col("first").alias("doc")), links)
+    found = _component_of(classes.select("same", F.col("first").alias("doc")), components(links), "doc")
     out = signed.join(found.select("same", "component"), "same", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(
         F.col("doc_id"))
