@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import ingest as IG
+from ..operators.quality import decode_rides
 from ..session import ensure_utc, scratch_path
 from ..sources import feeds as FD
 from ..sources.archive import scan_archive
@@ -127,38 +128,35 @@ def q_parse_fare_line(spark, sf_dir):
 
 
 def write_archive(lines: DataFrame, directory: str, kind: str, n_files: int, header: str) -> None:
-    """Lay lines out as ``<kind>_<n>.csv`` files, each starting with a header
-    line (fixture for the archive scan). One file per n; the part files that
-    Spark writes are renamed (metadata only)."""
+    """Lay lines out as ``<kind>_<n>.csv`` members, each part starting with a
+    header line (fixture for the archive scan). Members are the folders Spark
+    writes, renamed (metadata only, one rename a member)."""
     seq = (F.col("event_id") % n_files + 1).cast("int")
     staging = directory + "_staging"
-    (lines.select(F.col("value").alias(header), seq.alias("n")).repartition("n")
-          .write.option("header", True).option("sep", "\u0001").option("quote", "")
+    (lines.select(F.col("value").alias(header), seq.alias("n"))
+          .write.option("header", True).option("sep", "\u0001").option("quote", "").option("emptyValue", "")
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .partitionBy("n").csv(staging))
     spark = lines.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(staging).getFileSystem(conf)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = Path(staging).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(Path(directory))
-    for st in fs.listStatus(Path(staging)):
-        name = st.getPath().getName()
-        if not name.startswith("n="):
-            continue
-        parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
-        for i, p in enumerate(parts):
-            suffix = "" if len(parts) == 1 else f"-{i}"
-            fs.rename(p.getPath(), Path(f"{directory}/{kind}_{name[2:]}{suffix}.csv"))
+    for n in range(1, n_files + 1):
+        if fs.exists(Path(f"{staging}/n={n}")):
+            fs.rename(Path(f"{staging}/n={n}"), Path(f"{directory}/{kind}_{n}.csv"))
 
 
 @register("trip_archive_scan", base_cte() + f"""
-SELECT CAST(event_id % {ARCHIVE_FILES} + 1 AS INTEGER) AS file_seq, {_oracle_ride_line(False)} AS value FROM f""")
+SELECT CAST(event_id % {ARCHIVE_FILES} + 1 AS INTEGER) AS file_seq, {_oracle_ride_line()} AS value,
+       {RIDE_REJECT} AS error
+FROM f""")
 def q_trip_archive_scan(spark, sf_dir):
-    """Ride lines spread over trip_data_1 .. trip_data_12 (with headers) and
-    scanned back with their file sequence numbers."""
+    """Ride lines (some blank, some malformed) spread over trip_data_1 ..
+    trip_data_12 with headers, scanned back with their sequence numbers, and
+    the parser's finding for each."""
     d = scratch_path(spark, "archive")
-    write_archive(ride_lines(spark, sf_dir, faults=False), d, "trip_data", ARCHIVE_FILES, FD.RIDE_HEADER)
-    return scan_archive(spark, d, "trip_data").select("file_seq", "value")
+    write_archive(ride_lines(spark, sf_dir), d, "trip_data", ARCHIVE_FILES, FD.RIDE_HEADER)
+    return IG.parse_ride_lines(scan_archive(spark, d, "trip_data")).select("file_seq", "value", "error")
 
 
 def _json_num(expr: str) -> str:
@@ -189,10 +187,23 @@ SELECT partitionKey AS key,
   '{IG.FARE_CSV_HEADER}' || chr(13) || chr(10) || concat_ws(',', medallion, hackLicense, vendorId,
      strftime(pt, '%Y-%m-%d %H:%M:%S'), paymentType,
      CASE WHEN event_id % {FARE_LINE_BAD_AMOUNT} = 0 THEN 'abc' ELSE CAST(fareAmount AS VARCHAR) END,
-     '0.5', '0.5', CAST(tipAmount AS VARCHAR), '0.0', CAST(totalAmount + 0 AS VARCHAR)) AS body
-FROM f WHERE ({FARE_REJECT}) IS NULL""".replace("CAST(totalAmount + 0 AS VARCHAR)",
-    "CAST((fare_c + 100 + (fare_c * 2 + 5) // 10) / 100 AS VARCHAR)"))
+     '0.5', '0.5', CAST(tipAmount AS VARCHAR), '0.0', 
+     CAST((fare_c + 100 + (fare_c * 2 + 5) // 10) / 100 AS VARCHAR)) AS body
+FROM f WHERE ({FARE_REJECT}) IS NULL""")
 def q_publish_fare_csv(spark, sf_dir):
     """Accepted fare lines published as ``header CRLF line`` messages."""
     ok = IG.accepted(IG.parse_fare_lines(fare_lines(spark, sf_dir)))
     return IG.publish_fares(ok).select("key", F.col("body").cast("string").alias("body"))
+
+
+@register("publish_read_back", base_cte() + f"""
+SELECT partitionKey AS key, medallion, hackLicense, vendorId, pt AS pickupTime, passengerCount
+FROM f WHERE ({RIDE_REJECT}) IS NULL""")
+def q_publish_read_back(spark, sf_dir):
+    """Accepted ride lines written as keyed messages, read back and decoded."""
+    path = scratch_path(spark, "published")
+    IG.write_messages(IG.publish_rides(IG.accepted(IG.parse_ride_lines(ride_lines(spark, sf_dir)))), path)
+    sent = spark.read.parquet(path)
+    rides = decode_rides(sent.withColumnRenamed("key", "partitionKey"))
+    return rides.select(F.col("partitionKey").alias("key"), "ride.medallion", "ride.hackLicense", "ride.vendorId",
+                        F.col("ride.pickupTime").cast("timestamp_ntz").alias("pickupTime"), "ride.passengerCount")

@@ -45,35 +45,47 @@ SELECT * FROM stats WHERE window_end <= (SELECT w FROM wm)
 STREAM_STATS_ORACLE = STATS_ORACLE.replace("\nSELECT pickupNeighborhood AS neighborhood", ", stats AS (\nSELECT pickupNeighborhood AS neighborhood").rstrip() + "\n)" + CLOSED
 
 
-@register("neighborhood_stats_stream", STREAM_STATS_ORACLE)
-def q_neighborhood_stats_stream(spark, sf_dir):
-    """The streaming job end to end, appended to parquet; closed windows only."""
-    rides, fares = P.feed_folders(spark, sf_dir)
-    stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares),
-                           P.neighborhood_index(spark, sf_dir), CFG)
-    return spark.read.parquet(_run(stats, "stats"))
+SLICES = 4
 
 
-@register("keyed_upsert", STREAM_STATS_ORACLE)
-def q_keyed_upsert(spark, sf_dir):
-    """The streaming job into the keyed upsert table, fed in two runs over one
-    checkpoint (the second run resumes); the table is read with last write wins."""
+def _run_in_slices(spark: SparkSession, sf_dir: str, name: str, build, sink=None) -> str:
+    """Append both feeds slice by slice in event-time order and run the stream
+    after each on one checkpoint, as a job does that keeps up with its feeds: the
+    watermark follows, and join state holds one slice, not the whole input."""
     ensure_utc(spark)
     ev = table(spark, sf_dir, "events")
-    rides, fares = scratch_path(spark, "feed-rides"), scratch_path(spark, "feed-fares")
-    # first half of the month, then the rest, appended to the same feed folders
-    half = ev.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).alias("m")).first()["m"]
-    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(half)
-    out, ckpt = scratch_path(spark, "upsert-out"), scratch_path(spark, "upsert-ckpt")
-    index = P.neighborhood_index(spark, sf_dir)
-    for part in (early, ~early):
-        sub = ev.filter(part)
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = ev.agg(F.percentile_approx(micros, [k / SLICES for k in range(1, SLICES)]).alias("c")).first()["c"] or []
+    rides, fares = scratch_path(spark, f"{name}-rides"), scratch_path(spark, f"{name}-fares")
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    slice_of = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < micros))
+    sink = sink(out) if sink else None
+    for k in range(SLICES):
+        sub = ev.filter(slice_of == k)
         ride_messages(sub).write.mode("append").parquet(rides)
         fare_messages(sub).write.mode("append").parquet(fares)
-        stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), index, CFG)
+        df = build(file_feed(spark, rides), file_feed(spark, fares))
         with J.state_partitions(spark, _cores(spark)):
-            J.run_to_end(J.start(stats, f"upsert_{ckpt[-12:]}", ckpt, sink=KeyedUpsertSink(out)))
-    return read_keyed_table(spark, out)
+            J.run_to_end(J.start(df, f"{name}_{ckpt[-12:]}", ckpt, sink=sink, path=out))
+    return out
+
+
+@register("neighborhood_stats_stream", STREAM_STATS_ORACLE)
+def q_neighborhood_stats_stream(spark, sf_dir):
+    """The streaming job end to end, fed in time slices, appended to parquet;
+    closed windows only."""
+    index = P.neighborhood_index(spark, sf_dir)
+    return spark.read.parquet(_run_in_slices(
+        spark, sf_dir, "stats", lambda rides, fares: J.stats_stream(rides, fares, index, CFG)))
+
+
+@register("keyed_upsert", STREAM_STATS_ORACLE)
+def q_keyed_upsert(spark, sf_dir):
+    """The streaming job into the keyed upsert table, fed in time slices over one
+    checkpoint; the table is read with last write wins."""
+    index = P.neighborhood_index(spark, sf_dir)
+    return read_keyed_table(spark, _run_in_slices(
+        spark, sf_dir, "upsert", lambda rides, fares: J.stats_stream(rides, fares, index, CFG), KeyedUpsertSink))
 
 
 @register("trip_join_stream", base_cte() + """
@@ -82,12 +94,16 @@ SELECT medallion, hackLicense, vendorId, pt AS pickupTime, fareAmount, tipAmount
 FROM trips
 """)
 def q_trip_join_stream(spark, sf_dir):
-    """Stream-stream inner join under watermarks; every matching pair emitted."""
-    rides, fares = P.feed_folders(spark, sf_dir)
-    t = J.trip_stream(file_feed(spark, rides), file_feed(spark, fares), P.neighborhood_index(spark, sf_dir), CFG)
-    t = t.select("medallion", "hackLicense", "vendorId", F.col("pickupTime").cast("timestamp_ntz").alias("pickupTime"),
-                 "fareAmount", "tipAmount", "totalAmount", "pickupNeighborhood", "dropoffNeighborhood")
-    return spark.read.parquet(_run(t, "tripjoin"))
+    """Stream-stream inner join under watermarks, fed in time slices; every
+    matching pair emitted."""
+    index = P.neighborhood_index(spark, sf_dir)
+
+    def build(rides, fares):
+        return J.trip_stream(rides, fares, index, CFG).select(
+            "medallion", "hackLicense", "vendorId", F.col("pickupTime").cast("timestamp_ntz").alias("pickupTime"),
+            "fareAmount", "tipAmount", "totalAmount", "pickupNeighborhood", "dropoffNeighborhood")
+
+    return spark.read.parquet(_run_in_slices(spark, sf_dir, "tripjoin", build))
 
 
 @register("neighborhood_tag_stream", base_cte() + """

@@ -1,4 +1,4 @@
-"""Trip archive scan: ``trip_data_N`` / ``trip_fare_N`` files in a directory."""
+"""Trip archive scan: ``trip_data_N`` / ``trip_fare_N`` members of a directory."""
 
 from __future__ import annotations
 
@@ -7,47 +7,56 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def _list_names(spark: SparkSession, directory: str) -> list[str]:
-    """File names in a directory (metadata only, via the Hadoop file system)."""
+def _file_system(spark: SparkSession, directory: str):
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(path) if s.isFile()]
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def archive_members(spark: SparkSession, directory: str, kind: str) -> list[tuple[int, str]]:
-    """``(seq, name)`` of files whose base name contains ``kind``, by the
-    integer after the last ``_`` (2 before 10). A non-numeric suffix or no
-    match at all is an error."""
+    """``(seq, name)`` of members whose base name contains ``kind``, by the
+    integer after the last ``_`` (2 before 10). A member is a file, or a folder
+    of part files. A non-numeric suffix or no match at all is an error."""
+    fs, path = _file_system(spark, directory)
     members = []
-    for name in _list_names(spark, directory):
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
         base = name.rsplit(".", 1)[0] if "." in name else name
-        if kind not in base:
+        if kind not in base or name.startswith((".", "_")):
             continue
         suffix = base[base.rfind("_") + 1:]
         if not re.fullmatch(r"[+-]?\d+", suffix):
-            raise ValueError(f"{kind} file must be named {kind}_<n>: {name}")
+            raise ValueError(f"{kind} member must be named {kind}_<n>: {name}")
         members.append((int(suffix), name))
     if not members:
-        raise ValueError(f"no {kind} files in {directory}")
+        raise ValueError(f"no {kind} members in {directory}")
     return sorted(members)
 
 
+def _header(spark: SparkSession, directory: str, name: str) -> str:
+    """First line of a member (of its first part that has one)."""
+    lines = spark.read.text(f"{directory}/{name}")
+    first = lines.limit(1).collect()
+    return first[0][0] if first else ""
+
+
 def scan_archive(spark: SparkSession, directory: str, kind: str = "trip_data",
                  ordered: bool = False) -> DataFrame:
-    """Data lines of every member file with ``file_seq`` (header lines dropped).
+    """Lines of every member with ``file_seq``, header lines dropped.
 
-    Each file's first line is its header: the CSV reader with ``header`` skips
-    exactly that line per file while still splitting large files. Lines are
-    kept whole (no separator, no quoting) for the line parsers.
+    A member's first line is its header; lines equal to it (each part of a
+    folder repeats it) are not data. All other lines are kept whole, blank
+    ones too, for the line parsers to accept or reject. Members are read as
+    plain text, so large files are split over tasks.
     """
-    archive_members(spark, directory, kind)  # validates names, fails early
-    lines = (spark.read.schema("value STRING").option("header", True).option("sep", "\u0001")
-             .option("quote", "").option("escape", "").option("pathGlobFilter", f"*{kind}*")
-             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-             .csv(directory))
-    name = F.col("_metadata.file_name")
-    base = F.regexp_replace(name, r"\.[^.]*$", "")
-    seq = F.regexp_extract(base, r"_([^_]*)$", 1).try_cast("int")
-    out = lines.select("value", name.alias("file_name"), seq.alias("file_seq"))
+    directory = directory.rstrip("/")
+    members = archive_members(spark, directory, kind)
+    headers = {seq: _header(spark, directory, name) for seq, name in members}
+    path = F.col("_metadata.file_path")
+    member = F.regexp_extract(path, rf"/([^/]*{re.escape(kind)}[^/]*)(?:/[^/]*)?$", 1)
+    seq = F.regexp_extract(F.regexp_replace(member, r"\.[^.]*$", ""), r"_([^_]*)$", 1).try_cast("int")
+    header = F.create_map(*[F.lit(x) for pair in sorted(headers.items()) for x in pair])
+    lines = spark.read.text([f"{directory}/{name}" for _, name in members])
+    out = lines.select("value", member.alias("file_name"), seq.alias("file_seq"))
+    out = out.filter(F.col("value") != F.element_at(header, F.col("file_seq")))
     return out.orderBy("file_seq") if ordered else out
