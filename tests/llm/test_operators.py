@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
 from cabstat.llm import bpe, chat, ctw, exact, lines, minhash, mixing, pii, quality, substring  # noqa: E402
-from conftest import rows  # noqa: E402
+from odd_rows import rows  # noqa: E402
 
 
 def pairs():
