@@ -13,7 +13,7 @@ from ..session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Text handled at once inside a Python task; one longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Rows that Spark hands to Python at once; whole texts may be long.
 ARROW_ROWS = 500
 
@@ -80,18 +80,38 @@ def split_words(column: pa.Array, lower: bool = False) -> tuple[pa.Array, np.nda
     return words.filter(pa.array(full)), before[starts]
 
 
-def word_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word, computed once per distinct word."""
-    import xxhash
+#: Bytes of words hashed at once; a longer word is hashed alone.
+_HASH_BYTES = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
+
+def word_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word: a polynomial over random values of its bytes,
+    by running sums over many words at once, mixed with the length."""
     if not len(words):
         return np.zeros(0, np.uint64)
-    coded = words.dictionary_encode()
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in distinct), np.uint64, len(distinct))
-    return hashed[coded.indices.to_numpy()]
+    values = np.random.default_rng(seed).integers(0, 2 ** 64, 256, np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    out = np.empty(len(words), np.uint64)
+    longest = int(min(offsets[-1] - offsets[0], max(_HASH_BYTES, np.diff(offsets).max())))
+    up, down = _powers(_BASE, longest + 1), _powers(pow(_BASE, -1, 1 << 64), longest + 1)
+    at = 0
+    while at < len(words):
+        stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _HASH_BYTES, side="right")) - 1)
+        ends = offsets[at: stop + 1] - offsets[at]
+        sums = np.zeros(int(ends[-1]) + 1, np.uint64)
+        np.cumsum(values[data[offsets[at]: offsets[stop]]] * up[: len(sums) - 1], out=sums[1:])
+        out[at:stop] = (sums[ends[1:]] - sums[ends[:-1]]) * down[ends[:-1]]
+        at = stop
+    return mix(out ^ (np.diff(offsets).astype(np.uint64) * np.uint64(_BASE)))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -104,19 +124,53 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Order-sensitive hash of every ``width`` consecutive entries.
+    """Order-sensitive hash of every ``width`` consecutive entries, by doubling.
 
     The result is as long as the input; the last ``width - 1`` entries run
     over the end and are meaningless.
     """
-    out = np.zeros(len(hashes), np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15)
-    for k in range(width):
-        shifted = np.zeros_like(out)
-        shifted[: len(hashes) - k] = hashes[k:]
-        out = out * base + shifted
-    return mix(out)
+    def joined(left, right, gap, right_width):
+        out = left * np.uint64(pow(_BASE, right_width, 1 << 64))
+        if gap < len(out):
+            out[: len(out) - gap] += right[gap:]
+        return out
+
+    block, size, out, covered = hashes, 1, None, 0
+    while True:
+        if width & size:
+            out, covered = (block, size) if out is None else (joined(out, block, covered, size), covered + size)
+        if size * 2 > width:
+            return mix(out)
+        block, size = joined(block, block, size, size), size * 2
 
 
-def signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.uint64).view(np.int64))
+def pack(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the text compressed into binary ``packed``: less to shuffle. Null stays null."""
+    def squeeze(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        for batch in batches(stream, text):
+            made = zstandard.ZstdCompressor(level=1)
+            column = [None if t is None else made.compress(t) for t in batch.column(text).cast(pa.binary()).to_pylist()]
+            yield batch.drop_columns([text]).append_column("packed", pa.array(column, pa.binary()))
+
+    schema = T.StructType([*[f for f in docs.schema.fields if f.name != text], T.StructField("packed", T.BinaryType())])
+    return map_arrow(docs, squeeze, schema)
+
+
+def unpacked(stream: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Arrow batches with ``packed`` undone into ``text``, each with a bounded amount of it."""
+    import zstandard
+
+    for batch in stream:
+        undo = zstandard.ZstdDecompressor()
+        packed, start, size = batch.column("packed").to_pylist(), 0, 0
+        texts: list[bytes | None] = []
+        for k, p in enumerate([*packed, None]):
+            if texts and (k == len(packed) or size >= SLICE_BYTES):
+                part = batch.slice(start, len(texts)).drop_columns(["packed"])
+                yield part.append_column(text, pa.array(texts, pa.binary()).cast(pa.string()))
+                start, size, texts = k, 0, []
+            if k < len(packed):
+                texts.append(None if p is None else undo.decompress(p))
+                size += len(texts[-1] or b"")

@@ -9,9 +9,9 @@ window's content alone: equal windows have equal anchors.
    segments: maximal runs of windows with the same anchor.
 2. Recurring windows are confirmed by an aggregation over (anchor, window
    hash): the smallest and largest document that hold it.
-3. Shards of anchors compile the confirmed windows, as word sequences, into
-   Aho-Corasick automata and stream every segment of their anchors through
-   them. A match whose smallest document precedes the segment's own removes
+3. Shards of anchors compile the recurring passages (maximal runs of confirmed
+   windows, as word sequences) into Aho-Corasick automata and stream every
+   segment of their anchors through them. A match whose smallest document precedes the segment's own removes
    its words. Segments of a hot anchor are dealt over salts, each with the
    same confirmed windows.
 
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, rolling, split_words, word_hashes
+from .common import batches, map_arrow, materialise, mix, pack, rolling, split_words, unpacked, word_hashes
 
 WINDOW, PHRASE = 50, 12
 #: Segments that one automaton streams, about.
@@ -71,7 +71,7 @@ def _anchor_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _segments(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of windows with one recurring anchor: anchor, doc_id, version, start, words."""
-    for batch in batches(stream):
+    for batch in unpacked(stream):
         words, starts, anchors = _flat_anchors(batch.column("text"))
         rows: list[tuple] = []
         for k, (doc, version, recurring) in enumerate(zip(
@@ -91,10 +91,6 @@ def _segments(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["anchor", "doc_id", "version", "start", "words"])
 
 
-def window_hashes(words: list[str] | pa.Array) -> np.ndarray:
-    return rolling(word_hashes(pa.array(words, pa.string()), seed=1), WINDOW)[: max(0, len(words) - WINDOW + 1)]
-
-
 def _window_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(anchor, window, least, most): a slice's windows with the documents that hold
     them, copies within the slice combined."""
@@ -116,51 +112,68 @@ def _window_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["anchor", "window", "least", "most"])
 
 
+def _passages(anchors: np.ndarray, texts: pa.Array, confirmed: pa.Table):
+    """Word codes of each segment text, and its maximal runs of confirmed windows
+    with one smallest document: (text, first word, last word + 1, least)."""
+    words, starts = split_words(texts)
+    hashed = rolling(word_hashes(words, seed=1), WINDOW)
+    sizes = np.maximum(np.diff(starts) - WINDOW + 1, 0)
+    row = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    both = lambda anchor, window: mix(window ^ mix(anchor))
+    known = both(*(confirmed.column(c).to_numpy().view(np.uint64) for c in ("anchor", "window")))
+    order = np.argsort(known)
+    known, least = known[order], confirmed.column("least").to_numpy()[order]
+    own = both(anchors.view(np.uint64)[row], hashed[starts[:-1][row] + place])
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    found = known[at] == own
+    value = np.where(found, least[at], 0)
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1]) | (value[1:] != value[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1
+    keep = found[first] if len(row) else np.zeros(0, bool)
+    runs = [x.tolist() for x in (row[first[keep]], place[first[keep]], place[last[keep]] + WINDOW, value[first[keep]])]
+    codes = (words.dictionary_encode().indices.to_numpy().astype(np.int64) + 1).tolist()
+    return [tuple(codes[a:b]) for a, b in zip(starts[:-1], starts[1:])], list(zip(*runs))
+
+
 def _locate(key: tuple, segments: pa.Table, confirmed: pa.Table) -> pa.Table:
-    """Compile a shard's confirmed windows and stream its segments through them."""
+    """Compile a shard's recurring passages and stream its segments through them.
+
+    A passage is a maximal run of confirmed windows of a later document's
+    segment; every occurrence in any segment of the shard is found.
+    """
     import ahocorasick
 
-    known = dict(zip(zip(confirmed.column("anchor").to_pylist(), confirmed.column("window").to_pylist()),
-                     confirmed.column("least").to_pylist()))
-    rows = list(zip(*(segments.column(c).to_pylist() for c in ("anchor", "doc_id", "version", "start", "words"))))
-    numbers: dict[str, int] = {}
+    none = pa.table({"doc_id": pa.array([], pa.int64()), "version": pa.array([], pa.int64()),
+                     "begin": pa.array([], pa.int32()), "stop": pa.array([], pa.int32())})
+    if not segments.num_rows or not confirmed.num_rows:
+        return none
+    coded = segments.column("words").combine_chunks().dictionary_encode()
+    which = coded.indices.to_numpy()
+    docs = segments.column("doc_id").to_numpy()
+    anchors, latest = np.zeros(len(coded.dictionary), np.int64), np.full(len(coded.dictionary), -(1 << 63), np.int64)
+    anchors[which] = segments.column("anchor").to_numpy()
+    np.maximum.at(latest, which, docs)
+    codes, runs = _passages(anchors, coded.dictionary, confirmed)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    added: set[tuple[int, int]] = set()
-    coded: dict[str, tuple[int, ...]] = {}
-    for anchor, _, _, _, text in rows:
-        if text in coded:
-            continue
-        words = text.split(" ")
-        code = coded[text] = tuple(numbers.setdefault(w, len(numbers) + 1) for w in words)
-        for k, window in enumerate(window_hashes(words).view(np.int64).tolist()):
-            least = known.get((anchor, window))
-            if least is not None and (anchor, window) not in added:
-                added.add((anchor, window))
-                automaton.add_word(code[k: k + WINDOW], least)
-    out: list[tuple] = []
-    if added:
-        automaton.make_automaton()
-        matches = {text: [(end, least) for end, least in automaton.iter(code)] for text, code in coded.items()}
-        for _, doc, version, start, text in rows:
-            begin = stop = None
-            for end, least in matches[text]:
-                if least < doc:
-                    a, b = start + end - WINDOW + 1, start + end + 1
-                    if stop is not None and a <= stop:
-                        stop = b
-                    else:
-                        if stop is not None:
-                            out.append((doc, version, begin, stop))
-                        begin, stop = a, b
-            if stop is not None:
-                out.append((doc, version, begin, stop))
-    cols = list(zip(*out)) or [(), (), (), ()]
-    return pa.table({n: pa.array(c, t) for n, c, t in zip(
-        ("doc_id", "version", "begin", "stop"), cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))})
+    for text, a, b, least in runs:
+        if least < latest[text]:
+            automaton.add_word(codes[text][a:b], (b - a, least))
+    if not len(automaton):
+        return none
+    automaton.make_automaton()
+    matches = [[(end + 1 - size, end + 1, least) for end, (size, least) in automaton.iter(code)] for code in codes]
+    rows = [(doc, version, start + a, start + b) for doc, version, start, text in zip(
+        docs.tolist(), segments.column("version").to_pylist(), segments.column("start").to_pylist(), which.tolist())
+        for a, b, least in matches[text] if least < doc]
+    cols = list(zip(*rows)) or [(), (), (), ()]
+    return pa.table({f.name: pa.array(c, f.type) for f, c in zip(none.schema, cols)})
 
 
 def _apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(stream):
+    for batch in unpacked(stream):
         words, starts = split_words(batch.column("text"))
         counts, removed, kept = np.diff(starts), [], []
         for k, spans in enumerate(batch.column("spans").to_pylist()):
@@ -185,7 +198,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
                  .filter("x < y").select("anchor"))
     wanted = anchors.join(recurring, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
     segments = materialise(map_arrow(
-        rows.join(wanted, "doc_id").select("doc_id", "text", "version", "anchors"), _segments,
+        pack(rows).join(wanted, "doc_id").select("doc_id", "packed", "version", "anchors"), _segments,
         "anchor long, doc_id long, version long, start int, words string"), "op3-segments")
     windows = map_arrow(segments.select("anchor", "doc_id", "words"), _window_rows,
                         "anchor long, window long, least long, most long")
@@ -214,7 +227,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "version", F.xxhash64("text"))
     spans = materialise(repeated_spans(rows).distinct(), "op3-spans").groupBy("doc_id", "version").agg(
         F.collect_list(F.struct("begin", "stop")).alias("spans"))
-    joined = rows.join(spans, ["doc_id", "version"], "left").select("doc_id", "text", "spans")
+    joined = pack(rows).join(spans, ["doc_id", "version"], "left").select("doc_id", "packed", "spans")
     return map_arrow(joined, _apply, "doc_id long, n_words long, n_removed long, kept string")
 
 
