@@ -40,7 +40,9 @@ DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
 #: at most 256 ** SPLIT contexts of 255 decisions.
 SPLIT = 2
-COMMON = 100_000
+COMMON = 2_000_000
+#: Distinct words that a counting task holds before it hands them on.
+HELD_WORDS = 1_000_000
 END = b""
 #: Grams that one task weights, about.
 TASK_GRAMS = 200_000
@@ -179,20 +181,30 @@ class Top:
 # ------------------------------------------------------------------ counting
 
 def _word_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n_train, n_all) by slice; the empty word stands for ends."""
+    """(word, n_train, n_all), combined over many slices; the empty word stands for ends."""
+    held: list[pa.Table] = []
+
+    def combined() -> pa.Table:
+        return pa.concat_tables(held).group_by("word").aggregate([("n_train", "sum"), ("n_all", "sum")]).rename_columns(
+            ["word", "n_train", "n_all"])
+
     for batch in batches(stream):
         words, starts = split_words(batch.column("text"), lower=True)
         train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
         coded = words.dictionary_encode()
         use = np.repeat(train, np.diff(starts))
         index = coded.indices.to_numpy()
-        n = len(coded.dictionary)
-        trained = np.bincount(index[use], minlength=n) if len(index) else np.zeros(0, np.int64)
-        every = np.bincount(index, minlength=n) if len(index) else np.zeros(0, np.int64)
-        names = coded.dictionary.cast(pa.binary()).to_pylist() + [END]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.binary()), pa.array(np.append(trained, train.sum()), pa.int64()),
-             pa.array(np.append(every, batch.num_rows), pa.int64())], ["word", "n_train", "n_all"])
+        trained, every = (np.bincount(i, minlength=len(coded.dictionary)) for i in (index[use], index))
+        held.append(pa.table({
+            "word": pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())]),
+            "n_train": pa.array(np.append(trained, train.sum()), pa.int64()),
+            "n_all": pa.array(np.append(every, batch.num_rows), pa.int64())}))
+        if sum(t.num_rows for t in held) > HELD_WORDS:
+            held = [combined()]
+            if held[0].num_rows > HELD_WORDS // 2:
+                yield from held.pop().to_batches(max_chunksize=50_000)
+    if held:
+        yield from combined().to_batches(max_chunksize=50_000)
 
 
 def _gram_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
