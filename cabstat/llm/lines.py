@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import batches, map_arrow, materialise, text_bytes
+from .common import batches, map_arrow, materialise, pack, text_bytes, unpacked
 
 RARE, MIN_WORDS = 16, 5
 
@@ -160,7 +160,7 @@ def deletions(docs: DataFrame) -> DataFrame:
 def _cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    for batch in batches(stream):
+    for batch in unpacked(stream):
         n_lines, n_deleted, kept = [], [], []
         for present, text, found in zip(batch.column("text").is_valid().to_pylist(), text_bytes(batch.column("text")),
                                         batch.column("found").to_pylist()):
@@ -185,7 +185,7 @@ def cut_lines(docs: DataFrame, carry: list[str]) -> DataFrame:
         F.collect_list(F.struct("version", "spans")).alias("found"))
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"),
                        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("boxed"))
-    joined = rows.join(found, "_id", "left").select("boxed", "text", "found")
+    joined = pack(rows).join(found, "_id", "left").select("boxed", "packed", "found")
     out = T.StructType([joined.schema["boxed"], T.StructField("n_lines", T.LongType()),
                         T.StructField("n_deleted", T.LongType()), T.StructField("kept", T.StringType())])
     return map_arrow(joined, _cut, out)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, mix, rolling, split_words, word_hashes
+from .common import batches, map_arrow, materialise, mix, pack, rolling, split_words, unpacked, word_hashes
 from .components import components
 
 SHINGLE, REGISTERS, ROWS, MANTISSA = 5, 160, 4, 10
@@ -97,7 +97,7 @@ def _sign(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(stream):
+    for batch in unpacked(stream):
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([s.tobytes() for s in shingle_sets(batch.column("text"))], pa.binary())],
             ["doc_id", "shingles"])
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                          F.count("*").alias("n")).filter("low < high").drop("high"))
     members = materialise(banded.join(buckets, "key"), "op6-members")
     named = members.select(F.col("doc").alias("doc_id")).distinct()
-    sets = materialise(map_arrow(rows.join(named, "doc_id", "left_semi"), _sets, "doc_id long, shingles binary")
+    sets = materialise(map_arrow(pack(rows).join(named, "doc_id", "left_semi"), _sets, "doc_id long, shingles binary")
                        .dropDuplicates(["doc_id"]), "op6-sets")
     # each document against the smallest of its buckets: first the smallest of all,
     # then one in each other component, then every one that is still apart
