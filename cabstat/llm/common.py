@@ -80,6 +80,17 @@ def split_words(column: pa.Array, lower: bool = False) -> tuple[pa.Array, np.nda
     return words.filter(pa.array(full)), before[starts]
 
 
+def spaced(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all words with a space after each, and where each word starts
+    (one more entry than words)."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]]
+    starts = offsets - offsets[0] + np.arange(len(words) + 1)
+    out = np.full(int(starts[-1]), 0x20, np.uint8)
+    out[np.arange(len(data)) + np.repeat(np.arange(len(words)), np.diff(offsets))] = data
+    return out, starts
+
+
 #: Bytes of words hashed at once; a longer word is hashed alone.
 _HASH_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15

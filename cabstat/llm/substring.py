@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, mix, pack, rolling, split_words, unpacked, word_hashes
+from .common import batches, map_arrow, materialise, mix, pack, rolling, spaced, split_words, unpacked, word_hashes
 
 WINDOW, PHRASE = 50, 12
 #: Segments that one automaton streams, about.
@@ -70,25 +70,32 @@ def _anchor_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of windows with one recurring anchor: anchor, doc_id, version, start, words."""
+    """Runs of windows with one recurring anchor: anchor, doc_id, version, start, words,
+    and whether the anchor has an earlier document (``later``)."""
     for batch in unpacked(stream):
         words, starts, anchors = _flat_anchors(batch.column("text"))
+        if not len(words):
+            continue
+        letters, places = spaced(words)
         rows: list[tuple] = []
-        for k, (doc, version, recurring) in enumerate(zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "version", "anchors")))):
+        for k, (doc, version, later, others) in enumerate(zip(
+                *(batch.column(c).to_pylist() for c in ("doc_id", "version", "later", "firsts")))):
             first, n = int(starts[k]), int(starts[k + 1] - starts[k]) - WINDOW + 1
-            if n <= 0 or not recurring:
+            if n <= 0 or not (later or others):
                 continue
+            behind = set(later)
             own = anchors[first: first + n]
             edges = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            hot = np.isin(own[edges].view(np.int64), np.array(recurring, np.int64))
+            hot = np.isin(own[edges].view(np.int64), np.array(later + others, np.int64))
             for a, b in zip(edges[hot], np.append(edges[1:], n)[hot]):
-                cut = words.slice(first + int(a), int(b - a) + WINDOW - 1)
-                rows.append((int(own[a].astype(np.int64)), doc, version, int(a), " ".join(cut.to_pylist())))
-        cols = list(zip(*rows)) or [(), (), (), (), ()]
+                cut = letters[places[first + a]: places[first + b + WINDOW - 1] - 1]
+                anchor = int(own[a].astype(np.int64))
+                rows.append((anchor, doc, version, int(a), cut.tobytes(), anchor in behind))
+        cols = list(zip(*rows)) or [()] * 6
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()))],
-            ["anchor", "doc_id", "version", "start", "words"])
+            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))]
+            + [pa.array(cols[4], pa.binary()).cast(pa.string()), pa.array(cols[5], pa.bool_())],
+            ["anchor", "doc_id", "version", "start", "words", "later"])
 
 
 def _window_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +145,17 @@ def _passages(anchors: np.ndarray, texts: pa.Array, confirmed: pa.Table):
     return [tuple(codes[a:b]) for a, b in zip(starts[:-1], starts[1:])], list(zip(*runs))
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint ranges that cover the same."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
 def _locate(key: tuple, segments: pa.Table, confirmed: pa.Table) -> pa.Table:
     """Compile a shard's recurring passages and stream its segments through them.
 
@@ -165,9 +183,12 @@ def _locate(key: tuple, segments: pa.Table, confirmed: pa.Table) -> pa.Table:
         return none
     automaton.make_automaton()
     matches = [[(end + 1 - size, end + 1, least) for end, (size, least) in automaton.iter(code)] for code in codes]
+    latest_least = [max((least for _, _, least in m), default=0) for m in matches]
+    whole = [_merged([(a, b) for a, b, _ in m]) for m in matches]
     rows = [(doc, version, start + a, start + b) for doc, version, start, text in zip(
         docs.tolist(), segments.column("version").to_pylist(), segments.column("start").to_pylist(), which.tolist())
-        for a, b, least in matches[text] if least < doc]
+        for a, b in (whole[text] if latest_least[text] < doc else
+                     _merged([(a, b) for a, b, least in matches[text] if least < doc]))]
     cols = list(zip(*rows)) or [(), (), (), ()]
     return pa.table({f.name: pa.array(c, f.type) for f, c in zip(none.schema, cols)})
 
@@ -176,6 +197,7 @@ def _apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in unpacked(stream):
         words, starts = split_words(batch.column("text"))
         counts, removed, kept = np.diff(starts), [], []
+        letters, places = spaced(words) if len(words) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
         for k, spans in enumerate(batch.column("spans").to_pylist()):
             mask = np.zeros(counts[k] + 1, np.int32)
             for s in spans or ():
@@ -183,11 +205,12 @@ def _apply(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mask[s["stop"]] -= 1
             gone = np.cumsum(mask)[:-1] > 0
             removed.append(int(gone.sum()))
-            own = words.slice(int(starts[k]), int(counts[k]))
-            kept.append(" ".join((own.filter(pa.array(~gone)) if removed[-1] else own).to_pylist()))
+            own = places[starts[k]: starts[k + 1] + 1]
+            text = letters[own[0]: own[-1]]
+            kept.append((text[np.repeat(~gone, np.diff(own))] if removed[-1] else text)[:-1].tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
-             pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+             pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -195,17 +218,21 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     anchors = map_arrow(rows.filter("doc_id is not null"), _anchor_rows, "anchor long, doc_id long")
     anchors = materialise(anchors.distinct(), "op3-anchors")
     recurring = (anchors.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y"))
-                 .filter("x < y").select("anchor"))
-    wanted = anchors.join(recurring, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+                 .filter("x < y").drop("y"))
+    wanted = anchors.join(recurring, "anchor").groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("x") < F.col("doc_id"), F.col("anchor"))).alias("later"),
+        F.collect_list(F.when(F.col("x") == F.col("doc_id"), F.col("anchor"))).alias("firsts"))
     segments = materialise(map_arrow(
-        pack(rows).join(wanted, "doc_id").select("doc_id", "packed", "version", "anchors"), _segments,
-        "anchor long, doc_id long, version long, start int, words string"), "op3-segments")
+        pack(rows).join(wanted, "doc_id").select("doc_id", "packed", "version", "later", "firsts"), _segments,
+        "anchor long, doc_id long, version long, start int, words string, later boolean"), "op3-segments")
     windows = map_arrow(segments.select("anchor", "doc_id", "words"), _window_rows,
                         "anchor long, window long, least long, most long")
     confirmed = materialise(windows.groupBy("anchor", "window").agg(
         F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "op3-confirmed")
-    # only segments of anchors with a confirmed window; hot anchors over salts
+    # only segments of anchors with a confirmed window, and not those of an anchor's
+    # first document, which loses nothing; hot anchors over salts
     held = confirmed.select("anchor").distinct()
+    segments = segments.filter("later")
     counts = segments.groupBy("anchor").agg(F.count("*").alias("n")).join(held, "anchor")
     total = counts.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // SHARD_SEGMENTS) * 4)
