@@ -94,7 +94,43 @@ QUERIES: dict[str, Query] = {
     "op10_pii": op10_pii,
 }
 
+_OP3_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+low AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p
+         FROM (SELECT doc_id, i FROM win JOIN low USING (k) WHERE least < doc_id), range(0, 50) r(j)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT word.doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)
+"""
+
+_OP6_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+        SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+          FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+step AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(node, root) AS (SELECT doc_id, doc_id FROM documents
+                      UNION SELECT step.b, reach.root FROM reach JOIN step ON step.a = reach.node WHERE step.b > reach.root),
+part AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN part ON part.node = doc_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_phrase_automata": _OP3_SQL,
+    "op6_hyperminhash": _OP6_SQL,
     "op9_exact_dedup": f"""
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
