@@ -116,32 +116,60 @@ def _estimate(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("a"), batch.column("b"), pa.array(corrected(equal, n, m))], ["a", "b", "estimate"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """The full sets reach the similarity asked for."""
+    if PERCENT * max(len(x), len(y)) > 100 * min(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def _verify(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         good = []
         for x, y in zip(batch.column("sa"), batch.column("sb")):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            good.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
+            good.append(_similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)))
         keep = pa.array(good, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
 
-def _across(key: tuple, group: pa.Table) -> pa.Table:
-    """Pairs of a block in different components whose estimate is high enough."""
+def _near(key: tuple, group: pa.Table):
+    """Candidates of a block: (row, rows to compare it with), across components,
+    estimated high enough, and in the first band that the two share only."""
     one, two = key[1].as_py(), key[2].as_py()
-    doc, part, chunk, size = (group.column(c).to_numpy() for c in ("doc", "component", "chunk", "n_shingles"))
-    regs = _matrix(group.column("registers"))
-    found: list[np.ndarray] = []
+    part, chunk, size = (group.column(c).to_numpy() for c in ("component", "chunk", "n_shingles"))
+    regs, band = _matrix(group.column("registers")), group.column("band")[0].as_py()
     for i in np.flatnonzero(chunk == one):
-        other = (part != part[i]) & ((chunk == two) if one != two else (np.arange(len(doc)) > i))
-        others = np.flatnonzero(other)
+        others = np.flatnonzero((part != part[i]) & ((chunk == two) if one != two else (np.arange(len(part)) > i)))
         if len(others):
-            equal = (regs[others] == regs[i]).sum(1)
-            near = others[corrected(equal, size[others].astype(float), float(size[i])) >= ESTIMATE_FROM]
-            found.append(np.stack([np.maximum(doc[near], doc[i]), np.minimum(doc[near], doc[i])], 1))
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+            equal = regs[others] == regs[i]
+            promising = corrected(equal.sum(1), size[others].astype(float), float(size[i])) >= ESTIMATE_FROM
+            shared = equal[promising].reshape(-1, REGISTERS // ROWS, ROWS).all(2).argmax(1)
+            near = others[promising][shared == band]
+            if len(near):
+                yield i, near
+
+
+def _promising(key: tuple, group: pa.Table) -> pa.Table:
+    """The documents of a block that have a candidate in it; not the pairs."""
+    hit = np.zeros(group.num_rows, bool)
+    for i, near in _near(key, group):
+        hit[i] = hit[near] = True
+    return group.select(["key", "one", "two", "doc"]).filter(pa.array(hit))
+
+
+def _confirm(key: tuple, group: pa.Table) -> pa.Table:
+    """Links of a block on full sets; what a link has joined is not compared again."""
+    doc, part = group.column("doc").to_numpy(), group.column("component").to_numpy().copy()
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+    found: list[tuple[int, int]] = []
+    for i, near in _near(key, group):
+        for j in near:
+            if part[i] != part[j] and _similar(sets[i], sets[j]):
+                found.append((max(doc[i], doc[j]), min(doc[i], doc[j])))
+                part[part == part[j]] = part[i]
+    cols = list(zip(*found)) or [(), ()]
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", cols)})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -186,7 +214,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lone = materialise(lone, "op6-lone")
     band = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda b: F.xxhash64(
         b, F.substring(F.col("registers"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    banded = lone.select("doc", F.explode(band).alias("key"))
+    banded = lone.select("doc", F.posexplode(band).alias("band", "key"))
     buckets = (banded.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"),
                                          F.count("*").alias("n")).filter("low < high").drop("high"))
     members = materialise(banded.join(buckets, "key"), "op6-members")
@@ -210,7 +238,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = materialise(found if links is None else links.unionByName(found), "op6-links")
         parts = materialise(components(links), "op6-parts")
     # and what is still apart in a bucket, block by block
-    parted = materialise(_component_of(members.select("key", "doc", "n"), parts, "doc"), "op6-parted")
+    parted = materialise(_component_of(members.select("key", "band", "doc", "n"), parts, "doc"), "op6-parted")
     split = (parted.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
              .filter("x < y").select("key"))
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
@@ -218,10 +246,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
               .withColumn("chunk", F.pmod(F.xxhash64("doc"), chunks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
               .withColumn("one", F.least("chunk", "other")).withColumn("two", F.greatest("chunk", "other")))
-    across = blocks.select("key", "one", "two", "doc", "component", "chunk", "n_shingles", "registers").groupBy(
-        "key", "one", "two").applyInArrow(_across, "a long, b long").distinct()
-    across = materialise(across, "op6-across")
-    links = materialise(links.unionByName(_verified(across, sets)), "op6-links")
+    blocks = blocks.select("key", "one", "two", "band", "doc", "component", "chunk", "n_shingles", "registers")
+    named = materialise(blocks.groupBy("key", "one", "two").applyInArrow(
+        _promising, "key long, one int, two int, doc long"), "op6-promising")
+    full_blocks = blocks.join(named, ["key", "one", "two", "doc"]).join(
+        sets.withColumnRenamed("doc_id", "doc"), "doc")
+    across = full_blocks.select(*blocks.columns, "shingles").groupBy("key", "one", "two").applyInArrow(
+        _confirm, "a long, b long")
+    links = materialise(links.unionByName(across), "op6-links")
     found = _component_of(classes.select("same", F.col("first").alias("doc")), components(links), "doc")
     out = signed.join(found.select("same", "component"), "same", "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(
