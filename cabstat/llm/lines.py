@@ -1,12 +1,12 @@
 """Line dedup by pairwise alignment.
 
 Every line's hash knows the first document (smallest doc_id) that has it and
-its number of documents. A document is paired with the first documents of its
-rarest shared lines: those with at most ``RARE`` documents, or at most twice
-the documents of its rarest one where all are more common, as in a large group
-of copies. A pair is always (later, first), so a line in n documents gives n - 1
-pairs at most. Pairs are aligned on line hashes by patience diff; aligned runs of
-``MIN_WORDS`` words or more are deleted from the later document.
+its number of documents. A document is paired with the first documents of all
+its shared lines, however common. A pair is always (later, first), so a line in
+n documents gives n - 1 pairs at most. A first document of lines in more than
+``RARE`` documents is copied, and its pairs are dealt over the copies. Pairs are
+aligned on line hashes by patience diff; aligned runs of ``MIN_WORDS`` words or
+more are deleted from the later document.
 
 Defined results: lines are split at line feeds; lines without a word are never
 a reason to pair, but go with a block that spans them; null text stays null and
@@ -146,13 +146,14 @@ def deletions(docs: DataFrame) -> DataFrame:
     lines = map_arrow(arrays.select("doc_id", "hashes", "words"), _line_rows, "line long, doc_id long").distinct()
     lines = materialise(lines, "op7-rows")
     shared = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    own = lines.join(shared, "line").filter("first < doc_id").groupBy("doc_id").agg(
-        F.collect_set(F.struct("first", "n")).alias("shared"))
-    limit = F.greatest(F.lit(RARE), 2 * F.array_min(F.transform("shared", lambda x: x["n"])))
-    partners = own.select("doc_id", F.explode(F.array_distinct(F.transform(
-        F.filter("shared", lambda x: x["n"] <= limit), lambda x: x["first"]))).alias("first"))
-    firsts = arrays.select(F.col("doc_id").alias("first"), F.col("hashes").alias("first_hashes"))
-    pairs = partners.join(firsts, "first").join(arrays, "doc_id")
+    partners = materialise(lines.join(shared, "line").filter("first < doc_id").groupBy("doc_id", "first").agg(
+        F.max("n").alias("n")), "op7-pairs")
+    last = F.floor(F.col("n") / RARE)
+    copies = partners.groupBy("first").agg(F.max("n").alias("n")).select(
+        "first", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("salt"))
+    firsts = arrays.select(F.col("doc_id").alias("first"), F.col("hashes").alias("first_hashes")).join(copies, "first")
+    dealt = partners.select("doc_id", "first", F.pmod(F.xxhash64("doc_id"), last + 1).alias("salt"))
+    pairs = dealt.join(firsts, ["first", "salt"]).join(arrays, "doc_id")
     return map_arrow(pairs.select("doc_id", "version", "first_hashes", "hashes", "words"), _align,
                      "doc_id long, version long, spans array<struct<begin:int,stop:int>>")
 

@@ -315,6 +315,41 @@ def test_lines_odd_rows(odd_docs, no_docs):
     assert lines.drop_lines(no_docs).count() == 0
 
 
+def whole_lines(docs):
+    """Deleted line numbers by doc_id, with the first holders of all shared lines as partners."""
+    cut = {d: t.split("\n") for d, t in docs.items() if t is not None}
+    first = {}
+    for d in sorted(cut):
+        for x in cut[d]:
+            first.setdefault(x, d)
+    out = {}
+    for d, own in cut.items():
+        words = [len(brute.words(x)) for x in own]
+        out[d] = {k for f in {first[x] for x, n in zip(own, words) if n} - {d}
+                  for a, b in lines.common_blocks(cut[f], own, words) for k in range(a, b)}
+    return out
+
+
+def test_lines_are_deleted_however_common(some_docs):
+    docs, texts = some_docs
+    want = whole_lines(texts)
+    got = {r["doc_id"]: (r["n_deleted"], r["kept_sha256"]) for r in lines.digests(docs).collect()}
+    assert got == {d: (len(want[d]), brute.sha("\n".join(
+        x for k, x in enumerate(t.split("\n")) if k not in want[d]))) for d, t in texts.items()}
+
+
+@pytest.mark.parametrize("n", [5, 40])
+def test_common_passage_goes_beside_a_rarer_shared_line(spark, n):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rare = "a rare line of six words"
+    texts = {0: f"start\n{rare}\nother end", **{k: f"own{k}\n{passage}\ntail{k}" for k in range(1, n)},
+             n: f"{rare}\nbetween\n{passage}\nlast"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.drop_lines(docs).collect()}
+    assert got[0] == texts[0] and got[1] == texts[1] and got[n] == "between\nlast"
+    assert all(got[k] == f"own{k}\ntail{k}" for k in range(2, n))
+
+
 # ------------------------------------------------------------------ 8 chat
 
 def talk(spark):
