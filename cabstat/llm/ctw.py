@@ -2,22 +2,27 @@
 
 Texts are lower-cased (A-Z) and read as tokens: words, each spelt as its bytes
 and a space, then one end, spelt as a line feed. A byte is eight binary
-decisions. The context of a byte is the up to ``DEPTH`` bytes before it, back to
-the space before its word. Every (context, decision) has the
+decisions. The context of a byte is the up to ``DEPTH`` bytes before it: with
+``across`` those of the running text, over word ends, back to the text's start;
+without, back to the space before its word. Every (context, decision) has the
 Krichevsky-Trofimov estimate of its counts in training, and weighting mixes the
 estimates of all depths: P(s) = KT(s) / 2 + P(children of s) / 2, and the share
-KT(s) / 2 has in P(s) is the weight of stopping at s. Contexts shorter than
-``DEPTH`` are padded before the space; along the padding all depths have equal
-counts, where mixing changes nothing.
-
-As contexts end at the word's start, a token's probability depends on the token
-alone: the model is trained on word counts, and one value a distinct word is
-found and added up by document. Nothing is capped: the counts of all words,
-and all distinct (context, byte) grams of them, are kept.
-
-Both look-ups (grams of words, words of documents) send only rare keys through
-a shuffle: keys that hold at least one in ``COMMON`` of all occurrences are at
-most ``COMMON``, a bound that does not grow with the data, and are broadcast.
+KT(s) / 2 has in P(s) is the weight of stopping at s. At a start, contexts are a
+space, then padding; along the padding all depths have equal counts, where
+mixing changes nothing.
+
+All distinct (context, byte) grams of the token stream are kept, counted in
+the tasks and merged by bucket: the two last bytes of a context decide its
+bucket, so a bucket holds whole subtrees and is weighted by itself, as one row
+of compressed arrays. It is weighted twice: once for the shallow depths, which
+need all buckets, then for the values, which need the shallow depths.
+
+A document's score adds up the values of its grams. The ``COMMON`` most
+frequent grams at most, a bound that does not grow with the data, are broadcast;
+the occurrences of the others go to their shard's values as one compressed row
+a slice of documents and shard. Words only serve the counts and the add-one
+base: those that hold at least one in ``COMMON`` of all occurrences are
+broadcast, the others joined.
 
 Defined results: null text counts as empty, which is the end alone; rows that
 repeat a doc_id are scored each and trained on each; a null doc_id is training
@@ -34,7 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, split_words
+from .common import batches, map_arrow, materialise, mix, spaced, split_words
 
 DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
@@ -44,30 +49,56 @@ COMMON = 2_000_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1_000_000
 END = b""
+#: Distinct grams that a counting task holds before it hands them on.
+HELD_GRAMS = 2_000_000
 #: Grams that one task weights, about.
 TASK_GRAMS = 200_000
+BUCKETS, SHARDS = 1024, 128
 
 
 # ------------------------------------------------------------------ grams
 
-def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Grams of the spelt words and the number of the word each belongs to.
+def spelt(words: pa.Array, starts: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, the number of bytes by text, and by stretch that contexts stay in."""
+    flat, at = spaced(words) if len(words) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    sizes = np.diff(at[starts]) + 1
+    return np.insert(flat, at[starts[1:]], 0x0A), sizes, sizes if across else np.insert(np.diff(at), starts[1:], 1)
 
-    A gram packs eight bytes: the context, the last byte before uppermost, then
-    the byte itself lowest.
-    """
-    spelt = [w + b" " if w else b"\n" for w in words]
-    sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
-    flat = np.frombuffer(b"".join(spelt), np.uint8).astype(np.uint64)
-    owner = np.repeat(np.arange(len(spelt)), sizes)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+def byte_grams(flat: np.ndarray, stretches: np.ndarray) -> np.ndarray:
+    """The gram of every byte: eight bytes packed, the context, its last byte
+    uppermost, then the byte itself lowest."""
+    flat = flat.astype(np.uint64)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
     gram = flat.copy()
     for back in range(1, DEPTH + 1):
         before = np.zeros_like(flat)
         before[back:] = flat[: len(flat) - back]
-        before = np.where(place >= back, before, np.where(place == back - 1, np.uint64(0x20), np.uint64(0)))
+        before[place < back] = 0
+        before[place == back - 1] = 0x20
         gram |= before << np.uint64(8 * (DEPTH + 1 - back))
-    return gram, owner
+    return gram
+
+
+def bucket_of(grams: np.ndarray) -> np.ndarray:
+    return (mix(grams >> np.uint64(8 * (DEPTH + 1 - SPLIT))) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _squeeze(keys: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Columns of eight bytes an entry, compressed; the first as differences."""
+    import zstandard
+
+    keys = keys.view(np.uint64)
+    parts = [np.diff(keys, prepend=np.uint64(0)), *columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in parts))
+
+
+def _restore(blob: bytes, n: int, *types) -> list[np.ndarray]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    rest = [np.frombuffer(raw, t, n, 8 * n * k) for k, t in enumerate(types, 1)]
+    return [np.cumsum(np.frombuffer(raw, np.uint64, n), dtype=np.uint64), *rest]
 
 
 # ------------------------------------------------------------------ weighting
@@ -207,113 +238,226 @@ def _word_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from combined().to_batches(max_chunksize=50_000)
 
 
-def _gram_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, n_train, n_words) by batch of distinct words."""
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(tables).group_by("gram", use_threads=False).aggregate(
+        [("n_train", "sum"), ("n_all", "sum")]).rename_columns(["gram", "n_train", "n_all"])
+
+
+def _bucketed(counted: pa.Table) -> Iterator[pa.RecordBatch]:
+    """(bucket, n, blob): the grams of every bucket in order with n_train and n_all."""
+    gram, n_train, n_all = (counted.column(c).to_numpy() for c in ("gram", "n_train", "n_all"))
+    gram = gram.view(np.uint64)
+    bucket = bucket_of(gram)
+    order = np.lexsort((gram, bucket))
+    gram, n_train, n_all, bucket = gram[order], n_train[order], n_all[order], bucket[order]
+    found, first = np.unique(bucket, return_index=True)
+    ends = np.append(first[1:], len(bucket))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(found), pa.array(ends - first),
+         pa.array([_squeeze(gram[a:z], n_train[a:z], n_all[a:z]) for a, z in zip(first, ends)], pa.binary())],
+        ["bucket", "n", "blob"])
+
+
+def _gram_counts(across: bool):
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches(stream):
+            flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
+            gram = byte_grams(flat, stretches)
+            train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+            held.append(_summed([pa.table({"gram": gram.view(np.int64), "n_train": train,
+                                           "n_all": np.ones(len(gram), np.int64)})]))
+            if sum(t.num_rows for t in held) > HELD_GRAMS:
+                held = [_summed(held)]
+                if held[0].num_rows > HELD_GRAMS // 2:
+                    yield from _bucketed(held.pop())
+        if held:
+            yield from _bucketed(_summed(held))
+
+    return run
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """One row of a bucket out of all tasks' rows of it."""
+    held: list[pa.Table] = []
+    for n, blob in zip(table.column("n").to_pylist(), table.column("blob")):
+        gram, n_train, n_all = _restore(blob.as_py(), n, np.int64, np.int64)
+        held.append(pa.table({"gram": gram.view(np.int64), "n_train": n_train, "n_all": n_all}))
+        if sum(t.num_rows for t in held) > HELD_GRAMS:
+            held = [_summed(held)]
+    return pa.Table.from_batches(list(_bucketed(_summed(held))))
+
+
+def _shallow(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The decisions of depth ``SPLIT``."""
     for batch in stream:
-        if batch.num_rows:
-            gram, owner = word_grams(batch.column("word").to_pylist())
-            found, _, (n, words) = _group(gram, batch.column("n_train").to_numpy()[owner], np.ones(len(gram)))
+        for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
+            gram, n_train, _ = _restore(blob.as_py(), n, np.int64, np.int64)
+            _, (keys, zeros, ones, weighted) = weigh(gram, n_train.astype(float))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(words.astype(np.int64))],
-                ["gram", "n_train", "n_words"])
-
-
-def _weigh_task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole subtrees of contexts: rows with a gram have its eight probabilities and
-    its number of words, rows without have a decision of depth ``SPLIT``."""
-    parts = [b for b in stream if b.num_rows]
-    if not parts:
-        return
-    grams, counts, words = (np.concatenate([b.column(c).to_numpy() for b in parts]) for c in (
-        "gram", "n_train", "n_words"))
-    seen, (keys, zeros, ones, weighted) = weigh(grams.view(np.uint64), counts.astype(float))
-    for at in range(0, len(grams), 50_000):
-        stop = min(at + 50_000, len(grams))
-        none = pa.nulls(stop - at, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams[at:stop]), pa.array([x.tobytes() for x in seen[at:stop]], pa.binary()),
-             pa.array(words[at:stop]), none, *[pa.nulls(stop - at, pa.float64())] * 3],
-            ["gram", "seen", "n_words", "key", "zeros", "ones", "weighted"])
-    n = len(keys)
-    yield pa.RecordBatch.from_arrays(
-        [pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
-         pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(weighted)],
-        ["gram", "seen", "n_words", "key", "zeros", "ones", "weighted"])
-
-
-def gram_scores(words: DataFrame) -> DataFrame:
-    """(gram, value, n_words): log10 probability of every gram of ``words`` (word, n_train)."""
-    spark = words.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100_000)
-    counted = materialise(words.mapInArrow(_gram_counts, "gram long, n_train long, n_words long").groupBy("gram").agg(
-        F.sum("n_train").alias("n_train"), F.sum("n_words").alias("n_words")), "op4-grams")
-    tasks = max(1, -(-counted.count() // TASK_GRAMS) * 4)
-    subtree = F.shiftrightunsigned("gram", 8 * (DEPTH + 1 - SPLIT))
-    weighed = materialise(counted.repartition(tasks, subtree).mapInArrow(
-        _weigh_task, "gram long, seen binary, n_words long, key long, zeros double, ones double, weighted double"),
-        "op4-weighed")
+                [pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(weighted)],
+                ["key", "zeros", "ones", "weighted"])
+
+
+def gram_values(rows: DataFrame, across: bool) -> DataFrame:
+    """(bucket, n, blob): every gram of ``rows`` (text, train) with its log10
+    probability and its number of occurrences, one row a bucket."""
+    spark = rows.sparkSession
+    counted = materialise(map_arrow(rows, _gram_counts(across), "bucket long, n long, blob binary")
+                          .groupBy("bucket").applyInArrow(_merge, "bucket long, n long, blob binary"), "op4-grams")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    dealt = counted.repartition(max(1, min(BUCKETS, -(-total // TASK_GRAMS))), "bucket")
     # at most 256 ** SPLIT contexts of 255 decisions, whatever the corpus
-    rows = weighed.filter("key is not null").select("key", "zeros", "ones", "weighted").toArrow()
+    shallow = map_arrow(dealt, _shallow, "key long, zeros double, ones double, weighted double").toArrow()
     top = spark.sparkContext.broadcast(Top(*(
-        rows.column(c).to_numpy().view(t) for c, t in (
+        shallow.column(c).to_numpy().view(t) for c, t in (
             ("key", np.uint64), ("zeros", float), ("ones", float), ("weighted", float)))))
 
     def finish(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            if batch.num_rows:
-                seen = np.frombuffer(b"".join(batch.column("seen").to_pylist())).reshape(-1, 8)
-                value = top.value.log10(batch.column("gram").to_numpy().view(np.uint64), seen)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("gram"), pa.array(value), batch.column("n_words")], ["gram", "value", "n_words"])
+            blobs = []
+            for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
+                gram, n_train, n_all = _restore(blob.as_py(), n, np.int64, np.int64)
+                seen, _ = weigh(gram, n_train.astype(float))
+                blobs.append(_squeeze(gram, top.value.log10(gram, seen), n_all))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("bucket"), batch.column("n"), pa.array(blobs, pa.binary())], ["bucket", "n", "blob"])
 
-    return materialise(weighed.filter("gram is not null").select("gram", "seen", "n_words").mapInArrow(
-        finish, "gram long, value double, n_words long"), "op4-values")
+    return materialise(map_arrow(dealt, finish, "bucket long, n long, blob binary"), "op4-values")
 
 
-def _common(df: DataFrame, weight: str) -> DataFrame:
-    """Rows that hold at least one in ``COMMON`` of the weight: at most ``COMMON`` rows."""
-    total = df.agg(F.sum(weight)).first()[0] or 0
-    return df.filter(F.col(weight) * COMMON >= total)
+def _frequent(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Grams in order and their values: the most frequent, at most ``COMMON``."""
+    def size(n):
+        return np.floor(8 * np.log2(n)).astype(np.int64)
+
+    def sizes(stream):
+        for batch in stream:
+            for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
+                found, times = np.unique(size(_restore(blob.as_py(), n, float, np.int64)[2]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)], ["size", "times"])
+
+    least, room = 1 << 30, COMMON
+    for r in sorted(map_arrow(values, sizes, "size long, times long").groupBy("size").agg(
+            F.sum("times").alias("times")).collect(), reverse=True):
+        room -= r["times"]
+        if room < 0:
+            break
+        least = r["size"]
+
+    def chosen(stream):
+        for batch in stream:
+            for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
+                gram, value, n_all = _restore(blob.as_py(), n, float, np.int64)
+                use = size(n_all) >= least
+                yield pa.RecordBatch.from_arrays([pa.array(gram[use].view(np.int64)), pa.array(value[use])],
+                                                 ["gram", "value"])
+
+    table = map_arrow(values, chosen, "gram long, value double").toArrow()
+    gram, value = (table.column(c).to_numpy() for c in ("gram", "value"))
+    order = np.argsort(gram.view(np.uint64))
+    return gram.view(np.uint64)[order], value[order]
+
 
+_DEALT = "shard long, kind int, slice long, n long, blob binary"
 
-def word_scores(words: DataFrame) -> DataFrame:
-    """``words`` (word, n_train, n_all) with ``value``, their log10 probability."""
-    spark = words.sparkSession
-    values = gram_scores(words)
-    table = _common(values, "n_words").select("gram", "value").toArrow()
-    order = np.argsort(table.column("gram").to_numpy())
-    shared = spark.sparkContext.broadcast(tuple(table.column(c).to_numpy()[order] for c in ("gram", "value")))
+
+def _dealt(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                      ["shard", "kind", "slice", "n", "blob"])
+
+
+def text_values(rows: DataFrame, across: bool) -> DataFrame:
+    """(doc_id, version, value): log10 probability of every text of ``rows``
+    (doc_id, version, text, train), trained on those with ``train``."""
+    values = gram_values(rows.select("text", "train"), across)
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(values))
 
     def known(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row a word with the sum over its common grams, and one a rare gram."""
+        """By slice a row of its documents with the sums over common grams, and one a shard of other grams."""
+        from pyspark import TaskContext
+
         keys, value = shared.value
+        part = TaskContext.get().partitionId() << 32
+        for part, batch in enumerate(batches(stream), part):
+            size = batch.num_rows
+            flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
+            coded = pa.array(byte_grams(flat, stretches).view(np.int64)).dictionary_encode()
+            names, index = coded.dictionary.to_numpy().view(np.uint64), coded.indices.to_numpy()
+            owner = np.repeat(np.arange(size), sizes)
+            at = np.minimum(np.searchsorted(keys, names), max(0, len(keys) - 1))
+            hit = keys[at] == names if len(keys) else np.zeros(len(names), bool)
+            worth = np.zeros(len(names))
+            worth[hit] = value[at[hit]]
+            ids = batch.column("doc_id")
+            out = [(-1 - part, 0, part, size, _squeeze(
+                batch.column("version").to_numpy(), pc.fill_null(ids, 0).to_numpy(),
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), _sums(owner, worth[index], size)))]
+            rare = np.flatnonzero(~hit[index])
+            pair, times = np.unique(index[rare].astype(np.int64) * size + owner[rare], return_counts=True)
+            gram, doc = names[pair // size], pair % size
+            shard = bucket_of(gram) % SHARDS
+            order = np.lexsort((doc, gram, shard))
+            gram, doc, times, shard = gram[order], doc[order], times[order], shard[order]
+            found, first = np.unique(shard, return_index=True)
+            for x, a, z in zip(found.tolist(), first, np.append(first[1:], len(shard))):
+                out.append((x, 1, part, z - a, _squeeze(gram[a:z], doc[a:z], times[a:z])))
+            yield _dealt(out)
+
+    def add_up(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of documents as they are; a shard's values come first, then its grams, summed by document."""
+        now, parts, table = None, [], None
         for batch in stream:
-            if not batch.num_rows:
-                continue
-            gram, owner = word_grams(batch.column("word").to_pylist())
-            gram = gram.view(np.int64)
-            at = np.minimum(np.searchsorted(keys, gram), max(0, len(keys) - 1))
-            hit = keys[at] == gram if len(keys) else np.zeros(len(gram), bool)
-            sums = _sums(owner[hit], value[at[hit]], batch.num_rows)
-            rare = np.flatnonzero(~hit)
-            names = batch.column("word")
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([names, names.take(pa.array(owner[rare]))]),
-                 pa.concat_arrays([pa.nulls(batch.num_rows, pa.int64()), pa.array(gram[rare])]),
-                 pa.concat_arrays([pa.array(sums), pa.nulls(len(rare), pa.float64())])], ["word", "gram", "part"])
+            out = []
+            for shard, kind, part, n, blob in zip(*(batch.column(c).to_pylist() for c in (
+                    "shard", "kind", "slice", "n", "blob"))):
+                if shard < 0:
+                    out.append((shard, kind, part, n, blob))
+                elif kind == 0:
+                    parts = [*(parts if shard == now else []), _restore(blob, n, float, np.int64)[:2]]
+                    now, table = shard, None
+                else:
+                    if table is None:
+                        gram, value = (np.concatenate(x) for x in zip(*parts))
+                        order = np.argsort(gram)
+                        table = gram[order], value[order]
+                    gram, doc, times = _restore(blob, n, np.int64, np.int64)
+                    own, index = np.unique(doc, return_inverse=True)
+                    sums = _sums(index, table[1][np.searchsorted(table[0], gram)] * times, len(own))
+                    out.append((shard, kind, part, len(own), _squeeze(own, sums)))
+            if out:
+                yield _dealt(out)
+
+    def whole(table: pa.Table) -> pa.Table:
+        total, parts = None, []
+        for shard, n, blob in zip(*(table.column(c).to_pylist() for c in ("shard", "n", "blob"))):
+            if shard < 0:
+                version, doc, null, total = _restore(blob, n, np.int64, np.int64, float)
+                total = total.copy()
+            else:
+                parts.append(_restore(blob, n, float))
+        for own, sums in parts:
+            total[own.view(np.int64)] += sums
+        return pa.table({"doc_id": pa.array(doc, mask=null > 0), "version": version.view(np.int64), "value": total})
+
+    given = values.select((F.col("bucket") % SHARDS).alias("shard"), F.lit(0).alias("kind"),
+                          F.lit(-1).cast("long").alias("slice"), "n", "blob")
+    dealt = map_arrow(rows.select("doc_id", "version", "text"), known, _DEALT).unionByName(given)
+    summed = map_arrow(dealt.repartition("shard").sortWithinPartitions("shard", "kind"), add_up, _DEALT)
+    return summed.groupBy("slice").applyInArrow(whole, "doc_id long, version long, value double")
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100_000)
-    parts = words.select("word").mapInArrow(known, "word binary, gram long, part double")
-    rare = parts.filter("gram is not null").select("word", "gram").join(values, "gram").select(
-        "word", F.col("value").alias("part"))
-    summed = parts.filter("gram is null").select("word", "part").unionByName(rare).groupBy("word").agg(
-        F.sum("part").alias("value"))
-    return words.join(summed, "word")
+
+def _common(df: DataFrame, weight: str) -> DataFrame:
+    """Rows that hold at least one in ``COMMON`` of the weight: at most ``COMMON`` rows."""
+    total = df.agg(F.sum(weight)).first()[0] or 0
+    return df.filter(F.col(weight) * COMMON >= total)
 
 
-def score(docs: DataFrame, held_out) -> DataFrame:
+def score(docs: DataFrame, held_out, across: bool = False) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
-    n_bytes and bits_per_byte. ``held_out``: Boolean column over doc_id."""
+    n_bytes and bits_per_byte. ``held_out``: Boolean column over doc_id; ``across``:
+    contexts go over word ends."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -323,15 +467,14 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")), "op4-words")
     total, distinct = words.agg(F.sum("n_train"), F.sum((F.col("n_train") > 0).cast("long"))).first()
     total, distinct = total or 0, distinct or 0
-    scored = materialise(word_scores(words).select(
-        "word", "n_train", "n_all", "value",
+    scored = materialise(words.select(
+        "word", "n_train", "n_all",
         F.log10((F.col("n_train") + 1) / F.lit(float(total + distinct + 1))).alias("base")), "op4-scored")
-    table = _common(scored, "n_all").select("word", "n_train", "value", "base").toArrow()
+    table = _common(scored, "n_all").select("word", "n_train", "base").toArrow()
     shared = spark.sparkContext.broadcast((
         {w: k for k, w in enumerate(table.column("word").to_pylist())},
         np.stack([np.append(x, np.nan) for x in (
-            (table.column("n_train").to_numpy() > 0).astype(float), table.column("base").to_numpy(),
-            table.column("value").to_numpy())], 1)))
+            (table.column("n_train").to_numpy() > 0).astype(float), table.column("base").to_numpy())], 1)))
 
     def known(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a document with the sums over its common words, and one for each rare word."""
@@ -346,7 +489,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
             at = found[index] if len(index) else np.zeros(0, np.int64)
             hit, size = at >= 0, batch.num_rows
             ids = batch.column("row")
-            sums = [_sums(owner[hit], values[at[hit], k], size) for k in range(3)]
+            sums = [_sums(owner[hit], values[at[hit], k], size) for k in range(2)]
             lengths = _sums(owner, pc.binary_length(words).to_numpy(), size)
             pair, times = np.unique(owner[~hit] * np.int64(len(names) + 1) + index[~hit], return_counts=True)
             rare, word = pair // (len(names) + 1), pair % (len(names) + 1)
@@ -356,21 +499,24 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                  pa.concat_arrays([pa.nulls(size, pa.binary()), names.take(pa.array(word))]),
                  pa.array(np.concatenate([np.diff(starts) + 1, times]), pa.int64()),
                  *[pa.array(np.concatenate([x, np.zeros(n)])) for x in (*sums, lengths + np.diff(starts) + 1)]],
-                ["row", "word", "n", "n_known", "base", "value", "n_bytes"])
+                ["row", "word", "n", "n_known", "base", "n_bytes"])
 
-    ends = scored.filter(F.col("word") == F.lit(END)).select("n_train", "base", "value").first()
-    end = (float(ends[0] > 0), ends[1], ends[2]) if ends else (0.0, 0.0, 0.0)
-    row = F.struct("doc_id", F.xxhash64("text").alias("version"))
-    parts = map_arrow(rows.select(row.alias("row"), "text"), known,
+    ends = scored.filter(F.col("word") == F.lit(END)).select("n_train", "base").first()
+    end = (float(ends[0] > 0), ends[1]) if ends else (0.0, 0.0)
+    rows = rows.withColumn("version", F.xxhash64("text"))
+    row, nothing = F.struct("doc_id", "version").alias("row"), F.lit(0.0)
+    parts = map_arrow(rows.select(row, "text"), known,
                       "row struct<doc_id:long,version:long>, word binary, n long, n_known double, base double, "
-                      "value double, n_bytes double")
+                      "n_bytes double").withColumn("value", nothing)
     rare = parts.filter("word is not null").select("row", "word", "n").join(
-        scored.select("word", "n_train", F.col("base").alias("b"), F.col("value").alias("v")), "word").select(
+        scored.select("word", "n_train", F.col("base").alias("b")), "word").select(
         "row", F.lit(0).cast("long").alias("n"), (F.col("n") * (F.col("n_train") > 0).cast("int")).cast("double").alias("n_known"),
-        (F.col("n") * F.col("b")).alias("base"), (F.col("n") * F.col("v")).alias("value"),
-        F.lit(0.0).alias("n_bytes"))
+        (F.col("n") * F.col("b")).alias("base"), nothing.alias("n_bytes"), nothing.alias("value"))
+    texts = text_values(rows.withColumn("train", ~F.col("held_out")), across).select(
+        row, F.lit(0).cast("long").alias("n"), nothing.alias("n_known"), nothing.alias("base"),
+        nothing.alias("n_bytes"), "value")
     whole = parts.filter("word is null").drop("word")
-    return _finish(whole, rare, rows, held_out, end, total)
+    return _finish(whole.unionByName(texts), rare, rows, held_out, end, total)
 
 
 def _finish(whole: DataFrame, rare: DataFrame, rows: DataFrame, held_out, end, total: int) -> DataFrame:
@@ -383,7 +529,7 @@ def _finish(whole: DataFrame, rare: DataFrame, rows: DataFrame, held_out, end, t
         (F.col("n") / F.col("copies")).cast("long").alias("n_tokens"),
         (F.round(F.col("n_known") / F.col("copies")).cast("long") + int(end[0])).alias("n_known"),
         (F.col("base") / F.col("copies") + end[1]).alias("base_score"),
-        (F.col("value") / F.col("copies") + end[2]).alias("score"),
+        (F.col("value") / F.col("copies")).alias("score"),
         (F.col("n_bytes") / F.col("copies")).cast("long").alias("n_bytes"))
     return each.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known",

@@ -20,7 +20,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ctw import score
 
-    return score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+    return score(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2,
+                 across=True)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each operator against a plain version, on a given table and on odd rows."""
 
+import math
 import os
 import sys
 import zlib
@@ -167,6 +168,55 @@ def test_scores_odd_rows(odd_docs, no_docs):
     assert ctw.score(no_docs, held_out()).count() == 0
 
 
+def running_tree(texts, train, depth=7):
+    """Log10 probability of every text (token lists) by a tree over the bytes of the running texts."""
+    kt = lambda a, b: math.lgamma(a + .5) + math.lgamma(b + .5) - math.lgamma(a + b + 1) - math.log(math.pi)
+    seen, below = defaultdict(lambda: [0, 0]), defaultdict(set)
+
+    def steps(own):
+        spelt = b"\0" * (depth - 1) + b" " + b"".join(w + b" " for w in own) + b"\n"
+        for i in range(depth, len(spelt)):
+            for j in range(8):
+                yield [(spelt[i - d:i], spelt[i] + 256 >> 8 - j) for d in range(depth + 1)], spelt[i] >> 7 - j & 1
+
+    for d, own in texts.items():
+        for path, bit in steps(own):
+            for key, deeper in zip(path, [*path[1:], None]):
+                seen[key][bit] += d in train
+                below[key].add(deeper)
+    weighted, stop = {}, {}
+    for key in sorted(seen, key=lambda k: -len(k[0])):
+        own = weighted[key] = kt(*seen[key])
+        stop[key] = 1.0
+        if len(key[0]) < depth:
+            weighted[key] = np.logaddexp(own, sum(weighted[k] for k in below[key])) - math.log(2)
+            stop[key] = math.exp(own - math.log(2) - weighted[key])
+
+    def chance(path, bit):
+        p = 0.0
+        for key in reversed(path):
+            p = stop[key] * (seen[key][bit] + .5) / (sum(seen[key]) + 1) + (1 - stop[key]) * p
+        return p
+
+    return {d: sum(math.log10(chance(*x)) for x in steps(own)) for d, own in texts.items()}
+
+
+@pytest.mark.parametrize("common", [2_000_000, 200])
+def test_contexts_go_over_word_ends(spark, some_docs, monkeypatch, common):
+    monkeypatch.setattr(ctw, "COMMON", common)
+    docs, texts = some_docs
+    given = [(d, " ".join(texts[d].split()[:60])) for d in sorted(texts)[:12]]
+    given += [(100 + k, "the cat sat on the mat " * 6) for k in range(5)]
+    given += [(200, "the cat sat on the mat"), (201, "mat the on sat cat the"), (202, None)]
+    held = (F.col("doc_id") >= 200) | (F.col("doc_id") == given[0][0])
+    out = ctw.score(spark.createDataFrame(given, "doc_id long, text string"), held, across=True).collect()
+    tokens = {d: brute.lower(t or "").encode().split() for d, t in given}
+    want = running_tree(tokens, {d for d, _ in given[1:] if d < 200})
+    got = {r["doc_id"]: r["score"] for r in out}
+    assert got == {d: pytest.approx(v, rel=1e-9) for d, v in want.items()}
+    assert got[200] > got[201] + 5  # the order of words counts
+
+
 # ------------------------------------------------------------------ 5 byte-level BPE
 
 def reference_encoding():
