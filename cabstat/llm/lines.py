@@ -1,12 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Every line's hash knows the first document (smallest doc_id) that has it and
-its number of documents. A document is paired with the first documents of all
-its shared lines, however common. A pair is always (later, first), so a line in
-n documents gives n - 1 pairs at most. A first document of lines in more than
+Every key's hash knows the first document (smallest doc_id) that has it and its
+number of documents. Keys are the lines, and from every line that is shorter
+than ``MIN_WORDS`` words the run of lines that reaches them: whatever run can be
+deleted starts with a key. A document is paired with the first documents of all
+its shared keys, however common. A pair is always (later, first), so a key in
+n documents gives n - 1 pairs at most. A first document of keys in more than
 ``RARE`` documents is copied, and its pairs are dealt over the copies. Pairs are
-aligned on line hashes by patience diff; aligned runs of ``MIN_WORDS`` words or
-more are deleted from the later document.
+aligned on line hashes by patience diff, and where a gap has no lines that are
+unique on both sides, by its heaviest common subsequence; aligned runs of
+``MIN_WORDS`` words or more are deleted from the later document.
 
 Defined results: lines are split at line feeds; lines without a word are never
 a reason to pair, but go with a block that spans them; null text stays null and
@@ -51,9 +54,45 @@ def _longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def patience(one: list, two: list) -> list[tuple[int, int]]:
+def _row(one: list, places: dict, weights: np.ndarray) -> np.ndarray:
+    """Weight of the heaviest common subsequence of ``one`` and each start of the other side."""
+    row = np.zeros(len(weights) + 1, np.int64)
+    for x in one:
+        at = places.get(x)
+        if at is not None:
+            fresh = row.copy()
+            fresh[at + 1] = np.maximum(fresh[at + 1], row[at] + weights[at])
+            row = np.maximum.accumulate(fresh)
+    return row
+
+
+def _heaviest(one: list, two: list, weights: list[int]) -> list[tuple[int, int]]:
+    """Index pairs of the heaviest common subsequence, by halving ``one``: memory for one row."""
+    def places(side):
+        out: dict = {}
+        for j, x in enumerate(side):
+            out.setdefault(x, []).append(j)
+        return {x: np.array(j) for x, j in out.items()}
+
+    found, todo = [], [(0, len(one), 0, len(two))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if b - a == 1:
+            at = [j for j in range(c, d) if two[j] == one[a]]
+            found.extend([(a, max(at, key=lambda j: weights[j]))] if at else [])
+        elif b - a > 1 and c < d:
+            middle, w = (a + b) // 2, np.array(weights[c:d], np.int64)
+            upper = _row(one[a:middle], places(two[c:d]), w)
+            lower = _row(one[middle:b][::-1], places(two[c:d][::-1]), w[::-1])[::-1]
+            cut = c + int(np.argmax(upper + lower))
+            todo += [(a, middle, c, cut), (middle, b, cut, d)]
+    return found
+
+
+def patience(one: list, two: list, weights: list[int] | None = None) -> list[tuple[int, int]]:
     """Aligned index pairs, in order: equal ends first, then lines that are unique
-    on both sides, then the gaps between them in the same way."""
+    on both sides, then the gaps between them in the same way. A gap without such
+    lines takes its heaviest common subsequence by ``weights`` of the lines of ``two``."""
     found: list[tuple[int, int]] = []
     todo = [(0, len(one), 0, len(two))]
     while todo:
@@ -70,6 +109,10 @@ def patience(one: list, two: list) -> list[tuple[int, int]]:
         place = {x: j for j, x in enumerate(two[c:d], c) if right[x] == 1}
         anchors = _longest_increasing([(i, place[x]) for i, x in enumerate(one[a:b], a) if left[x] == 1 and x in place])
         if not anchors:
+            rows, columns = ([k for k in span if x[k] in other] for span, x, other in (
+                (range(a, b), one, right), (range(c, d), two, left)))
+            found.extend((rows[i], columns[j]) for i, j in _heaviest(
+                [one[k] for k in rows], [two[k] for k in columns], [1 + weights[k] if weights else 1 for k in columns]))
             continue
         found.extend(anchors)
         for (i, j), (k, m) in zip([(a - 1, c - 1), *anchors], [*anchors, (b, d)]):
@@ -81,7 +124,7 @@ def common_blocks(one: list, two: list, weights: list[int], least: int = MIN_WOR
     """Ranges of ``two`` that are aligned runs with a weight of ``least`` or more."""
     out: list[tuple[int, int]] = []
     run: list[tuple[int, int]] = []
-    for pair in [*patience(one, two), (-1, -1)]:
+    for pair in [*patience(one, two, weights), (-1, -1)]:
         if run and pair != (run[-1][0] + 1, run[-1][1] + 1):
             begin, stop = run[0][1], run[-1][1] + 1
             if sum(weights[begin:stop]) >= least:
@@ -107,12 +150,25 @@ def _line_arrays(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(words, pa.binary())], ["doc_id", "version", "hashes", "words"])
 
 
+def _runs(hashes: bytes, words: np.ndarray) -> list[int]:
+    """Keys of the runs of lines that reach ``MIN_WORDS`` words, from lines that do not."""
+    import xxhash
+
+    ends = np.cumsum(words)
+    starts = np.flatnonzero((words > 0) & (words < MIN_WORDS))
+    stops = np.searchsorted(ends, ends[starts] - words[starts] + MIN_WORDS) + 1
+    return [xxhash.xxh3_64_intdigest(hashes[8 * a: 8 * z], 1) - (1 << 63)
+            for a, z in zip(starts.tolist(), stops.tolist()) if z <= len(words)]
+
+
 def _line_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct lines with a word, by document."""
+    """Distinct keys, by document: lines with a word, and runs of short lines."""
     for batch in stream:
         lines, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for doc, hashes, words in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "hashes", "words"))):
-            own = np.unique(np.frombuffer(hashes, np.int64)[np.frombuffer(words, "<i4") > 0])
+            n_words = np.frombuffer(words, "<i4")
+            own = np.unique(np.concatenate([np.frombuffer(hashes, np.int64)[n_words > 0],
+                                            np.array(_runs(hashes, n_words), np.int64)]))
             lines.append(own)
             docs.append(np.full(len(own), doc, np.int64))
         yield pa.RecordBatch.from_arrays(

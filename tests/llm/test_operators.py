@@ -366,16 +366,21 @@ def test_lines_odd_rows(odd_docs, no_docs):
 
 
 def whole_lines(docs):
-    """Deleted line numbers by doc_id, with the first holders of all shared lines as partners."""
+    """Deleted line numbers by doc_id, with the first holders of all shared lines and runs as partners."""
     cut = {d: t.split("\n") for d, t in docs.items() if t is not None}
-    first = {}
+    first, keys = {}, {}
     for d in sorted(cut):
-        for x in cut[d]:
+        own, keys[d] = cut[d], set()
+        for i, x in enumerate(own):
+            ends = [j for j in range(i + 1, len(own) + 1) if len(brute.words("\n".join(own[i:j]))) >= lines.MIN_WORDS]
+            if brute.words(x):
+                keys[d].update([(x,), tuple(own[i:min(ends, default=i + 1)])])
+        for x in keys[d]:
             first.setdefault(x, d)
     out = {}
     for d, own in cut.items():
         words = [len(brute.words(x)) for x in own]
-        out[d] = {k for f in {first[x] for x, n in zip(own, words) if n} - {d}
+        out[d] = {k for f in {first[x] for x in keys[d]} - {d}
                   for a, b in lines.common_blocks(cut[f], own, words) for k in range(a, b)}
     return out
 
@@ -400,6 +405,40 @@ def test_common_passage_goes_beside_a_rarer_shared_line(spark, n):
     assert all(got[k] == f"own{k}\ntail{k}" for k in range(2, n))
 
 
+def heaviest_weight(one, two, weights):
+    best = [[0] * (len(two) + 1) for _ in range(len(one) + 1)]
+    for i, x in enumerate(one):
+        for j, y in enumerate(two):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], (best[i][j] + weights[j]) * (x == y))
+    return best[-1][-1]
+
+
+def test_gaps_of_repeated_lines_are_aligned_exactly():
+    assert lines.patience(list("pxp"), list("apb")) in ([(0, 1)], [(2, 1)])
+    assert lines.common_blocks(list("pxp"), list("apbpc"), [1, 9, 1, 9, 1]) == [(1, 2), (3, 4)]
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        one, two = (rng.integers(0, 4, rng.integers(0, 14)).tolist() for _ in range(2))
+        weights = [1 + 3 * x for x in two]
+        found = sorted(lines._heaviest(one, two, weights))
+        assert all(one[i] == two[j] for i, j in found)
+        assert all(i < k and j < m for (i, j), (k, m) in zip(found, found[1:]))
+        assert sum(weights[j] for _, j in found) == heaviest_weight(one, two, weights)
+
+
+def test_repeated_passages_and_runs_of_short_lines_are_deleted(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = {1: f"{passage}\nx\n{passage}", **{k: f"a{k}\n{passage}\nb{k}" for k in range(2, 30)},
+             30: f"c\n{passage}\nd\n{passage}\ne",
+             40: "r\nthree short words\nq", 41: "v\nand two more\nw",
+             42: "f\nthree short words\nand two more\ng", 43: "h\nthree short words\nand two more\ni"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.drop_lines(docs).collect()}
+    assert all(got[k] == f"a{k}\nb{k}" for k in range(2, 30))
+    assert got[30] == "c\nd\ne" and got[43] == "h\ni"
+    assert all(got[k] == texts[k] for k in (1, 40, 41, 42))
+
+
 # ------------------------------------------------------------------ 8 chat
 
 def talk(spark):
