@@ -4,9 +4,11 @@ A conversation's turns are rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``.
 ``&``, ``<`` and ``[`` are escaped inside texts and roles (in roles the line
 feed too), so no control string can occur in them, and unescaping restores
 them. Prefix sums of turn tokens cut the turns after the leading system turn
-into turn-aligned spans: a span takes the turns that start within one share of
-the budget. A window is the system turn, as many last turns before its span as
-fit the history budget, then the span. Only assistant texts of the span carry
+into turn-aligned spans: a span takes turns as long as they end within one
+share of the budget. A window is the system turn, as many last turns before its
+span as fit both the history budget and what system turn and span leave of the
+budget, then the span. A window is longer than the budget only where the system
+turn and a single turn of its own are. Only assistant texts of the span carry
 loss; a repeated turn never does, so each assistant text is a target once.
 
 Defined results: null text counts as empty, null role as the empty role; turns
@@ -64,20 +66,26 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
         "conv_id", F.when(led, F.slice("turns", 1, 1)).otherwise(F.slice("turns", 1, 0)).alias("sys"),
         F.when(led, F.slice("turns", F.lit(2), F.size("turns"))).otherwise(F.col("turns")).alias("rest"))
     spent = F.aggregate("sys", F.lit(0).cast("long"), lambda a, t: a + t["tokens"])
-    share = F.greatest(F.lit(budget - history) - spent, F.lit(history), F.lit(1)).alias("share")
-    placed = own.select("conv_id", "sys", "rest", share, _running(
+    room = F.lit(budget) - spent
+    share = F.greatest(room - history, F.least(F.lit(history), room), F.lit(1)).alias("share")
+    placed = own.select("conv_id", "sys", "rest", room.alias("room"), share, _running(
         F.transform("rest", lambda t: t["tokens"].cast("int"))).alias("before"))
-    cut = lambda k: F.floor(F.get("before", k) / F.col("share"))
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size("rest") - 1, F.lit(0))),
-                      lambda k: (k == 0) | (cut(k) != cut(k - 1)))
+    first = F.struct(F.array(F.lit(0)).alias("starts"), F.lit(0).alias("base"))
+    # k turns end at before[k]; a turn that ends past its span's share starts the next span
+    step = lambda a, k: F.when(
+        F.get("before", k + 1) - a["base"] > F.col("share"),
+        F.struct(F.concat(a["starts"], F.array(k)).alias("starts"), F.get("before", k).alias("base"))).otherwise(a)
+    later = F.filter(F.sequence(F.lit(0), F.size("rest")), lambda k: (k > 0) & (k < F.size("rest")))
+    starts = F.aggregate(later, first, step, lambda a: a["starts"])
     spans = placed.withColumn("starts", starts)
 
     def window(s, k):
-        before = F.when(k == 0, F.lit(0)).otherwise(F.get("starts", k - 1))
+        before = F.greatest(s - history, F.lit(0))  # every turn has tokens
         stop = F.coalesce(F.get("starts", k + 1), F.size("rest"))
+        left = F.least(F.lit(history), F.col("room") - F.get("before", stop) + F.get("before", s))
         past = F.filter(F.transform(
             F.slice("rest", before + 1, s - before), lambda t, j: F.when(
-                F.get("before", s) - F.get("before", before + j) <= history, t)), lambda t: t.isNotNull())
+                F.get("before", s) - F.get("before", before + j) <= left, t)), lambda t: t.isNotNull())
         return let(past, lambda p: F.struct(
             k.alias("window"), F.when(k == 0, F.lit(0)).otherwise(F.size("sys") + F.size(p)).alias("n_repeated"),
             F.concat(F.col("sys"), p, F.slice("rest", s + 1, stop - s)).alias("shown")))

@@ -471,6 +471,26 @@ def test_windows_read_back(spark, budget):
     assert all(x["text"].startswith(chat.OPEN + "system") for x in shown) and (shown or budget > 10_000)
 
 
+@pytest.mark.parametrize("system", [0, 100, 480, 700])
+def test_only_single_turns_exceed_the_budget(spark, system):
+    rng = np.random.default_rng(system)
+    sizes = {1: [380] * 6, 2: rng.integers(5, 400, 60).tolist(), 3: [20, 600, 20, 511, 3, 3], 4: [10] * 100}
+    given = [(c, 1 + k, "assistant" if k % 2 else "user", "x" * (4 * (n - 4))) for c, own in sizes.items()
+             for k, n in enumerate(own)]
+    given += [(c, 0, "system", "s" * (4 * (system - 4))) for c in sizes if system]
+    made = chat.windows(spark.createDataFrame(given, "conv_id long, turn long, role string, text string")).collect()
+    shown = defaultdict(list)
+    for w in sorted(made, key=lambda w: (w["conv_id"], w["window"])):
+        turns = [t.split("\n", 1) for t in w["text"].split(chat.CLOSE)[:-1]]
+        tokens = [-(-len(t) // 4) + 4 for _, t in turns]
+        own = [n for (r, _), n in list(zip(turns, tokens))[w["n_repeated"]:] if not r.endswith("system")]
+        assert sum(tokens) <= chat.BUDGET or len(own) == 1
+        if sum(tokens) > chat.BUDGET:
+            assert sum(tokens) == own[0] + system  # nothing is repeated on top
+        shown[w["conv_id"]] += own
+    assert {c: [max(n, 4) for n in own] for c, own in sizes.items()} == shown
+
+
 def test_windows_of_nothing(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.windows(none)).count() == 0
