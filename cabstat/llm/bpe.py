@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import batches, map_arrow
 
@@ -115,9 +115,9 @@ def unicode_form(pattern: str) -> str:
         r"\s", r"\p{White_Space}")
 
 
-def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, position: Column | None = None) -> DataFrame:
     """Per row: doc_id, ids (binary, little-endian unsigned 32-bit), decoded (binary),
-    and their digests; the text itself is read whole."""
+    and, if given, position; the text itself is read whole."""
     ranks = read_ranks(ranks_path)
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((sentencepiece_model(ranks), sorted(ranks, key=ranks.get)))  # the size of the vocabulary
@@ -129,14 +129,18 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             ids = codec.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary()),
-                 pa.array([codec.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])
+                 pa.array([codec.decode(x) for x in ids], pa.binary()), *[batch.column(c) for c in more]],
+                ["doc_id", "ids", "decoded", *more])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-                     run, "doc_id long, ids binary, decoded binary")
+    more = [] if position is None else ["position"]
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                                 *([] if position is None else [position.cast("long").alias("position")])),
+                     run, ", ".join(["doc_id long, ids binary, decoded binary", *(f"{c} long" for c in more)]))
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = encode_decode(docs, ranks_path, pattern)
+def digests(docs: DataFrame, ranks_path: str, pattern: str, position: Column | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if given, position."""
+    coded = encode_decode(docs, ranks_path, pattern, position)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                        *([] if position is None else ["position"]))

@@ -9,7 +9,8 @@ each operator's docstring says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cabstat.llm import bpe, lines, minhash, mixing, quality
 from cabstat.llm.common import materialise, table
@@ -35,11 +36,29 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def written_position(docs: DataFrame) -> Column:
+    """Where a row of a written table is: number of its part file, then its row there.
+
+    Spark packs files into tasks by size, so reading alone does not keep the
+    order. A table that is not read from files has the order of its partitions.
+    """
+    try:
+        docs.select("_metadata.row_index").schema
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    number = lambda pattern: F.coalesce(F.regexp_extract(
+        "_metadata.file_name", pattern, 1).try_cast("long"), F.lit(0))
+    return (F.shiftleft(number("^part-([0-9]+)"), 42) + F.shiftleft(number("-c([0-9]+)[.]"), 32)
+            + F.col("_metadata.row_index"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, and position: the
+    order of the mix, with gaps."""
     import public_tokenizers
 
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                       written_position(docs))
 
 
 STAGES = [

@@ -4,6 +4,7 @@ import os
 import sys
 
 import numpy as np
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
@@ -42,3 +43,26 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd_docs, no_docs):
             if k < len(corpus_pipeline.STAGES) - 1:
                 assert out.columns == odd_docs.columns and out.schema == odd_docs.schema
             docs = out if k < len(corpus_pipeline.STAGES) - 1 else docs
+
+
+def test_the_mix_decides_the_position_of_the_result(spark):
+    from cabstat.llm import mixing
+    from cabstat.llm.common import materialise
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    # part files of very different sizes, which Spark does not read in turn
+    wide = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.repeat("text", 9)).otherwise(F.col("text")))
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        mixed = materialise(corpus_pipeline.mix_sources(spark, wide, SMALL), "test-mixed")
+        assert len(mixed.inputFiles()) > 1
+        got = corpus_pipeline.encode(spark, mixed, SMALL).orderBy("position").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    placed = mixing.schedule(docs).orderBy("position").collect()
+    assert len({r["position"] for r in got}) == len(placed)
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in placed]
