@@ -50,10 +50,12 @@ COMMON = 2_000_000
 HELD_WORDS = 1_000_000
 END = b""
 #: Distinct grams that a counting task holds before it hands them on.
-HELD_GRAMS = 2_000_000
+HELD_GRAMS = 1_000_000
+#: Text whose grams are made at once: each byte takes about a hundred.
+GRAM_BYTES = 1 << 19
 #: Grams that one task weights, about.
 TASK_GRAMS = 200_000
-BUCKETS, SHARDS = 1024, 128
+BUCKETS, SHARDS = 1024, 64
 
 
 # ------------------------------------------------------------------ grams
@@ -261,7 +263,7 @@ def _bucketed(counted: pa.Table) -> Iterator[pa.RecordBatch]:
 def _gram_counts(across: bool):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        for batch in batches(stream):
+        for batch in batches(stream, max_bytes=GRAM_BYTES):
             flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
             gram = byte_grams(flat, stretches)
             train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
@@ -380,7 +382,7 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
 
         keys, value = shared.value
         part = TaskContext.get().partitionId() << 32
-        for part, batch in enumerate(batches(stream), part):
+        for part, batch in enumerate(batches(stream, max_bytes=2 * GRAM_BYTES), part):
             size = batch.num_rows
             flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
             coded = pa.array(byte_grams(flat, stretches).view(np.int64)).dictionary_encode()
