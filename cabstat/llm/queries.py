@@ -82,6 +82,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(table(spark, sf_dir, "documents"))
 
 
+def op11_fim_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
+def op12_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import summary
+
+    return summary(table(spark, sf_dir, "documents"))
+
+
+def op13_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .interaction import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_quality_rules": op2_quality_rules,
@@ -93,6 +111,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pii": op10_pii,
+    "op11_fim_exceptions": op11_fim_exceptions,
+    "op12_assignment_secrets": op12_assignment_secrets,
+    "op13_interaction_audit": op13_interaction_audit,
 }
 
 _OP3_SQL = r"""
@@ -129,7 +150,62 @@ SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_
 FROM documents LEFT JOIN n USING (doc_id) JOIN part ON part.node = doc_id
 """
 
+_OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, CAST('0x' || h[1:8] AS UBIGINT) AS h1,
+             CAST('0x' || h[9:16] AS UBIGINT) AS h2, CAST('0x' || h[17:24] AS UBIGINT) AS h3,
+             CAST('0x' || h[25:32] AS UBIGINT) AS h4 FROM d),
+c AS (SELECT doc_id, t, w, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a,
+             greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(w[1:CAST(a AS BIGINT)], '') AS pre, array_to_string(w[CAST(a AS BIGINT) + 1:CAST(b AS BIGINT)], '') AS mid,
+             array_to_string(w[CAST(b AS BIGINT) + 1:n], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+_OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+first AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+mark AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+      FROM d JOIN first USING (t) LEFT JOIN mark USING (doc_id)),
+letter AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)),
+walk(prefix, step, before, bit) AS (
+  SELECT '', 0, 0, 0
+  UNION ALL
+  SELECT prefix || letter.letter, step + 1, before | walk.bit, letter.bit
+  FROM walk JOIN letter ON ((before | walk.bit) & letter.bit) = 0),
+cell AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+         FROM m GROUP BY 1, 2),
+seen AS (SELECT part, prefix, step,
+                sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+                sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+         FROM cell, walk WHERE step > 0 GROUP BY 1, 2, 3),
+whole AS (SELECT o.prefix AS filter_order, seen.* FROM walk o JOIN seen ON o.step = 5 AND seen.prefix = o.prefix[1:seen.step])
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM whole
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_fim_exceptions": _OP11_SQL,
+    "op13_interaction_audit": _OP13_SQL,
     "op3_phrase_automata": _OP3_SQL,
     "op6_hyperminhash": _OP6_SQL,
     "op9_exact_dedup": f"""
