@@ -322,35 +322,6 @@ def test_patience_alignment():
         assert all(i < k and j < m for (i, j), (k, m) in zip(aligned, aligned[1:]))
 
 
-def plain_lines(docs):
-    """Deleted line numbers by doc_id; the same rules, without Spark."""
-    cut = {d: t.split("\n") for d, t in docs.items() if t is not None}
-    holders = defaultdict(list)
-    for d in sorted(cut):
-        for x in {x for x in cut[d] if brute.words(x)}:
-            holders[x].append(d)
-    out = {}
-    for d, own in cut.items():
-        shared = {(h[0], len(h)) for x in set(own) if (h := holders.get(x, [])) and len(h) > 1 and h[0] < d}
-        limit = max(lines.RARE, 2 * min((n for _, n in shared), default=0))
-        gone = set()
-        for first in {f for f, n in shared if n <= limit}:
-            for a, b in lines.common_blocks(cut[first], own, [len(brute.words(x)) for x in own]):
-                gone.update(range(a, b))
-        out[d] = gone
-    return out
-
-
-def test_lines_are_deleted_from_the_later_document(some_docs):
-    docs, texts = some_docs
-    want = plain_lines(texts)
-    for r in lines.digests(docs).collect():
-        own = texts[r["doc_id"]].split("\n")
-        left = "\n".join(x for k, x in enumerate(own) if k not in want[r["doc_id"]])
-        assert (r["n_lines"], r["n_deleted"], r["kept_sha256"]) == (len(own), len(want[r["doc_id"]]), brute.sha(left))
-    assert any(want.values())
-
-
 def test_lines_odd_rows(odd_docs, no_docs):
     out = lines.drop_lines(odd_docs)
     assert out.columns == odd_docs.columns and out.schema == odd_docs.schema
@@ -365,6 +336,41 @@ def test_lines_odd_rows(odd_docs, no_docs):
     assert lines.drop_lines(no_docs).count() == 0
 
 
+def plain_alignment(one, two, words):
+    """Index pairs by the rules of the operator, written as plain recursion over slices."""
+    def inner(a, b, c, d):
+        if a < b and c < d and one[a] == two[c]:
+            return [(a, c), *inner(a + 1, b, c + 1, d)]
+        if a < b and c < d and one[b - 1] == two[d - 1]:
+            return [*inner(a, b - 1, c, d - 1), (b - 1, d - 1)]
+        left, right = one[a:b], two[c:d]
+        once = [(a + i, c + right.index(x)) for i, x in enumerate(left) if left.count(x) == 1 and right.count(x) == 1]
+        best = []    # longest increasing runs that end at each anchor; of equal ones, that with the earliest end
+        length = lambda run: (len(run), -run[-1][1])
+        for i, j in once:
+            best.append([*max((run for run in best if run[-1][1] < j), key=length, default=[]), (i, j)])
+        if not once:
+            return heaviest(a, b, c, d)
+        found = max(best, key=length)
+        out = []
+        for (i, j), (k, m) in zip([(a - 1, c - 1), *found], [*found, (b, d)]):
+            out += [*inner(i + 1, k, j + 1, m), *([(k, m)] if k < b else [])]
+        return out
+
+    def heaviest(a, b, c, d):
+        best = {}
+        for i in range(b, a - 1, -1):
+            for j in range(d, c - 1, -1):
+                options = [(0, [])] if i == b or j == d else [best[i + 1, j], best[i, j + 1]]
+                if i < b and j < d and one[i] == two[j]:
+                    weight, rest = best[i + 1, j + 1]
+                    options.append((weight + 1 + words[j], [(i, j), *rest]))
+                best[i, j] = max(options, key=lambda o: o[0])
+        return best[a, c][1]
+
+    return inner(0, len(one), 0, len(two))
+
+
 def whole_lines(docs):
     """Deleted line numbers by doc_id, with the first holders of all shared lines and runs as partners."""
     cut = {d: t.split("\n") for d, t in docs.items() if t is not None}
@@ -379,9 +385,16 @@ def whole_lines(docs):
             first.setdefault(x, d)
     out = {}
     for d, own in cut.items():
-        words = [len(brute.words(x)) for x in own]
-        out[d] = {k for f in {first[x] for x in keys[d]} - {d}
-                  for a, b in lines.common_blocks(cut[f], own, words) for k in range(a, b)}
+        words, out[d] = [len(brute.words(x)) for x in own], set()
+        for f in {first[x] for x in keys[d]} - {d}:
+            aligned = dict(plain_alignment(cut[f], own, words))
+            at = {j: i for i, j in aligned.items()}
+            for j in sorted(at):
+                run = [j]
+                while at.get(run[-1] + 1) == at[run[-1]] + 1:
+                    run.append(run[-1] + 1)
+                if at.get(j - 1) != at[j] - 1 and sum(words[k] for k in run) >= lines.MIN_WORDS:
+                    out[d].update(run)
     return out
 
 

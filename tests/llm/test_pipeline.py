@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from test_operators import plain_lines, reference_encoding  # noqa: E402
+from test_operators import reference_encoding, whole_lines  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,7 +24,7 @@ def test_stages_in_turn_equal_the_plain_pipeline(spark):
     for doc, text in texts.items():
         n, *_, repeat = brute.quality(text)
         assert n >= 20 and 100 * repeat <= 30 * n
-    gone = plain_lines(texts)
+    gone = whole_lines(texts)
     cut = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d]) for d, t in texts.items()}
     near = brute.near(cut)
     left = {d: t for d, t in cut.items() if near[d][1] == d}
