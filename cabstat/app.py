@@ -7,8 +7,8 @@
 
 (or ``python -m cabstat ...`` where the driver runs locally with pyspark)
 
-Feeds are parquet message folders or ``kafka://servers/topic``; results are
-upserted into a keyed table at ``--sink-path`` (read it with
+Feeds are parquet message folders, ``log:<path>`` (a partitioned message log, read under the consumer
+group) or ``kafka://servers/topic``; results are upserted into a keyed table at ``--sink-path`` (read it with
 ``streaming.sinks.read_keyed_table``); progress rows are appended next to it.
 """
 
@@ -23,6 +23,7 @@ from .operators.geo import NeighborhoodIndex
 from .session import checkpoint_root, ensure_utc
 from .sources.polygons import read_layer
 from .streaming import job as J
+from .streaming.message_log import log_feed
 from .streaming.sinks import KeyedUpsertSink
 from .streaming.sources import file_feed, kafka_feed
 from .streaming.telemetry import MetricsListener
@@ -32,6 +33,8 @@ def open_feed(spark: SparkSession, spec: str, consumer_group: str | None = None)
     if spec.startswith("kafka://"):
         servers, topic = spec[len("kafka://"):].split("/", 1)
         return kafka_feed(spark, servers, topic, consumer_group=consumer_group)
+    if spec.startswith("log:"):
+        return log_feed(spark, spec[len("log:"):], consumer_group or "$Default")
     return file_feed(spark, spec)
 
 

@@ -35,7 +35,7 @@ class JobConfig:
     ride_watermark_interval: str = "3 minutes"
     fare_watermark_interval: str = "3 minutes"
     sink_path: str | None = None
-    ride_feed: str | None = None        # parquet message folder, or kafka://servers/topic
+    ride_feed: str | None = None        # parquet message folder, log:<path>, or kafka://servers/topic
     fare_feed: str | None = None
     checkpoint_path: str | None = None  # default: under spark.checkpoint.dir
     layer_format: str = "geojson"

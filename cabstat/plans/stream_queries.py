@@ -4,17 +4,22 @@ a fresh checkpoint, and returns what the sink holds as a batch DataFrame."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import JobConfig
 from ..operators.quality import decode_rides
 from ..session import ensure_utc, scratch_path
-from ..sources.feeds import fare_messages, ride_messages
+from ..sources.feeds import ride_messages
 from ..sources.tables import table
 from ..streaming import job as J
+from ..streaming.message_log import append_messages, log_feed, run_until_caught_up
+from ..streaming.row_sink import EpochRows, PartitionRows, read_epoch_rows, read_partition_rows, row_sink, start_rows
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
 from ..streaming.sources import file_feed
 from ..streaming.telemetry import MetricsListener
+from ..streaming.versioned import VersionedTable
 from . import batch_job as P
 from .catalog import STATS_ORACLE, register
 from .oracle_sql import base_cte
@@ -45,47 +50,56 @@ SELECT * FROM stats WHERE window_end <= (SELECT w FROM wm)
 STREAM_STATS_ORACLE = STATS_ORACLE.replace("\nSELECT pickupNeighborhood AS neighborhood", ", stats AS (\nSELECT pickupNeighborhood AS neighborhood").rstrip() + "\n)" + CLOSED
 
 
-SLICES = 4
+#: Message files a feed hands to one micro-batch.
+FILES = 4
 
 
-def _run_in_slices(spark: SparkSession, sf_dir: str, name: str, build, sink=None) -> str:
-    """Append both feeds slice by slice in event-time order and run the stream
-    after each on one checkpoint, as a job does that keeps up with its feeds: the
-    watermark follows, and join state holds one slice, not the whole input."""
+def _both(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Both feeds as streams, a few files per trigger."""
     ensure_utc(spark)
-    ev = table(spark, sf_dir, "events")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    cuts = ev.agg(F.percentile_approx(micros, [k / SLICES for k in range(1, SLICES)]).alias("c")).first()["c"] or []
-    rides, fares = scratch_path(spark, f"{name}-rides"), scratch_path(spark, f"{name}-fares")
-    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    slice_of = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < micros))
-    sink = sink(out) if sink else None
-    for k in range(SLICES):
-        sub = ev.filter(slice_of == k)
-        ride_messages(sub).write.mode("append").parquet(rides)
-        fare_messages(sub).write.mode("append").parquet(fares)
-        df = build(file_feed(spark, rides), file_feed(spark, fares))
-        with J.state_partitions(spark, _cores(spark)):
-            J.run_to_end(J.start(df, f"{name}_{ckpt[-12:]}", ckpt, sink=sink, path=out))
-    return out
+    return [file_feed(spark, folder, FILES) for folder in P.feed_folders(spark, sf_dir)]
 
 
 @register("neighborhood_stats_stream", STREAM_STATS_ORACLE)
 def q_neighborhood_stats_stream(spark, sf_dir):
-    """The streaming job end to end, fed in time slices, appended to parquet;
-    closed windows only."""
-    index = P.neighborhood_index(spark, sf_dir)
-    return spark.read.parquet(_run_in_slices(
-        spark, sf_dir, "stats", lambda rides, fares: J.stats_stream(rides, fares, index, CFG)))
+    """The streaming job end to end, appended to parquet; closed windows only."""
+    stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    return spark.read.parquet(_run(stats, "stats"))
+
+
+@register("neighborhood_stats_stream_by_row", STREAM_STATS_ORACLE)
+def q_neighborhood_stats_stream_by_row(spark, sf_dir):
+    """The same over the joined trips: join state holds both feeds' rows."""
+    stats = J.stats_stream_by_row(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    return spark.read.parquet(_run(stats, "stats-by-row"))
 
 
 @register("keyed_upsert", STREAM_STATS_ORACLE)
 def q_keyed_upsert(spark, sf_dir):
-    """The streaming job into the keyed upsert table, fed in time slices over one
-    checkpoint; the table is read with last write wins."""
-    index = P.neighborhood_index(spark, sf_dir)
-    return read_keyed_table(spark, _run_in_slices(
-        spark, sf_dir, "upsert", lambda rides, fares: J.stats_stream(rides, fares, index, CFG), KeyedUpsertSink))
+    """The streaming job into the keyed, versioned table: one version per micro-batch, last write wins."""
+    stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    return read_keyed_table(spark, _run(stats, "upsert", KeyedUpsertSink))
+
+
+@register("row_sink", STREAM_STATS_ORACLE)
+def q_row_sink(spark, sf_dir):
+    """The streaming job through open / process / close per (partition, epoch), with a commit per epoch."""
+    stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    out = scratch_path(spark, "row-sink")
+    form = row_sink(spark, EpochRows(out), "stats_rows")
+    with J.state_partitions(spark, _cores(spark)):
+        J.run_to_end(J.start(stats, f"rows_{out[-12:]}", scratch_path(spark, "row-sink-ckpt"), fmt=form))
+    return read_epoch_rows(spark, out)
+
+
+@register("row_sink_foreach", STREAM_STATS_ORACLE)
+def q_row_sink_foreach(spark, sf_dir):
+    """The same contract through ``writeStream.foreach``: rows are shown per partition."""
+    stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    out = scratch_path(spark, "row-foreach")
+    with J.state_partitions(spark, _cores(spark)):
+        J.run_to_end(start_rows(stats, PartitionRows(out), f"foreach_{out[-12:]}", scratch_path(spark, "row-foreach-ckpt")))
+    return read_partition_rows(spark, out)
 
 
 @register("trip_join_stream", base_cte() + """
@@ -94,16 +108,11 @@ SELECT medallion, hackLicense, vendorId, pt AS pickupTime, fareAmount, tipAmount
 FROM trips
 """)
 def q_trip_join_stream(spark, sf_dir):
-    """Stream-stream inner join under watermarks, fed in time slices; every
-    matching pair emitted."""
-    index = P.neighborhood_index(spark, sf_dir)
-
-    def build(rides, fares):
-        return J.trip_stream(rides, fares, index, CFG).select(
-            "medallion", "hackLicense", "vendorId", F.col("pickupTime").cast("timestamp_ntz").alias("pickupTime"),
-            "fareAmount", "tipAmount", "totalAmount", "pickupNeighborhood", "dropoffNeighborhood")
-
-    return spark.read.parquet(_run_in_slices(spark, sf_dir, "tripjoin", build))
+    """Stream-stream inner join under watermarks; every matching pair emitted."""
+    trips = J.trip_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG).select(
+        "medallion", "hackLicense", "vendorId", F.col("pickupTime").cast("timestamp_ntz").alias("pickupTime"),
+        "fareAmount", "tipAmount", "totalAmount", "pickupNeighborhood", "dropoffNeighborhood")
+    return spark.read.parquet(_run(trips, "tripjoin"))
 
 
 @register("neighborhood_tag_stream", base_cte() + """
@@ -131,6 +140,52 @@ def q_stream_scan(spark, sf_dir):
     return spark.read.parquet(_run(d, "scan"))
 
 
+@register("message_log_scan", base_cte() + """
+SELECT consumer_group, partitionKey, CASE WHEN ride_bad THEN NULL ELSE hackLicense END AS hackLicense, ride_bad AS bad
+FROM f, (VALUES ('reports'), ('audit')) g(consumer_group)
+""")
+def q_message_log_scan(spark, sf_dir):
+    """Ride messages through a partitioned log, read by two consumer groups: one takes a bounded number
+    of messages per trigger, the other all at once."""
+    ensure_utc(spark)
+    path = scratch_path(spark, "ride-log")
+    n = _cores(spark)
+    rides = ride_messages(table(spark, sf_dir, "events"))
+    append_messages(rides, path, n)
+    limit = max(1, -(-rides.count() // (3 * n)))     # some three micro-batches
+    found = []
+    for group, most in (("reports", limit), ("audit", None)):
+        d = decode_rides(log_feed(spark, path, group, max_messages_per_trigger=most))
+        d = d.select(F.lit(group).alias("consumer_group"), "partitionKey",
+                     F.when(F.col("errorMessage").isNull(), F.col("ride.hackLicense")).alias("hackLicense"),
+                     F.col("errorMessage").isNotNull().alias("bad"))
+        out, ckpt = scratch_path(spark, f"log-{group}"), scratch_path(spark, f"log-{group}-ckpt")
+        run_until_caught_up(J.start(d, f"log_{ckpt[-12:]}", ckpt, path=out, available_now=False), (path, group))
+        found.append(spark.read.parquet(out))
+    return found[0].unionByName(found[1])
+
+
+@register("upsert_versions", """
+WITH o AS (SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice, year(o_orderdate) AS y,
+                  dense_rank() OVER (ORDER BY year(o_orderdate)) AS made FROM orders),
+v AS (SELECT DISTINCT made AS version FROM o),
+r AS (SELECT version, o.*, row_number() OVER (PARTITION BY version, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k
+      FROM o JOIN v ON made <= version)
+SELECT CAST(version AS INTEGER) AS version, o_custkey, o_orderkey, o_totalprice FROM r WHERE k = 1
+""")
+def q_upsert_versions(spark, sf_dir):
+    """Every customer's last order, upserted year by year into a keyed, versioned table and read back as
+    of each version."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    years = sorted(r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect())   # versions, a few
+    held = VersionedTable(spark, scratch_path(spark, "last-orders"), ["o_custkey"], n_buckets=_cores(spark))
+    for k, y in enumerate(years):
+        held.merge(orders.filter(F.year("o_orderdate") == y), "orders", k, ["o_orderdate", "o_orderkey"])
+    return reduce(DataFrame.unionByName, [
+        held.read(v).select(F.lit(v).alias("version"), "o_custkey", "o_orderkey", "o_totalprice")
+        for v in range(1, len(years) + 1)])
+
+
 @register("progress_metrics", base_cte() + """
 SELECT CAST(2 * count(*) AS BIGINT) AS input_rows, count(*) FILTER (WHERE ride_bad) AS rides_malformed,
        count(*) FILTER (WHERE fare_bad) AS fares_malformed

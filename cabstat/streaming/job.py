@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import JobConfig
 from ..operators.geo import NeighborhoodIndex, tag_neighborhoods
 from ..operators.quality import valid_fares, valid_rides
-from ..operators.trips import join_trips, neighborhood_stats
+from ..operators.trips import join_trips, neighborhood_stats, neighborhood_stats_preaggregated
+from ..schemas import TRIP_KEYS
 
 
 def watermarked_rides(ride_msgs: DataFrame, index: NeighborhoodIndex, watermark: str = "3 minutes",
@@ -38,14 +39,27 @@ def trip_stream(ride_msgs: DataFrame, fare_msgs: DataFrame, index: NeighborhoodI
 def stats_stream(ride_msgs: DataFrame, fare_msgs: DataFrame, index: NeighborhoodIndex,
                  cfg: JobConfig) -> DataFrame:
     """Per (window, neighbourhood) stats; in append mode a window is emitted
-    once, when the combined (minimum) watermark passes its end. Only the
-    columns the aggregate needs are carried through the join state."""
+    once, when the combined (minimum) watermark passes its end.
+
+    State is held by aggregate, not by row: each feed is aggregated by join key
+    first (a ride group per neighbourhood), so a hot key is a few sums in one
+    state row, however many messages it gets, and its n x m trips are never built.
+    A key's group is final when the watermark passes its pickup time, which is
+    part of the key; only then it is joined, both sides in the same batch, so
+    the join holds next to no state."""
     rides = watermarked_rides(ride_msgs, index, cfg.ride_watermark_interval, dropoff=False)
-    rides = rides.select("medallion", "hackLicense", "vendorId", "pickupTime", "pickupNeighborhood")
     fares = watermarked_fares(fare_msgs, cfg.fare_watermark_interval)
-    fares = fares.select("medallion", "hackLicense", "vendorId", "pickupTime", "fareAmount", "tipAmount")
-    trips = rides.join(fares, ["medallion", "hackLicense", "vendorId", "pickupTime"], "inner")
-    return neighborhood_stats(trips, cfg.window_interval)
+    return neighborhood_stats_preaggregated(rides, fares, cfg.window_interval)
+
+
+def stats_stream_by_row(ride_msgs: DataFrame, fare_msgs: DataFrame, index: NeighborhoodIndex,
+                        cfg: JobConfig) -> DataFrame:
+    """The same stats over the joined trips themselves: the join keeps both feeds' rows
+    until the watermark passes them. Only the columns the aggregate needs enter the state."""
+    rides = watermarked_rides(ride_msgs, index, cfg.ride_watermark_interval, dropoff=False)
+    rides = rides.select(*TRIP_KEYS, "pickupNeighborhood")
+    fares = watermarked_fares(fare_msgs, cfg.fare_watermark_interval).select(*TRIP_KEYS, "fareAmount", "tipAmount")
+    return neighborhood_stats(rides.join(fares, TRIP_KEYS, "inner"), cfg.window_interval)
 
 
 def start(df: DataFrame, name: str, checkpoint: str, sink=None, path: str | None = None,
@@ -58,7 +72,7 @@ def start(df: DataFrame, name: str, checkpoint: str, sink=None, path: str | None
         w = w.trigger(availableNow=True)
     if sink is not None:
         return w.foreachBatch(sink).start()
-    return w.format(fmt).option("path", path).start()
+    return (w.option("path", path) if path else w).format(fmt).start()
 
 
 @contextmanager

@@ -1,114 +1,41 @@
-"""Sinks: keyed upsert table (merge on read, compacted) and a per-row epoch sink."""
+"""``foreachBatch`` sink into a keyed, versioned table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from ..schemas import STATS_KEY
-
-_READY = "_READY"
-
-
-def _fs(spark: SparkSession, path: str):
-    """Hadoop file system of ``path`` and its Path class."""
-    jvm = spark.sparkContext._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    return Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), Path
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
 
-def _numbered(spark: SparkSession, path: str, label: str) -> list[int]:
-    """Sorted n of the ``<label>=<n>`` folders in ``path``."""
-    fs, Path = _fs(spark, path)
-    if not fs.exists(Path(path)):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory()]
-    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(label + "="))
-
-
-def _generation(spark: SparkSession, path: str) -> int:
-    """The newest generation whose base is complete; generation 0 has no base."""
-    fs, Path = _fs(spark, path)
-    ready = [g for g in _numbered(spark, path, "gen") if g and fs.exists(Path(f"{path}/gen={g}/{_READY}"))]
-    return max(ready, default=0)
+from ..schemas import STATS_KEY
+from .versioned import VersionedTable
 
 
 class KeyedUpsertSink:
-    """``foreachBatch`` sink with last-write-wins upserts on a key.
+    """Upserts every micro-batch by key into a :class:`VersionedTable`, one version a batch.
 
-    A micro-batch is written to ``gen=<g>/run=<r>/batch_id=<n>`` with overwrite, so
-    a replayed batch replaces its own earlier attempt. ``r`` is one more than the
-    largest run in the table when the sink first writes: batch numbers that start
-    again with a new checkpoint never replace or precede earlier runs' rows.
-    Readers resolve the latest (run, batch) per key (:func:`read_keyed_table`).
-    Every ``compact_every`` batches the table is compacted, so neither folders
-    nor read cost grow with the life of the job.
+    The writer is the streaming query (its id outlives restarts of one checkpoint), so a
+    replayed batch changes nothing and a new checkpoint, whose batch numbers start again, is
+    another writer. Every ``vacuum_every`` batches versions before the last ``keep`` are deleted,
+    so neither folders nor read cost grow with the life of the job.
     """
 
-    def __init__(self, path: str, key: list[str] = STATS_KEY, compact_every: int = 100):
-        self.path = path.rstrip("/")
-        self.key = list(key)
-        self.compact_every = compact_every
-        self._run: int | None = None
-        self._written = 0
+    def __init__(self, path: str, key: list[str] = STATS_KEY, order_by: tuple[str, ...] = (), n_buckets: int = 64,
+                 writer: str | None = None, vacuum_every: int = 100, keep: int = 10):
+        self.path, self.key, self.order_by, self.n_buckets = path.rstrip("/"), list(key), order_by, n_buckets
+        self.vacuum_every, self.keep = vacuum_every, keep
+        self._writer, self._own = writer, uuid.uuid4().hex
+        self._table: VersionedTable | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        gen = _generation(spark, self.path)
-        if self._run is None:
-            runs = [r for g in _numbered(spark, self.path, "gen")
-                    for r in _numbered(spark, f"{self.path}/gen={g}", "run")]
-            self._run = max(runs, default=0) + 1
-        # within one batch the last write of a key is arbitrary; keep one row per key
-        one = batch.dropDuplicates(self.key)
-        one.write.mode("overwrite").parquet(f"{self.path}/gen={gen}/run={self._run}/batch_id={batch_id}")
-        self._written += 1
-        if self._written % self.compact_every == 0:
-            compact_keyed_table(spark, self.path, self.key)
-
-
-def read_keyed_table(spark: SparkSession, path: str, key: list[str] = STATS_KEY) -> DataFrame:
-    """Current table: per key (null-safe), the row of the latest run and batch."""
-    path = path.rstrip("/")
-    raw = spark.read.parquet(f"{path}/gen={_generation(spark, path)}")
-    values = [c for c in raw.columns if c not in key and c not in ("run", "batch_id")]
-    latest = raw.groupBy(*key).agg(F.max_by(F.struct(*values), F.struct("run", "batch_id")).alias("v"))
-    return latest.select(*key, *[F.col(f"v.{c}").alias(c) for c in values])
-
-
-def compact_keyed_table(spark: SparkSession, path: str, key: list[str] = STATS_KEY) -> int:
-    """Write the resolved table as the base (run 0) of the next generation and
-    return its number. Readers and writers move to it once its base is complete;
-    the generation before stays for readers under way, older ones are deleted."""
-    path = path.rstrip("/")
-    gen = _generation(spark, path) + 1
-    fs, Path = _fs(spark, path)
-    read_keyed_table(spark, path, key).write.mode("overwrite").parquet(f"{path}/gen={gen}/run=0/batch_id=0")
-    fs.create(Path(f"{path}/gen={gen}/{_READY}"), True).close()
-    for old in _numbered(spark, path, "gen"):
-        if old < gen - 1:
-            fs.delete(Path(f"{path}/gen={old}"), True)
-    return gen
-
-
-class RowSink:
-    """``foreachBatch`` sink with the per-row contract: columns taken by position
-    as (neighborhood, window_end, rides, fare, tip, average fare, average tip),
-    one JSON line a row, on the cluster's file system.
-
-    Takes the job's 7 columns, or 8 with the window's start and end first. An
-    epoch is one folder, written with overwrite: a replay writes nothing twice.
-    """
-
-    COLUMNS = ["neighborhood", "window_end", "number_of_rides", "total_fare_amount",
-               "total_tip_amount", "average_fare_amount", "average_tip_amount"]
-    # positions in a row of 8: window start, window end, neighborhood, then the values
-    WIDE = [2, 1, 3, 4, 5, 6, 7]
+        if self._table is None:
+            self._table = VersionedTable(spark, self.path, self.key, self.n_buckets)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        made = self._table.merge(batch, self._writer or query or self._own, batch_id, self.order_by)
+        if made is not None and made.version % self.vacuum_every == 0:
+            self._table.vacuum(self.keep)
 
-    def __init__(self, directory: str):
-        self.directory = directory.rstrip("/")
 
-    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
-        positions = self.WIDE if len(batch.columns) == 8 else range(7)
-        picked = batch.toDF(*[f"c{i}" for i in range(len(batch.columns))]).select(
-            *[F.col(f"c{i}").alias(name) for name, i in zip(self.COLUMNS, positions)])
-        picked.write.mode("overwrite").json(f"{self.directory}/epoch={epoch_id}")
+def read_keyed_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Rows of the table's newest version, or of a given one."""
+    return VersionedTable(spark, path).read(version)

@@ -14,7 +14,6 @@ from cabstat.plans import batch_job as P
 from cabstat.schemas import POLYGON_SCHEMA
 from cabstat.session import scratch_path
 from cabstat.streaming import job as J
-from cabstat.streaming.sinks import KeyedUpsertSink, RowSink, compact_keyed_table, read_keyed_table
 from cabstat.streaming.sources import file_feed
 from cabstat.streaming.telemetry import MetricsListener, parse_progress
 
@@ -81,52 +80,6 @@ def test_late_rows_dropped_and_counted(spark):
     assert rows == {t0 + dt.timedelta(hours=1): 1, t0 + dt.timedelta(hours=3): 1}   # hour 10 has only the on-time ride
 
 
-def test_upsert_sink_replay_and_last_write_wins(spark):
-    path = scratch_path(spark, "upsert")
-    sink = KeyedUpsertSink(path)
-    w = dt.datetime(2024, 1, 1, 11)
-    schema = ("neighborhood STRING, window_end TIMESTAMP_NTZ, number_of_rides BIGINT, total_fare_amount DOUBLE, "
-              "total_tip_amount DOUBLE, average_fare_amount DOUBLE, average_tip_amount DOUBLE")
-    b0 = spark.createDataFrame([("A", w, 1, 1.0, 0.1, 1.0, 0.1), (None, w, 2, 2.0, 0.2, 1.0, 0.1)], schema)
-    b1 = spark.createDataFrame([("A", w, 5, 5.0, 0.5, 1.0, 0.1), (None, w, 7, 7.0, 0.7, 1.0, 0.1)], schema)
-    sink(b0, 0)
-    sink(b0, 0)          # replayed batch: no duplicate
-    assert read_keyed_table(spark, path).count() == 2
-    sink(b1, 1)
-    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()}
-    assert got == {"A": 5, None: 7}
-    sink(b1, 1)
-    assert read_keyed_table(spark, path).count() == 2
-    # a new checkpoint starts at batch 0 again: a new run, later than all before
-    again = KeyedUpsertSink(path)
-    again(spark.createDataFrame([("B", w, 7, 7.0, 0.7, 1.0, 0.1), ("A", w, 9, 9.0, 0.9, 1.0, 0.1)], schema), 0)
-    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()}
-    assert got == {"A": 9, "B": 7, None: 7}
-    # compaction changes nothing that is read; writers go on in the new generation
-    assert compact_keyed_table(spark, path) == 1 and compact_keyed_table(spark, path) == 2
-    assert {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()} == got
-    again(spark.createDataFrame([("A", w, 11, 9.0, 0.9, 1.0, 0.1)], schema), 1)
-    KeyedUpsertSink(path, compact_every=1)(spark.createDataFrame([("C", w, 1, 1.0, 0.1, 1.0, 0.1)], schema), 0)
-    got = {r["neighborhood"]: r["number_of_rides"] for r in read_keyed_table(spark, path).collect()}
-    assert got == {"A": 11, "B": 7, "C": 1, None: 7}
-    assert sorted(f for f in os.listdir(path) if f.startswith("gen=")) == ["gen=2", "gen=3"]
-
-
-def test_row_sink_takes_rows_by_position(spark):
-    d = scratch_path(spark, "rows")
-    start, end = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11)
-    wide = spark.createDataFrame([(start, end, "Sq", 3, 30.0, 3.0, 10.0, 1.0)],
-                                 "s TIMESTAMP_NTZ, e TIMESTAMP_NTZ, n STRING, c BIGINT, f DOUBLE, t DOUBLE, a DOUBLE, b DOUBLE")
-    sink = RowSink(d)
-    sink(wide, 7)
-    sink(wide, 7)                    # a replayed epoch is not written twice
-    sink(wide.drop("s").select("n", "e", "c", "f", "t", "a", "b"), 8)
-    rows = spark.read.json(d).collect()
-    assert len(rows) == 2
-    for rec in rows:
-        assert rec["neighborhood"] == "Sq" and rec["window_end"].startswith("2024-01-01T11") and rec["number_of_rides"] == 3
-
-
 def test_parse_progress_echoes_fields():
     progress = {"id": "q-1", "runId": "r-1", "name": "cab-progress", "batchId": 4,
                 "durationMs": {"addBatch": 41, "walCommit": 7}, "numInputRows": 12,
@@ -189,26 +142,48 @@ def test_rows_are_readable_while_the_stream_runs(spark):
         spark.streams.removeListener(listener)
 
 
-def test_foreach_writer_in_a_stream_and_state_eviction(spark):
+def test_state_is_kept_by_aggregate_and_evicted(spark):
+    """A hot key's state is one row a side, whatever its messages; the join keeps nothing behind the watermark."""
     idx = small_index(spark)
-    rides, fares = scratch_path(spark, "fe-r"), scratch_path(spark, "fe-f")
+    rides, fares = scratch_path(spark, "agg-r"), scratch_path(spark, "agg-f")
     t0 = dt.datetime(2024, 1, 1, 10)
-    append(spark, rides, [ride(i, t0 + dt.timedelta(minutes=i)) for i in range(1, 6)] +
-           [ride(99, t0 + dt.timedelta(hours=3))])
-    append(spark, fares, [fare(i, t0 + dt.timedelta(minutes=i), 10.0) for i in range(1, 6)] +
-           [fare(99, t0 + dt.timedelta(hours=3), 1.0)])
-    stats = J.stats_stream(file_feed(spark, rides), file_feed(spark, fares), idx, CFG)
-    stats = stats.select(F.lit(None).cast("timestamp").alias("window_start"), "window_end", "neighborhood",
-                         "number_of_rides", "total_fare_amount", "total_tip_amount",
-                         "average_fare_amount", "average_tip_amount")
-    out = scratch_path(spark, "row-sink")
-    q = J.start(stats, "rowsink", scratch_path(spark, "fe-ck"), sink=RowSink(out))
+    append(spark, rides, [ride(1, t0)] * 400 + [ride(99, t0 + dt.timedelta(hours=3))])
+    append(spark, fares, [fare(1, t0, 10.0)] * 300 + [fare(99, t0 + dt.timedelta(hours=3), 1.0)])
+    states, counts = {}, {}
+    for build in (J.stats_stream, J.stats_stream_by_row):
+        out = scratch_path(spark, "agg-out")
+        q = J.start(build(file_feed(spark, rides), file_feed(spark, fares), idx, CFG), f"agg_{build.__name__}",
+                    scratch_path(spark, "agg-ck"), path=out)
+        J.run_to_end(q)
+        states[build.__name__] = [json.loads(p.json)["stateOperators"] for p in q.recentProgress]
+        counts[build.__name__] = [(r["number_of_rides"], r["total_fare_amount"]) for r in spark.read.parquet(out).collect()]
+    assert counts["stats_stream"] == counts["stats_stream_by_row"] == [(400 * 300, 400 * 300 * 10.0)]
+    by_row = [op["numRowsTotal"] for op in states["stats_stream_by_row"][0] if op["operatorName"] == "symmetricHashJoin"]
+    assert by_row == [702]
+    first, last = states["stats_stream"][0], states["stats_stream"][-1]
+    assert sorted(op["numRowsTotal"] for op in first) == [0, 0, 2, 2]      # two keys a side, no join rows yet
+    assert all(op["numRowsTotal"] <= 1 for op in last)
+
+
+def test_feed_files_come_in_event_time_order(spark, sf_small):
+    """With a few files per trigger the watermark follows and no row is late."""
+    from cabstat.sources.feeds import both_feeds
+    from cabstat.sources.tables import table
+    from cabstat.streaming import sources as S
+
+    before, S.FEED_FILE_ROWS = S.FEED_FILE_ROWS, 100
+    try:
+        rides, fares = S.write_feeds(both_feeds(table(spark, sf_small, "events")), scratch_path(spark, "ordered"))
+    finally:
+        S.FEED_FILE_ROWS = before
+    out = scratch_path(spark, "ordered-out")
+    q = J.start(J.stats_stream(file_feed(spark, rides, 2), file_feed(spark, fares, 2), P.neighborhood_index(spark, sf_small), CFG),
+                "ordered", scratch_path(spark, "ordered-ck"), path=out)
     J.run_to_end(q)
-    recs = spark.read.schema("neighborhood STRING, number_of_rides BIGINT, total_fare_amount DOUBLE").json(out).collect()
-    assert [(r["neighborhood"], r["number_of_rides"], r["total_fare_amount"]) for r in recs] == [("Sq", 5, 50.0)]
-    joins = [op for p in q.recentProgress for op in json.loads(p.json)["stateOperators"]
-             if op["operatorName"] == "symmetricHashJoin"]
-    assert joins[-1]["numRowsTotal"] < joins[0]["numRowsTotal"]      # evicted behind the watermark
+    assert sum(p.numInputRows > 0 for p in q.recentProgress) >= 4
+    got, wm = spark.read.parquet(out), spark.read.parquet(out).agg(F.max("window_end")).first()[0]
+    batch = P.stats(spark, sf_small).filter(F.col("window_end") <= F.lit(wm))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
 
 
 def test_termination_error_becomes_a_row(spark):
