@@ -8,7 +8,7 @@ rings, holes and parts alike; even-odd rule).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 _GEOMETRY = T.StructType([
     T.StructField("type", T.StringType()),
@@ -33,28 +33,65 @@ def _rings_from_geometry(geometry: Column) -> Column:
         r, lambda p: F.struct(F.try_element_at(p, F.lit(1)).alias("x"), F.try_element_at(p, F.lit(2)).alias("y"))))
 
 
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """Rows of files with ``id``: their order by file name, then place in the file, however Spark packs them.
+
+    A task reads a piece of a file from its start, so the pieces in the order of (file, start) and
+    the row numbers inside each give the order. There are as many pieces as tasks' splits.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("file_"), F.col("_metadata.file_block_start").alias("at_"))
+    pieces = placed.select("file_", "at_").distinct().select("file_", "at_", (
+        F.row_number().over(Window.orderBy("file_", "at_")) - 1).alias("piece_"))
+    here = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = placed.withColumn("row_", here).join(F.broadcast(pieces), ["file_", "at_"])
+    return numbered.withColumn("id", F.col("piece_").cast("bigint") * F.lit(1 << 33) + F.col("row_")).drop(
+        "file_", "at_", "piece_", "row_")
+
+
+def _own_ids(features: DataFrame) -> DataFrame:
+    """Features with their own ``id``, all of which must be there and different."""
+    doubles = features.groupBy("id").count().filter("id IS NULL OR count > 1").limit(5).collect()
+    if doubles:
+        raise ValueError(f"feature ids missing or used twice: {sorted(str(r['id']) for r in doubles)}")
+    return features
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "geojson",
-               name_property: str = "NAME") -> DataFrame:
+               name_property: str = "NAME", order: str = "position") -> DataFrame:
     """Read a polygon layer.
 
     ``geojson``: one FeatureCollection document per file (read whole, it is a
     single JSON value); ``geojsonseq``: one Feature per line, split freely;
-    ``parquet``: already ``id, name, rings``.
+    ``wkb``: see :mod:`cabstat.sources.wkb`; ``parquet``: already ``id, name, rings``.
+
+    Where features overlap the first in the layer wins: ``order="position"`` takes files by name and
+    features by their place in them, ``order="id"`` the features' own integer ids, which must differ.
     """
+    if order not in ("position", "id"):
+        raise ValueError(f"order is position or id, not {order!r}")
     if fmt == "parquet":
         return spark.read.parquet(path).select("id", "name", "rings")
+    if fmt == "wkb":
+        from .wkb import read_wkb
+        return read_wkb(spark, path)
     if fmt == "geojson":
         doc = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
-        feats = doc.select(F.posexplode("features").alias("pos", "f"))
-        return feats.select(F.col("pos").cast("bigint").alias("id"),
-                            F.col("f.properties")[name_property].alias("name"),
-                            _rings_from_geometry(F.col("f.geometry")).alias("rings"))
-    if fmt == "geojsonseq":
+        if order == "position":
+            doc = _in_file_order(doc)     # one row a file
+        feats = doc.select(*(["id"] if order == "position" else []), F.posexplode("features").alias("pos", "f"))
+        place = F.col("id") + F.col("pos") if order == "position" else F.col("f.id")
+        feats = feats.select(place.cast("bigint").alias("id"), F.col("f.properties").alias("properties"),
+                             F.col("f.geometry").alias("geometry"))
+    elif fmt == "geojsonseq":
         feats = spark.read.schema(_FEATURE).json(path)
-        return feats.select(F.monotonically_increasing_id().alias("id"),
-                            F.col("properties")[name_property].alias("name"),
-                            _rings_from_geometry(F.col("geometry")).alias("rings"))
-    raise ValueError(f"unknown polygon layer format: {fmt}")
+        if order == "position":
+            feats = _in_file_order(feats.drop("id"))
+    else:
+        raise ValueError(f"unknown polygon layer format: {fmt}")
+    if order == "id":
+        feats = _own_ids(feats)
+    return feats.select("id", F.col("properties")[name_property].alias("name"),
+                        _rings_from_geometry(F.col("geometry")).alias("rings"))
 
 
 def write_geojsonseq(parts_layer: DataFrame, path: str) -> None:
