@@ -22,9 +22,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def body_to_text(body: Column | str = "body") -> Column:
-    """Binary payload as UTF-8 text (the raw message, kept as messageData)."""
-    return _col(body).cast("string")
+def body_to_text(body: Column | str = "body", encoding: str = "UTF-8") -> Column:
+    """Binary payload as text (the raw message, kept as messageData). ``encoding``: UTF-8, US-ASCII,
+    ISO-8859-1, UTF-16, UTF-16BE, UTF-16LE or UTF-32; bytes that are not of it raise, except in UTF-8,
+    where they stay as they are."""
+    return _col(body).cast("string") if encoding.upper() in ("UTF-8", "UTF8") else F.decode(_col(body), encoding)
 
 
 def decode_json(text: Column | str, schema: T.StructType | str,

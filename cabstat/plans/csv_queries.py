@@ -106,6 +106,27 @@ def q_csv_dialect(spark, sf_dir):
         D.decode_csv("line", ORDERS_SCHEMA, DIALECT).alias("r")).select(*_flat("r"))
 
 
+#: Encodings of message bodies, by order key.
+ENCODINGS = ("UTF-8", "ISO-8859-1", "UTF-16LE", "UTF-16BE")
+_ENCODED = {"quoteAll": "true", "escape": "|", "charToEscapeQuoteEscaping": "~"}
+
+
+@register("csv_encoded_bodies", f"""
+SELECT o_orderkey, CASE o_orderkey % {len(ENCODINGS)} {' '.join(f"WHEN {k} THEN '{e}'" for k, e in enumerate(ENCODINGS))} END AS encoding,
+       chr(233) || '"' || o_orderpriority || '|" ' || chr(252) AS note FROM orders""")
+def q_csv_encoded_bodies(spark, sf_dir):
+    """Binary bodies in several encodings with quotes, the escape character and its own escape in a cell:
+    encoded, decoded by their encoding and parsed in that dialect."""
+    note = F.concat(F.lit("\u00e9\""), F.col("o_orderpriority"), F.lit("|\" \u00fc"))
+    coded = lambda make: F.coalesce(*[F.when(F.col("encoding") == e, make(e)) for e in ENCODINGS])
+    kind = F.element_at(F.array(*map(F.lit, ENCODINGS)), (F.col("o_orderkey") % len(ENCODINGS) + 1).cast("int"))
+    o = _orders(spark, sf_dir).select("o_orderkey", kind.alias("encoding"), note.alias("note"))
+    o = o.withColumn("line", D.encode_csv(F.struct("o_orderkey", "note"), _ENCODED))
+    o = o.withColumn("body", coded(lambda e: F.encode("line", e)))
+    text = coded(lambda e: D.body_to_text("body", e))
+    return o.select("encoding", D.decode_csv(text, "o_orderkey BIGINT, note STRING", _ENCODED).alias("r")).select("r.o_orderkey", "encoding", "r.note")
+
+
 @register("csv_null_tokens", f"""
 SELECT o_orderkey,
        CASE WHEN o_orderkey % {EMPTY_STATUS} = 0 THEN '' ELSE o_orderstatus END AS o_orderstatus,

@@ -6,19 +6,23 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import JobConfig
-from ..operators.quality import decode_rides
+from ..operators.quality import decode_fares, decode_rides, valid_rides
+from ..schemas import MESSAGE_SCHEMA
 from ..session import ensure_utc, scratch_path
 from ..sources.feeds import ride_messages
 from ..sources.tables import table
 from ..streaming import job as J
+from ..streaming.checkpoints import batch_offsets, join_state_rows, late_rows
+from ..streaming.counters import CounterSink, classified, read_counters
 from ..streaming.message_log import append_messages, log_feed, run_until_caught_up
 from ..streaming.row_sink import EpochRows, PartitionRows, read_epoch_rows, read_partition_rows, row_sink, start_rows
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
 from ..streaming.sources import file_feed
-from ..streaming.telemetry import MetricsListener
+from ..streaming.telemetry import MetricsListener, last_of_each_batch
 from ..streaming.versioned import VersionedTable
 from . import batch_job as P
 from .catalog import STATS_ORACLE, register
@@ -207,7 +211,133 @@ def q_progress_metrics(spark, sf_dir):
         listener.drain(q.runId)
     finally:
         spark.streams.removeListener(listener)
-    rows = listener.to_dataframe(spark).filter(F.col("event") == "progress")
+    rows = last_of_each_batch(listener.to_dataframe(spark))
     return rows.agg(F.sum("inputRows").alias("input_rows"),
                     F.sum(F.col("observed")["rides.malformed"]).alias("rides_malformed"),
                     F.sum(F.col("observed")["fares.malformed"]).alias("fares_malformed"))
+
+
+@register("durable_counters", base_cte() + """
+SELECT 'rides' AS feed, CAST(count(*) AS BIGINT) AS messages, count(*) FILTER (WHERE ride_bad) AS malformed FROM f
+UNION ALL SELECT 'fares', count(*), count(*) FILTER (WHERE fare_bad) FROM f
+""")
+def q_durable_counters(spark, sf_dir):
+    """Message and malformed counts of both feeds, recorded per (query, batch) with the batch itself."""
+    path, ckpt = scratch_path(spark, "counters"), scratch_path(spark, "counters-ckpt")
+    J.run_to_end(J.start(classified(*_both(spark, sf_dir)), f"counters_{ckpt[-12:]}", ckpt, sink=CounterSink(path)))
+    return read_counters(spark, path).groupBy("feed").agg(F.sum("messages").alias("messages"), F.sum("malformed").alias("malformed"))
+
+
+def _run_all(df: DataFrame, name: str) -> str:
+    """Run a stream to its end; returns its checkpoint."""
+    spark = df.sparkSession
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    with J.state_partitions(spark, _cores(spark)):
+        J.run_to_end(J.start(df, f"{name}_{ckpt[-12:]}", ckpt, path=out))
+    return ckpt
+
+
+_WATERMARK = """
+, wm AS (SELECT least((SELECT max(pt) FROM f WHERE NOT ride_bad),
+                      (SELECT max(pt) FROM f WHERE NOT fare_bad)) - INTERVAL 3 MINUTE AS w)
+"""
+
+
+@register("combined_watermark", base_cte() + _WATERMARK + "SELECT w AS watermark FROM wm")
+def q_combined_watermark(spark, sf_dir):
+    """The watermark at which the job over both feeds ends: the smaller of the two feeds'."""
+    stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
+    return batch_offsets(spark, _run_all(stats, "watermark")).agg(
+        F.max("watermark").cast("timestamp_ntz").alias("watermark"))
+
+
+@register("join_state_rows", base_cte() + _WATERMARK + """
+SELECT 'rides' AS feed, CAST(count(*) AS BIGINT) AS before, count(*) FILTER (WHERE pt > w) AS after FROM f, wm WHERE NOT ride_bad
+UNION ALL
+SELECT 'fares', count(*), count(*) FILTER (WHERE pt > w) FROM f, wm WHERE NOT fare_bad
+""")
+def q_join_state_rows(spark, sf_dir):
+    """Rows that the stream-stream join holds for each feed before and after the watermark has passed
+    them, read from its state store."""
+    ensure_utc(spark)
+    feeds = [file_feed(spark, folder) for folder in P.feed_folders(spark, sf_dir)]     # one batch, then the watermark's
+    ckpt = _run_all(J.stats_stream_by_row(*feeds, P.neighborhood_index(spark, sf_dir), CFG), "state")
+    count = lambda side, batch, name: join_state_rows(spark, ckpt, batch, side).agg(F.count("*").alias(name))
+    each = [count(side, 0, "before").crossJoin(count(side, 1, "after")).select(F.lit(feed).alias("feed"), "before", "after")
+            for side, feed in (("left", "rides"), ("right", "fares"))]
+    return each[0].unionByName(each[1])
+
+
+#: Events with this remainder are delivered late, after all others.
+LATE = 10
+
+
+@register("late_rows", base_cte() + f"""
+, w AS (SELECT max(pt) - INTERVAL 3 MINUTE AS watermark FROM f WHERE NOT ride_bad AND event_id % {LATE} <> 0),
+late AS (SELECT hackLicense, pt AS pickupTime, watermark FROM f, w WHERE NOT ride_bad AND event_id % {LATE} = 0 AND pt <= watermark)
+SELECT hackLicense, pickupTime, watermark, CAST(count(*) OVER () AS BIGINT) AS dropped FROM late
+""")
+def q_late_rows(spark, sf_dir):
+    """Rides that come after the watermark has passed them: the rows, from the query's checkpoint and its
+    input files, next to the number that its state operators say they dropped."""
+    ensure_utc(spark)
+    path, ckpt, out = (scratch_path(spark, f"late-{x}") for x in ("rides", "ckpt", "out"))
+    events = table(spark, sf_dir, "events")
+    listener = MetricsListener(spark, scratch_path(spark, "late-progress"))
+    spark.streams.addListener(listener)
+    try:
+        for part in (F.col("event_id") % LATE != 0, F.col("event_id") % LATE == 0):     # on time, then late
+            ride_messages(events.filter(part)).write.mode("append").parquet(path)
+            rides = valid_rides(file_feed(spark, path)).withWatermark("pickupTime", CFG.ride_watermark_interval)
+            with J.state_partitions(spark, _cores(spark)):
+                q = J.start(rides.groupBy("hackLicense", "pickupTime").count(), f"late_{ckpt[-12:]}", ckpt, path=out)
+                J.run_to_end(q)
+            listener.drain(q.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.schema(MESSAGE_SCHEMA).parquet(path).withColumn("file_path", F.col("_metadata.file_path"))
+    rides = decode_rides(rows).filter("errorMessage IS NULL").select("file_path", "ride.hackLicense", "ride.pickupTime")
+    ntz = lambda c: F.col(c).cast("timestamp_ntz")
+    late = late_rows(spark, ckpt, rides, F.col("pickupTime")).select(
+        "hackLicense", ntz("pickupTime").alias("pickupTime"), ntz("late_watermark").alias("watermark"))
+    said = last_of_each_batch(listener.to_dataframe(spark)).agg(F.sum("lateRows").alias("dropped"))
+    return late.crossJoin(F.broadcast(said))      # one row
+
+
+@register("termination_errors", base_cte() + """
+SELECT 'rides' AS feed, bool_or(ride_bad) AS failed FROM f UNION ALL SELECT 'fares', bool_or(fare_bad) FROM f
+""")
+def q_termination_errors(spark, sf_dir):
+    """Both feeds decoded strictly, by queries that a malformed message ends: what the listener recorded of
+    their ends."""
+    rides, fares = _both(spark, sf_dir)
+    strict = lambda d: d.select(F.when(F.col("errorMessage").isNotNull(), F.raise_error(
+        F.concat(F.lit("malformed: "), F.col("errorMessage")))).alias("nothing"))
+    listener = MetricsListener(spark, scratch_path(spark, "ends"))
+    spark.streams.addListener(listener)
+    runs = {}
+    try:
+        for feed, decoded in (("rides", decode_rides(rides)), ("fares", decode_fares(fares))):
+            q = J.start(strict(decoded), f"strict_{feed}_{scratch_path(spark, 'x')[-12:]}", scratch_path(spark, "strict"), fmt="noop")
+            try:
+                J.run_to_end(q)
+            except Exception:      # what ended it is in the listener's rows
+                pass
+            runs[str(q.runId)] = feed
+            listener.drain(q.runId)
+    finally:
+        spark.streams.removeListener(listener)
+    listener.flush()
+    ends = spark.createDataFrame([(k, v) for k, v in runs.items()], "run_id STRING, feed STRING")
+    try:
+        said = listener.to_dataframe(spark).filter("event = 'terminated' AND error LIKE '%malformed: %'").select("run_id").distinct()
+        return ends.join(said.withColumn("failed", F.lit(True)), "run_id", "left").select("feed", F.coalesce("failed", F.lit(False)).alias("failed"))
+    except AnalysisException:      # no row was ever written
+        return ends.select("feed", F.lit(False).alias("failed"))
+
+
+@register("configured_stats", STATS_ORACLE.replace("date_trunc('hour', pt) + INTERVAL 1 HOUR", "time_bucket(INTERVAL 30 MINUTE, pt) + INTERVAL 30 MINUTE"))
+def q_configured_stats(spark, sf_dir):
+    """The batch job with the window that its parameters set."""
+    cfg = JobConfig.from_args(["-n", "nation", "--window-interval", "interval 30 minutes"]).validated(spark)
+    return P.stats(spark, sf_dir, cfg.window_interval)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def _file_system(spark: SparkSession, directory: str):
@@ -33,30 +33,27 @@ def archive_members(spark: SparkSession, directory: str, kind: str) -> list[tupl
     return sorted(members)
 
 
-def _header(spark: SparkSession, directory: str, name: str) -> str:
-    """First line of a member (of its first part that has one)."""
-    lines = spark.read.text(f"{directory}/{name}")
-    first = lines.limit(1).collect()
-    return first[0][0] if first else ""
-
-
 def scan_archive(spark: SparkSession, directory: str, kind: str = "trip_data",
                  ordered: bool = False) -> DataFrame:
     """Lines of every member with ``file_seq``, header lines dropped.
 
-    A member's first line is its header; lines equal to it (each part of a
-    folder repeats it) are not data. All other lines are kept whole, blank
-    ones too, for the line parsers to accept or reject. Members are read as
-    plain text, so large files are split over tasks.
+    A member's header is the first line of its first part. The first line of a file is
+    dropped where it is that header (each part of a folder may repeat it); all other lines are kept
+    whole, blank ones and later copies of the header too, for the line parsers to accept or reject.
+    Members are read as plain text, so large files are split over tasks. One aggregate over
+    all members finds the first lines: a row a file.
     """
     directory = directory.rstrip("/")
     members = archive_members(spark, directory, kind)
-    headers = {seq: _header(spark, directory, name) for seq, name in members}
     path = F.col("_metadata.file_path")
     member = F.regexp_extract(path, rf"/([^/]*{re.escape(kind)}[^/]*)(?:/[^/]*)?$", 1)
     seq = F.regexp_extract(F.regexp_replace(member, r"\.[^.]*$", ""), r"_([^_]*)$", 1).try_cast("int")
-    header = F.create_map(*[F.lit(x) for pair in sorted(headers.items()) for x in pair])
     lines = spark.read.text([f"{directory}/{name}" for _, name in members])
-    out = lines.select("value", member.alias("file_name"), seq.alias("file_seq"))
-    out = out.filter(F.col("value") != F.element_at(header, F.col("file_seq")))
+    # a task reads pieces of files, each from its start to its end; both uses of this scan cut the same pieces
+    placed = lines.select("value", path.alias("path_"), F.col("_metadata.file_block_start").alias("at_"),
+                          F.monotonically_increasing_id().alias("row_"), member.alias("file_name"), seq.alias("file_seq"))
+    firsts = placed.groupBy("file_name", "path_").agg(F.min(F.struct("at_", "row_", "value")).alias("first_"))
+    header = F.min_by("first_.value", "path_").over(Window.partitionBy("file_name"))
+    headers = firsts.withColumn("header_", header).filter("first_.value = header_").select("path_", "first_.row_")
+    out = placed.join(headers, ["path_", "row_"], "left_anti").select("value", "file_name", "file_seq")
     return out.orderBy("file_seq") if ordered else out

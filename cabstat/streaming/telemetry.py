@@ -7,18 +7,19 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import threading
+import time
 import traceback
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 # Names of the metric fields.
 PROGRESS_DDL = ("id STRING, run_id STRING, name STRING, batch_id BIGINT, sink STRING, "
                 "durationms MAP<STRING, BIGINT>, inputRowsPerSecond DOUBLE, procRowsPerSecond DOUBLE, "
                 "inputRows BIGINT, observed MAP<STRING, BIGINT>, DateValue STRING, event STRING, error STRING, "
-                "tags MAP<STRING, STRING>")
+                "tags MAP<STRING, STRING>, lateRows BIGINT, stateRows BIGINT, recorded BIGINT")
 _NAMES = ["id", "run_id", "name", "batch_id", "sink", "durationms", "inputRowsPerSecond", "procRowsPerSecond",
-          "inputRows", "observed", "DateValue", "event", "error", "tags"]
+          "inputRows", "observed", "DateValue", "event", "error", "tags", "lateRows", "stateRows", "recorded"]
 _SCALARS = ("id", "name", "batch_id", "sink", "inputRowsPerSecond", "procRowsPerSecond", "inputRows", "DateValue")
 
 
@@ -44,6 +45,8 @@ def _as_dict(progress) -> dict:
         "inputRowsPerSecond": progress.inputRowsPerSecond,
         "processedRowsPerSecond": progress.processedRowsPerSecond,
         "sink": {"description": getattr(sink, "description", None)},
+        "stateOperators": [{"numRowsDroppedByWatermark": op.numRowsDroppedByWatermark, "numRowsTotal": op.numRowsTotal}
+                           for op in progress.stateOperators or ()],
         "observedMetrics": {k: row_dict(v) for k, v in (progress.observedMetrics or {}).items()},
     }
 
@@ -67,35 +70,57 @@ def parse_progress(progress) -> dict:
         "procRowsPerSecond": _num(p.get("processedRowsPerSecond")),
         "inputRows": p.get("numInputRows"),
         "observed": observed,
+        "lateRows": sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators") or ()),
+        "stateRows": sum(op.get("numRowsTotal", 0) for op in p.get("stateOperators") or ()),
         "DateValue": rfc1123_now(),
         "event": "progress", "error": None,
     }
 
 
 class MetricsListener(StreamingQueryListener):
-    """Appends one row per event to ``path`` as the event comes, so rows can be
-    read while the job runs and outlive the driver. Nothing is kept in memory. A
-    failure inside the listener becomes an error row and never reaches the query.
+    """Writes events as rows to ``path``, those of a time slice together, so that rows can be read
+    while the job runs, outlive the driver and do not become a file an event. At most a slice's
+    rows are in memory. A failure inside the listener becomes an error row and never reaches the query.
     """
 
-    def __init__(self, spark: SparkSession, path: str, context: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, context: dict[str, str] | None = None,
+                 slice_seconds: float = 5.0):
         """``context``: tags merged into every row's ``tags``; a row's own
         values win over context tags of the same name."""
         super().__init__()
         self._spark = spark
         self.path = path
         self._context = dict(context or {})
+        self._slice = slice_seconds
         self._ended: dict[str, threading.Event] = {}
-        self._lock = threading.Lock()
+        self._lock, self._writing = threading.Lock(), threading.Lock()
+        self._rows: list[tuple] = []
+        self._timer: threading.Timer | None = None
 
     def _append(self, row: dict) -> None:
         own = {k: str(row[k]) for k in _SCALARS if row.get(k) is not None}
-        row = {**row, "tags": {**self._context, **own}}
-        try:
-            one = self._spark.createDataFrame([tuple(row.get(n) for n in _NAMES)], PROGRESS_DDL)
-            one.coalesce(1).write.mode("append").parquet(self.path)
-        except Exception:  # telemetry never stops the job
-            logging.getLogger(__name__).exception("progress row not written")
+        row = {**row, "tags": {**self._context, **own}, "recorded": time.time_ns()}
+        with self._lock:
+            self._rows.append(tuple(row.get(n) for n in _NAMES))
+            if self._timer is None:      # the slice begins with its first row
+                self._timer = threading.Timer(self._slice, self.flush)
+                self._timer.daemon = True
+                self._timer.start()
+
+    def flush(self) -> None:
+        """Write the rows of the slice so far."""
+        with self._writing:
+            with self._lock:
+                rows, self._rows = self._rows, []
+                if self._timer is not None:
+                    self._timer.cancel()
+                    self._timer = None
+            if not rows:
+                return
+            try:
+                self._spark.createDataFrame(rows, PROGRESS_DDL).coalesce(1).write.mode("append").parquet(self.path)
+            except Exception:  # telemetry never stops the job
+                logging.getLogger(__name__).exception("%d progress rows not written", len(rows))
 
     def _end_of(self, run_id: str) -> threading.Event:
         with self._lock:
@@ -120,10 +145,19 @@ class MetricsListener(StreamingQueryListener):
                           "error": event.exception, "DateValue": rfc1123_now()})
         self._end_of(event.runId).set()
 
-    def drain(self, run_id: str) -> None:
+    def drain(self, run_id: str, timeout: float = 60.0) -> bool:
         """Wait until every event of an ended run has been written: its
-        termination is the last one the asynchronous bus delivers."""
-        self._end_of(run_id).wait()
+        termination is the last one the asynchronous bus delivers. False if it has not come in time."""
+        ended = self._end_of(run_id).wait(timeout)
+        self.flush()
+        return ended
 
     def to_dataframe(self, spark: SparkSession | None = None) -> DataFrame:
         return (spark or self._spark).read.schema(PROGRESS_DDL).parquet(self.path)
+
+
+def last_of_each_batch(rows: DataFrame) -> DataFrame:
+    """Progress rows with one row a (query, batch): a batch that was replayed counts once, as last recorded."""
+    progress = rows.filter("event = 'progress'")
+    return progress.groupBy("id", "batch_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("id", "batch_id")]), "recorded").alias(
+        "r")).select("id", "batch_id", "r.*")

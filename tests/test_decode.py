@@ -172,3 +172,14 @@ def test_lines_of_tabs_are_blank(spark):
     df = spark.createDataFrame([("\t",), (" \t ",), ("# c",), ("x",)], "value string")
     assert [r[0] for r in drop_comment_and_blank(df).collect()] == ["x"]
     assert [r["error"] for r in parse_ride_lines(df).collect()][:2] == ["empty line"] * 2
+
+
+def test_dialect_limits_and_encodings(spark):
+    line = spark.createDataFrame([("a,bb,ccccccccccc",)], "l STRING")
+    for limit in ({"maxCharsPerColumn": "5"}, {"maxColumns": "2"}):
+        with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):
+            line.select(D.decode_csv("l", "a STRING, b STRING, c STRING", limit)).collect()
+    assert line.select(D.decode_csv("l", "a STRING, b STRING, c STRING", {"maxCharsPerColumn": "20"}).alias("r")).first()["r"]["c"] == "c" * 11
+    for encoding in ("UTF-8", "ISO-8859-1", "UTF-16", "UTF-16LE", "UTF-32"):
+        body = spark.createDataFrame([(bytearray("é,ü".encode(encoding)),)], "body BINARY")
+        assert body.select(D.body_to_text("body", encoding)).first()[0] == "é,ü"

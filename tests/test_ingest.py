@@ -61,3 +61,28 @@ def test_archive_order_and_errors(spark):
         archive_members(spark, d, "trip_data")
     with pytest.raises(ValueError):
         archive_members(spark, tempfile.mkdtemp(), "trip_data")
+
+
+def test_headers_go_by_position(spark):
+    """A data line equal to the header stays; members with equal suffixes have headers of their own; a part
+    without a header loses nothing."""
+    d = tempfile.mkdtemp(prefix="archive-")
+    write(d, "trip_data_1.csv", "h\na\nh\n\nb\n")
+    write(d, "old_trip_data_1.csv", "k\nh\n")
+    os.mkdir(os.path.join(d, "trip_data_2.csv"))
+    write(os.path.join(d, "trip_data_2.csv"), "part-0", "p\n2a\n")
+    write(os.path.join(d, "trip_data_2.csv"), "part-1", "p\n2b\np\n")
+    write(os.path.join(d, "trip_data_2.csv"), "part-2", "2c\n")
+    write(d, "trip_data_3.csv", "h\n" + "".join(f"{k}\n" for k in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = scan_archive(spark, d, "trip_data").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {}
+    for r in rows:
+        got.setdefault(r["file_name"], []).append(r["value"])
+    assert sorted(got["trip_data_1.csv"]) == ["", "a", "b", "h"] and got["old_trip_data_1.csv"] == ["h"]
+    assert sorted(got["trip_data_2.csv"]) == ["2a", "2b", "2c", "p"]
+    assert sorted(got["trip_data_3.csv"], key=int) == [str(k) for k in range(5000)]
