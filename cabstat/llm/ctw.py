@@ -12,15 +12,18 @@ space, then padding; along the padding all depths have equal counts, where
 mixing changes nothing.
 
 All distinct (context, byte) grams of the token stream are kept, counted in
-the tasks and merged by bucket: the two last bytes of a context decide its
+the tasks and merged by bucket: the two last bytes of a context are its
 bucket, so a bucket holds whole subtrees and is weighted by itself, as one row
 of compressed arrays. It is weighted twice: once for the shallow depths, which
-need all buckets, then for the values, which need the shallow depths.
+need all buckets, then for the values, which need the shallow depths. Grams are
+packed so that sorting them sorts contexts by their nearest byte first: every
+step is a sort and sums over runs, and a bucket's depths are got by sorting its
+distinct (shorter context, byte) pairs once each.
 
 A document's score adds up the values of its grams. The ``COMMON`` most
 frequent grams at most, a bound that does not grow with the data, are broadcast;
 the occurrences of the others go to their shard's values as one compressed row
-a slice of documents and shard. Words only serve the counts and the add-one
+a slice of documents and shard. There are as many shards as the number of grams asks for. Words only serve the counts and the add-one
 base: those that hold at least one in ``COMMON`` of all occurrences are
 broadcast, the others joined.
 
@@ -32,14 +35,15 @@ nothing is known, a decision has probability one half.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, mix, spaced, split_words
+from .common import batches, map_arrow, materialise, spaced, split_words
 
 DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
@@ -49,13 +53,13 @@ COMMON = 2_000_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1_000_000
 END = b""
-#: Distinct grams that a counting task holds before it hands them on.
+#: Distinct grams that a counting or merging task holds before it hands them on or adds them up.
 HELD_GRAMS = 1_000_000
 #: Text whose grams are made at once: each byte takes about a hundred.
 GRAM_BYTES = 1 << 19
-#: Grams that one task weights, about.
-TASK_GRAMS = 200_000
-BUCKETS, SHARDS = 1024, 64
+#: Grams that one task weights, and that one shard of values holds, about; tasks that weight at most.
+TASK_GRAMS, SHARD_GRAMS = 200_000, 250_000
+TASKS = 4096
 
 
 # ------------------------------------------------------------------ grams
@@ -83,7 +87,29 @@ def byte_grams(flat: np.ndarray, stretches: np.ndarray) -> np.ndarray:
 
 
 def bucket_of(grams: np.ndarray) -> np.ndarray:
-    return (mix(grams >> np.uint64(8 * (DEPTH + 1 - SPLIT))) % np.uint64(BUCKETS)).astype(np.int64)
+    """The last ``SPLIT`` bytes of the context; buckets are in the order of grams."""
+    return (grams >> np.uint64(8 * (DEPTH + 1 - SPLIT))).astype(np.int64)
+
+
+def shard_of(bucket, shards: int):
+    """Shard of a bucket (array or Column)."""
+    spread = bucket * 2654435761 + 40503
+    if isinstance(bucket, Column):
+        return F.pmod(F.shiftright(spread, 16), F.lit(shards))
+    return (spread >> 16) % shards
+
+
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal entries start."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+
+
+def _combined(grams: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Distinct grams in order, with their counts added up."""
+    order = np.argsort(grams)
+    ordered = grams[order]
+    first = _runs(ordered)
+    return [ordered[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in counts]]
 
 
 def _squeeze(keys: np.ndarray, *columns: np.ndarray) -> bytes:
@@ -105,18 +131,24 @@ def _restore(blob: bytes, n: int, *types) -> list[np.ndarray]:
 
 # ------------------------------------------------------------------ weighting
 
+_SMALL = 1 << 14
+#: Log gamma of k + 1/2 and of k + 1 for small counts.
+_HALF, _WHOLE = (np.array([math.lgamma(k + x) for k in range(_SMALL)]) for x in (0.5, 1.0))
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log Krichevsky-Trofimov probability of a sequence with these counts."""
-    return _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1.0) - np.log(np.pi)
+    return _lgamma(zeros, 0.5, _HALF) + _lgamma(ones, 0.5, _HALF) - _lgamma(zeros + ones, 1.0, _WHOLE) - np.log(np.pi)
 
 
-def _lgamma(x: np.ndarray) -> np.ndarray:
-    """Log gamma by Stirling's series, after shifting small arguments up by eight."""
-    x = np.asarray(x, float)
-    shift = np.where(x < 8, np.log(np.prod([np.where(x < 8, x + k, 1.0) for k in range(8)], axis=0)), 0.0)
-    y = np.where(x < 8, x + 8, x)
-    series = 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - shift
+def _lgamma(counts: np.ndarray, more: float, small: np.ndarray) -> np.ndarray:
+    """Log gamma of counts + more; Stirling's series where the table ends."""
+    out = small[np.minimum(counts, _SMALL - 1).astype(np.int64)]
+    large = counts >= _SMALL
+    if large.any():
+        y = counts[large] + more
+        out[large] = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3)
+    return out
 
 
 class Level:
@@ -126,13 +158,11 @@ class Level:
         self.keys, self.zeros, self.ones = keys, zeros, ones
         own = log_kt(zeros, ones)
         self.weighted = own if below is None else np.logaddexp(own, below) + np.log(0.5)
-        self.stop = np.ones(len(keys)) if below is None else np.exp(own + np.log(0.5) - self.weighted)
+        self.stop = np.ones(len(zeros)) if below is None else np.exp(own + np.log(0.5) - self.weighted)
 
-    def mixed(self, index, bit, deeper):
-        """Probability of ``bit`` given that of the deeper contexts."""
-        a, b = self.zeros[index], self.ones[index]
-        here = (np.where(bit, b, a) + 0.5) / (a + b + 1.0)
-        return here if deeper is None else self.stop[index] * here + (1 - self.stop[index]) * deeper
+    def chance(self, bit: int) -> np.ndarray:
+        """The depth's own estimate of a decision."""
+        return ((self.ones if bit else self.zeros) + 0.5) / (self.zeros + self.ones + 1.0)
 
 
 def _sums(owner: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
@@ -145,38 +175,62 @@ def _group(keys, *values):
 
 
 def _shorter(keys: np.ndarray) -> np.ndarray:
-    """The same decisions in contexts that are a byte shorter."""
+    """The same bytes or decisions in contexts that are a byte shorter."""
     return (keys >> np.uint64(16)) << np.uint64(8) | (keys & np.uint64(0xFF))
 
 
-def weigh(grams: np.ndarray, counts: np.ndarray, top: int = SPLIT):
-    """Weighting of all depths from ``DEPTH`` to ``top``, over whole subtrees.
+def _depths(grams: np.ndarray, counts: np.ndarray, top: int) -> list[tuple]:
+    """From depth ``DEPTH`` to ``top``: distinct (context << 8 | byte) in order, their counts, and by entry
+    of the depth before where its shorter context is."""
+    out = [(grams, counts, None)]
+    for _ in range(DEPTH - top):
+        shorter = _shorter(out[-1][0])
+        order = np.argsort(shorter)
+        ordered = shorter[order]
+        first = _runs(ordered)
+        up = np.empty(len(order), np.int32)
+        up[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(order))))
+        out.append((ordered[first], np.add.reduceat(out[-1][1][order], first), up))
+    return out
+
+
+def weigh(grams: np.ndarray, counts: np.ndarray, top: int = SPLIT, values: bool = True):
+    """Weighting of all depths from ``DEPTH`` to ``top``, over whole subtrees; grams are distinct and in order.
 
     Returns by gram the probabilities of its eight decisions as seen at depth
-    ``top``, and that depth's (key, zeros, ones, weighted) rows, where a key is
+    ``top`` (None unless ``values``), and that depth's (key, zeros, ones, weighted) rows, where a key is
     the context and the decision in two bytes or more: context << 8 | decision.
     """
-    probabilities = np.empty((len(grams), 8))
+    depths = _depths(grams, counts, top)
+    places = [None]      # by gram, where its (shorter context, byte) is at each depth
+    for _, _, up in depths[1:] if values else ():
+        places.append(up if places[-1] is None else up[places[-1]])
+    probabilities = np.empty((8, len(grams))) if values else None
     rows: list[tuple] = []
-    byte = grams & np.uint64(0xFF)
-    context = grams >> np.uint64(8)
     for j in range(8):
-        bit = (byte >> np.uint64(7 - j)) & np.uint64(1)
-        node = np.uint64(1 << j) | (byte >> np.uint64(8 - j))
-        ones = counts * bit
-        keys = (context << np.uint64(8)) | node
-        found, index, (n0, n1) = _group(keys, counts - ones, ones)
-        levels = [(Level(found, n0, n1), index)]
-        for _ in range(DEPTH - top):
-            last = levels[-1][0]
-            found, up, (n0, n1, below) = _group(_shorter(last.keys), last.zeros, last.ones, last.weighted)
-            levels.append((Level(found, n0, n1, below), up[levels[-1][1]]))
-        seen = None
-        for level, index in levels:
-            seen = level.mixed(index, bit, seen)
-        probabilities[:, j] = seen
-        last = levels[-1][0]
-        rows.append((last.keys, last.zeros, last.ones, last.weighted))
+        shift, seen, last = np.uint64(8 - j), None, None
+        for depth, (keys, n, up) in enumerate(depths):
+            # entries that share the decisions before are neighbours: byte prefixes in order
+            first = _runs(keys >> shift)
+            size = np.diff(np.append(first, len(keys)))
+            bit = (keys >> np.uint64(7 - j)) & np.uint64(1) > 0
+            total, ones = (np.add.reduceat(x, first) for x in (n, n * bit))
+            node = np.repeat(np.arange(len(first), dtype=np.int32), size)
+            below = None if last is None else _sums(node[up[last[0]]], last[1].weighted, len(first))
+            level = Level(None, total - ones, ones, below)
+            if values:
+                own = np.where(bit, level.chance(1)[node], level.chance(0)[node])
+                if seen is None:
+                    seen = own
+                else:
+                    stop, here = level.stop[node], places[depth]
+                    seen = (stop * own)[here] + (1 - stop)[here] * seen
+            last = first, level
+        if values:
+            probabilities[j] = seen
+        keys, (first, level) = depths[-1][0], last
+        decision = np.uint64(1 << j) | ((keys[first] & np.uint64(0xFF)) >> shift)
+        rows.append(((keys[first] >> np.uint64(8)) << np.uint64(8) | decision, level.zeros, level.ones, level.weighted))
     return probabilities, [np.concatenate(x) for x in zip(*rows)]
 
 
@@ -195,18 +249,25 @@ class Top:
             rows = (found, n0, n1, level.weighted)
 
     def log10(self, grams: np.ndarray, probabilities: np.ndarray) -> np.ndarray:
-        """Log10 probability of each gram's byte in its context."""
+        """Log10 probability of each gram's byte in its context, for grams of one bucket."""
         total = np.zeros(len(grams))
-        byte = grams & np.uint64(0xFF)
-        context = grams >> np.uint64(8 * (DEPTH + 1 - SPLIT))
+        if not len(grams):
+            return total
+        context = grams[0] >> np.uint64(8 * (DEPTH + 1 - SPLIT)) << np.uint64(8)
+        first, end = np.searchsorted(self.keys, [context, context + np.uint64(256)])
+        # the bucket's decisions, 255 at most, and what the shallow depths make of them
+        index, place = np.arange(first, end), np.zeros(256, np.int64)
+        place[(self.keys[first:end] & np.uint64(0xFF)).astype(np.int64)] = np.arange(end - first)
+        shallow = []
+        for level, up in self.up:
+            index = up[index]
+            shallow.append((level.stop[index], np.stack([level.chance(bit)[index] for bit in (0, 1)])))
+        byte = (grams & np.uint64(0xFF)).astype(np.int64)
         for j in range(8):
-            bit = (byte >> np.uint64(7 - j)) & np.uint64(1)
-            node = np.uint64(1 << j) | (byte >> np.uint64(8 - j))
-            index = np.searchsorted(self.keys, (context << np.uint64(8)) | node)
-            seen = probabilities[:, j]
-            for level, up in self.up:
-                index = up[index]
-                seen = level.mixed(index, bit, seen)
+            bit, node = (byte >> 7 - j) & 1, place[1 << j | byte >> 8 - j]
+            seen = probabilities[j]
+            for stop, chance in shallow:
+                seen = stop[node] * chance[bit, node] + (1 - stop[node]) * seen
             total += np.log10(seen)
         return total
 
@@ -240,54 +301,70 @@ def _word_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from combined().to_batches(max_chunksize=50_000)
 
 
-def _summed(tables: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(tables).group_by("gram", use_threads=False).aggregate(
-        [("n_train", "sum"), ("n_all", "sum")]).rename_columns(["gram", "n_train", "n_all"])
-
-
-def _bucketed(counted: pa.Table) -> Iterator[pa.RecordBatch]:
-    """(bucket, n, blob): the grams of every bucket in order with n_train and n_all."""
-    gram, n_train, n_all = (counted.column(c).to_numpy() for c in ("gram", "n_train", "n_all"))
-    gram = gram.view(np.uint64)
+def _bucketed(gram: np.ndarray, n_train: np.ndarray, n_all: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(bucket, n, blob): the grams of every bucket in order with n_train and n_all; they come in order."""
     bucket = bucket_of(gram)
-    order = np.lexsort((gram, bucket))
-    gram, n_train, n_all, bucket = gram[order], n_train[order], n_all[order], bucket[order]
-    found, first = np.unique(bucket, return_index=True)
+    first = _runs(bucket)
     ends = np.append(first[1:], len(bucket))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(found), pa.array(ends - first),
+        [pa.array(bucket[first]), pa.array(ends - first),
          pa.array([_squeeze(gram[a:z], n_train[a:z], n_all[a:z]) for a, z in zip(first, ends)], pa.binary())],
         ["bucket", "n", "blob"])
 
 
+class _Held:
+    """Distinct grams with n_train and n_all, added up whenever many wait."""
+
+    def __init__(self):
+        self.parts: list[list[np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, *part: np.ndarray) -> None:
+        self.parts.append(list(part))
+        self.waiting += len(part[0])
+        if self.waiting > 2 * HELD_GRAMS:
+            self.whole()
+
+    def whole(self) -> list[np.ndarray]:
+        made = _combined(*[np.concatenate(x) for x in zip(*self.parts)]) if self.parts else [
+            np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.parts, self.waiting = [made], len(made[0])
+        return made
+
+
 def _gram_counts(across: bool):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
+        held = _Held()
         for batch in batches(stream, max_bytes=GRAM_BYTES):
             flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
             gram = byte_grams(flat, stretches)
-            train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
-            held.append(_summed([pa.table({"gram": gram.view(np.int64), "n_train": train,
-                                           "n_all": np.ones(len(gram), np.int64)})]))
-            if sum(t.num_rows for t in held) > HELD_GRAMS:
-                held = [_summed(held)]
-                if held[0].num_rows > HELD_GRAMS // 2:
-                    yield from _bucketed(held.pop())
-        if held:
-            yield from _bucketed(_summed(held))
+            train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), sizes)
+            for use, counted in ((train, 1), (~train, 0)):
+                ordered = np.sort(gram[use])
+                first = _runs(ordered)
+                times = np.diff(np.append(first, len(ordered)))
+                held.add(ordered[first], times * counted, times)
+            if held.waiting > HELD_GRAMS and len(held.whole()[0]) > HELD_GRAMS // 2:
+                yield from _bucketed(*held.whole())
+                held = _Held()
+        if held.waiting:
+            yield from _bucketed(*held.whole())
 
     return run
 
 
-def _merge(table: pa.Table) -> pa.Table:
-    """One row of a bucket out of all tasks' rows of it."""
-    held: list[pa.Table] = []
-    for n, blob in zip(table.column("n").to_pylist(), table.column("blob")):
-        gram, n_train, n_all = _restore(blob.as_py(), n, np.int64, np.int64)
-        held.append(pa.table({"gram": gram.view(np.int64), "n_train": n_train, "n_all": n_all}))
-        if sum(t.num_rows for t in held) > HELD_GRAMS:
-            held = [_summed(held)]
-    return pa.Table.from_batches(list(_bucketed(_summed(held))))
+def _merge(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of a bucket out of all tasks' rows of it, which come one after another."""
+    now, held = None, _Held()
+    for batch in stream:
+        for bucket, n, blob in zip(batch.column("bucket").to_pylist(), batch.column("n").to_pylist(), batch.column("blob")):
+            if bucket != now and held.waiting:
+                yield from _bucketed(*held.whole())
+                held = _Held()
+            now = bucket
+            held.add(*_restore(blob.as_py(), n, np.int64, np.int64))
+    if held.waiting:
+        yield from _bucketed(*held.whole())
 
 
 def _shallow(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,20 +372,21 @@ def _shallow(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in stream:
         for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
             gram, n_train, _ = _restore(blob.as_py(), n, np.int64, np.int64)
-            _, (keys, zeros, ones, weighted) = weigh(gram, n_train.astype(float))
+            _, (keys, zeros, ones, weighted) = weigh(gram, n_train.astype(float), values=False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(weighted)],
                 ["key", "zeros", "ones", "weighted"])
 
 
-def gram_values(rows: DataFrame, across: bool) -> DataFrame:
+def gram_values(rows: DataFrame, across: bool) -> tuple[DataFrame, int]:
     """(bucket, n, blob): every gram of ``rows`` (text, train) with its log10
-    probability and its number of occurrences, one row a bucket."""
+    probability and its number of occurrences, one row a bucket; and how many grams there are."""
     spark = rows.sparkSession
-    counted = materialise(map_arrow(rows, _gram_counts(across), "bucket long, n long, blob binary")
-                          .groupBy("bucket").applyInArrow(_merge, "bucket long, n long, blob binary"), "op4-grams")
+    kinds = "bucket long, n long, blob binary"
+    spread = map_arrow(rows, _gram_counts(across), kinds).repartition("bucket").sortWithinPartitions("bucket")
+    counted = materialise(map_arrow(spread, _merge, kinds), "op4-grams")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    dealt = counted.repartition(max(1, min(BUCKETS, -(-total // TASK_GRAMS))), "bucket")
+    dealt = counted.repartition(max(1, min(TASKS, -(-total // TASK_GRAMS))), "bucket")
     # at most 256 ** SPLIT contexts of 255 decisions, whatever the corpus
     shallow = map_arrow(dealt, _shallow, "key long, zeros double, ones double, weighted double").toArrow()
     top = spark.sparkContext.broadcast(Top(*(
@@ -325,7 +403,7 @@ def gram_values(rows: DataFrame, across: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("bucket"), batch.column("n"), pa.array(blobs, pa.binary())], ["bucket", "n", "blob"])
 
-    return materialise(map_arrow(dealt, finish, "bucket long, n long, blob binary"), "op4-values")
+    return materialise(map_arrow(dealt, finish, kinds), "op4-values"), total
 
 
 def _frequent(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -373,7 +451,8 @@ def _dealt(rows: list[tuple]) -> pa.RecordBatch:
 def text_values(rows: DataFrame, across: bool) -> DataFrame:
     """(doc_id, version, value): log10 probability of every text of ``rows``
     (doc_id, version, text, train), trained on those with ``train``."""
-    values = gram_values(rows.select("text", "train"), across)
+    values, total = gram_values(rows.select("text", "train"), across)
+    shards = max(1, -(-total // SHARD_GRAMS))
     shared = rows.sparkSession.sparkContext.broadcast(_frequent(values))
 
     def known(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,9 +464,11 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
         for part, batch in enumerate(batches(stream, max_bytes=2 * GRAM_BYTES), part):
             size = batch.num_rows
             flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
-            coded = pa.array(byte_grams(flat, stretches).view(np.int64)).dictionary_encode()
-            names, index = coded.dictionary.to_numpy().view(np.uint64), coded.indices.to_numpy()
-            owner = np.repeat(np.arange(size), sizes)
+            gram = byte_grams(flat, stretches)
+            order = np.argsort(gram)
+            gram, owner = gram[order], np.repeat(np.arange(size), sizes)[order]
+            first = _runs(gram)
+            names, times = gram[first], np.diff(np.append(first, len(gram)))
             at = np.minimum(np.searchsorted(keys, names), max(0, len(keys) - 1))
             hit = keys[at] == names if len(keys) else np.zeros(len(names), bool)
             worth = np.zeros(len(names))
@@ -395,15 +476,17 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
             ids = batch.column("doc_id")
             out = [(-1 - part, 0, part, size, _squeeze(
                 batch.column("version").to_numpy(), pc.fill_null(ids, 0).to_numpy(),
-                ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), _sums(owner, worth[index], size)))]
-            rare = np.flatnonzero(~hit[index])
-            pair, times = np.unique(index[rare].astype(np.int64) * size + owner[rare], return_counts=True)
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), _sums(owner, np.repeat(worth, times), size)))]
+            rare = np.repeat(~hit, times)
+            pair = np.sort(np.repeat(np.arange(len(names)), times)[rare] * size + owner[rare])
+            first = _runs(pair)
+            times, pair = np.diff(np.append(first, len(pair))), pair[first]
             gram, doc = names[pair // size], pair % size
-            shard = bucket_of(gram) % SHARDS
-            order = np.lexsort((doc, gram, shard))
+            shard = shard_of(bucket_of(gram), shards)
+            order = np.argsort(shard, kind="stable")      # grams stay in order inside a shard
             gram, doc, times, shard = gram[order], doc[order], times[order], shard[order]
-            found, first = np.unique(shard, return_index=True)
-            for x, a, z in zip(found.tolist(), first, np.append(first[1:], len(shard))):
+            first = _runs(shard)
+            for x, a, z in zip(shard[first].tolist(), first, np.append(first[1:], len(shard))):
                 out.append((x, 1, part, z - a, _squeeze(gram[a:z], doc[a:z], times[a:z])))
             yield _dealt(out)
 
@@ -425,8 +508,8 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
                         order = np.argsort(gram)
                         table = gram[order], value[order]
                     gram, doc, times = _restore(blob, n, np.int64, np.int64)
-                    own, index = np.unique(doc, return_inverse=True)
-                    sums = _sums(index, table[1][np.searchsorted(table[0], gram)] * times, len(own))
+                    own = np.flatnonzero(np.bincount(doc))
+                    sums = _sums(doc, table[1][np.searchsorted(table[0], gram)] * times, 0)[own]
                     out.append((shard, kind, part, len(own), _squeeze(own, sums)))
             if out:
                 yield _dealt(out)
@@ -443,7 +526,7 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
             total[own.view(np.int64)] += sums
         return pa.table({"doc_id": pa.array(doc, mask=null > 0), "version": version.view(np.int64), "value": total})
 
-    given = values.select((F.col("bucket") % SHARDS).alias("shard"), F.lit(0).alias("kind"),
+    given = values.select(shard_of(F.col("bucket"), shards).alias("shard"), F.lit(0).alias("kind"),
                           F.lit(-1).cast("long").alias("slice"), "n", "blob")
     dealt = map_arrow(rows.select("doc_id", "version", "text"), known, _DEALT).unionByName(given)
     summed = map_arrow(dealt.repartition("shard").sortWithinPartitions("shard", "kind"), add_up, _DEALT)

@@ -160,12 +160,28 @@ def test_held_out_prose_costs_less_than_noise(spark, some_docs):
     assert np.mean(prose) < 3.5 < 4.5 < min(v for d, v in cost.items() if d >= 10_000)
 
 
-def test_scores_odd_rows(odd_docs, no_docs):
-    got = ctw.score(odd_docs, held_out()).collect()
+@pytest.mark.parametrize("across", [False, True])
+def test_scores_odd_rows(odd_docs, no_docs, across):
+    got = ctw.score(odd_docs, held_out(), across).collect()
     assert sorted(key(r["doc_id"], r["n_tokens"]) for r in got) == sorted(
         key(d, len(brute.words(t)) + 1) for d, t in pairs())
     assert all(r["score"] < 0 and r["base_score"] < 0 for r in got)
-    assert ctw.score(no_docs, held_out()).count() == 0
+    by_id = defaultdict(set)
+    for r in got:
+        by_id[r["doc_id"]].add(round(r["score"], 9))
+    assert len(by_id[11]) == 1 and by_id[1] == by_id[2]      # repeated rows; null counts as empty
+    assert ctw.score(no_docs, held_out(), across).count() == 0
+
+
+def test_counts_add_up_in_parts(some_docs, monkeypatch):
+    """Tasks that hand on what they hold at once, many shards and split look-ups give the same scores."""
+    docs, _ = some_docs
+    docs = docs.filter("doc_id < 60").repartition(3)
+    whole = {r["doc_id"]: r["score"] for r in ctw.score(docs, held_out(), True).collect()}
+    for name, n in (("HELD_GRAMS", 500), ("GRAM_BYTES", 2000), ("SHARD_GRAMS", 300), ("TASK_GRAMS", 1000), ("COMMON", 50)):
+        monkeypatch.setattr(ctw, name, n)
+    parts = {r["doc_id"]: r["score"] for r in ctw.score(docs, held_out(), True).collect()}
+    assert parts == {d: pytest.approx(v, rel=1e-9) for d, v in whole.items()}
 
 
 def running_tree(texts, train, depth=7):
