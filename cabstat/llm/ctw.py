@@ -24,8 +24,7 @@ A document's score adds up the values of its grams. The ``COMMON`` most
 frequent grams at most, a bound that does not grow with the data, are broadcast;
 the occurrences of the others go to their shard's values as one compressed row
 a slice of documents and shard. There are as many shards as the number of grams asks for. Words only serve the counts and the add-one
-base: those that hold at least one in ``COMMON`` of all occurrences are
-broadcast, the others joined.
+base: the most frequent, ``COMMON_WORDS`` at most, are broadcast, the others joined.
 
 Defined results: null text counts as empty, which is the end alone; rows that
 repeat a doc_id are scored each and trained on each; a null doc_id is training
@@ -49,7 +48,7 @@ DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
 #: at most 256 ** SPLIT contexts of 255 decisions.
 SPLIT = 2
-COMMON = 2_000_000
+COMMON, COMMON_WORDS = 2_000_000, 400_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1_000_000
 END = b""
@@ -112,21 +111,41 @@ def _combined(grams: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
     return [ordered[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in counts]]
 
 
+def _width(x: np.ndarray) -> int:
+    """Bytes that the whole numbers of a column take; 8 for floats and what has negative ones."""
+    if x.dtype == np.float64 or not len(x) or x.min() < 0:
+        return 8
+    most = int(x.max())
+    return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+
+
 def _squeeze(keys: np.ndarray, *columns: np.ndarray) -> bytes:
-    """Columns of eight bytes an entry, compressed; the first as differences."""
+    """Columns, compressed: keys (eight bytes, as differences), whole numbers in as few bytes as the largest
+    takes, floats in eight. The first byte of each column but the keys says its width (8: as it is)."""
     import zstandard
 
     keys = keys.view(np.uint64)
-    parts = [np.diff(keys, prepend=np.uint64(0)), *columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in parts))
+    first = keys.copy()
+    first[1:] -= keys[:-1]
+    head, parts = bytearray(), [first]
+    for x in columns:
+        head.append(_width(x))
+        parts.append(x.astype(f"u{head[-1]}") if head[-1] < 8 else x)
+    return zstandard.ZstdCompressor(level=-1).compress(bytes(head) + b"".join(x.tobytes() for x in parts))
 
 
 def _restore(blob: bytes, n: int, *types) -> list[np.ndarray]:
     import zstandard
 
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    rest = [np.frombuffer(raw, t, n, 8 * n * k) for k, t in enumerate(types, 1)]
-    return [np.cumsum(np.frombuffer(raw, np.uint64, n), dtype=np.uint64), *rest]
+    at, out = len(types), [np.cumsum(np.frombuffer(raw, np.uint8, 8 * n, len(types)).view(np.uint64) if n else np.zeros(0, np.uint64),
+                                     dtype=np.uint64)]
+    at += 8 * n
+    for width, kind in zip(raw, types):
+        x = np.frombuffer(raw, kind if width == 8 else f"u{width}", n, at)
+        out.append(x.astype(kind) if width < 8 else x)
+        at += width * n
+    return out
 
 
 # ------------------------------------------------------------------ weighting
@@ -317,18 +336,19 @@ class _Held:
 
     def __init__(self):
         self.parts: list[list[np.ndarray]] = []
-        self.waiting = 0
+        self.waiting, self.distinct = 0, 0
 
     def add(self, *part: np.ndarray) -> None:
         self.parts.append(list(part))
         self.waiting += len(part[0])
-        if self.waiting > 2 * HELD_GRAMS:
+        # as much again as was distinct the last time, so adding up stays linear
+        if self.waiting > 2 * max(HELD_GRAMS // 2, self.distinct):
             self.whole()
 
     def whole(self) -> list[np.ndarray]:
         made = _combined(*[np.concatenate(x) for x in zip(*self.parts)]) if self.parts else [
             np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self.parts, self.waiting = [made], len(made[0])
+        self.parts, self.waiting, self.distinct = [made], len(made[0]), len(made[0])
         return made
 
 
@@ -466,7 +486,7 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
             flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
             gram = byte_grams(flat, stretches)
             order = np.argsort(gram)
-            gram, owner = gram[order], np.repeat(np.arange(size), sizes)[order]
+            gram, owner = gram[order], np.repeat(np.arange(size, dtype=np.int32), sizes)[order]
             first = _runs(gram)
             names, times = gram[first], np.diff(np.append(first, len(gram)))
             at = np.minimum(np.searchsorted(keys, names), max(0, len(keys) - 1))
@@ -483,7 +503,8 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
             times, pair = np.diff(np.append(first, len(pair))), pair[first]
             gram, doc = names[pair // size], pair % size
             shard = shard_of(bucket_of(gram), shards)
-            order = np.argsort(shard, kind="stable")      # grams stay in order inside a shard
+            # grams stay in order inside a shard; few shards sort by their digits
+            order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
             gram, doc, times, shard = gram[order], doc[order], times[order], shard[order]
             first = _runs(shard)
             for x, a, z in zip(shard[first].tolist(), first, np.append(first[1:], len(shard))):
@@ -534,9 +555,15 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
 
 
 def _common(df: DataFrame, weight: str) -> DataFrame:
-    """Rows that hold at least one in ``COMMON`` of the weight: at most ``COMMON`` rows."""
-    total = df.agg(F.sum(weight)).first()[0] or 0
-    return df.filter(F.col(weight) * COMMON >= total)
+    """The rows of the greatest weights, ``COMMON_WORDS`` at most."""
+    size = F.floor(8 * F.log2(weight))
+    least, room = 1 << 30, COMMON_WORDS
+    for r in sorted(df.groupBy(size.alias("size")).count().collect(), reverse=True):     # at most 8 x 64 sizes
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["size"]
+    return df.filter(size >= least)
 
 
 def score(docs: DataFrame, held_out, across: bool = False) -> DataFrame:
