@@ -8,12 +8,15 @@ window's content alone: equal windows have equal anchors.
    document and anchor). Only windows with a recurring anchor go on, as
    segments: maximal runs of windows with the same anchor.
 2. Recurring windows are confirmed by an aggregation over (anchor, window
-   hash): the smallest and largest document that hold it.
-3. Shards of anchors compile the recurring passages (maximal runs of confirmed
-   windows, as word sequences) into Aho-Corasick automata and stream every
-   segment of their anchors through them. A match whose smallest document precedes the segment's own removes
-   its words. Segments of a hot anchor are dealt over salts, each with the
-   same confirmed windows.
+   hash): the smallest and largest document that hold it. The segments in which the smallest
+   documents hold them are the recurring passages.
+3. Shards of anchors compile the passages' phrases into Aho-Corasick automata, and stream every
+   later document's segments through them. Where a phrase occurs, the words of segment and passage
+   are compared to both sides; a common run of ``WINDOW`` words or more goes if the passage's document
+   precedes the segment's. So the automata alone say where passages may be, and words, not hashes,
+   what is removed. Segments of a hot anchor are dealt over salts before their words are moved, each salt with the
+   same passages. Texts that repeat a phrase over and over (more than ``MOST_ALIGNED`` ways to lay
+   one on the other) are compared by the hashes of all their windows instead.
 
 Defined results: words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null text has
 none; a document shorter than a window loses nothing; rows that repeat a
@@ -35,6 +38,8 @@ from .common import batches, map_arrow, materialise, mix, pack, rolling, spaced,
 WINDOW, PHRASE = 50, 12
 #: Segments that one automaton streams, about.
 SHARD_SEGMENTS = 20_000
+#: Ways to lay a segment on a passage, phrase on phrase, that are tried one by one.
+MOST_ALIGNED = 256
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -119,32 +124,6 @@ def _window_rows(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["anchor", "window", "least", "most"])
 
 
-def _passages(anchors: np.ndarray, texts: pa.Array, confirmed: pa.Table):
-    """Word codes of each segment text, and its maximal runs of confirmed windows
-    with one smallest document: (text, first word, last word + 1, least)."""
-    words, starts = split_words(texts)
-    hashed = rolling(word_hashes(words, seed=1), WINDOW)
-    sizes = np.maximum(np.diff(starts) - WINDOW + 1, 0)
-    row = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    both = lambda anchor, window: mix(window ^ mix(anchor))
-    known = both(*(confirmed.column(c).to_numpy().view(np.uint64) for c in ("anchor", "window")))
-    order = np.argsort(known)
-    known, least = known[order], confirmed.column("least").to_numpy()[order]
-    own = both(anchors.view(np.uint64)[row], hashed[starts[:-1][row] + place])
-    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-    found = known[at] == own
-    value = np.where(found, least[at], 0)
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1]) | (value[1:] != value[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(row)) - 1
-    keep = found[first] if len(row) else np.zeros(0, bool)
-    runs = [x.tolist() for x in (row[first[keep]], place[first[keep]], place[last[keep]] + WINDOW, value[first[keep]])]
-    codes = (words.dictionary_encode().indices.to_numpy().astype(np.int64) + 1).tolist()
-    return [tuple(codes[a:b]) for a, b in zip(starts[:-1], starts[1:])], list(zip(*runs))
-
-
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Disjoint ranges that cover the same."""
     out: list[tuple[int, int]] = []
@@ -156,39 +135,79 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _locate(key: tuple, segments: pa.Table, confirmed: pa.Table) -> pa.Table:
-    """Compile a shard's recurring passages and stream its segments through them.
+def _equal(one: np.ndarray, two: np.ndarray) -> int:
+    """Length of the common start."""
+    n = min(len(one), len(two))
+    apart = np.flatnonzero(one[:n] != two[:n])
+    return int(apart[0]) if len(apart) else n
+
+
+def _common_runs(own: np.ndarray, found: list[int], passage: np.ndarray, places: list[int]) -> list[tuple[int, int]]:
+    """Ranges of ``own`` words, ``WINDOW`` or more, that ``passage`` has too, with a phrase at one of ``found`` there
+    and at one of ``places`` here."""
+    if len(found) * len(places) > MOST_ALIGNED:
+        return _common_windows(own, passage)
+    out, reached = [], {}
+    for p in found:
+        for h in places:
+            if p < reached.get(p - h, 0):       # inside the run found on this diagonal
+                continue
+            a = _equal(own[:p][::-1], passage[:h][::-1])
+            b = PHRASE + _equal(own[p + PHRASE:], passage[h + PHRASE:])
+            reached[p - h] = p + b
+            if a + b >= WINDOW:
+                out.append((p - a, p + b))
+    return out
 
-    A passage is a maximal run of confirmed windows of a later document's
-    segment; every occurrence in any segment of the shard is found.
-    """
+
+def _common_windows(own: np.ndarray, passage: np.ndarray) -> list[tuple[int, int]]:
+    """The same by the hashes of all windows."""
+    ends = [max(0, len(x) - WINDOW + 1) for x in (own, passage)]
+    one, two = (rolling(mix(x.astype(np.uint64) + np.uint64(1)), WINDOW)[:n] for x, n in zip((own, passage), ends))
+    shared = np.flatnonzero(np.isin(one, two))
+    return _merged([(int(k), int(k) + WINDOW) for k in shared])
+
+
+def _locate(key: tuple, segments: pa.Table, passages: pa.Table) -> pa.Table:
+    """Compile the phrases of a shard's passages and stream its segments through them."""
     import ahocorasick
 
     none = pa.table({"doc_id": pa.array([], pa.int64()), "version": pa.array([], pa.int64()),
                      "begin": pa.array([], pa.int32()), "stop": pa.array([], pa.int32())})
-    if not segments.num_rows or not confirmed.num_rows:
+    if not segments.num_rows or not passages.num_rows:
         return none
-    coded = segments.column("words").combine_chunks().dictionary_encode()
-    which = coded.indices.to_numpy()
-    docs = segments.column("doc_id").to_numpy()
-    anchors, latest = np.zeros(len(coded.dictionary), np.int64), np.full(len(coded.dictionary), -(1 << 63), np.int64)
-    anchors[which] = segments.column("anchor").to_numpy()
-    np.maximum.at(latest, which, docs)
-    codes, runs = _passages(anchors, coded.dictionary, confirmed)
+    # equal texts are streamed once; words get codes that both sides share
+    texts = segments.column("words").combine_chunks().dictionary_encode()
+    words, starts = split_words(pa.concat_arrays([texts.dictionary, passages.column("words").combine_chunks()]))
+    codes = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+    cut = [codes[a:b] for a, b in zip(starts[:-1], starts[1:])]
+    own, held = cut[: len(texts.dictionary)], cut[len(texts.dictionary):]
+    phrases = rolling(word_hashes(words), PHRASE).view(np.int64)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for text, a, b, least in runs:
-        if least < latest[text]:
-            automaton.add_word(codes[text][a:b], (b - a, least))
-    if not len(automaton):
-        return none
+    holders: dict[int, list] = {}       # by anchor: document, words, where the phrase is
+    for k, (anchor, doc) in enumerate(zip(passages.column("anchor").to_pylist(), passages.column("doc_id").to_pylist())):
+        first = starts[len(own) + k]
+        places = np.flatnonzero(phrases[first: first + len(held[k]) - PHRASE + 1] == anchor).tolist()
+        if anchor not in holders:
+            automaton.add_word(tuple(held[k][places[0]: places[0] + PHRASE].tolist()), anchor)
+        holders.setdefault(anchor, []).append((doc, held[k], places))
     automaton.make_automaton()
-    matches = [[(end + 1 - size, end + 1, least) for end, (size, least) in automaton.iter(code)] for code in codes]
-    latest_least = [max((least for _, _, least in m), default=0) for m in matches]
+    which, docs = texts.indices.to_numpy(), segments.column("doc_id").to_numpy()
+    latest = np.full(len(own), -(1 << 63), np.int64)
+    np.maximum.at(latest, which, docs)
+    matches: list[list[tuple[int, int, int]]] = []
+    for k, code in enumerate(own):
+        found: dict[int, list[int]] = {}
+        for end, anchor in automaton.iter(tuple(code.tolist())):
+            found.setdefault(anchor, []).append(end + 1 - PHRASE)
+        matches.append([(a, b, doc) for anchor, at in found.items() for doc, passage, places in holders[anchor]
+                        if doc < latest[k] for a, b in _common_runs(code, at, passage, places)])
+    first_holder = [max((doc for _, _, doc in m), default=0) for m in matches]
     whole = [_merged([(a, b) for a, b, _ in m]) for m in matches]
     rows = [(doc, version, start + a, start + b) for doc, version, start, text in zip(
         docs.tolist(), segments.column("version").to_pylist(), segments.column("start").to_pylist(), which.tolist())
-        for a, b in (whole[text] if latest_least[text] < doc else
-                     _merged([(a, b) for a, b, least in matches[text] if least < doc]))]
+        for a, b in (whole[text] if first_holder[text] < doc else
+                     _merged([(a, b) for a, b, holder in matches[text] if holder < doc]))]
     cols = list(zip(*rows)) or [(), (), (), ()]
     return pa.table({f.name: pa.array(c, f.type) for f, c in zip(none.schema, cols)})
 
@@ -229,21 +248,25 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
                         "anchor long, window long, least long, most long")
     confirmed = materialise(windows.groupBy("anchor", "window").agg(
         F.min("least").alias("least"), F.max("most").alias("most")).filter("least < most"), "op3-confirmed")
-    # only segments of anchors with a confirmed window, and not those of an anchor's
-    # first document, which loses nothing; hot anchors over salts
-    held = confirmed.select("anchor").distinct()
-    segments = segments.filter("later")
-    counts = segments.groupBy("anchor").agg(F.count("*").alias("n")).join(held, "anchor")
+    # the recurring passages: segments in which the first holders of confirmed windows hold them
+    first = confirmed.select("anchor", F.col("least").alias("doc_id")).distinct()
+    passages = materialise(segments.join(first, ["anchor", "doc_id"], "left_semi").select(
+        "anchor", "doc_id", "words").distinct(), "op3-passages")
+    # hot anchors, at most 4 x total / SHARD_SEGMENTS of them, are dealt over salts before their words move
+    counts = segments.filter("later").groupBy("anchor").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(counts.filter(F.col("n") * 4 > SHARD_SEGMENTS).select(
+        "anchor", F.ceil(F.col("n") * 4 / SHARD_SEGMENTS).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    later = segments.filter("later").join(hot, "anchor", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", "start"), salts).cast("int")).drop("salts")
+    each = lambda df: df.join(hot, "anchor", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    later = later.join(each(passages.select("anchor").distinct()), ["anchor", "salt"], "left_semi")
     shards = max(1, -(-total // SHARD_SEGMENTS) * 4)
-    salts = counts.select("anchor", F.ceil(F.col("n") * 4 / SHARD_SEGMENTS).cast("int").alias("salts"))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int")
-    left = segments.join(salts, "anchor").select(
-        shard.alias("shard"), F.pmod(F.xxhash64("doc_id", "start"), F.col("salts")).cast("int").alias("salt"),
-        "anchor", "doc_id", "version", "start", "words")
-    right = confirmed.join(salts, "anchor").select(
-        shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        "anchor", "window", "least")
+    left = later.select(shard.alias("shard"), "salt", "anchor", "doc_id", "version", "start", "words")
+    right = each(passages).select(shard.alias("shard"), "salt", "anchor", "doc_id", "words")
     return left.groupBy("shard", "salt").cogroup(right.groupBy("shard", "salt")).applyInArrow(
         _locate, "doc_id long, version long, begin int, stop int")
 
