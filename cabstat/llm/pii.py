@@ -34,6 +34,7 @@ class Kind:
     context: str
     base: bool = True
     needs: str | None = None
+    cut: Callable[[Column], Column] | None = None   # the part of a match that counts, null if none
 
 
 def _digits(m: Column) -> Column:
@@ -77,6 +78,14 @@ def _iban(m: Column) -> Column:
     return F.when(F.length(bare).between(15, 34), mod97(bare)).otherwise(False)
 
 
+def _iban_part(m: Column) -> Column:
+    """The longest start of a match, up to a space or its end, that is an IBAN: capitals and digits that
+    follow one are taken for more of it by the expression."""
+    groups = F.split(m, " ")
+    starts = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda k: F.array_join(F.slice(groups, F.lit(1), k), " "))
+    return F.try_element_at(F.filter(starts, _iban), F.lit(-1))
+
+
 _MAIL = "[A-Za-z0-9._%+-]"
 KINDS = (
     Kind("email", rf"(?:\G|(?<!{_MAIL})){_MAIL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -85,8 +94,8 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", _card, 0.7, r"card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6,
          r"phone|call|mobile|\btel", needs="+"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _iban, 0.8,
-         r"iban|bank|account", base=False),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", lambda m: m.isNotNull(), 0.8,
+         r"iban|bank|account", base=False, cut=_iban_part),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
          lambda m: F.lit(True), 0.3, r"\bssn\b|social security", base=False, needs="-"),
 )
@@ -121,11 +130,12 @@ def _spans(text: Column, order: int, kind: Kind) -> Column:
                                             F.left(F.get(gaps, k + 1), F.lit(NEAR))))
                     # ends[k]: where the gap before match k starts
                     start = F.get(ends, k) + F.char_length(F.get(gaps, k))
-                    return F.struct(
+                    made = lambda part: F.struct(
                         start.cast("int").alias("start"), F.lit(order).alias("order"),
-                        (start + F.char_length(m)).cast("int").alias("end"), F.lit(kind.name).alias("kind"),
-                        F.when(kind.valid(m), F.least(F.lit(1.0), F.lit(kind.score) + F.when(
+                        (start + F.coalesce(F.char_length(part), F.lit(0))).cast("int").alias("end"), F.lit(kind.name).alias("kind"),
+                        F.when(kind.valid(part), F.least(F.lit(1.0), F.lit(kind.score) + F.when(
                             near.rlike(kind.context), 0.2).otherwise(0.0))).otherwise(-1.0).alias("score"))
+                    return let(kind.cut(m), made) if kind.cut else made(m)
                 return F.filter(F.transform(found, one), lambda s: s["score"] >= (0 if kind.base else THRESHOLD))
             return let(_running(lengths), build)
         return F.when(F.size(found) == 0, none).otherwise(let(F.split(text, kind.pattern, -1), inner))
