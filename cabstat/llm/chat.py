@@ -45,11 +45,14 @@ def unescape(c: Column, role: bool = False) -> Column:
     return c
 
 
-def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY,
+            tokens: str | None = None) -> DataFrame:
     """Per window: conv_id, window, text, n_repeated (leading turns that were shown
     before) and loss: code-point spans (start, end) of the text under the mask.
 
-    ``history`` must not exceed half the budget.
+    ``history`` must not exceed half the budget. ``tokens``: a column with each turn's tokens as
+    formatted; without, or where it is null, a turn counts four and one for every four
+    characters of its escaped text.
     """
     if not 0 <= history <= budget // 2:
         raise ValueError("history must be between 0 and half the budget")
@@ -58,7 +61,8 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     turn = F.struct(F.col("turn").cast("long").alias("turn"), role.alias("role"),
                     F.concat(head, escape(text), F.lit(CLOSE)).alias("piece"),
                     F.char_length(head).alias("head"),
-                    (F.ceil(F.char_length(text) / 4) + 4).cast("long").alias("tokens"))
+                    F.coalesce(*([F.greatest(F.col(tokens), F.lit(1))] if tokens else []),
+                               F.ceil(F.char_length(escape(text)) / 4) + 4).cast("long").alias("tokens"))
     turns = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(
         F.sort_array(F.collect_list(turn)).alias("turns"))
     led = F.get("turns", F.lit(0))["role"] == "system"

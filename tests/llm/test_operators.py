@@ -117,6 +117,35 @@ def test_repeated_windows_are_removed(some_docs):
     assert got == want and sum(v[1] for v in got.values()) > 0
 
 
+def locate(later, passages):
+    """Spans that one shard finds; both sides: (doc_id, words)."""
+    import pyarrow as pa
+
+    anchor = lambda text: int(substring._flat_anchors(pa.array([text]))[2][0].astype(np.int64))
+    seg = pa.table({"anchor": pa.array([anchor(w) for _, w in later], pa.int64()), "doc_id": [d for d, _ in later],
+                    "version": [0] * len(later), "start": pa.array([0] * len(later), pa.int32()), "words": [w for _, w in later]})
+    held = pa.table({"anchor": pa.array([anchor(w) for _, w in passages], pa.int64()), "doc_id": [d for d, _ in passages],
+                     "words": [w for _, w in passages]})
+    return sorted((r["doc_id"], r["begin"], r["stop"]) for r in substring._locate((0, 0), seg, held).to_pylist())
+
+
+def test_automata_find_what_words_confirm():
+    shared = [f"w{k}" for k in range(70)]
+    text = " ".join(shared[:60])
+    # 55 words of a passage between others; the same cut to 49; a passage whose document does not precede
+    inside = " ".join(shared[2:57])
+    assert locate([(9, inside + " x y")], [(1, text)]) == [(9, 0, 55)]
+    assert locate([(9, " ".join(shared[2:51]) + " x y")], [(1, text)]) == []
+    assert locate([(9, inside)], [(9, text)]) == [] and locate([(9, inside)], [(12, text)]) == []
+    # several holders: only those that precede a document count for it
+    assert locate([(5, inside), (3, inside)], [(4, text)]) == [(5, 0, 55)]
+    # phrases that occur over and over: all alignments, by words or by window hashes
+    again = "a b c " * 40
+    assert locate([(9, "q " + again)], [(1, again)]) == [(9, 1, 121)]
+    assert locate([(9, "a b c " * 17 + "d")], [(1, again)]) == [(9, 0, 51)]
+    assert locate([(9, "x " * 5000)], [(1, "x " * 400)]) == [(9, 0, 5000)]
+
+
 def test_repeated_windows_odd_rows(odd_docs, no_docs, monkeypatch):
     monkeypatch.setattr(substring, "SHARD_SEGMENTS", 4)  # several shards, salted anchors
     got = sorted(key(r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"]))
@@ -134,6 +163,7 @@ def held_out():
 @pytest.mark.parametrize("common", [2_000_000, 5])
 def test_scores_match_the_plain_tree(some_docs, monkeypatch, common):
     monkeypatch.setattr(ctw, "COMMON", common)  # 5: nearly all look-ups are joins
+    monkeypatch.setattr(ctw, "COMMON_WORDS", min(common, ctw.COMMON_WORDS))
     docs, texts = some_docs
     docs = docs.filter("doc_id < 40")
     texts = {d: brute.lower(t).encode().split() + [b""] for d, t in texts.items() if d < 40}
@@ -178,7 +208,7 @@ def test_counts_add_up_in_parts(some_docs, monkeypatch):
     docs, _ = some_docs
     docs = docs.filter("doc_id < 60").repartition(3)
     whole = {r["doc_id"]: r["score"] for r in ctw.score(docs, held_out(), True).collect()}
-    for name, n in (("HELD_GRAMS", 500), ("GRAM_BYTES", 2000), ("SHARD_GRAMS", 300), ("TASK_GRAMS", 1000), ("COMMON", 50)):
+    for name, n in (("HELD_GRAMS", 500), ("GRAM_BYTES", 2000), ("SHARD_GRAMS", 300), ("TASK_GRAMS", 1000), ("COMMON", 50), ("COMMON_WORDS", 20)):
         monkeypatch.setattr(ctw, name, n)
     parts = {r["doc_id"]: r["score"] for r in ctw.score(docs, held_out(), True).collect()}
     assert parts == {d: pytest.approx(v, rel=1e-9) for d, v in whole.items()}
@@ -520,6 +550,20 @@ def test_only_single_turns_exceed_the_budget(spark, system):
     assert {c: [max(n, 4) for n in own] for c, own in sizes.items()} == shown
 
 
+def test_budget_counts_the_formatted_text(spark):
+    """Control characters cost what their escapes do; a column of token counts goes before the estimate."""
+    given = [(1, k, "assistant" if k % 2 else "user", "&" * 600) for k in range(4)]
+    given += [(2, k, "assistant" if k % 2 else "user", "<[" * 20) for k in range(30)]
+    table = spark.createDataFrame(given, "conv_id long, turn long, role string, text string")
+    for w in chat.windows(table).collect():
+        turns = w["text"].split(chat.CLOSE)[:-1]
+        tokens = sum(-(-len(x.split("\n", 1)[1]) // 4) + 4 for x in turns)
+        assert tokens <= chat.BUDGET or len(turns) == 1 + w["n_repeated"]
+    counted = table.filter("conv_id = 2").withColumn("cost", F.when(F.col("turn") != 3, F.lit(100)).otherwise(F.lit(None)))
+    sizes = [len(w["text"].split(chat.CLOSE)) - 1 for w in chat.windows(counted, 500, 100, tokens="cost").orderBy("window").collect()]
+    assert max(sizes) <= 6 and sum(sizes) > 30
+
+
 def test_windows_of_nothing(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.windows(none)).count() == 0
@@ -587,3 +631,13 @@ def test_added_kinds_need_checksums_or_context(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.summary(docs).collect()}
     assert got[0].startswith("iban:5:32") and "iban" not in got[1] and got[4] == "iban:0:22"
     assert got[2] == "ssn:4:15" and got[3] == ""
+
+
+@pytest.mark.parametrize("text, want", [
+    ("GB82 WEST 1234 5698 7654 32 BIC DEUTDEFF", ["0:27"]), ("GB82 WEST 1234 5698 7654 32 2024", ["0:27"]),
+    ("pay GB82WEST12345698765432 NOW 12", ["4:26"]), ("é GB82 WEST 1234 5698 7654 32, DE89370400440532013000 X1", ["2:29", "31:53"]),
+    ("GB82 WEST 1234 5698 7654 33 BIC", []), ("GB82 WEST 1234 5698 7654 32X", []), ("NO93 8601 1117 947 A B C", ["0:18"]),
+])
+def test_account_numbers_end_where_their_checksum_holds(spark, text, want):
+    spans = pii.summary(spark.createDataFrame([(0, text)], "doc_id long, text string")).first()["spans"]
+    assert [s[5:] for s in spans.split(",") if s.startswith("iban:")] == want
