@@ -6,10 +6,12 @@ than ``MIN_WORDS`` words the run of lines that reaches them: whatever run can be
 deleted starts with a key. A document is paired with the first documents of all
 its shared keys, however common. A pair is always (later, first), so a key in
 n documents gives n - 1 pairs at most. A first document of keys in more than
-``RARE`` documents is copied, and its pairs are dealt over the copies. Pairs are
+``DEALT`` documents is copied, and its pairs are dealt over the copies. Pairs are
 aligned on line hashes by patience diff, and where a gap has no lines that are
 unique on both sides, by its heaviest common subsequence; aligned runs of
-``MIN_WORDS`` words or more are deleted from the later document.
+``MIN_WORDS`` words or more are deleted from the later document. Each stretch that is left
+is aligned with the first document again (without lines that were aligned in
+shorter runs), until nothing more aligns, so a block that has moved goes too.
 
 Defined results: lines are split at line feeds; lines without a word are never
 a reason to pair, but go with a block that spans them; null text stays null and
@@ -31,7 +33,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import batches, map_arrow, materialise, pack, text_bytes, unpacked
 
-RARE, MIN_WORDS = 16, 5
+MIN_WORDS = 5
+#: Documents a copy of a first document is paired with, and rows of one key that a task joins, at most.
+DEALT, HOT = 16, 2000
 
 
 def _longest_increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -120,11 +124,11 @@ def patience(one: list, two: list, weights: list[int] | None = None) -> list[tup
     return sorted(found)
 
 
-def common_blocks(one: list, two: list, weights: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """Ranges of ``two`` that are aligned runs with a weight of ``least`` or more."""
+def runs_of(aligned: list[tuple[int, int]], weights: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Ranges of the second side that are runs of aligned pairs with a weight of ``least`` or more."""
     out: list[tuple[int, int]] = []
     run: list[tuple[int, int]] = []
-    for pair in [*patience(one, two, weights), (-1, -1)]:
+    for pair in [*aligned, (-1, -1)]:
         if run and pair != (run[-1][0] + 1, run[-1][1] + 1):
             begin, stop = run[0][1], run[-1][1] + 1
             if sum(weights[begin:stop]) >= least:
@@ -134,6 +138,37 @@ def common_blocks(one: list, two: list, weights: list[int], least: int = MIN_WOR
     return out
 
 
+def _may_hold(two: list, weights: list[int], known: set, least: int) -> bool:
+    """Some neighbouring lines that ``one`` has weigh enough."""
+    held = 0
+    for x, w in zip(two, weights):
+        held = held + w if x in known else 0
+        if held >= least:
+            return True
+    return False
+
+
+def common_blocks(one: list, two: list, weights: list[int], least: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """Ranges of ``two`` that go: aligned runs, then those of each stretch that is left, aligned with all of
+    ``one`` again, so blocks that have moved are found as well. Where a stretch's aligned lines make no
+    run that is heavy enough, they are set aside and the rest of it is aligned without them."""
+    found, todo, known = [], [(0, len(two))], set(one)
+    while todo:
+        a, b = todo.pop()
+        stretch = list(two[a:b])
+        while _may_hold(stretch, weights[a:b], known, least):
+            aligned = patience(one, stretch, weights[a:b])
+            runs = [(a + x, a + y) for x, y in runs_of(aligned, weights[a:b], least)]
+            if runs:
+                found += runs
+                ends = [a, *[y for _, y in runs]]
+                todo += [(x, y) for x, y in zip(ends, [*[x for x, _ in runs], b]) if x < y]
+                break
+            for _, j in aligned:
+                stretch[j] = None
+    return sorted(found)
+
+
 def _line_arrays(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, version, and by line its hash and number of words."""
     import xxhash
@@ -201,10 +236,16 @@ def deletions(docs: DataFrame) -> DataFrame:
                          .dropDuplicates(["doc_id", "version"]), "op7-lines")
     lines = map_arrow(arrays.select("doc_id", "hashes", "words"), _line_rows, "line long, doc_id long").distinct()
     lines = materialise(lines, "op7-rows")
-    shared = lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    partners = materialise(lines.join(shared, "line").filter("first < doc_id").groupBy("doc_id", "first").agg(
+    shared = materialise(lines.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"),
+                         "op7-shared")
+    # keys of many documents, at most one in HOT rows, are dealt over salts
+    hot = F.broadcast(shared.filter(F.col("n") > HOT).select("line", F.ceil(F.col("n") / HOT).cast("int").alias("salts")))
+    salts = F.coalesce("salts", F.lit(1))
+    held = lines.join(hot, "line", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int")).drop("salts")
+    dealt = shared.join(hot, "line", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    partners = materialise(held.join(dealt, ["line", "salt"]).filter("first < doc_id").groupBy("doc_id", "first").agg(
         F.max("n").alias("n")), "op7-pairs")
-    last = F.floor(F.col("n") / RARE)
+    last = F.floor(F.col("n") / DEALT)
     copies = partners.groupBy("first").agg(F.max("n").alias("n")).select(
         "first", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("salt"))
     firsts = arrays.select(F.col("doc_id").alias("first"), F.col("hashes").alias("first_hashes")).join(copies, "first")

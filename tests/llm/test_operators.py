@@ -1,5 +1,6 @@
 """Each operator against a plain version, on a given table and on odd rows."""
 
+import itertools
 import math
 import os
 import sys
@@ -433,17 +434,44 @@ def whole_lines(docs):
     for d, own in cut.items():
         words, out[d] = [len(brute.words(x)) for x in own], set()
         for f in {first[x] for x in keys[d]} - {d}:
-            aligned = dict(plain_alignment(cut[f], own, words))
-            at = {j: i for i, j in aligned.items()}
-            for j in sorted(at):
-                run = [j]
-                while at.get(run[-1] + 1) == at[run[-1]] + 1:
-                    run.append(run[-1] + 1)
-                if at.get(j - 1) != at[j] - 1 and sum(words[k] for k in run) >= lines.MIN_WORDS:
-                    out[d].update(run)
+            out[d] |= plain_blocks(cut[f], own, words)
     return out
 
 
+def plain_blocks(one, two, words):
+    """Line numbers of the aligned runs, then of those in what is left between them; where none is long
+    enough, of those without the lines just aligned."""
+    at, gone = {j: i for i, j in plain_alignment(one, two, words)}, set()
+    for j in sorted(at):
+        run = [j]
+        while at.get(run[-1] + 1) == at[run[-1]] + 1:
+            run.append(run[-1] + 1)
+        if at.get(j - 1) != at[j] - 1 and sum(words[k] for k in run) >= lines.MIN_WORDS:
+            gone.update(run)
+    if at and not gone:
+        return plain_blocks(one, [None if k in at else x for k, x in enumerate(two)], words)
+    left = [list(g) for k, g in itertools.groupby(range(len(two)), key=gone.__contains__) if not k] if gone else []
+    for rest in left:
+        gone |= {rest[0] + x for x in plain_blocks(one, two[rest[0]: rest[-1] + 1], words[rest[0]: rest[-1] + 1])}
+    return gone
+
+
+def test_moved_blocks_go_too(spark):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(6)) for c in "xyz")
+    texts = {1: f"{y}\n{x}", 2: f"{x}\n{y}", 3: f"{x}\n{y}", 4: f"own\n{x}\nmine\n{z}\n{y}", 5: f"{z}\n{y}\n{x}"}
+    got = {r["doc_id"]: r["text"] for r in lines.drop_lines(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert got == {1: texts[1], 2: "", 3: "", 4: f"own\nmine\n{z}", 5: ""}
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        one, two = (rng.permutation(12)[: rng.integers(0, 12)].tolist() for _ in range(2))
+        weights = rng.integers(1, 9, len(two)).tolist()
+        blocks = lines.common_blocks(one, two, weights)
+        gone = {k for a, b in blocks for k in range(a, b)}
+        assert gone == plain_blocks(one, two, weights)
+        assert {k for k, v in enumerate(two) if v in one and weights[k] >= lines.MIN_WORDS} <= gone
+
+
 def test_lines_are_deleted_however_common(some_docs):
     docs, texts = some_docs
     want = whole_lines(texts)
