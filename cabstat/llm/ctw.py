@@ -73,15 +73,18 @@ def spelt(words: pa.Array, starts: np.ndarray, across: bool) -> tuple[np.ndarray
 def byte_grams(flat: np.ndarray, stretches: np.ndarray) -> np.ndarray:
     """The gram of every byte: eight bytes packed, the context, its last byte
     uppermost, then the byte itself lowest."""
-    flat = flat.astype(np.uint64)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
-    gram = flat.copy()
-    for back in range(1, DEPTH + 1):
-        before = np.zeros_like(flat)
-        before[back:] = flat[: len(flat) - back]
-        before[place < back] = 0
-        before[place == back - 1] = 0x20
-        gram |= before << np.uint64(8 * (DEPTH + 1 - back))
+    n, low = len(flat), np.uint64(0xFF)
+    padded = np.concatenate([np.zeros(8, np.uint8), flat])
+    # the eight bytes before each byte as one little-endian number: the nearest is uppermost
+    gram = np.ndarray(n, "<u8", padded, strides=(1,)).astype(np.uint64)
+    gram &= ~low
+    gram |= flat
+    # the first DEPTH bytes of a stretch: what is before it is a space, then padding
+    starts = np.cumsum(stretches) - stretches
+    for place in range(min(DEPTH, int(stretches.max(initial=0)))):
+        at = starts[stretches > place] + place
+        own = np.uint64((1 << 64) - (1 << 64 - 8 * place))
+        gram[at] = gram[at] & (own | low) | np.uint64(0x20 << 56 - 8 * place)
     return gram
 
 

@@ -204,6 +204,20 @@ def test_scores_odd_rows(odd_docs, no_docs, across):
     assert ctw.score(no_docs, held_out(), across).count() == 0
 
 
+def test_grams_of_short_and_long_stretches():
+    rng = np.random.default_rng(6)
+    for across in (0, 1, 2):
+        stretches = rng.integers(1, 4 if across else 30, 9 if across < 2 else 1)
+        flat = rng.integers(1, 256, stretches.sum()).astype(np.uint8)
+        want, at = [], 0
+        for size in stretches.tolist():
+            spelt = bytes(6) + b" " + flat[at: at + size].tobytes()
+            want += [int.from_bytes(spelt[k: k + 7][::-1] + spelt[k + 7: k + 8], "big") for k in range(size)]
+            at += size
+        assert ctw.byte_grams(flat, stretches).tolist() == want
+    assert ctw.byte_grams(np.zeros(0, np.uint8), np.zeros(0, np.int64)).tolist() == []
+
+
 def test_counts_add_up_in_parts(some_docs, monkeypatch):
     """Tasks that hand on what they hold at once, many shards and split look-ups give the same scores."""
     docs, _ = some_docs
