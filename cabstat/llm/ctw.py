@@ -48,7 +48,7 @@ DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
 #: at most 256 ** SPLIT contexts of 255 decisions.
 SPLIT = 2
-COMMON, COMMON_WORDS = 2_000_000, 400_000
+COMMON, COMMON_WORDS = 2_000_000, 150_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1_000_000
 END = b""
