@@ -13,7 +13,9 @@ FAST = ["neighborhood_stats", "neighborhood_stats_joined", "trip_join", "point_i
         "decode_csv_header", "csv_bad_cell", "csv_corrupt_record", "parse_ride_line", "publish_ride_json",
         "tip_per_mile", "metric_tags", "mean_over_all_rows", "valid_rows", "struct_expand", "csv_typed_cells",
         "csv_mode_drop", "csv_header_check", "trip_archive_scan", "polygon_layer", "parse_fare_line",
-        "publish_fare_csv", "classify_ride_errors", "malformed_counts"]
+        "publish_fare_csv", "classify_ride_errors", "malformed_counts",
+        "polygon_layer_files", "polygon_layer_wkb", "csv_encoded_bodies", "configured_stats", "upsert_versions",
+        "message_log_scan", "late_rows", "durable_counters"]
 
 
 def test_entry_schema(spark):
