@@ -172,6 +172,16 @@ def test_lexer_is_linear_and_long_values_are_no_secrets():
         assert time.perf_counter() - start < 20
 
 
+def test_no_literal_is_lost_to_the_length_of_its_value():
+    """Literals of long values are judged by themselves, those in deeply nested calls like any."""
+    many = "".join(f'a{k + 1} = a{k} + "x{k}y!z"\n' for k in range(200))
+    assert added(many + 'b = a200 + "x9K!ffq0A77z"\nc = b + "plain words"\nmy_pwd = c') == ["x9K!ffq0A77z"]
+    assert added('x = "' + "a1!" * 3000 + '"\ny = "x9K!ffq0A77z"\nz = x + y\nmy_pwd = z\ntitle = x') == ["x9K!ffq0A77z"]
+    assert added(many + 'b = a200 + "x9K!ffq0A77z"\ntitle = b') == []
+    for depth in (1, 3, 4, 50, 5_000):
+        assert added("my_pwd = " + "f(" * depth + '"x9K!ffq0A77z"' + ")" * depth + '\nn = "q8J!ffq0A77z"') == ["x9K!ffq0A77z"]
+
+
 # ------------------------------------------------------------------ 13 interaction audit
 
 def plain_audit(docs, labels):
