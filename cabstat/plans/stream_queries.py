@@ -21,7 +21,7 @@ from ..streaming.counters import CounterSink, classified, read_counters
 from ..streaming.message_log import append_messages, log_feed, run_until_caught_up
 from ..streaming.row_sink import EpochRows, PartitionRows, read_epoch_rows, read_partition_rows, row_sink, start_rows
 from ..streaming.sinks import KeyedUpsertSink, read_keyed_table
-from ..streaming.sources import file_feed
+from ..streaming.sources import file_feed, files_per_trigger
 from ..streaming.telemetry import MetricsListener, last_of_each_batch
 from ..streaming.versioned import VersionedTable
 from . import batch_job as P
@@ -54,14 +54,17 @@ SELECT * FROM stats WHERE window_end <= (SELECT w FROM wm)
 STREAM_STATS_ORACLE = STATS_ORACLE.replace("\nSELECT pickupNeighborhood AS neighborhood", ", stats AS (\nSELECT pickupNeighborhood AS neighborhood").rstrip() + "\n)" + CLOSED
 
 
-#: Message files a feed hands to one micro-batch.
-FILES = 4
+def _feed(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed as a stream, in several micro-batches."""
+    return file_feed(spark, folder, files_per_trigger(spark, folder))
 
 
 def _both(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Both feeds as streams, a few files per trigger."""
+    """Both feeds as streams. They have the same cuts, so they take the same number of files per trigger."""
     ensure_utc(spark)
-    return [file_feed(spark, folder, FILES) for folder in P.feed_folders(spark, sf_dir)]
+    folders = P.feed_folders(spark, sf_dir)
+    files = min(files_per_trigger(spark, folder) for folder in folders)
+    return [file_feed(spark, folder, files) for folder in folders]
 
 
 @register("neighborhood_stats_stream", STREAM_STATS_ORACLE)
@@ -125,7 +128,7 @@ SELECT hackLicense, pickupNeighborhood, dropoffNeighborhood FROM f WHERE NOT rid
 def q_neighborhood_tag_stream(spark, sf_dir):
     """Stream-static join of the ride stream with the tile table."""
     rides, _ = P.feed_folders(spark, sf_dir)
-    r = J.watermarked_rides(file_feed(spark, rides), P.neighborhood_index(spark, sf_dir))
+    r = J.watermarked_rides(_feed(spark, rides), P.neighborhood_index(spark, sf_dir))
     r = r.select("hackLicense", "pickupNeighborhood", "dropoffNeighborhood")
     return spark.read.parquet(_run(r, "tag"))
 
@@ -136,9 +139,9 @@ SELECT partitionKey, CASE WHEN ride_bad THEN NULL ELSE hackLicense END AS hackLi
 FROM f
 """)
 def q_stream_scan(spark, sf_dir):
-    """Message files read as a stream from the start, a few files per trigger."""
+    """Message files read as a stream from the start, some files per trigger."""
     rides, _ = P.feed_folders(spark, sf_dir)
-    d = decode_rides(file_feed(spark, rides, max_files_per_trigger=2))
+    d = decode_rides(_feed(spark, rides))
     d = d.select("partitionKey", F.col("ride.hackLicense").alias("hackLicense"), "errorMessage")
     d = d.withColumn("hackLicense", F.when(F.col("errorMessage").isNull(), F.col("hackLicense")))
     return spark.read.parquet(_run(d, "scan"))
@@ -196,14 +199,12 @@ SELECT CAST(2 * count(*) AS BIGINT) AS input_rows, count(*) FILTER (WHERE ride_b
 FROM f
 """)
 def q_progress_metrics(spark, sf_dir):
-    """Totals over the progress rows of a streaming run (several micro-batches,
-    4 files per trigger): input rows and the observed malformed counters."""
+    """Totals over the progress rows of a streaming run (several micro-batches):
+    input rows and the observed malformed counters."""
     listener = MetricsListener(spark, scratch_path(spark, "progress-rows"))
     spark.streams.addListener(listener)
     try:
-        rides, fares = P.feed_folders(spark, sf_dir)
-        stats = J.stats_stream(file_feed(spark, rides, 4), file_feed(spark, fares, 4),
-                               P.neighborhood_index(spark, sf_dir), CFG)
+        stats = J.stats_stream(*_both(spark, sf_dir), P.neighborhood_index(spark, sf_dir), CFG)
         out, ckpt = scratch_path(spark, "progress-out"), scratch_path(spark, "progress-ckpt")
         with J.state_partitions(spark, _cores(spark)):
             q = J.start(stats, f"progress_{ckpt[-12:]}", ckpt, path=out)

@@ -46,6 +46,21 @@ def write_feed(messages: DataFrame, path: str, partition: str | None = None) ->
     w.parquet(path)
 
 
+#: Micro-batches that a backlog is taken in, the files one takes at least, and the bytes it takes for each core at most.
+BACKLOG_BATCHES, LEAST_FILES, CORE_BYTES = 8, 4, 16 << 20
+
+
+def files_per_trigger(spark: SparkSession, path: str) -> int:
+    """Files of a backlog to take per trigger. What a micro-batch costs whatever its rows (its plan, its state
+    stores' commits, its tasks' results) is then paid a few times, not once for every few files; a core's
+    share of a micro-batch, and so of its state, stays bounded: a larger backlog takes more of them."""
+    held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(held)
+    n, size = int(found.getFileCount()), int(found.getLength())
+    room = spark.sparkContext.defaultParallelism * CORE_BYTES
+    return max(LEAST_FILES, min(-(-n // BACKLOG_BATCHES), room * n // max(1, size)))
+
+
 def stamp_in_order(spark: SparkSession, path: str) -> None:
     """File feeds take files by modification time; give a folder's files the order of their names."""
     jvm = spark.sparkContext._jvm

@@ -186,6 +186,27 @@ def test_feed_files_come_in_event_time_order(spark, sf_small):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, batch.collect()))
 
 
+def test_a_backlog_is_taken_in_few_batches_however_many_files_it_has(spark, sf_small, monkeypatch):
+    """The number of micro-batches does not follow that of the files; a core's share of one is bounded."""
+    from cabstat.plans import stream_queries as T
+    from cabstat.streaming import sources as S
+    from cabstat.streaming.counters import classified
+
+    monkeypatch.setattr(S, "FEED_FILE_ROWS", 10)
+    monkeypatch.setattr(P, "_FEEDS", {})
+    rides, _ = P.feed_folders(spark, sf_small)
+    n = len([f for f in os.listdir(rides.removeprefix("file:")) if f.endswith(".parquet")])
+    assert n >= 80
+    most = S.files_per_trigger(spark, rides)
+    assert S.LEAST_FILES < most <= -(-n // S.BACKLOG_BATCHES) + 1
+    q = J.start(classified(*T._both(spark, sf_small)), "few", scratch_path(spark, "few-ck"), path=scratch_path(spark, "few-out"))
+    J.run_to_end(q)
+    taken = [p.numInputRows for p in q.recentProgress if p.numInputRows]
+    assert 2 <= len(taken) <= S.BACKLOG_BATCHES + 2 and sum(taken) == 2000
+    monkeypatch.setattr(S, "CORE_BYTES", 1)
+    assert S.files_per_trigger(spark, rides) == S.LEAST_FILES
+
+
 def test_termination_error_becomes_a_row(spark):
     listener = MetricsListener(spark, scratch_path(spark, "term-rows"))
     spark.streams.addListener(listener)
