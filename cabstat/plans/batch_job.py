@@ -12,7 +12,7 @@ from ..session import ensure_utc, scratch_path
 from ..sources.feeds import both_feeds
 from ..sources.polygons import nation_layer
 from ..sources.tables import table
-from ..streaming.sources import write_feeds
+from ..streaming.sources import write_feeds_of
 
 _INDEXES: dict[tuple[str, str], NeighborhoodIndex] = {}
 
@@ -34,7 +34,7 @@ def feed_folders(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     ensure_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FEEDS:
-        _FEEDS[key] = write_feeds(both_feeds(table(spark, sf_dir, "events")), scratch_path(spark, "feeds"))
+        _FEEDS[key] = write_feeds_of(table(spark, sf_dir, "events"), scratch_path(spark, "feeds"), "ts", both_feeds)
     return _FEEDS[key]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -34,13 +35,19 @@ def kafka_feed(spark: SparkSession, servers: str, topic: str, starting_offsets:
                            F.col("timestamp").alias("enqueuedTime"))
 
 
-#: Messages a file, as a bus capture cuts them; files are what readers split over.
-FEED_FILE_ROWS = 10_000
+#: Messages a file, as a bus capture cuts them; files are what readers split over. A feed of more than so many
+#: files gets larger ones, of up to so many messages; only then it gets more.
+FEED_FILE_ROWS, FEED_FILES, LARGE_FILE_ROWS = 10_000, 200, 200_000
 
 
-def write_feed(messages: DataFrame, path: str, partition: str | None = None) -> None:
+def feed_files(rows: int) -> int:
+    """Files of a feed of so many messages."""
+    return max(1, min(-(-rows // FEED_FILE_ROWS), FEED_FILES), -(-rows // LARGE_FILE_ROWS))
+
+
+def write_feed(messages: DataFrame, path: str, partition: str | None = None, file_rows: int = FEED_FILE_ROWS) -> None:
     """Persist a (batch) message feed as parquet files for the file source."""
-    w = messages.write.mode("error").option("maxRecordsPerFile", FEED_FILE_ROWS)
+    w = messages.write.mode("error").option("maxRecordsPerFile", file_rows)
     if partition:
         w = w.partitionBy(partition)
     w.parquet(path)
@@ -78,9 +85,20 @@ def write_feeds(messages: DataFrame, root: str) -> tuple[str, str]:
     :func:`file_feed`. Files are cut by ``enqueuedTime`` at the same points in both
     feeds and taken in that order, so a job that reads a few of them per
     trigger sees event time advance in both, as it does behind a message bus."""
-    n = max(1, min(10_000, -(-messages.count() // (2 * FEED_FILE_ROWS))))
-    write_feed(messages.repartitionByRange(n, "enqueuedTime"), root, partition="feed")
+    return _write_dealt(messages, root, "enqueuedTime", -(-messages.count() // 2), lambda dealt: dealt)
+
+
+def write_feeds_of(rows: DataFrame, root: str, at: str, messages: Callable[[DataFrame], DataFrame]) -> tuple[str, str]:
+    """:func:`write_feeds` of the messages that a projection makes of rows, one a feed for each. ``at`` is what becomes
+    ``enqueuedTime``: the rows are dealt by it first, so messages, which are several times larger, are not shuffled."""
+    return _write_dealt(rows, root, at, rows.count(), messages)
+
+
+def _write_dealt(rows: DataFrame, root: str, at: str, count: int, messages: Callable[[DataFrame], DataFrame]) -> tuple[str, str]:
+    n = feed_files(count)
+    # ranges are only about equal: a larger one is not cut for a few rows
+    write_feed(messages(rows.repartitionByRange(n, at)), root, "feed", 2 * max(1, -(-count // n)))
     folders = f"{root}/feed=rides", f"{root}/feed=fares"
     for folder in folders:
-        stamp_in_order(messages.sparkSession, folder)
+        stamp_in_order(rows.sparkSession, folder)
     return folders

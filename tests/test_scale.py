@@ -131,3 +131,26 @@ def test_scans_read_only_referenced_columns(spark, sf_small):
         plan = df._jdf.queryExecution().executedPlan().toString()
         scans = [re.sub(r"#\d+L?", "", ln) for ln in plan.split("\n") if "FileScan parquet" in ln]
         assert any(f"FileScan parquet {expected}" in ln for ln in scans), (file, scans)
+
+
+def test_feeds_are_dealt_before_messages_are_built(spark, sf_small, monkeypatch):
+    """The shuffle of the feeds carries events, not messages, and their files grow only beyond a number of them."""
+    from cabstat.session import scratch_path
+    from cabstat.sources.feeds import both_feeds
+    from cabstat.sources.tables import table
+    from cabstat.streaming import sources as S
+
+    assert [S.feed_files(n) for n in (0, 1, 10_001, 2_000_000, 36_000_000, 100_000_000)] == [1, 1, 2, 200, 200, 500]
+    monkeypatch.setattr(S, "FEED_FILE_ROWS", 100)
+    events, dealt = table(spark, sf_small, "events"), []
+
+    def messages(rows):
+        dealt.append(rows)
+        return both_feeds(rows)
+
+    made = S.write_feeds_of(events, scratch_path(spark, "dealt"), "ts", messages)
+    assert dealt[0].columns == events.columns and dealt[0].rdd.getNumPartitions() == 10
+    plain = S.write_feeds(both_feeds(events), scratch_path(spark, "plain"))
+    for a, b in zip(made, plain):
+        got, want = (sorted(map(repr, spark.read.parquet(x).collect())) for x in (a, b))
+        assert got == want and len(got) == 1000
