@@ -4,9 +4,9 @@ Layout: ``partition=<p>/<first>-<last>.parquet``; a file's rows are the messages
 first to last of that partition. ``groups/<name>.json`` holds what a consumer group has been handed
 and has finished, per partition.
 
-Writing (:func:`append_messages`): tasks write one file per log partition under staged names, and
-the commit on the driver, which knows the number of rows of each, gives them the next offsets by
-renaming. A file is taken whole or not at all; a key's messages keep their order within a batch.
+Writing (:func:`append_messages`): tasks write one file per log partition and stretch of time under staged
+names, and the commit on the driver, which knows the number of rows of each, gives them the next offsets,
+in the order of the stretches, by renaming. A file is taken whole or not at all; a key's messages keep their order within a batch.
 
 Reading (``format("message_log")``): options
 
@@ -46,6 +46,8 @@ SCHEMA = "partition INT, offset BIGINT, body BINARY, partitionKey STRING, enqueu
 _MESSAGE = pa.schema([("body", pa.binary()), ("partitionKey", pa.string()), ("enqueuedTime", pa.timestamp("us", "UTC"))])
 _ROWS = pa.schema([("partition", pa.int32()), ("offset", pa.int64()), *_MESSAGE])
 _FILE = re.compile(r"([0-9]+)-([0-9]+)\.parquet$")
+#: Messages a file of a batch that is appended, and files from which they get larger instead, up to so many messages.
+FILE_ROWS, FILES, LARGE_FILE_ROWS = 100_000, 200, 500_000
 #: Messages handed to Spark at once.
 BATCH_ROWS = 5_000
 
@@ -247,13 +249,18 @@ class MessageLogSource(DataSource):
 
 def append_messages(messages: DataFrame, path: str, n_partitions: int) -> None:
     """Append messages (body, partitionKey, enqueuedTime) to a log. Messages of one key go to one
-    partition, in the order of ``enqueuedTime``; those without a key are spread by their body."""
+    partition, in the order of ``enqueuedTime``; those without a key are spread by their body. A task sorts
+    and writes a stretch of a partition's time, so its share does not grow with the partition."""
     spark = messages.sparkSession
     spark.dataSource.register(MessageLogSource)
     spread = F.when(F.col("partitionKey").isNotNull(), F.xxhash64("partitionKey")).otherwise(F.xxhash64("body"))
     at = F.pmod(spread, F.lit(n_partitions)).cast("int")
     dealt = messages.select(at.alias("partition"), "body", "partitionKey", F.col("enqueuedTime").cast("timestamp").alias("enqueuedTime"))
-    (dealt.repartition(n_partitions, "partition").sortWithinPartitions("partition", "enqueuedTime", "partitionKey", "body")
+    count = messages.count()
+    n = max(n_partitions, min(-(-count // FILE_ROWS), FILES), -(-count // LARGE_FILE_ROWS))
+    # ranges are numbered in their order, and the commit takes the tasks' files in that of their numbers
+    (dealt.repartitionByRange(n, "partition", "enqueuedTime", "partitionKey")
+     .sortWithinPartitions("partition", "enqueuedTime", "partitionKey", "body")
      .write.format(FORMAT).mode("append").option("path", path).save())
 
 

@@ -369,3 +369,30 @@ def test_a_replayed_epoch_is_refused(spark):
     with_error.process((1,))
     with_error.close(ValueError("x"))
     assert not with_error.folder.exists(with_error.staged)
+
+
+def test_a_log_partition_is_written_by_several_tasks_in_order(spark, monkeypatch):
+    """A task's share of a partition is bounded; files follow each other in time, also messages of one time and key."""
+    from cabstat.streaming import message_log as L
+
+    monkeypatch.setattr(L, "FILE_ROWS", 100)
+    rows = spark.range(3_000).selectExpr(
+        "cast(concat('m', lpad(id, 5, '0')) as binary) AS body", "if(id % 11 = 0, null, concat('k', id % 7)) AS partitionKey",
+        "if(id % 13 = 0, null, timestamp_seconds(1700000000 + (id * 37) % 500)) AS enqueuedTime")
+    path = scratch_path(spark, "stretches")
+    for _ in range(2):      # a second batch goes behind the first
+        L.append_messages(rows, path, 2)
+    log = L.MessageLog(path)
+    files = {p: log.files(p) for p in log.partitions()}
+    assert sum(map(len, files.values())) >= 40
+    for p, own in files.items():
+        assert max(last - first + 1 for first, last, _ in own) <= 600
+        assert [first for first, _, _ in own] == [0, *[last + 1 for _, last, _ in own[:-1]]]
+    got = L.read_log(spark, path).orderBy("partition", "offset").collect()
+    assert sorted(bytes(r["body"]) for r in got) == sorted(2 * [bytes(r["body"]) for r in rows.collect()])
+    for p in files:
+        own = [r for r in got if r["partition"] == p]
+        assert [r["offset"] for r in own] == list(range(len(own)))
+        order = [(r["enqueuedTime"] is not None, str(r["enqueuedTime"]), r["partitionKey"] or "", bytes(r["body"])) for r in own]
+        half = len(own) // 2
+        assert order[:half] == sorted(order[:half]) == order[half:]
