@@ -42,7 +42,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batches, map_arrow, materialise, spaced, split_words
+from .common import batches, map_arrow, materialise, split_words
 
 DEPTH = 7
 #: Contexts of this depth are weighted by themselves; those above are few:
@@ -52,8 +52,12 @@ COMMON, COMMON_WORDS = 2_000_000, 150_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD_WORDS = 1_000_000
 END = b""
-#: Distinct grams that a counting or merging task holds before it hands them on or adds them up.
-HELD_GRAMS = 1_000_000
+#: Grams that a counting task sorts at once (8 bytes each), and combines at once.
+HELD_GRAMS, COMBINED_GRAMS = 8_000_000, 1_000_000
+#: Distinct grams that a merging task holds before it adds them up.
+MERGED_GRAMS = 1_000_000
+#: Text whose words are told apart at once.
+WORD_BYTES = 8 << 20
 #: Text whose grams are made at once: each byte takes about a hundred.
 GRAM_BYTES = 1 << 19
 #: Grams that one task weights, and that one shard of values holds, about; tasks that weight at most.
@@ -63,11 +67,31 @@ TASKS = 4096
 
 # ------------------------------------------------------------------ grams
 
-def spelt(words: pa.Array, starts: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Bytes as they are spelt: A-Z in lower case, white space as a space.
+_SPELT = np.arange(256, dtype=np.uint8)
+_SPELT[0x41:0x5B] += 0x20
+_SPELT[0x09:0x0E] = 0x20
+
+
+def spelt(texts: pa.Array, across: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts, the number of bytes by text, and by stretch that contexts stay in."""
-    flat, at = spaced(words) if len(words) else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
-    sizes = np.diff(at[starts]) + 1
-    return np.insert(flat, at[starts[1:]], 0x0A), sizes, sizes if across else np.insert(np.diff(at), starts[1:], 1)
+    texts = pc.fill_null(texts.cast(pa.binary()), b"").cast(pa.large_binary())
+    ended = pc.binary_join_element_wise(texts, pa.scalar(b" \n", pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+    bounds = np.frombuffer(ended.buffers()[1], np.int64)[ended.offset: ended.offset + len(ended) + 1]
+    if not len(ended):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    flat = _SPELT[np.frombuffer(ended.buffers()[2], np.uint8)[bounds[0]: bounds[-1]]]
+    starts, ends = bounds[:-1] - bounds[0], bounds[1:] - bounds[0] - 1
+    flat[ends] = 0x0A
+    # one space after each word: none at a start, none after a space
+    word = (flat != 0x20) & (flat != 0x0A)
+    keep = flat != 0x20
+    keep[1:] |= word[:-1]
+    sizes = np.add.reduceat(keep, starts, dtype=np.int64)
+    flat = flat[keep]
+    if across:
+        return flat, sizes, sizes
+    return flat, sizes, np.diff(np.flatnonzero((flat == 0x20) | (flat == 0x0A)), prepend=-1)
 
 
 def byte_grams(flat: np.ndarray, stretches: np.ndarray) -> np.ndarray:
@@ -107,8 +131,8 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
 
 
 def _combined(grams: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
-    """Distinct grams in order, with their counts added up."""
-    order = np.argsort(grams)
+    """Distinct grams in order, with their counts added up; the given ones are in a few ordered runs."""
+    order = np.argsort(grams, kind="stable")
     ordered = grams[order]
     first = _runs(ordered)
     return [ordered[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in counts]]
@@ -304,21 +328,32 @@ def _word_counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.concat_tables(held).group_by("word").aggregate([("n_train", "sum"), ("n_all", "sum")]).rename_columns(
             ["word", "n_train", "n_all"])
 
-    for batch in batches(stream):
-        words, starts = split_words(batch.column("text"), lower=True)
-        train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-        coded = words.dictionary_encode()
-        use = np.repeat(train, np.diff(starts))
+    def told(parts: list[tuple]) -> None:
+        words, use = pa.chunked_array([w for w, _, _ in parts], pa.string()), np.concatenate([u for _, u, _ in parts])
+        ends = np.concatenate([t for _, _, t in parts])
+        coded = words.combine_chunks().dictionary_encode()
         index = coded.indices.to_numpy()
         trained, every = (np.bincount(i, minlength=len(coded.dictionary)) for i in (index[use], index))
         held.append(pa.table({
             "word": pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())]),
-            "n_train": pa.array(np.append(trained, train.sum()), pa.int64()),
-            "n_all": pa.array(np.append(every, batch.num_rows), pa.int64())}))
+            "n_train": pa.array(np.append(trained, ends.sum()), pa.int64()),
+            "n_all": pa.array(np.append(every, len(ends)), pa.int64())}))
+
+    parts, size = [], 0
+    for batch in batches(stream):
+        words, starts = split_words(batch.column("text"), lower=True)
+        if parts and size + batch.column("text").nbytes > WORD_BYTES:
+            told(parts)
+            parts, size = [], 0
+        train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        parts.append((words, np.repeat(train, np.diff(starts)), train))
+        size += batch.column("text").nbytes
         if sum(t.num_rows for t in held) > HELD_WORDS:
             held = [combined()]
             if held[0].num_rows > HELD_WORDS // 2:
                 yield from held.pop().to_batches(max_chunksize=50_000)
+    if parts:
+        told(parts)
     if held:
         yield from combined().to_batches(max_chunksize=50_000)
 
@@ -345,7 +380,7 @@ class _Held:
         self.parts.append(list(part))
         self.waiting += len(part[0])
         # as much again as was distinct the last time, so adding up stays linear
-        if self.waiting > 2 * max(HELD_GRAMS // 2, self.distinct):
+        if self.waiting > 2 * max(MERGED_GRAMS // 2, self.distinct):
             self.whole()
 
     def whole(self) -> list[np.ndarray]:
@@ -355,23 +390,46 @@ class _Held:
         return made
 
 
+def _counted(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams and how often each occurs."""
+    first = _runs(ordered)
+    return ordered[first], np.diff(np.append(first, len(ordered)))
+
+
+def _pile_counts(trained: np.ndarray, others: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_bucketed`` of grams inside and outside training, which are sorted in place."""
+    trained.sort()
+    others.sort()
+    # whole buckets, some ``COMBINED_GRAMS`` at once
+    low = np.uint64(8 * (DEPTH + 1 - SPLIT))
+    cuts = np.unique([x[k] >> low << low for x in (trained, others) for k in range(COMBINED_GRAMS, len(x), COMBINED_GRAMS)])
+    bounds = [[0, *np.searchsorted(x, cuts.astype(np.uint64)).tolist(), len(x)] for x in (trained, others)]
+    for (a, b), (c, d) in zip(*(zip(x, x[1:]) for x in bounds)):
+        (gram, times), (more, other) = _counted(trained[a:b]), _counted(others[c:d])
+        gram, n_train, n_all = _combined(
+            np.concatenate([gram, more]), np.concatenate([times, np.zeros_like(other)]), np.concatenate([times, other]))
+        if len(gram):
+            yield from _bucketed(gram, n_train, n_all)
+
+
 def _gram_counts(across: bool):
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held()
+        # grams of training texts from the front, others from the back
+        pile, front, back = np.empty(0, np.uint64), 0, 0
         for batch in batches(stream, max_bytes=GRAM_BYTES):
-            flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
+            flat, sizes, stretches = spelt(batch.column("text"), across)
             gram = byte_grams(flat, stretches)
+            if len(gram) > back - front:
+                yield from _pile_counts(pile[:front], pile[back:])
+                if len(gram) > len(pile):
+                    pile = np.empty(max(HELD_GRAMS, len(gram)), np.uint64)
+                front, back = 0, len(pile)
             train = np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), sizes)
-            for use, counted in ((train, 1), (~train, 0)):
-                ordered = np.sort(gram[use])
-                first = _runs(ordered)
-                times = np.diff(np.append(first, len(ordered)))
-                held.add(ordered[first], times * counted, times)
-            if held.waiting > HELD_GRAMS and len(held.whole()[0]) > HELD_GRAMS // 2:
-                yield from _bucketed(*held.whole())
-                held = _Held()
-        if held.waiting:
-            yield from _bucketed(*held.whole())
+            mine, rest = gram[train], gram[~train]
+            pile[front: front + len(mine)] = mine
+            pile[back - len(rest): back] = rest
+            front, back = front + len(mine), back - len(rest)
+        yield from _pile_counts(pile[:front], pile[back:])
 
     return run
 
@@ -429,8 +487,44 @@ def gram_values(rows: DataFrame, across: bool) -> tuple[DataFrame, int]:
     return materialise(map_arrow(dealt, finish, kinds), "op4-values"), total
 
 
-def _frequent(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Grams in order and their values: the most frequent, at most ``COMMON``."""
+class Frequent:
+    """Frequent grams and their values, found by a table of slots; of grams that share a slot, it has the most
+    frequent, and the others are found by their order."""
+
+    def __init__(self, grams: np.ndarray, values: np.ndarray, sizes: np.ndarray):
+        order = np.argsort(grams)
+        self.grams, self.values, self.sizes = grams[order], values[order], sizes[order]
+        self.bits = max(1, int(2 * len(grams)).bit_length())
+        self.slots = np.zeros(1 << self.bits, np.int32)
+        # of entries for one slot, the last stays
+        rising = np.argsort(self.sizes, kind="stable").astype(np.int32)
+        self.slots[self._slot(self.grams[rising])] = rising
+
+    def __reduce__(self):
+        return Frequent, (self.grams, self.values, self.sizes)
+
+    def _slot(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def in_slots(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the slots have each gram, and its value there or zero."""
+        if not len(self.grams):
+            return np.zeros(len(grams), bool), np.zeros(len(grams))
+        at = self.slots[self._slot(grams)]
+        hit = self.grams[at] == grams
+        return hit, np.where(hit, self.values[at], 0.0)
+
+    def in_order(self, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for any frequent gram, by search."""
+        if not len(self.grams):
+            return np.zeros(len(ordered), bool), np.zeros(len(ordered))
+        at = np.minimum(np.searchsorted(self.grams, ordered), len(self.grams) - 1)
+        hit = self.grams[at] == ordered
+        return hit, np.where(hit, self.values[at], 0.0)
+
+
+def _frequent(values: DataFrame) -> Frequent:
+    """The most frequent grams, at most ``COMMON``."""
     def size(n):
         return np.floor(8 * np.log2(n)).astype(np.int64)
 
@@ -452,14 +546,15 @@ def _frequent(values: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in stream:
             for n, blob in zip(batch.column("n").to_pylist(), batch.column("blob")):
                 gram, value, n_all = _restore(blob.as_py(), n, float, np.int64)
-                use = size(n_all) >= least
-                yield pa.RecordBatch.from_arrays([pa.array(gram[use].view(np.int64)), pa.array(value[use])],
-                                                 ["gram", "value"])
+                sizes = size(n_all)
+                use = sizes >= least
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram[use].view(np.int64)), pa.array(value[use]), pa.array(sizes[use], pa.int16())],
+                    ["gram", "value", "size"])
 
-    table = map_arrow(values, chosen, "gram long, value double").toArrow()
-    gram, value = (table.column(c).to_numpy() for c in ("gram", "value"))
-    order = np.argsort(gram.view(np.uint64))
-    return gram.view(np.uint64)[order], value[order]
+    table = map_arrow(values, chosen, "gram long, value double, size short").toArrow()
+    gram, value, sizes = (table.column(c).to_numpy() for c in ("gram", "value", "size"))
+    return Frequent(gram.view(np.uint64), value, sizes)
 
 
 _DEALT = "shard long, kind int, slice long, n long, blob binary"
@@ -482,24 +577,26 @@ def text_values(rows: DataFrame, across: bool) -> DataFrame:
         """By slice a row of its documents with the sums over common grams, and one a shard of other grams."""
         from pyspark import TaskContext
 
-        keys, value = shared.value
+        frequent = shared.value
         part = TaskContext.get().partitionId() << 32
         for part, batch in enumerate(batches(stream, max_bytes=2 * GRAM_BYTES), part):
             size = batch.num_rows
-            flat, sizes, stretches = spelt(*split_words(batch.column("text"), lower=True), across)
+            flat, sizes, stretches = spelt(batch.column("text"), across)
             gram = byte_grams(flat, stretches)
+            hit, worth = frequent.in_slots(gram)
+            sums = np.add.reduceat(worth, np.cumsum(sizes) - sizes)     # no text is without bytes
+            # the others, once each and in order
+            gram, owner = gram[~hit], np.repeat(np.arange(size, dtype=np.int32), sizes)[~hit]
             order = np.argsort(gram)
-            gram, owner = gram[order], np.repeat(np.arange(size, dtype=np.int32), sizes)[order]
+            gram, owner = gram[order], owner[order]
             first = _runs(gram)
             names, times = gram[first], np.diff(np.append(first, len(gram)))
-            at = np.minimum(np.searchsorted(keys, names), max(0, len(keys) - 1))
-            hit = keys[at] == names if len(keys) else np.zeros(len(names), bool)
-            worth = np.zeros(len(names))
-            worth[hit] = value[at[hit]]
+            hit, worth = frequent.in_order(names)
+            sums += _sums(owner, np.repeat(worth, times), size)
             ids = batch.column("doc_id")
             out = [(-1 - part, 0, part, size, _squeeze(
                 batch.column("version").to_numpy(), pc.fill_null(ids, 0).to_numpy(),
-                ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), _sums(owner, np.repeat(worth, times), size)))]
+                ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64), sums))]
             rare = np.repeat(~hit, times)
             pair = np.sort(np.repeat(np.arange(len(names)), times)[rare] * size + owner[rare])
             first = _runs(pair)
@@ -587,7 +684,7 @@ def score(docs: DataFrame, held_out, across: bool = False) -> DataFrame:
         F.log10((F.col("n_train") + 1) / F.lit(float(total + distinct + 1))).alias("base")), "op4-scored")
     table = _common(scored, "n_all").select("word", "n_train", "base").toArrow()
     shared = spark.sparkContext.broadcast((
-        {w: k for k, w in enumerate(table.column("word").to_pylist())},
+        table.column("word").combine_chunks().cast(pa.binary()),
         np.stack([np.append(x, np.nan) for x in (
             (table.column("n_train").to_numpy() > 0).astype(float), table.column("base").to_numpy())], 1)))
 
@@ -598,7 +695,7 @@ def score(docs: DataFrame, held_out, across: bool = False) -> DataFrame:
             words, starts = split_words(batch.column("text"), lower=True)
             coded = words.dictionary_encode()
             names = coded.dictionary.cast(pa.binary())
-            found = np.array([place.get(w, -1) for w in names.to_pylist()], np.int64)
+            found = pc.fill_null(pc.index_in(names, value_set=place), -1).to_numpy()
             owner = np.repeat(np.arange(batch.num_rows), np.diff(starts))
             index = coded.indices.to_numpy()
             at = found[index] if len(index) else np.zeros(0, np.int64)

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +219,43 @@ def test_grams_of_short_and_long_stretches():
     assert ctw.byte_grams(np.zeros(0, np.uint8), np.zeros(0, np.int64)).tolist() == []
 
 
+def test_a_task_hands_on_a_gram_once():
+    # 1.2 MB of random letters, twice in training and once outside: some 1.2 million grams in each
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 123, 300_000, np.uint8).tobytes().decode() for _ in range(4)]
+    stream = iter([pa.RecordBatch.from_pydict({"text": [t], "train": [use]}) for use in (True, False, True) for t in texts])
+    out = pa.Table.from_batches(list(ctw._gram_counts(True)(stream)))
+    grams, trained, every = (np.concatenate(x) for x in zip(*(
+        ctw._restore(blob, n, np.int64, np.int64) for n, blob in zip(out["n"].to_pylist(), out["blob"].to_pylist()))))
+    assert len(grams) == len(np.unique(grams)) > 1_000_000
+    assert every.sum() == 3 * 4 * 300_002 and trained.sum() == 2 * 4 * 300_002
+    assert (2 * every == 3 * trained).all()
+
+
+def test_spelling_of_odd_texts():
+    texts = [None, "", " \t ", "\n", "A\x1cB\x85\xe9 \x0b\r z", " one  Two\n", "\x00"]
+    want = [" ".join([*brute.lower(" ".join(brute.words(t))).split(" "), "\n"]) if brute.words(t) else "\n" for t in texts]
+    flat, sizes, stretches = ctw.spelt(pa.array(["before", *texts], pa.string()).slice(1), False)
+    assert flat.tobytes() == "".join(want).encode()
+    assert sizes.tolist() == [len(w.encode()) for w in want]
+    assert stretches.tolist() == [len(x.encode()) for w in want for x in brute.re.findall("[^ \n]+ |\n", w)]
+
+
+def test_every_frequent_gram_is_found():
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(0, 1 << 63, 5000, np.uint64))
+    values, sizes = -rng.random(len(grams)), rng.integers(0, 9, len(grams)).astype(np.int16)
+    own = rng.permutation(len(grams))
+    frequent = ctw.Frequent(grams[own], values[own], sizes[own])
+    asked = np.sort(np.concatenate([grams, grams + np.uint64(1)]))
+    known = np.isin(asked, grams)
+    worth = np.where(known, values[np.minimum(np.searchsorted(grams, asked), len(grams) - 1)], 0)
+    for hit, found in (frequent.in_slots(asked), frequent.in_order(asked)):
+        assert not (hit & ~known).any() and (found[hit] == worth[hit]).all() and (found[~hit] == 0).all()
+    assert (frequent.in_order(asked)[0] == known).all() and frequent.in_slots(grams)[0].mean() > 0.7
+    assert not ctw.Frequent(grams[:0], values[:0], sizes[:0]).in_slots(grams)[0].any()
+
+
 def test_counts_add_up_in_parts(some_docs, monkeypatch):
     """Tasks that hand on what they hold at once, many shards and split look-ups give the same scores."""
     docs, _ = some_docs
